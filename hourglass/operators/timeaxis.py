@@ -8,6 +8,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hourglass.functions import exprs as X
 from hourglass.session import shuffle_partitions
@@ -89,39 +90,73 @@ def add_temporal_features(df: DataFrame, ts: str, cyclical: bool = True) -> Data
     return df.withColumns(parts)
 
 
+def _order_key(df: DataFrame, c: str) -> Column:
+    """The leading order column as a DOUBLE (timestamps as epoch microseconds)."""
+    dt = df.schema[c].dataType
+    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(c).cast("timestamp")).cast("double")
+    if isinstance(dt, T.DateType):
+        return F.unix_date(F.col(c)).cast("double")
+    return F.col(c).cast("double")
+
+
+def bucket_of(x: Column, bounds: Sequence[float]) -> Column:
+    """Number of ``bounds`` that are <= x, as a balanced CASE tree (log2 depth,
+    stays inside whole-stage codegen). NULL goes to bucket 0."""
+
+    def tree(lo: int, hi: int) -> Column:
+        # answer lies in [lo, hi]
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi + 1) // 2
+        return F.when(x < F.lit(bounds[mid - 1]), tree(lo, mid - 1)).otherwise(tree(mid, hi))
+
+    return F.when(x.isNull(), F.lit(0)).otherwise(tree(0, len(bounds)))
+
+
+def quantile_bounds(df: DataFrame, key: Column, chunks: int) -> list[float]:
+    """Split points giving ``chunks`` near-equal row ranges of ``key`` (one
+    small driver result of at most chunks - 1 numbers)."""
+    if chunks <= 1:
+        return []
+    probs = [i / chunks for i in range(1, chunks)]
+    vals = df.select(key.alias("__k")).approxQuantile("__k", probs, 0.25 / chunks)
+    return sorted(set(vals))
+
+
+def default_chunks(spark) -> int:
+    return int(min(max(2 * shuffle_partitions(spark), 64), 16384))
+
+
 def row_index(
     df: DataFrame,
     series: Sequence[str],
     order: Sequence[str],
     idx_col: str = "idx",
-    num_partitions: int | None = None,
+    chunks: int | None = None,
 ) -> DataFrame:
     """Dense 0-based position of each row inside its series by ``order``.
 
-    ``order`` must make rows unique inside a series (add tie-breakers).
-    No single task ever holds a whole series: rows are range-partitioned on
-    (series, order), so a hot series is split over many partitions; each
-    partition is sorted, per-(partition, series) counts and first ids give
-    prefix offsets (a table of at most #partitions + #series rows, summed
-    with a window over that small table), and the offset is added to
-    ``monotonically_increasing_id``. The range exchange is shared by both
-    branches, so ids agree.
+    ``order`` should make rows unique inside a series (add tie-breakers).
+    No task ever holds a whole series: the leading order column is cut into
+    ``chunks`` ranges at approximate quantiles (so a hot series is spread
+    over all of them), positions are numbered inside each (series, chunk)
+    with ``row_number``, and each chunk gets the count of its series' rows in
+    earlier chunks from a prefix over the small (series, chunk) count table.
+    Every step is a deterministic function of the data, so recomputation
+    after an executor loss yields the same index.
     """
     series, order = list(series), list(order)
-    n = num_partitions or shuffle_partitions(df.sparkSession)
-    ranged = (
-        df.repartitionByRange(n, *[F.col(c) for c in series + order])
-        .sortWithinPartitions(*series, *order)
-        .withColumn("__pid", F.spark_partition_id())
-        .withColumn("__mid", F.monotonically_increasing_id())
-    )
-    counts = ranged.groupBy("__pid", *series).agg(F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__mid0"))
-    before = Window.partitionBy(*series).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "__pid", *series, (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__mid0")).alias("__adj")
-    )
-    return ranged.join(offsets, ["__pid", *series]).select(
-        *df.columns, (F.col("__mid") + F.col("__adj")).alias(idx_col)
+    key = _order_key(df, order[0])
+    bounds = quantile_bounds(df, key, chunks or default_chunks(df.sparkSession))
+    t = df.withColumn("__chunk", bucket_of(key, bounds))
+    counts = t.groupBy(*series, "__chunk").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(*series).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*series, "__chunk", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    w = Window.partitionBy(*series, "__chunk").orderBy(*order)
+    local = t.withColumn("__local", F.row_number().over(w) - 1)
+    return local.join(offsets, [*series, "__chunk"]).select(
+        *df.columns, (F.col("__local") + F.col("__off")).cast("long").alias(idx_col)
     )
 
 

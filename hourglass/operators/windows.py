@@ -244,3 +244,42 @@ def centered_moving_average(
         return {out: F.when(F.count(value).over(full) == period, F.avg(value).over(full))}
 
     return window_select(df, series, idx, build, preceding=h, following=h, bucket_rows=bucket_rows)
+
+
+def window_features(
+    df: DataFrame,
+    series: Sequence[str],
+    idx: str,
+    cols: Sequence[str],
+    lags: Sequence[int] = (),
+    roll_windows: Sequence[int] = (),
+    slope_windows: Sequence[int] = (),
+    leads: Mapping[str, tuple[str, int]] | None = None,
+    bucket_rows: int | None = DEFAULT_BUCKET_ROWS,
+) -> DataFrame:
+    """All bounded-frame features of one series order in a single window
+    projection (one exchange, one sort): lags, rolling mean/std, slopes and
+    named leads ``{out: (col, h)}``."""
+    leads = dict(leads or {})
+
+    def build(w: WindowSpec) -> dict[str, Column]:
+        out: dict[str, Column] = {}
+        for k in lags:
+            for c in cols:
+                out[f"{c}_lag{k}"] = F.lag(c, k).over(w)
+        for win in roll_windows:
+            fr = w.rowsBetween(-(win - 1), 0)
+            for c in cols:
+                out[f"{c}_roll_mean_{win}"] = F.avg(c).over(fr)
+                out[f"{c}_roll_std_{win}"] = F.coalesce(F.stddev_samp(c).over(fr), F.lit(0.0))
+        x = F.col(idx).cast("double")
+        for win in slope_windows:
+            for c in cols:
+                out[f"{c}_slope_{win}"] = F.regr_slope(F.col(c), x).over(w.rowsBetween(-(win - 1), 0))
+        for name, (c, h) in leads.items():
+            out[name] = F.lead(c, h).over(w)
+        return out
+
+    reach = max([*lags, *(w - 1 for w in roll_windows), *(w - 1 for w in slope_windows), 0])
+    ahead = max([h for _, h in leads.values()] + [0])
+    return window_select(df, series, idx, build, preceding=reach, following=ahead, bucket_rows=bucket_rows)
