@@ -43,3 +43,15 @@ def hourly_imputed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lineitem4(spark: SparkSession, sf_dir: str, extra=()) -> DataFrame:
     return read_table(spark, sf_dir, "lineitem", [*extra, *LINEITEM4])
+
+
+# The event types play the role of the fixed sensor list (a query parameter,
+# like the pollutant list): one wide column each.
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
+
+
+def wide_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ts_hour plus one imputed hourly column per event type (NULL outside
+    that series' time range)."""
+    h = hourly_imputed(spark, sf_dir)
+    return h.groupBy("ts_hour").pivot("series", EVENT_TYPES).agg(F.max("value"))

@@ -1 +1,211 @@
-"""Queries."""
+"""Queries for time-series analytics (G) on the hourly event series."""
+
+from __future__ import annotations
+
+from itertools import combinations
+
+from pyspark.sql import functions as F
+
+from hourglass.operators import series as TS
+from hourglass.operators import stats
+from hourglass.plans import frames
+from hourglass.plans.catalog import query, r6
+from hourglass.plans.sqlparts import HOURLY_CTE
+
+S = ["series"]
+NLAGS = 40
+PERIOD = 24
+
+_PART = "PARTITION BY series ORDER BY idx"
+DECOMP_CTE = f"""{HOURLY_CTE},
+tr AS (
+  SELECT series, ts_hour, idx, value,
+         CASE WHEN count(value) OVER ({_PART} ROWS BETWEEN 12 PRECEDING AND 12 FOLLOWING) = 25
+              THEN (sum(value) OVER ({_PART} ROWS BETWEEN 12 PRECEDING AND 11 FOLLOWING)
+                    + sum(value) OVER ({_PART} ROWS BETWEEN 11 PRECEDING AND 12 FOLLOWING)) / 48.0 END AS trend
+  FROM himp),
+ph AS (SELECT series, idx % 24 AS phase, avg(value - trend) AS pa FROM tr GROUP BY 1, 2),
+pc AS (SELECT series, phase, pa - avg(pa) OVER (PARTITION BY series) AS seasonal FROM ph),
+dec AS (
+  SELECT tr.series, tr.ts_hour, tr.idx, tr.value, tr.trend, pc.seasonal, (tr.value - tr.trend) - pc.seasonal AS resid
+  FROM tr JOIN pc ON pc.series = tr.series AND pc.phase = tr.idx % 24)
+"""
+
+SCORE_CTE = f"""{DECOMP_CTE},
+st AS (SELECT series, avg(value) AS mean, stddev_samp(value) AS std, median(value) AS med, count(*) AS cnt
+       FROM himp GROUP BY 1),
+md AS (SELECT h.series, median(abs(h.value - st.med)) AS mad FROM himp h JOIN st USING (series) GROUP BY 1),
+rs AS (SELECT d.series, median(d.resid) AS rmed FROM dec d JOIN st USING (series)
+       WHERE st.cnt > 24 AND d.resid IS NOT NULL GROUP BY 1),
+rm AS (SELECT d.series, median(abs(d.resid - rs.rmed)) AS rmad FROM dec d JOIN rs USING (series)
+       WHERE d.resid IS NOT NULL GROUP BY 1),
+sc AS (
+  SELECT d.series, d.ts_hour, d.value,
+         CASE WHEN st.std = 0 THEN 0.0 ELSE (d.value - st.mean) / st.std END AS z,
+         CASE WHEN md.mad = 0 THEN 0.0 ELSE (d.value - st.med) / (1.4826 * md.mad) END AS mz,
+         CASE WHEN st.cnt > 24 AND d.resid IS NOT NULL
+              THEN (d.resid - rs.rmed) / (1.4826 * CASE WHEN rm.rmad = 0 THEN 1e-9 ELSE rm.rmad END) END AS rz
+  FROM dec d JOIN st USING (series) JOIN md USING (series) LEFT JOIN rs USING (series) LEFT JOIN rm USING (series)),
+an AS (
+  SELECT ts_hour, series, value,
+         CASE WHEN abs(z) > 3 OR abs(mz) > 3 THEN z END AS z_score,
+         CASE WHEN abs(z) > 3 OR abs(mz) > 3 THEN mz END AS mad_z,
+         CASE WHEN abs(z) > 3 THEN 'zscore' WHEN abs(mz) > 3 THEN 'mad' ELSE 'seasonal_residual' END AS method
+  FROM sc WHERE abs(z) > 3 OR abs(mz) > 3 OR coalesce(abs(rz) > 3, false))
+"""
+
+ANOMALY_SELECT = """SELECT ts_hour, series, round(value, 6) AS value, round(z_score, 6) AS z_score,
+       round(mad_z, 6) AS mad_z, method FROM an"""
+
+
+def _h(spark, sf_dir):
+    return frames.hourly_imputed(spark, sf_dir)
+
+
+def _scored(spark, sf_dir):
+    return TS.anomaly_scores(_h(spark, sf_dir), S, "idx", "value", PERIOD)
+
+
+@query(
+    "acf",
+    f"""WITH {HOURLY_CTE},
+d AS (SELECT series, idx, value - avg(value) OVER (PARTITION BY series) AS d,
+             count(*) OVER (PARTITION BY series) AS n FROM himp),
+c AS (SELECT a.series, k.lag, sum(a.d * b.d) AS ck
+      FROM d a JOIN range(0, {NLAGS + 1}) AS k(lag) ON true
+      JOIN d b ON b.series = a.series AND b.idx = a.idx - k.lag GROUP BY 1, 2),
+c0 AS (SELECT series, sum(d * d) AS c0, any_value(n) AS n FROM d GROUP BY 1),
+r AS (SELECT c.series, c.lag, c.ck / c0.c0 AS r, c0.n FROM c JOIN c0 USING (series) WHERE c.lag < c0.n)
+SELECT series, CAST(lag AS BIGINT) AS lag, round(r, 6) AS r,
+       round(1.959963984540054 * sqrt(CASE WHEN lag = 0 THEN 0.0 ELSE
+         (1 + 2 * coalesce(sum(CASE WHEN lag > 0 THEN r * r END) OVER (PARTITION BY series ORDER BY lag
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0)) / n END), 6) AS ci_half_width
+FROM r""",
+)
+def acf(spark, sf_dir):
+    return r6(TS.acf(_h(spark, sf_dir), S, "idx", "value", NLAGS))
+
+
+@query("pacf")
+def pacf(spark, sf_dir):
+    """G2 (Durbin-Levinson over the ACF rows; checked against NumPy in pytest)."""
+    h = _h(spark, sf_dir)
+    a = TS.acf(h, S, "idx", "value", NLAGS).select("series", "lag", "r")
+    n = h.groupBy("series").agg(F.count(F.lit(1)).alias("n"))
+    return r6(TS.pacf(a, S, n))
+
+
+@query(
+    "seasonal_decompose",
+    f"""WITH {DECOMP_CTE}
+SELECT series, ts_hour, round(value, 6) AS observed, round(trend, 6) AS trend, round(seasonal, 6) AS seasonal,
+       round(resid, 6) AS resid FROM dec""",
+)
+def seasonal_decompose(spark, sf_dir):
+    d = TS.seasonal_decompose(_h(spark, sf_dir), S, "idx", "value", PERIOD)
+    return r6(d.select("series", "ts_hour", "observed", "trend", "seasonal", "resid"))
+
+
+@query(
+    "anomaly_zscore",
+    f"""WITH {SCORE_CTE}
+SELECT ts_hour, series, round(value, 6) AS value, round(z, 6) AS z_score, round(mz, 6) AS mad_z, 'zscore' AS method
+FROM sc WHERE abs(z) > 3""",
+)
+def anomaly_zscore(spark, sf_dir):
+    h = _h(spark, sf_dir)
+    t = TS.mad_columns(TS.zscore_columns(h, S, "value"), S, "value")
+    out = t.where(F.abs("z_score") > TS.ANOMALY_THRESHOLD).select(
+        "ts_hour", "series", "value", "z_score", "mad_z", F.lit(TS.METHOD_Z).alias("method"))
+    return r6(out)
+
+
+@query(
+    "anomaly_mad",
+    f"""WITH {SCORE_CTE}
+SELECT ts_hour, series, round(value, 6) AS value, round(z, 6) AS z_score, round(mz, 6) AS mad_z, 'mad' AS method
+FROM sc WHERE abs(mz) > 3""",
+)
+def anomaly_mad(spark, sf_dir):
+    h = _h(spark, sf_dir)
+    t = TS.mad_columns(TS.zscore_columns(h, S, "value"), S, "value")
+    out = t.where(F.abs("mad_z") > TS.ANOMALY_THRESHOLD).select(
+        "ts_hour", "series", "value", "z_score", "mad_z", F.lit(TS.METHOD_MAD).alias("method"))
+    return r6(out)
+
+
+@query(
+    "anomaly_seasonal_resid",
+    f"""WITH {SCORE_CTE}
+SELECT ts_hour, series, round(value, 6) AS value, round(rz, 6) AS resid_z, 'seasonal_residual' AS method
+FROM sc WHERE abs(rz) > 3""",
+)
+def anomaly_seasonal_resid(spark, sf_dir):
+    s = _scored(spark, sf_dir)
+    out = s.where(F.abs("resid_z") > TS.ANOMALY_THRESHOLD).select(
+        "ts_hour", "series", "value", "resid_z", F.lit(TS.METHOD_RESID).alias("method"))
+    return r6(out)
+
+
+@query("anomaly_combined", f"WITH {SCORE_CTE}\n{ANOMALY_SELECT}")
+def anomaly_combined(spark, sf_dir):
+    return r6(TS.anomaly_table(_scored(spark, sf_dir), S, "ts_hour", "value"))
+
+
+@query("anomaly_antijoin", f"WITH {SCORE_CTE}\n{ANOMALY_SELECT}")
+def anomaly_antijoin(spark, sf_dir):
+    return r6(TS.anomaly_table_by_exclusion(_scored(spark, sf_dir), S, "ts_hour", "value"))
+
+
+@query(
+    "anomaly_counts",
+    f"""WITH {SCORE_CTE}
+SELECT series, CAST(count(*) AS BIGINT) AS n FROM an GROUP BY ROLLUP (series)""",
+)
+def anomaly_counts(spark, sf_dir):
+    return TS.anomaly_counts(TS.anomaly_table(_scored(spark, sf_dir), S, "ts_hour", "value"), "series")
+
+
+def _wide_sql() -> str:
+    cols = ", ".join(f"max(CASE WHEN series = '{t}' THEN value END) AS \"{t}\"" for t in frames.EVENT_TYPES)
+    return f"wide AS (SELECT ts_hour, {cols} FROM himp GROUP BY ts_hour)"
+
+
+def _event_pairs_sql() -> str:
+    rows = []
+    for a, b in combinations(frames.EVENT_TYPES, 2):
+        n = f'count(*) FILTER (WHERE "{a}" IS NOT NULL AND "{b}" IS NOT NULL)'
+        r = f'CASE WHEN {n} >= 3 AND NOT isnan(corr("{a}", "{b}")) THEN round(corr("{a}", "{b}"), 6) END'
+        rows.append(f"SELECT '{a}' AS col_a, '{b}' AS col_b, {r} AS r FROM wide")
+    return "\nUNION ALL\n".join(rows)
+
+
+@query(
+    "event_corr_matrix",
+    f"""WITH {HOURLY_CTE}, {_wide_sql()}
+{_event_pairs_sql()}""",
+)
+def event_corr_matrix(spark, sf_dir):
+    """E9 on the wide hourly table (one column per event type, like one column per sensor)."""
+    wide = frames.wide_hourly(spark, sf_dir)
+    c = stats.corr_matrix(wide, frames.EVENT_TYPES)
+    return r6(stats.corr_pairs(c, frames.EVENT_TYPES).select("col_a", "col_b", "r"))
+
+
+@query(
+    "summary_report",
+    f"""WITH {SCORE_CTE}, {_wide_sql()},
+pairs AS ({_event_pairs_sql()}),
+top AS (SELECT 'top_correlations' AS section,
+               CAST(row_number() OVER (ORDER BY abs(r) DESC NULLS LAST, col_a DESC, col_b DESC) AS BIGINT) AS rank,
+               col_a || ' vs ' || col_b AS label, r AS value FROM pairs),
+cnt AS (SELECT series, count(*) AS n FROM an GROUP BY series)
+SELECT section, rank, label, value FROM top WHERE rank <= 5
+UNION ALL SELECT 'anomalies', CAST(0 AS BIGINT), 'total', CAST(count(*) AS DOUBLE) FROM an
+UNION ALL SELECT 'anomalies', CAST(row_number() OVER (ORDER BY n DESC, series) AS BIGINT), series, CAST(n AS DOUBLE) FROM cnt""",
+)
+def summary_report(spark, sf_dir):
+    wide = frames.wide_hourly(spark, sf_dir)
+    corr = r6(stats.corr_matrix(wide, frames.EVENT_TYPES))
+    anoms = TS.anomaly_table(_scored(spark, sf_dir), S, "ts_hour", "value")
+    return r6(TS.summary_table(corr, frames.EVENT_TYPES, anoms, "series"))

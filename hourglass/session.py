@@ -63,3 +63,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def materialize(df):
+    """Cut lineage with a reliable checkpoint in ``spark.checkpoint.dir``.
+
+    Used where one intermediate frame feeds several branches (so it is
+    computed once and the logical plan stays small); survives executor loss.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
