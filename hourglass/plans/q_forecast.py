@@ -1 +1,183 @@
-"""Queries."""
+"""Queries for forecasting jobs (M) on the hourly event series."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from hourglass.operators import forecast as FC
+from hourglass.operators import stats, timeaxis, windows
+from hourglass.plans import frames
+from hourglass.plans.catalog import query, r6
+from hourglass.plans.sqlparts import HOURLY_CTE
+
+S = ["series"]
+LAGS = (1, 2, 3, 24)
+FEATS = ["n", "hour", "day", "month", "season"]
+TEST_SIZE = 0.2
+N_BOOT = 1000
+BLOCK = 24
+
+
+def _h(spark, sf_dir):
+    return frames.hourly_imputed(spark, sf_dir)
+
+
+_W = "WINDOW w AS (PARTITION BY series ORDER BY idx)"
+_FM_NAMES = [f"{c}_lag{k}" for k in LAGS for c in FEATS]
+_FM_SQL = f"""WITH {HOURLY_CTE},
+f AS (SELECT series, ts_hour, idx, value, CAST(n AS DOUBLE) AS n, CAST(hour(ts_hour) AS DOUBLE) AS hour,
+             CAST(day(ts_hour) AS DOUBLE) AS day, CAST(month(ts_hour) AS DOUBLE) AS month,
+             CAST((month(ts_hour) % 12) // 3 + 1 AS DOUBLE) AS season FROM himp),
+l AS (SELECT series, ts_hour, idx, lead(value, 1) OVER w AS y,
+             {", ".join(f"lag({c}, {k}) OVER w AS {c}_lag{k}" for k in LAGS for c in FEATS)} FROM f {_W})
+SELECT series, ts_hour, idx, round(y, 6) AS y, {", ".join(f"round({nm}, 6) AS {nm}" for nm in _FM_NAMES)}
+FROM l WHERE y IS NOT NULL AND {" AND ".join(f"{nm} IS NOT NULL" for nm in _FM_NAMES)}"""
+
+
+@query("feature_matrix", _FM_SQL)
+def feature_matrix(spark, sf_dir):
+    fm, names = FC.feature_matrix(_h(spark, sf_dir), S, "idx", "ts_hour", "value", 1, LAGS, candidates=["n", "value"])
+    return r6(fm.select("series", "ts_hour", "idx", "y", *names))
+
+
+_SPLIT_CTE = f"""{HOURLY_CTE},
+c AS (SELECT series, count(*) AS n FROM himp GROUP BY 1),
+sp AS (SELECT h.*, CAST(floor(c.n * CAST(0.8 AS DOUBLE)) AS BIGINT) AS split_at FROM himp h JOIN c USING (series))
+"""
+
+
+@query(
+    "chrono_split",
+    f"""WITH {_SPLIT_CTE}
+SELECT series, ts_hour, idx, split_at, CASE WHEN idx < split_at THEN 'train' ELSE 'test' END AS part FROM sp""",
+)
+def chrono_split(spark, sf_dir):
+    return FC.chrono_split(_h(spark, sf_dir), S, "idx", TEST_SIZE).select("series", "ts_hour", "idx", "split_at", "part")
+
+
+@query(
+    "rolling_origin_folds",
+    f"""WITH {HOURLY_CTE},
+c AS (SELECT series, count(*) AS n FROM himp GROUP BY 1),
+t AS (SELECT h.series, h.ts_hour, h.idx, c.n // 4 AS size, c.n - 3 * (c.n // 4) AS first
+      FROM himp h JOIN c USING (series))
+SELECT series, CAST((idx - first) // size AS BIGINT) AS fold,
+       CAST(first + ((idx - first) // size) * size AS BIGINT) AS n_train,
+       CAST(count(*) AS BIGINT) AS n_val, min(ts_hour) AS val_start, max(ts_hour) AS val_end
+FROM t WHERE size > 0 AND idx >= first GROUP BY 1, 2, 3""",
+)
+def rolling_origin_folds(spark, sf_dir):
+    return FC.rolling_origin_folds(_h(spark, sf_dir), S, "idx", "ts_hour", 3)
+
+
+def forecast_frame(spark, sf_dir):
+    """Test rows with a model (mean of the previous 24 hours), the persistence
+    baseline inside the test split (its first row predicts itself), the
+    position ``pos`` in the split and the paired |error| difference."""
+    h = _h(spark, sf_dir)
+    t = windows.window_select(
+        h, S, "idx",
+        lambda w: {"model": F.avg("value").over(w.rowsBetween(-24, -1)), "__prev": F.lag("value", 1).over(w)},
+        preceding=24,
+    )
+    t = FC.chrono_split(t, S, "idx", TEST_SIZE).where(F.col("part") == "test")
+    t = t.withColumn("baseline", F.when(F.col("idx") == F.col("split_at"), F.col("value")).otherwise(F.col("__prev")))
+    return t.withColumns({
+        "pos": F.col("idx") - F.col("split_at"),
+        "diff": F.abs(F.col("model") - F.col("value")) - F.abs(F.col("baseline") - F.col("value")),
+    }).drop("__prev")
+
+
+_FF_CTE = f"""{_SPLIT_CTE},
+ff0 AS (SELECT series, ts_hour, idx, value, split_at,
+               avg(value) OVER (PARTITION BY series ORDER BY idx ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING) AS model,
+               CASE WHEN idx = split_at THEN value ELSE lag(value, 1) OVER w END AS baseline FROM sp {_W}),
+ff AS (SELECT *, idx - split_at AS pos, abs(model - value) - abs(baseline - value) AS diff FROM ff0 WHERE idx >= split_at),
+cs AS (SELECT series, count(*) AS n, avg(diff) AS mean_diff FROM ff GROUP BY 1)
+"""
+
+_CI_SELECT = """SELECT cs.series, cs.n, CAST(count(*) AS BIGINT) AS n_boot, round(cs.mean_diff, 6) AS mean_diff,
+       round(quantile_cont(m, 0.025), 6) AS ci_low, round(quantile_cont(m, 0.975), 6) AS ci_high
+FROM rep JOIN cs USING (series) GROUP BY cs.series, cs.n, cs.mean_diff"""
+
+
+@query(
+    "forecast_errors",
+    f"""WITH {_FF_CTE}
+SELECT series, CAST(count(*) AS BIGINT) AS n, round(avg(abs(model - value)), 6) AS mae_model,
+       round(sqrt(avg((model - value) * (model - value))), 6) AS rmse_model,
+       round(avg(abs(baseline - value)), 6) AS mae_baseline,
+       round(sqrt(avg((baseline - value) * (baseline - value))), 6) AS rmse_baseline,
+       round(avg(abs(model - value) - abs(baseline - value)), 6) AS mae_diff_mean
+FROM ff WHERE model IS NOT NULL AND baseline IS NOT NULL GROUP BY 1""",
+)
+def forecast_errors(spark, sf_dir):
+    return r6(stats.forecast_errors(forecast_frame(spark, sf_dir), "value", "model", "baseline", S))
+
+
+@query(
+    "bootstrap_ci",
+    f"""WITH {_FF_CTE},
+dj AS (SELECT f.series, r.r, {FC.hash_draw_sql("r.r", "f.pos", "cs.n")} AS j
+       FROM ff f JOIN cs USING (series) CROSS JOIN range(0, {N_BOOT}) AS r(r)),
+rep AS (SELECT dj.series, dj.r, avg(ff.diff) AS m FROM dj JOIN ff ON ff.series = dj.series AND ff.pos = dj.j GROUP BY 1, 2)
+{_CI_SELECT}""",
+)
+def bootstrap_ci(spark, sf_dir):
+    d = forecast_frame(spark, sf_dir).select("series", "pos", "diff")
+    return r6(FC.bootstrap_ci(d, S, "pos", "diff", N_BOOT).select("series", "n", "n_boot", "mean_diff", "ci_low", "ci_high"))
+
+
+@query(
+    "block_bootstrap_ci",
+    f"""WITH {_FF_CTE},
+q AS (SELECT series, pos, sum(diff) OVER (PARTITION BY series ORDER BY pos ROWS UNBOUNDED PRECEDING) AS q FROM ff),
+bl AS (SELECT f.series, cs.n, f.pos AS m, r.r, CAST(ceil(cs.n / {BLOCK}.0) AS BIGINT) AS nb
+       FROM ff f JOIN cs USING (series) CROSS JOIN range(0, {N_BOOT}) AS r(r)
+       WHERE f.pos < CAST(ceil(cs.n / {BLOCK}.0) AS BIGINT)),
+bs AS (SELECT series, n, r, m, {FC.hash_draw_sql("r", "m", f"greatest(1, n - {BLOCK} + 1)")} AS s,
+              CASE WHEN m = nb - 1 THEN n - {BLOCK} * (nb - 1) ELSE {BLOCK} END AS len FROM bl),
+sm AS (SELECT bs.series, bs.r, bs.n, qe.q - coalesce(qb.q, 0.0) AS s
+       FROM bs JOIN q qe ON qe.series = bs.series AND qe.pos = bs.s + bs.len - 1
+       LEFT JOIN q qb ON qb.series = bs.series AND qb.pos = bs.s - 1),
+rep AS (SELECT series, r, sum(s) / any_value(n) AS m FROM sm GROUP BY 1, 2)
+{_CI_SELECT}""",
+)
+def block_bootstrap_ci(spark, sf_dir):
+    d = forecast_frame(spark, sf_dir).select("series", "pos", "diff")
+    out = FC.block_bootstrap_ci(d, S, "pos", "diff", BLOCK, N_BOOT, bucket_rows=50)
+    return r6(out.select("series", "n", "n_boot", "mean_diff", "ci_low", "ci_high"))
+
+
+@query("gbt_forecast")
+def gbt_forecast(spark, sf_dir):
+    """M3: boosted trees (100 trees, seed 42) on the feature matrix; train on
+    the first 80% of each series' matrix rows, predict the rest."""
+    fm, names = FC.feature_matrix(_h(spark, sf_dir), S, "idx", "ts_hour", "value", 1, LAGS, candidates=["n", "value"])
+    fm = timeaxis.row_index(fm, S, ["idx"], idx_col="pos")
+    sp = FC.chrono_split(fm, S, "pos", TEST_SIZE)
+    train, test = sp.where(F.col("part") == "train"), sp.where(F.col("part") == "test")
+    _, pred = FC.gbt_fit_predict(train, test, names, "y", n_trees=100, seed=42, series=S)
+    return r6(pred.select("series", "ts_hour", "y", "prediction"))
+
+
+@query("arma_coefficients")
+def arma_coefficients(spark, sf_dir):
+    """M4: ARIMA(2,1,2) by Hannan-Rissanen per series (checked by parameter
+    recovery in pytest)."""
+    return r6(FC.arma_fit(_h(spark, sf_dir), S, "idx", "value", 2, 2))
+
+
+@query("arma_forecast")
+def arma_forecast(spark, sf_dir):
+    h = _h(spark, sf_dir)
+    coefs = FC.arma_fit(h, S, "idx", "value", 2, 2).drop("sigma2", "n")
+    return r6(FC.arma_forecast(h, coefs, S, "idx", "value").select("series", "ts_hour", "value", "forecast"))
+
+
+@query("replay_sample")
+def replay_sample(spark, sf_dir):
+    """Rows drawn uniformly with replacement per series, stamped with
+    their own hour."""
+    out = FC.replay_sample(_h(spark, sf_dir), S, "idx", seed=42, ts="ts_hour")
+    return r6(out.select("series", "draw_id", "source_pos", "ts_hour", "value", "sent_at"))
