@@ -27,7 +27,10 @@ def to_double(c) -> Column:
 
 
 def null_if_sentinel(c, sentinel: float) -> Column:
-    return F.nullif(col(c), F.lit(sentinel))
+    """Exact equality with the sentinel becomes NULL; text columns compare
+    their numeric reading (bad text is left for coercion)."""
+    c = col(c)
+    return F.when(c.try_cast("double") == F.lit(float(sentinel)), F.lit(None)).otherwise(c)
 
 
 def clip(c, lo: float | None, hi: float | None) -> Column:

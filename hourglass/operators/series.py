@@ -54,7 +54,7 @@ def acf(
     )
     long = sums.select(
         *series, "__n",
-        F.inline(F.array(*[F.struct(F.lit(k).cast("long").alias("lag"), (F.col(f"__c{k}") / F.col("__c0")).alias("r"))
+        F.inline(F.array(*[F.struct(F.lit(k).cast("long").alias("lag"), F.try_divide(F.col(f"__c{k}"), F.col("__c0")).alias("r"))
                            for k in range(nlags + 1)])),
     ).where(F.col("lag") < F.col("__n"))
     w = Window.partitionBy(*series).orderBy("lag").rowsBetween(Window.unboundedPreceding, -1)

@@ -178,7 +178,11 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], min_n: int = 3) -> DataFrame
     aggs = []
     for i, j in pairs:
         a, b = X.nan_to_null(cols[i]), X.nan_to_null(cols[j])
-        aggs += [F.corr(a, b).alias(f"r{i}_{j}"), F.count_if(a.isNotNull() & b.isNotNull()).alias(f"n{i}_{j}")]
+        both = a.isNotNull() & b.isNotNull()
+        # Pearson r over pairwise complete rows; a zero variance gives NULL
+        # (``corr`` itself raises DIVIDE_BY_ZERO under ANSI mode)
+        r = F.try_divide(F.covar_samp(a, b), F.stddev_samp(F.when(both, a)) * F.stddev_samp(F.when(both, b)))
+        aggs += [r.alias(f"r{i}_{j}"), F.count_if(both).alias(f"n{i}_{j}")]
     for i, c in enumerate(cols):
         aggs.append(F.count(X.nan_to_null(c)).alias(f"n{i}_{i}"))
     wide = df.agg(*aggs)

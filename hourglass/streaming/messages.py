@@ -30,18 +30,21 @@ ALERT_FIELD, ALERT_FALLBACK, ALERT_THRESHOLD = "CO", "CO(GT)", 10.0
 DRIFT_THRESHOLD = 3.0
 
 JSON_OPTIONS = {"mode": "PERMISSIVE", "allowNonNumericNumbers": "true"}
+CORRUPT = "_corrupt_record"
 
 
 def decode(df: DataFrame, text_col: str, schema: T.StructType = MESSAGE_SCHEMA, prefix: str = "") -> DataFrame:
-    """L1 + L2: parse JSON text into typed columns (NaN -> NULL); text that is
-    not valid JSON keeps its value in ``raw`` (dead letter) and NULL fields."""
+    """L1 + L2: parse JSON text into typed columns (bare NaN accepted, then
+    NULL); text that does not parse keeps its value in ``raw`` (dead letter)
+    and gets NULL fields."""
     txt = F.col(text_col).cast("string")
-    parsed = F.from_json(txt, schema, JSON_OPTIONS)
+    full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
+    parsed = F.from_json(txt, full, {**JSON_OPTIONS, "columnNameOfCorruptRecord": CORRUPT})
     fields = {}
     for f in schema.fields:
         v = parsed[f.name]
         fields[f"{prefix}{f.name}"] = X.nan_to_null(v) if isinstance(f.dataType, T.DoubleType) else v
-    return df.withColumns(fields).withColumn("raw", F.when(F.try_parse_json(txt).isNull(), txt))
+    return df.withColumns(fields).withColumn("raw", parsed[CORRUPT])
 
 
 def encode(cols: Sequence[str]) -> Column:
