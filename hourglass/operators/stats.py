@@ -14,13 +14,13 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourglass.functions import exprs as X
 from hourglass.operators.clean import NUMERIC_TYPES
-from hourglass.operators.timeaxis import row_index
+from hourglass.operators.timeaxis import SINGLE_TASK_MAX_ROWS, default_chunks, max_group_rows, row_index
 
 
 def _stack(one_row: DataFrame, names: Sequence[str], fields: dict[str, str]) -> DataFrame:
@@ -131,39 +131,53 @@ def profile(df: DataFrame, ts: str, cols: Sequence[str], by: str = "hour", serie
 
 
 def exact_median(
-    df: DataFrame, series: Sequence[str], value: str, out: str = "median", relative_error: float | None = None
+    df: DataFrame, series: Sequence[str], value: str, out: str = "median", relative_error: float | None = None,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Exact median per series (NULLs ignored), midpoint of the two middle
     values for an even count.
 
-    The exact form never puts a whole series in one task: values are ranked
-    by a distributed range sort (``row_index``) and the one or two middle
-    ranks are selected. ``relative_error`` switches to the bounded-memory
-    ``percentile_approx`` sketch instead.
+    Groups proven (by one count job, or ``max_rows``) to hold at most
+    ``SINGLE_TASK_MAX_ROWS`` values are ranked by a per-series sort window.
+    Larger groups never sit in one task: values are ranked by the chunked
+    ``row_index`` (a hot series is spread over quantile chunks). Either way
+    the one or two middle ranks are averaged. ``relative_error`` switches
+    to the bounded-memory ``percentile_approx`` sketch instead.
     """
     series = list(series)
     v = df.select(*series, X.nan_to_null(value).alias("__v")).where(F.col("__v").isNotNull())
     if relative_error is not None:
         acc = int(max(1, round(1.0 / relative_error)))
         return v.groupBy(*series).agg(F.percentile_approx("__v", 0.5, acc).cast("double").alias(out))
-    counts = v.groupBy(*series).agg(F.count(F.lit(1)).alias("__n"))
-    ranked = row_index(v, series, ["__v"], idx_col="__r")
+    if max_rows is None:
+        max_rows = max_group_rows(v, series)
+    if max_rows <= SINGLE_TASK_MAX_ROWS:
+        ranked = v.withColumns({
+            "__r": F.row_number().over(Window.partitionBy(*series).orderBy("__v")) - 1,
+            "__n": F.count(F.lit(1)).over(Window.partitionBy(*series)),
+        })
+    else:
+        counts = v.groupBy(*series).agg(F.count(F.lit(1)).alias("__n"))
+        ranked = row_index(v, series, ["__v"], idx_col="__r", chunks=default_chunks(df.sparkSession))
+        ranked = ranked.join(counts, series) if series else ranked.withColumn("__n", counts.select("__n").scalar())
     lo = F.floor((F.col("__n") - 1) / 2)
     hi = F.ceil((F.col("__n") - 1) / 2)
-    picked = ranked.join(counts, series) if series else ranked.withColumn("__n", counts.select("__n").scalar())
-    picked = picked.where((F.col("__r") == lo) | (F.col("__r") == hi))
+    picked = ranked.where((F.col("__r") == lo) | (F.col("__r") == hi))
     return picked.groupBy(*series).agg(F.avg("__v").alias(out))
 
 
 def median_mad(df: DataFrame, series: Sequence[str], value: str, relative_error: float | None = None) -> DataFrame:
     """Per series median and MAD = median(|x - median|)."""
     series = list(series)
-    med = exact_median(df, series, value, "median", relative_error)
+    max_rows = None
+    if relative_error is None:
+        max_rows = max_group_rows(df.where(X.nan_to_null(value).isNotNull()), series)
+    med = exact_median(df, series, value, "median", relative_error, max_rows)
     if series:
         dev = df.join(med, series).select(*series, F.abs(X.nan_to_null(value) - F.col("median")).alias("__d"))
     else:
         dev = df.select(F.abs(X.nan_to_null(value) - med.select("median").scalar()).alias("__d"))
-    mad = exact_median(dev, series, "__d", "mad", relative_error)
+    mad = exact_median(dev, series, "__d", "mad", relative_error, max_rows)
     return med.join(mad, series) if series else med.select("median", mad.select("mad").scalar().alias("mad"))
 
 

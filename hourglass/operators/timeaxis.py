@@ -124,6 +124,18 @@ def quantile_bounds(df: DataFrame, key: Column, chunks: int) -> list[float]:
     return sorted(set(vals))
 
 
+# Largest group one task may hold whole (a plain per-series window or an
+# exact median aggregate). Above it the chunked, skew-proof forms are used.
+SINGLE_TASK_MAX_ROWS = 2_000_000
+
+
+def max_group_rows(df: DataFrame, series: Sequence[str]) -> int:
+    """Rows in the largest group (one small aggregate job; result is one number)."""
+    if not series:
+        return df.count()
+    return df.groupBy(*series).count().agg(F.max("count")).first()[0] or 0
+
+
 def default_chunks(spark) -> int:
     return int(min(max(2 * shuffle_partitions(spark), 64), 16384))
 
@@ -144,9 +156,15 @@ def row_index(
     with ``row_number``, and each chunk gets the count of its series' rows in
     earlier chunks from a prefix over the small (series, chunk) count table.
     Every step is a deterministic function of the data, so recomputation
-    after an executor loss yields the same index.
+    after an executor loss yields the same index. When one count job shows
+    that the largest series has at most ``SINGLE_TASK_MAX_ROWS`` rows (and
+    ``chunks`` is not forced), a plain ``row_number`` window is used instead.
     """
     series, order = list(series), list(order)
+    if chunks is None and max_group_rows(df, series) <= SINGLE_TASK_MAX_ROWS:
+        # every series fits one task: a plain numbering window is exact and bounded
+        w = Window.partitionBy(*series).orderBy(*order)
+        return df.withColumn(idx_col, (F.row_number().over(w) - 1).cast("long"))
     key = _order_key(df, order[0])
     bounds = quantile_bounds(df, key, chunks or default_chunks(df.sparkSession))
     t = df.withColumn("__chunk", bucket_of(key, bounds))

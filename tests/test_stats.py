@@ -40,8 +40,11 @@ def test_pvalues(spark):
     assert r.stars == ("***" if r.p < 0.001 else "**" if r.p < 0.01 else "*" if r.p < 0.05 else "")
 
 
+@pytest.mark.parametrize("forced_chunks", [False, True])
 @pytest.mark.parametrize("n", [1, 2, 7, 10])
-def test_exact_median_and_mad(spark, n):
+def test_exact_median_and_mad(spark, n, forced_chunks, monkeypatch):
+    if forced_chunks:  # take the skew-proof ranked path even for small groups
+        monkeypatch.setattr(stats, "SINGLE_TASK_MAX_ROWS", 0)
     rng = np.random.default_rng(n)
     vals = rng.integers(0, 5, size=n).astype(float)  # ties on purpose
     big = rng.normal(size=999)

@@ -38,11 +38,12 @@ def test_row_index_matches_rank_with_many_chunks(spark):
     data = [("hot", random.randint(0, 10**6), i) for i in range(3000)]
     data += [(f"s{i % 7}", random.randint(0, 10**6), i) for i in range(500)]
     df = spark.createDataFrame(data, "s string, t long, id long")
-    out = timeaxis.row_index(df, ["s"], ["t", "id"], chunks=17).toPandas()
     pdf = pd.DataFrame(data, columns=["s", "t", "id"])
     pdf["exp"] = pdf.sort_values(["t", "id"]).groupby("s").cumcount()
-    m = out.merge(pdf, on=["s", "t", "id"])
-    assert len(m) == len(data) and (m["idx"] == m["exp"]).all()
+    for chunks in (17, None):
+        out = timeaxis.row_index(df, ["s"], ["t", "id"], chunks=chunks).toPandas()
+        m = out.merge(pdf, on=["s", "t", "id"])
+        assert len(m) == len(data) and (m["idx"] == m["exp"]).all()
 
 
 def test_synthetic_index(spark):
