@@ -181,3 +181,12 @@ def replay_sample(spark, sf_dir):
     their own hour."""
     out = FC.replay_sample(_h(spark, sf_dir), S, "idx", seed=42, ts="ts_hour")
     return r6(out.select("series", "draw_id", "source_pos", "ts_hour", "value", "sent_at"))
+
+
+@query("evaluation_report")
+def evaluation_report(spark, sf_dir):
+    """Boosted trees (100 trees) vs persistence per series with the IID
+    bootstrap CI of the paired |error| difference."""
+    from hourglass.operators import modeljobs
+
+    return r6(modeljobs.evaluation_report(_h(spark, sf_dir), S, "idx", "ts_hour", "value", 1, TEST_SIZE))
