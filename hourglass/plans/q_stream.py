@@ -199,3 +199,20 @@ def stream_ingest(spark, sf_dir):
     q = jobs.ingest(stream, "msg", sink, ckpt)
     jobs.run_available(q)
     return spark.read.parquet(sink).select("event_id", "CO", "NOx", "raw")
+
+
+@query("stream_features")
+def stream_features(spark, sf_dir):
+    """Online lag/rolling/EMA features per event type from the events
+    stream, with bounded keyed state; returns the sink contents."""
+    from hourglass.streaming.features import feature_stream
+
+    schema = spark.read.parquet(table_path(sf_dir, "events")).schema
+    stream = (spark.readStream.schema(schema).parquet(_stream_path(sf_dir, "events"))
+              .select(F.col("event_type").alias("series"), "ts", "value"))
+    out = feature_stream(stream, "series", "ts", "value")
+    sink, ckpt = _scratch(spark, "features"), _scratch(spark, "features_ckpt")
+    q = (out.writeStream.format("parquet").option("path", sink).option("checkpointLocation", ckpt)
+         .outputMode("append").trigger(availableNow=True).start())
+    jobs.run_available(q)
+    return r6(spark.read.schema(out.schema).parquet(sink))
