@@ -21,13 +21,14 @@ K_SCHEMA = T.StructType([T.StructField("k", T.DoubleType()), T.StructField("miss
 
 # Undecodable messages are derived from the table: rows of one event type
 # arrive with a broken JSON prefix.
-_MSG_SPARK = F.when(F.col("event_type") == "error", F.concat(F.lit("{bad json "), F.col("props"))).otherwise(F.col("props"))
+def _msg_col():
+    return F.when(F.col("event_type") == "error", F.concat(F.lit("{bad json "), F.col("props"))).otherwise(F.col("props"))
 _MSG_SQL = "CASE WHEN event_type = 'error' THEN '{bad json ' || props ELSE props END"
 
 
 def _messages(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events", ["event_id", "event_type", "value", "props"])
-    return ev.withColumn("msg", _MSG_SPARK)
+    return ev.withColumn("msg", _msg_col())
 
 
 @query(
@@ -194,7 +195,7 @@ def stream_ingest(spark, sf_dir):
     src = table_path(sf_dir, "events")
     schema = spark.read.parquet(src).schema
     stream = (spark.readStream.schema(schema).parquet(_stream_path(sf_dir, "events"))
-              .withColumn("msg", _MSG_SPARK).select("event_id", "msg"))
+              .withColumn("msg", _msg_col()).select("event_id", "msg"))
     sink, ckpt = _scratch(spark, "ingest"), _scratch(spark, "ingest_ckpt")
     q = jobs.ingest(stream, "msg", sink, ckpt)
     jobs.run_available(q)
