@@ -149,23 +149,61 @@ def clean_table(
 
     ``scale_first=True`` keeps the literal order of the reference's first
     phase (scale to [0,1], then clip to physical ranges).
+
+    One statistics pass serves every step: mean, min, max and the missing
+    count per column. Imputing adds only the mean to a column, and clipping
+    is monotone, so the bounds after imputation (and clipping) follow from
+    those four numbers; the data is read once for the statistics and once
+    for the output.
     """
-    out = df
+    series = list(series)
+    base = df
     if sentinel is not None:
-        out = sentinel_to_null(out, cols, sentinel)
-    out = numeric_coerce(out, cols)
+        base = sentinel_to_null(base, cols, sentinel)
+    base = numeric_coerce(base, cols)
+    aggs = []
+    for c in cols:
+        aggs += [F.avg(c).alias(f"__mean_{c}"), F.min(c).alias(f"__lo_{c}"), F.max(c).alias(f"__hi_{c}"),
+                 (F.count(F.lit(1)) - F.count(c)).alias(f"__nn_{c}")]
+    if series:
+        t = attach_stats(base, base.groupBy(*series).agg(*aggs), series)
+    else:
+        # one scalar subquery returning every statistic as a struct
+        one = base.agg(F.struct(*aggs).alias("__s")).scalar()
+        t = base.withColumns({f"__{k}_{c}": one[f"__{k}_{c}"] for c in cols for k in ("mean", "lo", "hi", "nn")})
+    # each step is its own projection over named columns, so no step inlines
+    # (and multiplies) the expressions of the one before
     if impute:
-        out = mean_impute(out, cols, series)
-    steps = []
-    if bounds:
-        steps.append(lambda d: range_clip(d, bounds))
-    if scale:
-        steps.append(lambda d: minmax_scale(d, cols, series))
-    if scale_first:
-        steps.reverse()
-    for s in steps:
-        out = s(out)
-    return out
+        t = t.withColumns({
+            **{c: F.coalesce(F.col(c), F.col(f"__mean_{c}")) for c in cols},
+            **{f"__lo_{c}": F.when(F.col(f"__nn_{c}") > 0, F.least(f"__lo_{c}", f"__mean_{c}"))
+               .otherwise(F.col(f"__lo_{c}")) for c in cols},
+            **{f"__hi_{c}": F.when(F.col(f"__nn_{c}") > 0, F.greatest(f"__hi_{c}", f"__mean_{c}"))
+               .otherwise(F.col(f"__hi_{c}")) for c in cols},
+        })
+    bounds = {c: b for c, b in (bounds or {}).items() if c in cols}
+
+    def clip_step(d, with_bounds):
+        upd = {c: X.clip(c, *b) for c, b in bounds.items()}
+        if with_bounds:
+            upd.update({f"__{k}_{c}": X.clip(f"__{k}_{c}", *b) for c, b in bounds.items() for k in ("lo", "hi")})
+        return d.withColumns(upd) if upd else d
+
+    def scale_step(d):
+        return d.withColumns({c: _scaled_expr(F.col(c), F.col(f"__lo_{c}"), F.col(f"__hi_{c}")) for c in cols})
+
+    if scale and scale_first:
+        t = clip_step(scale_step(t), with_bounds=False)
+    else:
+        t = clip_step(t, with_bounds=True)
+        if scale:
+            t = scale_step(t)
+    return t.drop(*[n for n in t.columns if n.startswith("__")])
+
+
+def _scaled_expr(v: Column, lo: Column, hi: Column) -> Column:
+    rng = hi - lo
+    return (v - lo) / F.when(rng == 0, F.lit(1.0)).otherwise(rng)
 
 
 def fill_default(c: str, default: float = 0.0) -> Column:

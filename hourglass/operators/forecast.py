@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from hourglass.operators import timeaxis, windows
 from hourglass.operators.clean import usable_features
+from hourglass.session import materialize
 
 M32 = 4294967296  # 2^32
 HASH_MULT = 73244475  # 0x45d9f3b, integer finalizer multiplier
@@ -147,6 +148,7 @@ def bootstrap_ci(
     ``pos`` is the dense position 0..n-1 inside each series.
     Output: series, n, n_boot, mean_diff, ci_low, ci_high."""
     series = list(series)
+    diffs = materialize(diffs.select(*series, pos, value))  # n rows, read by three branches
     stats_ = diffs.groupBy(*series).agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("mean_diff"))
     d = diffs.join(stats_.select(*series, "n"), series) if series else diffs.withColumn("n", stats_.select("n").scalar())
     draws = d.select(*series, "n", F.col(pos).alias("__k"), F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1))).alias("__r"))
@@ -169,6 +171,7 @@ def block_bootstrap_ci(
     sample has n values. A block sum is a difference of two inclusive prefix
     sums (a bucketed running scan), so the work is O(B * n / block) rows."""
     series = list(series)
+    diffs = materialize(diffs.select(*series, pos, value))  # n rows, read by several branches
     stats_ = diffs.groupBy(*series).agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("mean_diff"))
     d = diffs.join(stats_.select(*series, "n"), series) if series else diffs.withColumn("n", stats_.select("n").scalar())
     pref = windows.running_scan(diffs, series, pos, value, "sum", "__q", bucket_rows).select(

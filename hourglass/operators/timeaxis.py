@@ -38,28 +38,42 @@ def resample(
     suffix: str = "_mean",
     with_index: bool = False,
 ) -> DataFrame:
-    """C3 + I5: mean per (series, time bucket) on a spine from the first to the
-    last bucket of each series; empty buckets are present with NULL means and
-    ``n = 0``.
-
-    The aggregate is partial/final (skew-proof); the spine has one row per
-    bucket, so its size follows the time range, not the row count. With
-    ``with_index`` an ``idx`` column gives the dense bucket position inside
-    the series (0 at the first bucket), which later window operators use
-    for halo bucketing without any extra shuffle.
+    """C3 + I5: mean per (series, time bucket) on a gap-free axis from the
+    first to the last bucket of each series; empty buckets are present with
+    NULL means and ``n = 0``.
+
+    The aggregate is partial/final (skew-proof, one exchange). The gaps are
+    filled without a join back: a window over the aggregated buckets of a
+    series (one row per non-empty bucket, so its size follows the series'
+    time span, not its row count) finds the next non-empty bucket, and each
+    bucket row explodes into itself plus the empty buckets up to that one.
+    ``idx`` (with ``with_index``) is the dense bucket position inside the
+    series (0 at the first bucket), which window operators use for halo
+    bucketing without any extra shuffle.
     """
     series = list(series)
+    secs = UNIT_SECONDS[unit]
     agg = df.groupBy(*series, truncate(ts, unit).alias(out_ts)).agg(
         *[F.avg(X.nan_to_null(c)).alias(f"{c}{suffix}") for c in cols], F.count(F.lit(1)).alias("n")
     )
-    bounds = agg.groupBy(*series).agg(F.min(out_ts).alias("__lo"), F.max(out_ts).alias("__hi"))
+    w = Window.partitionBy(*series).orderBy(out_ts)
+    micros = F.unix_micros(F.col(out_ts).cast("timestamp"))
+    t = agg.withColumns({
+        "__next": F.lead(out_ts, 1).over(w),
+        "__pos0": ((micros - F.min(micros).over(Window.partitionBy(*series))) / (secs * 1_000_000)).cast("long"),
+    })
     step = F.expr(f"INTERVAL 1 {unit.upper()}")
-    spine = bounds.select(
-        *series, F.posexplode(F.sequence("__lo", "__hi", step)).alias("idx", out_ts)
+    last = F.coalesce(F.col("__next") - step, F.col(out_ts))
+    t = t.select("*", F.posexplode(F.sequence(F.col(out_ts), last, step)).alias("__k", "__b"))
+    gap = F.col("__k") > 0
+    out = t.select(
+        *series,
+        F.col("__b").cast("timestamp_ntz").alias(out_ts),
+        *[F.when(gap, F.lit(None).cast("double")).otherwise(F.col(f"{c}{suffix}")).alias(f"{c}{suffix}") for c in cols],
+        F.when(gap, F.lit(0)).otherwise(F.col("n")).cast("long").alias("n"),
+        *([(F.col("__pos0") + F.col("__k")).cast("long").alias("idx")] if with_index else []),
     )
-    res = spine.join(agg, [*series, out_ts], "left").withColumn("n", F.coalesce(F.col("n"), F.lit(0)).cast("long"))
-    keep = [*series, out_ts, *[f"{c}{suffix}" for c in cols], "n"] + (["idx"] if with_index else [])
-    return res.withColumn("idx", F.col("idx").cast("long")).select(*keep)
+    return out
 
 
 def temporal_parts(ts) -> dict[str, Column]:
