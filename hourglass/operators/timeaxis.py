@@ -23,6 +23,17 @@ def parse_timestamp(df: DataFrame, date_col: str, time_col: str | None = None, o
     return res.where(F.col(out).isNotNull()) if drop_bad else res
 
 
+def reparse_timestamp(df: DataFrame, col: str, out: str | None = None, drop_bad: bool = False) -> DataFrame:
+    """Re-parse an existing time column (text or timestamp); text that is
+    not a time becomes NULL, never an error."""
+    c = F.col(col)
+    dt = df.schema[col].dataType
+    parsed = c.cast("timestamp_ntz") if isinstance(dt, (T.TimestampType, T.TimestampNTZType, T.DateType)) else \
+        F.try_to_timestamp(c.cast("string")).cast("timestamp_ntz")
+    res = df.withColumn(out or col, parsed)
+    return res.where(F.col(out or col).isNotNull()) if drop_bad else res
+
+
 def truncate(ts, unit: str = "hour") -> Column:
     """Bucket start as TIMESTAMP_NTZ (``date_trunc`` itself returns TIMESTAMP)."""
     return F.date_trunc(unit, X.col(ts)).cast("timestamp_ntz")
@@ -37,6 +48,7 @@ def resample(
     out_ts: str = "ts_hour",
     suffix: str = "_mean",
     with_index: bool = False,
+    fill_mean: bool = False,
 ) -> DataFrame:
     """C3 + I5: mean per (series, time bucket) on a gap-free axis from the
     first to the last bucket of each series; empty buckets are present with
@@ -49,7 +61,9 @@ def resample(
     bucket row explodes into itself plus the empty buckets up to that one.
     ``idx`` (with ``with_index``) is the dense bucket position inside the
     series (0 at the first bucket), which window operators use for halo
-    bucketing without any extra shuffle.
+    bucketing without any extra shuffle. ``fill_mean`` (B16 on the hourly
+    frame) fills empty buckets with the series mean of the bucket means,
+    taken from the same window.
     """
     series = list(series)
     secs = UNIT_SECONDS[unit]
@@ -58,9 +72,11 @@ def resample(
     )
     w = Window.partitionBy(*series).orderBy(out_ts)
     micros = F.unix_micros(F.col(out_ts).cast("timestamp"))
+    whole = Window.partitionBy(*series)
     t = agg.withColumns({
         "__next": F.lead(out_ts, 1).over(w),
-        "__pos0": ((micros - F.min(micros).over(Window.partitionBy(*series))) / (secs * 1_000_000)).cast("long"),
+        "__pos0": ((micros - F.min(micros).over(whole)) / (secs * 1_000_000)).cast("long"),
+        **({f"__fill_{c}": F.avg(f"{c}{suffix}").over(whole) for c in cols} if fill_mean else {}),
     })
     step = F.expr(f"INTERVAL 1 {unit.upper()}")
     last = F.coalesce(F.col("__next") - step, F.col(out_ts))
@@ -69,7 +85,9 @@ def resample(
     out = t.select(
         *series,
         F.col("__b").cast("timestamp_ntz").alias(out_ts),
-        *[F.when(gap, F.lit(None).cast("double")).otherwise(F.col(f"{c}{suffix}")).alias(f"{c}{suffix}") for c in cols],
+        *[(F.coalesce(F.when(~gap, F.col(f"{c}{suffix}")), F.col(f"__fill_{c}")) if fill_mean
+           else F.when(gap, F.lit(None).cast("double")).otherwise(F.col(f"{c}{suffix}"))).alias(f"{c}{suffix}")
+          for c in cols],
         F.when(gap, F.lit(0)).otherwise(F.col("n")).cast("long").alias("n"),
         *([(F.col("__pos0") + F.col("__k")).cast("long").alias("idx")] if with_index else []),
     )

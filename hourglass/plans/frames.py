@@ -37,8 +37,9 @@ def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hourly_imputed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly means with empty hours filled by the series mean: series, ts_hour, idx, n, value."""
-    h = hourly(spark, sf_dir).withColumnRenamed("value_mean", "value")
-    return clean.mean_impute(h, ["value"], SERIES).select("series", "ts_hour", "idx", "n", "value")
+    ev = events(spark, sf_dir).withColumnRenamed("event_type", "series")
+    h = timeaxis.resample(ev, SERIES, "ts", ["value"], with_index=True, fill_mean=True)
+    return h.withColumnRenamed("value_mean", "value").select("series", "ts_hour", "idx", "n", "value")
 
 
 def lineitem4(spark: SparkSession, sf_dir: str, extra=()) -> DataFrame:

@@ -83,9 +83,18 @@ def score(stream: DataFrame, model, stats: dict[str, tuple[float, float]], featu
     t = stream.withColumns({f: fill_default(f, default) for f in features})
     t = M.drift_columns(t, stats, drift_threshold)
     t = model.transform(t.withColumn("__t0", F.current_timestamp()))
-    return t.withColumn(
+    t = t.withColumn(
         "latency_sec", (F.unix_micros(F.current_timestamp()) - F.unix_micros("__t0")) / 1e6
     ).drop("__t0")
+    # Prediction count, failed predictions, latency summary, drift gauge
+    return t.observe(
+        "scoring",
+        F.count(F.lit(1)).alias("predictions"),
+        F.count_if(F.col("prediction").isNull() | F.isnan("prediction")).alias("prediction_errors"),
+        F.avg("latency_sec").alias("latency_avg"),
+        F.max("latency_sec").alias("latency_max"),
+        F.max(F.col("drift").cast("int")).alias("drift"),
+    )
 
 
 def prediction_log(scored: DataFrame, data_cols: Sequence[str], prediction_cols: dict[str, str]) -> DataFrame:
@@ -99,6 +108,12 @@ def prediction_log(scored: DataFrame, data_cols: Sequence[str], prediction_cols:
     )
 
 
+def bounded(stream_reader, max_per_trigger: int):
+    """Consume at most ``max_per_trigger`` records per micro-batch
+    (Kafka ``maxOffsetsPerTrigger``; file sources take ``maxFilesPerTrigger``)."""
+    return stream_reader.option("maxOffsetsPerTrigger", str(max_per_trigger))
+
+
 def run_available(query) -> None:
     """Drive an availableNow query to its end (bounded consumption, L10)."""
     query.awaitTermination()

@@ -127,3 +127,25 @@ def test_feature_stream_matches_batch(spark):
     for c in feature_names("v", (1, 2, 3, 24), (3, 6, 12, 24), (3, 6, 12, 24)):
         np.testing.assert_allclose(got[c].astype(float), exp[c].astype(float), rtol=1e-9, atol=1e-9, equal_nan=True, err_msg=c)
     assert pd is not None
+
+
+def test_score_stream_metrics(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    train = spark.createDataFrame([(float(i), float(2 * i)) for i in range(20)], "CO double, y double")
+    model = Pipeline(stages=[VectorAssembler(inputCols=["CO"], outputCol="features"),
+                             LinearRegression(labelCol="y")]).fit(train)
+    tmp = tempfile.mkdtemp(dir="/tmp")
+    src = _src(spark, tmp)
+    d = M.decode(spark.readStream.schema("offset int, value string").json(src), "value")
+    scored = jobs.score(d, model, {"CO": (2.0, 1.0)}, ["CO"])
+    log = jobs.prediction_log(scored, ["CO"], {"linear": "prediction"})
+    q = (log.writeStream.format("parquet").option("path", os.path.join(tmp, "o"))
+         .option("checkpointLocation", os.path.join(tmp, "c")).trigger(availableNow=True).start())
+    jobs.run_available(q)
+    m = q.lastProgress["observedMetrics"]["scoring"]
+    assert m["predictions"] == 6 and m["prediction_errors"] == 0 and m["drift"] == 1
+    out = spark.read.parquet(os.path.join(tmp, "o"))
+    assert out.count() == 6 and set(out.columns) >= {"data", "predictions", "latency_sec", "drift"}

@@ -50,3 +50,17 @@ def test_synthetic_index(spark):
     df = spark.createDataFrame([(0, 3), (1, 3), (2, 3)], "idx long, n long")
     out = timeaxis.synthetic_time_index(df, "idx", "n", "2024-02-01 00:00:00").orderBy("idx").collect()
     assert [r.ts_synth.isoformat() for r in out] == ["2024-01-31T22:00:00", "2024-01-31T23:00:00", "2024-02-01T00:00:00"]
+
+
+def test_resample_fill_mean_equals_impute(spark):
+    from hourglass.operators import clean
+
+    a = timeaxis.resample(_gaps(spark), ["s"], "ts", ["v"], with_index=True, fill_mean=True)
+    b = clean.mean_impute(timeaxis.resample(_gaps(spark), ["s"], "ts", ["v"], with_index=True), ["v_mean"], ["s"])
+    assert rows(a, "s", "idx") == rows(b.select(*a.columns), "s", "idx")
+
+
+def test_reparse_timestamp(spark):
+    df = spark.createDataFrame([("2024-01-01T05:00:00",), ("nope",)], "t string")
+    got = [r.t for r in timeaxis.reparse_timestamp(df, "t").collect()]
+    assert got[0] == dt.datetime(2024, 1, 1, 5) and got[1] is None
