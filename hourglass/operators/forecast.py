@@ -211,7 +211,8 @@ def poisson_bootstrap_ci(
     for k in range(len(cdf) - 1, -1, -1):
         w = F.when(u < float(cdf[k]), F.lit(k)).otherwise(w)
     w = F.when(u >= float(cdf[-1]), F.lit(10)).otherwise(w)
-    t = diffs.withColumn("__rid", F.monotonically_increasing_id()).select(
+    # row id from the row's content: the same weights on any recomputation
+    t = diffs.withColumn("__rid", F.xxhash64(*[F.col(c) for c in diffs.columns])).select(
         *series, F.col(value).alias("__v"), "__rid", F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1))).alias("__r"))
     reps = t.withColumn("__w", w).groupBy(*series, "__r").agg(
         (F.sum(F.col("__w") * F.col("__v")) / F.sum("__w")).alias("__m"))

@@ -168,12 +168,11 @@ FROM ix""",
 )
 def supplier_window_features(spark, sf_dir):
     """Irregular series (one per supplier, ordered by ship date with
-    tie-breakers): distributed row index, then halo-bucketed windows with
-    256-row buckets."""
+    tie-breakers): one ordered window pass when every supplier is bounded,
+    else the chunked row index plus 256-row halo buckets."""
     li = read_table(spark, sf_dir, "lineitem", ["l_suppkey", "l_orderkey", "l_linenumber", "l_shipdate", "l_quantity"])
-    ix = timeaxis.row_index(li, ["l_suppkey"], ["l_shipdate", "l_orderkey", "l_linenumber"])
-    out = windows.window_features(ix, ["l_suppkey"], "idx", ["l_quantity"], lags=(1,), roll_windows=(24,),
-                                  slope_windows=(24,), bucket_rows=256)
+    out = windows.ordered_features(li, ["l_suppkey"], ["l_shipdate", "l_orderkey", "l_linenumber"], ["l_quantity"],
+                                   lags=(1,), roll_windows=(24,), slope_windows=(24,), bucket_rows=256)
     return r6(out.select("l_suppkey", "l_orderkey", "l_linenumber", "idx", "l_quantity_lag1",
                          "l_quantity_roll_mean_24", "l_quantity_roll_std_24", "l_quantity_slope_24"))
 

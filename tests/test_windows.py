@@ -103,3 +103,29 @@ def test_interactions_and_baselines(spark):
     pb = {x.idx: x.baseline for x in windows.persistence_baseline(df, ["s"], "idx", "x").collect()}
     assert pb[0] == 0.0 and pb[5] == 4.0
     assert F is not None
+
+
+def test_ordered_features_paths_agree(spark, monkeypatch):
+    from hourglass.operators import timeaxis
+
+    rng = np.random.default_rng(4)
+    data = [(f"k{i % 3}", int(rng.integers(0, 500)), i, float(rng.normal())) for i in range(900)]
+    df = spark.createDataFrame(data, "s string, t long, id long, v double")
+    kw = dict(lags=(1, 2), roll_windows=(5,), slope_windows=(5,))
+    a = windows.ordered_features(df, ["s"], ["t", "id"], ["v"], **kw).toPandas()
+    monkeypatch.setattr(timeaxis, "SINGLE_TASK_MAX_ROWS", 0)
+    b = windows.ordered_features(df, ["s"], ["t", "id"], ["v"], bucket_rows=16, **kw).toPandas()
+    assert (a.sort_values(["s", "idx"])["id"].to_numpy() == b.sort_values(["s", "idx"])["id"].to_numpy()).all()
+    _cmp(a, b, ["v_lag1", "v_lag2", "v_roll_mean_5", "v_roll_std_5", "v_slope_5"])
+
+
+def test_poisson_bootstrap(spark):
+    from hourglass.operators import forecast as FC
+
+    rng = np.random.default_rng(9)
+    d = rng.normal(0.5, 1.0, size=400)
+    df = spark.createDataFrame([("a", i, float(v)) for i, v in enumerate(d)], "s string, pos long, d double")
+    r = FC.poisson_bootstrap_ci(df, ["s"], "d", 300).collect()[0]
+    assert r.ci_low < d.mean() < r.ci_high
+    r2 = FC.poisson_bootstrap_ci(df, ["s"], "d", 300).collect()[0]
+    assert (r.ci_low, r.ci_high) == (r2.ci_low, r2.ci_high)
