@@ -102,3 +102,28 @@ def parse_day_first(date_text, time_text=None, formats=DAY_FIRST_FORMATS) -> Col
     return F.coalesce(
         *[F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats]
     )
+
+
+def wall_seconds(ts) -> Column:
+    """Seconds since 1970-01-01 00:00 of the wall-clock value (TIMESTAMP_NTZ
+    fields), computed from date and time-of-day fields, so no session time
+    zone or DST rule is involved."""
+    t = col(ts)
+    return (F.unix_date(F.to_date(t)).cast("long") * 86400 + F.hour(t) * 3600 + F.minute(t) * 60
+            + F.floor(F.second(t)).cast("long"))
+
+
+def wall_micros(ts) -> Column:
+    """``wall_seconds`` in microseconds, keeping the sub-second part."""
+    t = col(ts)
+    frac = F.unix_micros(t.cast("timestamp")) % 1_000_000
+    return wall_seconds(t) * 1_000_000 + frac
+
+
+def ntz_from_wall_seconds(x) -> Column:
+    """Inverse of ``wall_seconds`` (whole seconds) as TIMESTAMP_NTZ."""
+    x = col(x).cast("long")
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(x / 86400).cast("int"))
+    rem = x - F.floor(x / 86400) * 86400
+    return F.make_timestamp_ntz(F.year(day), F.month(day), F.dayofmonth(day), (rem / 3600).cast("int"),
+                                ((rem % 3600) / 60).cast("int"), rem % 60)

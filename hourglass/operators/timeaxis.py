@@ -35,8 +35,20 @@ def reparse_timestamp(df: DataFrame, col: str, out: str | None = None, drop_bad:
 
 
 def truncate(ts, unit: str = "hour") -> Column:
-    """Bucket start as TIMESTAMP_NTZ (``date_trunc`` itself returns TIMESTAMP)."""
-    return F.date_trunc(unit, X.col(ts)).cast("timestamp_ntz")
+    """Wall-clock bucket start as TIMESTAMP_NTZ, built from the wall-clock
+    fields, so no session time zone (or DST gap) moves a reading into
+    another bucket (``date_trunc`` converts through the session zone)."""
+    t = X.col(ts)
+    zero = F.lit(0)
+    parts = {
+        "day": (F.year(t), F.month(t), F.dayofmonth(t), zero, zero),
+        "hour": (F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), zero),
+        "minute": (F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.minute(t)),
+    }
+    if unit not in parts:
+        return F.date_trunc(unit, t).cast("timestamp_ntz")
+    y, mo, d, h, mi = parts[unit]
+    return F.make_timestamp_ntz(y, mo, d, h, mi, F.lit(0))
 
 
 def resample(
@@ -71,16 +83,20 @@ def resample(
         *[F.avg(X.nan_to_null(c)).alias(f"{c}{suffix}") for c in cols], F.count(F.lit(1)).alias("n")
     )
     w = Window.partitionBy(*series).orderBy(out_ts)
-    micros = F.unix_micros(F.col(out_ts).cast("timestamp"))
     whole = Window.partitionBy(*series)
+    # positions from wall-clock seconds: no session time zone (or DST) involved
+    agg = agg.withColumn("__ws", X.wall_seconds(out_ts))
     t = agg.withColumns({
-        "__next": F.lead(out_ts, 1).over(w),
-        "__pos0": ((micros - F.min(micros).over(whole)) / (secs * 1_000_000)).cast("long"),
+        "__next": F.lead("__ws", 1).over(w),
+        "__pos0": ((F.col("__ws") - F.min("__ws").over(whole)) / secs).cast("long"),
         **({f"__fill_{c}": F.avg(f"{c}{suffix}").over(whole) for c in cols} if fill_mean else {}),
     })
-    step = F.expr(f"INTERVAL 1 {unit.upper()}")
-    last = F.coalesce(F.col("__next") - step, F.col(out_ts))
-    t = t.select("*", F.posexplode(F.sequence(F.col(out_ts), last, step)).alias("__k", "__b"))
+    # empty buckets up to the next non-empty one, as whole-step offsets
+    # (integer arithmetic on wall-clock time, independent of the session zone)
+    steps = F.coalesce(((F.col("__next") - F.col("__ws")) / secs).cast("long") - 1, F.lit(0).cast("long"))
+    t = t.select("*", F.explode(F.sequence(F.lit(0).cast("long"), steps)).alias("__k"))
+    t = t.withColumn("__b", F.when(F.col("__k") == 0, F.col(out_ts))
+                     .otherwise(X.ntz_from_wall_seconds(F.col("__ws") + F.col("__k") * secs)))
     gap = F.col("__k") > 0
     out = t.select(
         *series,
@@ -125,8 +141,10 @@ def add_temporal_features(df: DataFrame, ts: str, cyclical: bool = True) -> Data
 def _order_key(df: DataFrame, c: str) -> Column:
     """The leading order column as a DOUBLE (timestamps as epoch microseconds)."""
     dt = df.schema[c].dataType
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(c).cast("timestamp")).cast("double")
+    if isinstance(dt, T.TimestampNTZType):
+        return X.wall_micros(c).cast("double")  # monotone in wall-clock time, zone-free
+    if isinstance(dt, T.TimestampType):
+        return F.unix_micros(F.col(c)).cast("double")
     if isinstance(dt, T.DateType):
         return F.unix_date(F.col(c)).cast("double")
     return F.col(c).cast("double")
@@ -214,7 +232,6 @@ def synthetic_time_index(df: DataFrame, idx_col: str, n_col: str, end: str, unit
                          out: str = "ts_synth") -> DataFrame:
     """A regular axis ending at ``end``: ts = end - (n - 1 - idx) * unit."""
     secs = UNIT_SECONDS[unit]
-    shift = F.expr(
-        f"timestampadd(SECOND, -(({n_col}) - 1 - ({idx_col})) * {secs}, CAST('{end}' AS TIMESTAMP_NTZ))"
-    )
-    return df.withColumn(out, shift)
+    end_ws = X.wall_seconds(F.lit(end).cast("timestamp_ntz"))
+    back = (F.col(n_col) - 1 - F.col(idx_col)) * secs
+    return df.withColumn(out, X.ntz_from_wall_seconds(end_ws - back))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourglass.functions import exprs as X
-from hourglass.operators import clean, stats
+from hourglass.operators import clean, stats, timeaxis
 from hourglass.plans.catalog import query, r6
 from hourglass.session import ensure_checkpoint_dir
 from hourglass.sources.tables import read_table, table_path
@@ -136,7 +136,7 @@ def scalar_time(spark, sf_dir):
     return ev.select(
         "event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("iso"), F.hour("ts").cast("long").alias("hour"),
         F.dayofmonth("ts").cast("long").alias("day"), F.month("ts").cast("long").alias("month"),
-        X.day_of_week("ts").cast("long").alias("dow"), F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day_start"))
+        X.day_of_week("ts").cast("long").alias("dow"), timeaxis.truncate("ts", "day").alias("day_start"))
 
 
 @query(

@@ -64,3 +64,18 @@ def test_reparse_timestamp(spark):
     df = spark.createDataFrame([("2024-01-01T05:00:00",), ("nope",)], "t string")
     got = [r.t for r in timeaxis.reparse_timestamp(df, "t").collect()]
     assert got[0] == dt.datetime(2024, 1, 1, 5) and got[1] is None
+
+
+def test_resample_positions_ignore_session_zone(spark):
+    base = dt.datetime(2024, 3, 10, 0, 30)  # New York skips 02:00-03:00 local time that night
+    df = spark.createDataFrame([("a", base + dt.timedelta(hours=h), 1.0) for h in (0, 1, 2, 3, 5)],
+                               "s string, ts timestamp_ntz, v double")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        got = rows(timeaxis.resample(df, ["s"], "ts", ["v"], with_index=True), "idx")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert [r[-1] for r in got] == [0, 1, 2, 3, 4, 5]
+    assert [r[1].hour for r in got] == [0, 1, 2, 3, 4, 5]
+    assert [r[3] for r in got] == [1, 1, 1, 1, 0, 1]
