@@ -76,3 +76,13 @@ def test_constant_series_has_no_anomalies(spark):
     assert (scored["z_score"] == 0).all() and (scored["mad_z"] == 0).all()
     assert TS.anomaly_table(TS.anomaly_scores(df, ["s"], "idx", "v", 24), ["s"], "idx", "v").count() == 0
     assert pd is not None
+
+
+def test_halo_buckets_do_not_change_acf_or_decomposition(spark):
+    df, _ = _season24(spark)
+    a = TS.acf(df, ["s"], "idx", "v", 40, bucket_rows=50).toPandas().sort_values("lag")
+    b = TS.acf(df, ["s"], "idx", "v", 40, bucket_rows=None).toPandas().sort_values("lag")
+    np.testing.assert_allclose(a["r"], b["r"], atol=1e-12)
+    c = TS.seasonal_decompose(df, ["s"], "idx", "v", 24, bucket_rows=30).toPandas().sort_values("idx")
+    d = TS.seasonal_decompose(df, ["s"], "idx", "v", 24, bucket_rows=None).toPandas().sort_values("idx")
+    np.testing.assert_allclose(c["resid"].astype(float), d["resid"].astype(float), atol=1e-12, equal_nan=True)
