@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from hourglass.operators import timeaxis, windows
 from hourglass.operators.clean import usable_features
-from hourglass.session import materialize
+from hourglass.session import materialize, ship_package
 
 M32 = 4294967296  # 2^32
 HASH_MULT = 73244475  # 0x45d9f3b, integer finalizer multiplier
@@ -269,6 +269,7 @@ def _ols_by_series(t: DataFrame, series: list[str], target: str, regressors: lis
     """Per-series OLS without intercept: all cross-product sums in one
     aggregate (partial aggregation, skew-proof), then a p x p solve per
     series on the one-row-per-series sums table."""
+    ship_package(t.sparkSession)
     cols = [target, *regressors]
     ok = t.dropna(subset=cols)
     sums = [F.sum(F.col(a) * F.col(b)).alias(f"s__{min(a, b)}__{max(a, b)}")

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from hourglass.functions.exprs import Z_975
 from hourglass.operators import stats
 from hourglass.operators.windows import DEFAULT_BUCKET_ROWS, centered_moving_average, window_select
-from hourglass.session import materialize
+from hourglass.session import materialize, ship_package
 
 # Fixed values that must equal the reference for equal results.
 MAD_SCALE = 1.4826  # MAD -> sigma for normal data
@@ -89,6 +89,7 @@ def pacf(acf_table: DataFrame, series: Sequence[str], n_table: DataFrame) -> Dat
     ``n_table`` gives (series..., n). Output: series, lag, r, ci_half_width.
     """
     series = list(series)
+    ship_package(acf_table.sparkSession)
     t = acf_table.join(n_table, series) if series else acf_table.withColumn("n", n_table.select("n").scalar())
     schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in acf_table.schema.fields if f.name in series]
                        + ["lag bigint", "r double", "ci_half_width double"])

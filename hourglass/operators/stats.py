@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from hourglass.functions import exprs as X
 from hourglass.operators.clean import NUMERIC_TYPES
+from hourglass.session import ship_package
 from hourglass.operators.timeaxis import SINGLE_TASK_MAX_ROWS, default_chunks, max_group_rows, row_index
 
 
@@ -300,6 +301,7 @@ def pearson_pvalue(r: pd.Series, n: pd.Series) -> pd.Series:
 
 def corr_pvalues(corr: DataFrame) -> DataFrame:
     """E10 + E11 + A6: r, p (diagonal NULL), stars and ``%.12e`` text."""
+    ship_package(corr.sparkSession)
     p = F.when(F.col("col_a") == F.col("col_b"), F.lit(None).cast("double")).otherwise(
         X.nan_to_null(pearson_pvalue(F.col("r"), F.col("n")))
     )

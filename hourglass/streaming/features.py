@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from hourglass.session import ship_package
+
 
 def feature_names(col: str, lags: Sequence[int], windows: Sequence[int], spans: Sequence[int]) -> list[str]:
     return ([f"{col}_lag{k}" for k in lags] + [f"{col}_roll_mean_{w}" for w in windows]
@@ -29,6 +31,7 @@ def feature_stream(
     """Append-mode feature rows (series, ts, value, features..., late_dropped)
     for each new row; equal to the batch window operators on the same
     ordered data."""
+    ship_package(stream.sparkSession)
     reach = max([*lags, *(w - 1 for w in windows), 1])
     names = feature_names(col, lags, windows, spans)
     key_type = dict(stream.dtypes)[series]
