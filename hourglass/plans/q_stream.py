@@ -72,7 +72,7 @@ def json_roundtrip(spark, sf_dir):
 
 @query(
     "publish_payload",
-    "SELECT event_type AS key, json_object('event_id', event_id, 'event_type', event_type, 'value', value) AS value FROM events",
+    "SELECT event_type AS key, CAST(json_object('event_id', event_id, 'event_type', event_type, 'value', value) AS VARCHAR) AS value FROM events",
 )
 def publish_payload(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events", ["event_id", "event_type", "value"])
