@@ -27,6 +27,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hourglass.session import materialize
+
 BLOCK = 256
 FAN = 64
 
@@ -98,12 +100,15 @@ def ema_features(
     cols: Sequence[str],
     spans: Sequence[int] = (3, 6, 12, 24),
     max_len: int | None = None,
+    materialize_input: bool = True,
 ) -> DataFrame:
     """Add ``<col>_ema_<span>`` columns. ``idx`` must be dense per series and
     the value columns gap-free (impute first). ``max_len`` (rows of the
     longest series) skips the one small job that measures it."""
     series = list(series)
     cols = list(cols)
+    if materialize_input:
+        df = materialize(df)  # read by the sizing job, the block scan and the carry join
     specs = [(c, s, 2.0 / (s + 1.0)) for s in spans for c in cols]
     block = min(_block_for(1.0 - a) for _, _, a in specs)
     if max_len is None:

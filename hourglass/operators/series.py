@@ -35,12 +35,14 @@ def _join_stats(df: DataFrame, st: DataFrame, series: Sequence[str]) -> DataFram
 
 def acf(
     df: DataFrame, series: Sequence[str], idx: str, value: str, nlags: int = 40,
-    bucket_rows: int | None = DEFAULT_BUCKET_ROWS,
+    bucket_rows: int | None = DEFAULT_BUCKET_ROWS, materialize_input: bool = True,
 ) -> DataFrame:
     """G1: r_k = sum (x_t - m)(x_{t-k} - m) / sum (x_t - m)^2 for k = 0..nlags
     (k < n), with the Bartlett 95% half width 1.96 * sqrt((1 + 2 sum_{j<k} r_j^2) / n)
     (1/n at k = 1, 0 at k = 0). Output: series, lag, r, ci_half_width."""
     series = list(series)
+    if materialize_input:
+        df = materialize(df.select(*series, idx, value))  # read by the statistics and the lag branches
     means = df.groupBy(*series).agg(F.avg(value).alias("__m"), F.count(value).alias("__n"))
     d = _join_stats(df, means, series).withColumn("__d", F.col(value) - F.col("__m"))
     lagged = window_select(
@@ -111,7 +113,7 @@ def pacf(acf_table: DataFrame, series: Sequence[str], n_table: DataFrame) -> Dat
 
 def seasonal_decompose(
     df: DataFrame, series: Sequence[str], idx: str, value: str, period: int = 24,
-    bucket_rows: int | None = DEFAULT_BUCKET_ROWS,
+    bucket_rows: int | None = DEFAULT_BUCKET_ROWS, materialize_input: bool = True,
 ) -> DataFrame:
     """G4 + F11: additive classical decomposition.
 
@@ -121,6 +123,8 @@ def seasonal_decompose(
     ``period`` rows per series. Adds observed, trend, seasonal, resid.
     """
     series = list(series)
+    if materialize_input:
+        df = materialize(df)  # read by the phase-average and the residual branches
     t = centered_moving_average(df, series, idx, value, period, "trend", bucket_rows)
     t = t.withColumns({"observed": F.col(value), "__detr": F.col(value) - F.col("trend"),
                        "__phase": (F.col(idx) % period).cast("int")})
@@ -163,7 +167,7 @@ def anomaly_scores(
     t = materialize(df.where(F.col(value).isNotNull()))
     t = zscore_columns(t, series, value)
     t = mad_columns(t, series, value, "mad_z", relative_error=relative_error)
-    dec = seasonal_decompose(t, series, idx, value, period, bucket_rows)
+    dec = seasonal_decompose(t, series, idx, value, period, bucket_rows, materialize_input=False)
     sized = dec.groupBy(*series).agg(F.count(F.lit(1)).alias("__cnt"))
     dec = _join_stats(dec, sized, series)
     dec = materialize(dec.withColumn("__r", F.when(F.col("__cnt") > period, F.col("resid"))))
