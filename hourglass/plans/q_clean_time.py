@@ -162,8 +162,8 @@ def minmax_scale(spark, sf_dir):
     return r6(clean.minmax_scale(li, LINEITEM4))
 
 
-@query("clean_pipeline", _sql_clean(scale_first=False))
-def clean_pipeline(spark, sf_dir):
+@query("clean_table", _sql_clean(scale_first=False))
+def clean_table(spark, sf_dir):
     li = frames.lineitem4(spark, sf_dir, KEY)
     out = clean.clean_table(
         li, LINEITEM4, sentinel=frames.LINEITEM_SENTINEL, bounds=frames.LINEITEM_RANGES, scale_first=False
@@ -171,8 +171,8 @@ def clean_pipeline(spark, sf_dir):
     return r6(out)
 
 
-@query("clean_pipeline_scale_first", _sql_clean(scale_first=True))
-def clean_pipeline_scale_first(spark, sf_dir):
+@query("clean_table_scale_first", _sql_clean(scale_first=True))
+def clean_table_scale_first(spark, sf_dir):
     li = frames.lineitem4(spark, sf_dir, KEY)
     out = clean.clean_table(
         li, LINEITEM4, sentinel=frames.LINEITEM_SENTINEL, bounds=frames.LINEITEM_RANGES, scale_first=True

@@ -190,3 +190,68 @@ def evaluation_report(spark, sf_dir):
     from hourglass.operators import modeljobs
 
     return r6(modeljobs.evaluation_report(_h(spark, sf_dir), S, "idx", "ts_hour", "value", 1, TEST_SIZE))
+
+
+_FS_COLS = ["value", "n"]
+_FS_ROLL, _FS_LAGS, _FS_EMA, _FS_SLOPE, _FS_INTER = (3, 6, 12, 24), (1, 2, 3, 24), (3, 6, 12, 24), (6, 12, 24), (1, 24)
+
+
+def _feature_set_sql() -> str:
+    def fr(w):
+        return f"(PARTITION BY series ORDER BY idx ROWS BETWEEN {w - 1} PRECEDING AND CURRENT ROW)"
+
+    temporal = [
+        "CAST(hour(ts_hour) AS INTEGER) AS hour", "CAST(day(ts_hour) AS INTEGER) AS day",
+        "CAST(month(ts_hour) AS INTEGER) AS month", "CAST((month(ts_hour) % 12) // 3 + 1 AS INTEGER) AS season",
+        "CAST(isodow(ts_hour) - 1 AS INTEGER) AS day_of_week",
+        "round(sin(2 * pi() * hour(ts_hour) / 24), 6) AS hour_sin", "round(cos(2 * pi() * hour(ts_hour) / 24), 6) AS hour_cos",
+        "round(sin(2 * pi() * (isodow(ts_hour) - 1) / 7), 6) AS dow_sin",
+        "round(cos(2 * pi() * (isodow(ts_hour) - 1) / 7), 6) AS dow_cos",
+        "round(sin(2 * pi() * (month(ts_hour) - 1) / 12), 6) AS month_sin",
+        "round(cos(2 * pi() * (month(ts_hour) - 1) / 12), 6) AS month_cos",
+    ]
+    win = []
+    for w in _FS_ROLL:
+        for c in _FS_COLS:
+            win.append(f"round(avg({c}) OVER {fr(w)}, 6) AS {c}_roll_mean_{w}")
+            win.append(f"round(coalesce(stddev_samp({c}) OVER {fr(w)}, 0.0), 6) AS {c}_roll_std_{w}")
+    lag_ks = sorted(set(_FS_LAGS) | set(_FS_INTER))
+    for k in lag_ks:
+        for c in _FS_COLS:
+            win.append(f"lag({c}, {k}) OVER (PARTITION BY series ORDER BY idx) AS {c}_lag{k}")
+    for w in _FS_SLOPE:
+        for c in _FS_COLS:
+            win.append(f"CASE WHEN count({c}) OVER {fr(w)} < 2 THEN NULL "
+                       f"ELSE round(regr_slope({c}, CAST(idx AS DOUBLE)) OVER {fr(w)}, 6) END AS {c}_slope_{w}")
+    keys = [(c, s) for s in _FS_EMA for c in _FS_COLS]
+    ema_cols = ", ".join(f"e_{c}_{s}" for c, s in keys)
+    ema_init = ", ".join(c for c, _ in keys)
+    ema_step = ", ".join(f"{1.0 - 2.0 / (s + 1.0)!r} * e.e_{c}_{s} + {2.0 / (s + 1.0)!r} * b.{c}" for c, s in keys)
+    ema_out = ", ".join(f"round(e.e_{c}_{s}, 6) AS {c}_ema_{s}" for c, s in keys)
+    inter = ", ".join(f"round(w.{a} * w.{b}, 6) AS {a}__{b}" for a, b in windows.interaction_names(_FS_COLS, _FS_INTER))
+    lag_out = ", ".join(f"round(w.{c}_lag{k}, 6) AS {c}_lag{k}" for k in _FS_LAGS for c in _FS_COLS)
+    cte = HOURLY_CTE.replace("himp AS (", "himp AS MATERIALIZED (")
+    return f"""WITH RECURSIVE {cte},
+base AS MATERIALIZED (SELECT series, ts_hour, idx, value, CAST(n AS DOUBLE) AS n FROM himp),
+e(series, idx, {ema_cols}) AS (
+  SELECT series, idx, {ema_init} FROM base WHERE idx = 0
+  UNION ALL
+  SELECT b.series, b.idx, {ema_step} FROM e JOIN base b ON b.series = e.series AND b.idx = e.idx + 1),
+w AS (SELECT series, ts_hour, idx, value, n, {", ".join(temporal)}, {", ".join(win)} FROM base)
+SELECT w.series, w.ts_hour, round(w.value, 6) AS value, round(w.n, 6) AS n,
+       w.hour, w.day, w.month, w.season, w.day_of_week, w.hour_sin, w.hour_cos, w.dow_sin, w.dow_cos, w.month_sin, w.month_cos,
+       {", ".join(f"w.{c}_roll_mean_{x}, w.{c}_roll_std_{x}" for x in _FS_ROLL for c in _FS_COLS)},
+       {lag_out},
+       {", ".join(f"w.{c}_slope_{x}" for x in _FS_SLOPE for c in _FS_COLS)},
+       {ema_out}, {inter}
+FROM w JOIN e ON e.series = w.series AND e.idx = w.idx"""
+
+
+@query("feature_set", _feature_set_sql())
+def feature_set(spark, sf_dir):
+    """M2: temporal parts, rolling mean/std, lags, EMA, slopes and lag
+    interactions of the hourly value and count, in the reference's order."""
+    h = _h(spark, sf_dir).withColumn("n", F.col("n").cast("double"))
+    out = FC.engineered_features(h, S, "idx", "ts_hour", _FS_COLS, _FS_ROLL, _FS_LAGS, True, _FS_EMA, True, _FS_SLOPE,
+                                 True, _FS_INTER)
+    return r6(out.drop("idx"))

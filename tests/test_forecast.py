@@ -66,3 +66,19 @@ def test_feature_matrix_counts(spark):
     assert names[:2] == ["x_lag1", "hour_lag1"] and "y_lag1" not in names
     row = fm.where(F.col("idx") == 30).first()
     assert row.y == 31.0 and row.x_lag24 == float(6 % 5)
+
+
+def test_engineered_feature_switches(spark):
+    import datetime as dt
+    base = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([("a", i, base + dt.timedelta(hours=i), float(i % 7)) for i in range(60)],
+                               "s string, idx long, ts timestamp_ntz, v double")
+    full = FC.engineered_features(df, ["s"], "idx", "ts", ["v"])
+    cols = set(full.columns)
+    assert {"hour_sin", "v_roll_std_24", "v_lag24", "v_ema_12", "v_slope_6", "v_lag1__v_lag24"} <= cols
+    slim = FC.engineered_features(df, ["s"], "idx", "ts", ["v"], lags=(2,), add_ema=False, add_slopes=False)
+    sc = set(slim.columns)
+    assert "v_ema_3" not in sc and "v_slope_6" not in sc and "v_lag2" in sc
+    assert "v_lag1" not in sc and "v_lag1__v_lag24" in sc  # interaction lags are not kept as columns
+    row = full.where(F.col("idx") == 30).first()
+    assert row.v_lag1__v_lag24 == float(29 % 7) * float(6 % 7)

@@ -27,7 +27,7 @@ def test_entry_smoke(spark):
 
 
 def test_scan_pruning_and_pushdown(spark):
-    plan = _plan(E.queries()["clean_pipeline"](spark, SF))
+    plan = _plan(E.queries()["clean_table"](spark, SF))
     schemas = set(re.findall(r"ReadSchema: (struct<[^>]*>)", plan))
     assert schemas and all("l_returnflag" not in s and "l_shipdate" not in s for s in schemas)
     ev = spark.read.parquet(f"{SF}/events.parquet").where("value > 300").select("event_id")
