@@ -52,9 +52,13 @@ def read_sensor_csv(spark: SparkSession, path: str, sep: str = ";", decimal: str
     return out.join(target, "ts", "left")
 
 
-def write_csv(df: DataFrame, path: str, sci_cols: tuple[str, ...] = ()) -> None:
-    """Header CSV; ``sci_cols`` written as ``%.12e`` text, NULL as blank."""
+def write_csv(df: DataFrame, path: str, sci_cols: tuple[str, ...] = (), sort_by: tuple[str, ...] = ()) -> None:
+    """A6 + H1: header CSV; ``sci_cols`` written as ``%.12e`` text, NULL as
+    blank; ``sort_by`` orders the files globally (a range-partitioned sort,
+    e.g. anomalies by timestamp then series)."""
     out = df.withColumns({c: X.sci12(c) for c in sci_cols})
+    if sort_by:
+        out = out.orderBy(*sort_by)
     out.write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
 
 
