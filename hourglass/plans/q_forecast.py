@@ -9,6 +9,7 @@ from hourglass.operators import stats, timeaxis, windows
 from hourglass.plans import frames
 from hourglass.plans.catalog import query, r6
 from hourglass.plans.sqlparts import HOURLY_CTE
+from hourglass.session import materialize
 
 S = ["series"]
 LAGS = (1, 2, 3, 24)
@@ -74,7 +75,7 @@ def forecast_frame(spark, sf_dir):
     """Test rows with a model (mean of the previous 24 hours), the persistence
     baseline inside the test split (its first row predicts itself), the
     position ``pos`` in the split and the paired |error| difference."""
-    h = _h(spark, sf_dir)
+    h = materialize(_h(spark, sf_dir))  # read by the split counts and the window branch
     t = windows.window_select(
         h, S, "idx",
         lambda w: {"model": F.avg("value").over(w.rowsBetween(-24, -1)), "__prev": F.lag("value", 1).over(w)},
