@@ -41,11 +41,6 @@ def _matrix(df, series, idx, ts, target, horizon):
     return fm, names
 
 
-def _errors(pred: DataFrame, series: Sequence[str], label: str = "y") -> DataFrame:
-    e = F.col("prediction") - F.col(label)
-    return pred.groupBy(*series).agg(F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"))
-
-
 def evaluation_report(
     df: DataFrame, series: Sequence[str], idx: str, ts: str, target: str, horizon: int = 1,
     test_size: float = 0.2, n_trees: int = EVAL_TREES, n_boot: int = 1000, block: int | None = None, seed: int = 42,

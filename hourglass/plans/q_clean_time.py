@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from hourglass.functions import exprs as X
 from hourglass.operators import clean, stats, timeaxis
 from hourglass.plans import frames
 from hourglass.plans.catalog import query, r6
@@ -274,5 +273,3 @@ def synthetic_time_index(spark, sf_dir):
     out = timeaxis.synthetic_time_index(ix.join(n, "series"), "idx", "n", "2024-02-01 00:00:00")
     return out.select("event_id", "series", "idx", "ts_synth")
 
-
-__all__ = ["X"]

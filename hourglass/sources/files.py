@@ -4,8 +4,6 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Mapping
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -87,6 +85,3 @@ def load_model(path: str):
 
     return PipelineModel.load(path)
 
-
-def sensor_payload_cols(df: DataFrame, extra: Mapping[str, str] | None = None) -> list[str]:
-    return [c for c in df.columns if c not in (extra or {})]
