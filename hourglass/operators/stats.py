@@ -167,12 +167,30 @@ def exact_median(
     return picked.groupBy(*series).agg(F.avg("__v").alias(out))
 
 
+def _array_middle(arr) -> F.Column:
+    n = F.size(arr)
+    lo = F.floor((n - 1) / 2).cast("int") + 1
+    hi = F.ceil((n - 1) / 2).cast("int") + 1
+    return F.when(n > 0, (F.element_at(arr, lo) + F.element_at(arr, hi)) / 2.0)
+
+
 def median_mad(df: DataFrame, series: Sequence[str], value: str, relative_error: float | None = None) -> DataFrame:
-    """Per series median and MAD = median(|x - median|)."""
+    """Per series median and MAD = median(|x - median|).
+
+    Groups proven bounded (at most ``SINGLE_TASK_MAX_ROWS`` values) are done
+    in one grouped pass: the group's values are sorted once, the middle
+    gives the median, and the sorted absolute deviations give the MAD.
+    Larger groups use the chunked ranked path twice (median, then MAD)."""
     series = list(series)
     max_rows = None
     if relative_error is None:
-        max_rows = max_group_rows(df.where(X.nan_to_null(value).isNotNull()), series)
+        v = df.select(*series, X.nan_to_null(value).alias("__v")).where(F.col("__v").isNotNull())
+        max_rows = max_group_rows(v, series)
+        if max_rows <= SINGLE_TASK_MAX_ROWS:
+            g = v.groupBy(*series).agg(F.array_sort(F.collect_list("__v")).alias("__a"))
+            g = g.withColumn("median", _array_middle(F.col("__a")))
+            dev = F.array_sort(F.transform("__a", lambda x: F.abs(x - F.col("median"))))
+            return g.select(*series, "median", _array_middle(dev).alias("mad"))
     med = exact_median(df, series, value, "median", relative_error, max_rows)
     if series:
         dev = df.join(med, series).select(*series, F.abs(X.nan_to_null(value) - F.col("median")).alias("__d"))
