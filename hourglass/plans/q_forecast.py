@@ -256,3 +256,12 @@ def feature_set(spark, sf_dir):
     out = FC.engineered_features(h, S, "idx", "ts_hour", _FS_COLS, _FS_ROLL, _FS_LAGS, True, _FS_EMA, True, _FS_SLOPE,
                                  True, _FS_INTER)
     return r6(out.drop("idx"))
+
+
+@query("bootstrap_ci_poisson")
+def bootstrap_ci_poisson(spark, sf_dir):
+    """M11, scale form: Poisson(1) replicate weights from a row-content hash,
+    reduced map-side to B weighted sums per series (no join); checked in
+    pytest for coverage of the mean and determinism."""
+    d = forecast_frame(spark, sf_dir).select("series", "pos", "diff")
+    return r6(FC.poisson_bootstrap_ci(d, S, "diff", N_BOOT))
