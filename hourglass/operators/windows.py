@@ -208,11 +208,16 @@ def persistence_baseline(
 
 def ffill_then_mean(
     df: DataFrame, series: Sequence[str], idx: str, y: str, out: str = "baseline",
-    bucket_rows: int = DEFAULT_BUCKET_ROWS,
+    bucket_rows: int = DEFAULT_BUCKET_ROWS, materialize_input: bool = True,
 ) -> DataFrame:
     """F10 + B18: previous value, forward-filled; what is still missing takes
-    the series mean of ``y``."""
+    the series mean of ``y``. The input feeds the lag window, the per-bucket
+    carry and the mean, so it is checkpointed once (``materialize_input``)."""
+    from hourglass.session import materialize
+
     series = list(series)
+    if materialize_input:
+        df = materialize(df)
     prev = window_select(df, series, idx, lambda w: {"__prev": F.lag(y, 1).over(w)}, preceding=1,
                          bucket_rows=bucket_rows)
     filled = running_scan(prev, series, idx, "__prev", "last", "__ff", bucket_rows)
