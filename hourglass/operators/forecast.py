@@ -23,6 +23,7 @@ from hourglass.session import materialize, ship_package
 M32 = 4294967296  # 2^32
 HASH_MULT = 73244475  # 0x45d9f3b, integer finalizer multiplier
 REP_STRIDE = 1000003
+SERIES_HASH_BUCKETS = 1 << 20  # series key -> numeric model feature
 
 
 def hash_draw(rep, k, n) -> Column:
@@ -228,16 +229,19 @@ def gbt_fit_predict(
     max_depth: int = 5, step: float = 0.1, subsample: float = 1.0, feature_subset: str = "all", seed: int = 42,
     series: Sequence[str] = (),
 ):
-    """Gradient-boosted regression trees (MLlib). The series key is
-    indexed as one more feature so one model serves every series. Returns
+    """Gradient-boosted regression trees (MLlib). The series key
+    enters as one more numeric feature, a hash bucket of the key computed on
+    the executors (no distinct-key list is collected to the driver, which a
+    label indexer would do), so one model serves every series. Returns
     (fitted PipelineModel, test predictions)."""
     from pyspark.ml import Pipeline
-    from pyspark.ml.feature import StringIndexer, VectorAssembler
+    from pyspark.ml.feature import SQLTransformer, VectorAssembler
     from pyspark.ml.regression import GBTRegressor
 
     stages, cols = [], list(features)
     for s in series:
-        stages.append(StringIndexer(inputCol=s, outputCol=f"{s}__ix", handleInvalid="keep"))
+        stages.append(SQLTransformer(
+            statement=f"SELECT *, CAST(pmod(xxhash64(`{s}`), {SERIES_HASH_BUCKETS}) AS DOUBLE) AS `{s}__ix` FROM __THIS__"))
         cols.append(f"{s}__ix")
     stages.append(VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep"))
     stages.append(GBTRegressor(featuresCol="features", labelCol=label, maxIter=n_trees, maxDepth=max_depth,
