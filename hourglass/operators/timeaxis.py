@@ -164,6 +164,20 @@ def bucket_of(x: Column, bounds: Sequence[float]) -> Column:
     return F.when(x.isNull(), F.lit(0)).otherwise(tree(0, len(bounds)))
 
 
+def with_bucket(df: DataFrame, key: Column, bounds: Sequence[float], out: str, tree_max: int = 64) -> DataFrame:
+    """Add ``out`` = number of ``bounds`` <= key (NULL -> 0). Few bounds: a
+    CASE tree inside codegen; many: MLlib ``Bucketizer`` (a JVM binary search
+    over the split array, so the expression does not grow with the bounds)."""
+    if len(bounds) <= tree_max:
+        return df.withColumn(out, bucket_of(key, bounds))
+    from pyspark.ml.feature import Bucketizer
+
+    inf = float("inf")
+    t = df.withColumn("__bkey", F.coalesce(key, F.lit(-inf)))
+    b = Bucketizer(splits=[-inf, *bounds, inf], inputCol="__bkey", outputCol="__bidx", handleInvalid="keep")
+    return b.transform(t).withColumn(out, F.col("__bidx").cast("int")).drop("__bkey", "__bidx")
+
+
 def quantile_bounds(df: DataFrame, key: Column, chunks: int) -> list[float]:
     """Split points giving ``chunks`` near-equal row ranges of ``key`` (one
     small driver result of at most chunks - 1 numbers)."""
@@ -217,7 +231,7 @@ def row_index(
         return df.withColumn(idx_col, (F.row_number().over(w) - 1).cast("long"))
     key = _order_key(df, order[0])
     bounds = quantile_bounds(df, key, chunks or default_chunks(df.sparkSession))
-    t = df.withColumn("__chunk", bucket_of(key, bounds))
+    t = with_bucket(df, key, bounds, "__chunk")
     counts = t.groupBy(*series, "__chunk").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*series).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*series, "__chunk", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))

@@ -40,7 +40,7 @@ def test_row_index_matches_rank_with_many_chunks(spark):
     df = spark.createDataFrame(data, "s string, t long, id long")
     pdf = pd.DataFrame(data, columns=["s", "t", "id"])
     pdf["exp"] = pdf.sort_values(["t", "id"]).groupby("s").cumcount()
-    for chunks in (17, None):
+    for chunks in (17, 300, None):  # CASE tree, Bucketizer, bounded window
         out = timeaxis.row_index(df, ["s"], ["t", "id"], chunks=chunks).toPandas()
         m = out.merge(pdf, on=["s", "t", "id"])
         assert len(m) == len(data) and (m["idx"] == m["exp"]).all()
