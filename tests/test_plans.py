@@ -53,3 +53,12 @@ def test_feature_windows_are_partitioned_by_series_and_bucket(spark):
             assert s.strip(), f"{key}: window without partition keys"
     plan = _plan(E.queries()["lag_features"](spark, SF))
     assert any("__bk" in s for s in _window_partition_specs(plan))
+
+
+def test_key_names_and_sql_text():
+    qs, sql = E.queries(), E.oracle_sql()
+    for k in qs:
+        assert "pipeline" not in k and not re.match(r"op\d+_", k), k
+    for k, text in sql.items():
+        assert text.strip().upper().startswith(("SELECT", "WITH")), k
+        assert "LIMIT" not in text.upper() or k == "top_correlations", k  # no row caps except the top-k feature
