@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourglass.llm.common import text_or_empty
+from hourglass.llm.common import store, text_or_empty
 
 
 def digest_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", runs: int = 64) -> DataFrame:
@@ -79,10 +79,11 @@ def exact_classes(
     rows = digest_rows(docs, id_col, text_col, 1 << bits)
     # rows of one text and run stand together: repeated rows and the run's
     # entry are both counted without another exchange
-    ids = (
+    ids = store(
         rows.repartition("_digest", "_run")
         .groupBy("_digest", "_sha", "_run", "_id")
-        .agg(F.count(F.lit(1)).alias("_rows"))
+        .agg(F.count(F.lit(1)).alias("_rows")),
+        "digests",  # texts are read once; both directions of the tree use the digests
     )
     level0 = ids.groupBy("_digest", "_sha", "_run").agg(best("_id").alias("_keep"), F.sum("_rows").alias("_n"))
     root = merge_runs(level0, best, bits, radix_bits, slices).drop("_run")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourglass.llm import exact_dedup, simhash
+from hourglass.llm import exact_dedup, packing, simhash, simple8b
 from hourglass.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +50,15 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+@query
+def op1_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return packing.pack_documents(docs, end_id=0, keep_ids=False).drop("ids", "loss_tokens")
+
+
+@query
+def op9_simple8b_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return simple8b.read_token_files(simple8b.write_token_files(docs, end_id=2))
