@@ -35,6 +35,7 @@ BLOCK = 256
 PER_WORD = np.array([60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1, 0, 1], dtype=np.int64)
 WIDTH = np.array([1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60, 0, 0], dtype=np.int64)
 SELECTORS = 14
+BIT_LENGTH = np.frexp(np.arange(1 << 16, dtype=np.float64))[1].astype(np.uint8)
 ESCAPE = 15
 MAGIC = b"S8BT"
 HEAD = struct.Struct("<4sIQQQQQ")
@@ -53,9 +54,12 @@ def encode_words(ids: np.ndarray, block: int = BLOCK):
     size = np.full(nb, block, dtype=np.int64)
     if nb:
         size[-1] = len(ids) - (nb - 1) * block
-    bits = np.ones(grid.shape, dtype=np.uint8)
-    for b in np.unique(WIDTH[:SELECTORS]):
-        bits[grid >> np.uint64(b) > 0] = b + 1  # only compared with the widths
+    if nb and int(ids.max()) < len(BIT_LENGTH):
+        bits = BIT_LENGTH[grid]
+    else:
+        bits = np.ones(grid.shape, dtype=np.uint8)
+        for b in np.unique(WIDTH[:SELECTORS]):
+            bits[grid >> np.uint64(b) > 0] = b + 1  # only compared with the widths
     # widest value among the next n ids, for n = powers of two, then any n
     best = np.full((nb, block), ESCAPE, dtype=np.uint8)
     power = {1: bits}

@@ -17,6 +17,13 @@ import numpy as np
 TOKENIZER = "byte_bpe_50k.json"
 MARK = "\x01"
 _IRREGULAR = re.compile(r"\s\s(?:\s|\Z)|\x01")
+# fixed values: white space other than blank and line feed, and pairs that start a longer run
+_SUSPECT = (
+    MARK, "  ", " \n", "\n ", "\n\n", "\t", "\v", "\f", "\r", "\x1c", "\x1d", "\x1e", "\x1f", "\x85", "\xa0",
+    "\u1680", *map(chr, range(0x2000, 0x200B)), "\u2028", "\u2029", "\u202f", "\u205f", "\u3000",
+)
+_PLAIN = re.compile(r" ?\S+").fullmatch
+JOIN = 1000  # plain pieces encoded in one call
 _ENCODERS: dict[tuple, "PieceEncoder"] = {}
 
 
@@ -35,7 +42,7 @@ def encoder(path: str) -> "PieceEncoder":
 
 
 class PieceEncoder:
-    def __init__(self, path: str, max_pieces: int = 400_000, max_chars: int = 32_000_000):
+    def __init__(self, path: str, max_pieces: int = 800_000, max_chars: int = 32_000_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark owns the cores
@@ -43,6 +50,7 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.max_pieces, self.max_chars = max_pieces, max_chars
         self._clear()
 
@@ -52,13 +60,27 @@ class PieceEncoder:
         self.chars = 0
 
     def _learn(self, pieces: list[str]) -> None:
+        """Encode new pieces.  A line feed between two plain pieces is always a
+        token of its own, so they are encoded many at a time and cut there."""
         encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        for piece, enc in zip(pieces, encode(pieces, add_special_tokens=False)):
+        plain = [p for p in pieces if _PLAIN(p)] if len(self.feed) == 1 else []
+        joined = ["\n".join(plain[i : i + JOIN]) for i in range(0, len(plain), JOIN)]
+        for enc in encode(joined, add_special_tokens=False):
+            ids = np.array(enc.ids, dtype=np.uint32)
+            cuts = np.flatnonzero(ids == self.feed[0])
+            begin = np.concatenate([[0], cuts + 1]) + len(self.flat)
+            end = np.concatenate([cuts, [len(ids)]]) + len(self.flat)
+            self.flat.frombytes(ids.tobytes())
+            self.begin.frombytes(begin.astype(np.uint64).tobytes())
+            self.count.frombytes((end - begin).astype(np.uint32).tobytes())
+        self.table.update(zip(plain, range(len(self.table), len(self.table) + len(plain))))
+        other = [p for p in pieces if p not in self.table]
+        for piece, enc in zip(other, encode(other, add_special_tokens=False)):
             self.table[piece] = len(self.begin)
             self.begin.append(len(self.flat))
             self.count.append(len(enc.ids))
             self.flat.extend(enc.ids)
-            self.chars += len(piece)
+        self.chars += sum(map(len, pieces))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, concatenated (uint32), and the count per text."""
@@ -67,7 +89,7 @@ class PieceEncoder:
         parts: list[str] = []
         ends = []
         for t in texts:
-            if _IRREGULAR.search(t):
+            if any(w in t for w in _SUSPECT) and _IRREGULAR.search(t):
                 parts.append(t)
             else:
                 parts += t.replace(" ", "\x01 ").replace("\n", "\x01\n\x01").split(MARK)
@@ -87,7 +109,7 @@ class PieceEncoder:
         return flat[take], np.diff(np.concatenate([[0], ends_at]))
 
 
-def chunks(texts: list[str], max_chars: int = 4_000_000):
+def chunks(texts: list[str], max_chars: int = 1_000_000):
     """(first, last) ranges of a list of texts of bounded total size."""
     a, size = 0, 0
     for i, t in enumerate(texts):
