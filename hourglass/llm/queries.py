@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourglass.llm import exact_dedup, packing, simhash, simple8b
+from hourglass.llm import exact_dedup, langid, mixing, packing, simhash, simple8b, warc
 from hourglass.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,43 @@ def op1_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_simple8b_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     return simple8b.read_token_files(simple8b.write_token_files(docs, end_id=2))
+
+
+@query
+def op3_mix_to_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "source", "lang"])
+    return mixing.mix(docs).select(
+        F.col("_id").alias("doc_id"), F.col("_source").alias("source"), F.col("_lang").alias("lang"),
+        F.col("_topic").alias("topic"), F.col("_tokens").alias("tokens"),
+        F.round("probability", 6).alias("probability"), "sampled",
+    )
+
+
+ORACLE["op3_mix_to_targets"] = mixing.oracle()
+
+
+@query
+def op5_ecoc_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang"])
+    learn = langid.learnable("doc_id")
+    model = langid.train(docs.filter(learn))
+    found = langid.identify(docs.select("doc_id", "text"), model)
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+@query
+def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages", ["page_id", "url", "html"])
+    return warc.read_warc(warc.write_warc(pages)).drop("url")
+
+
+ORACLE["op8_warc_revisits"] = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id < last THEN last END AS refers_to
+FROM g
+"""

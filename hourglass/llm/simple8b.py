@@ -158,7 +158,7 @@ def parse_file(data: bytes):
 
 def _write_whole(fs, path: str, data: bytes, attempt: int) -> None:
     part = f"{path}.{attempt}.part"
-    with fs.open_output_stream(part) as f:
+    with fs.open_output_stream(part, compression=None) as f:
         f.write(data)
     fs.move(part, path)
 
@@ -238,7 +238,7 @@ def read_token_files(manifest: DataFrame, with_ids: bool = False) -> DataFrame:
         for batch in batches:
             for path, start in zip(batch.column("path").to_pylist(), batch.column("start").to_pylist()):
                 fs, file = pafs.FileSystem.from_uri(path)
-                with fs.open_input_stream(file) as f:
+                with fs.open_input_stream(file, compression=None) as f:
                     docs, counts, ids = parse_file(f.read())
                 small = ids.astype("<u4")
                 ends = np.cumsum(counts)

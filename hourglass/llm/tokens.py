@@ -42,7 +42,7 @@ def encoder(path: str) -> "PieceEncoder":
 
 
 class PieceEncoder:
-    def __init__(self, path: str, max_pieces: int = 800_000, max_chars: int = 32_000_000):
+    def __init__(self, path: str, max_pieces: int = 1_500_000, max_chars: int = 32_000_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark owns the cores
@@ -100,9 +100,10 @@ class PieceEncoder:
             self._learn(list({p for p, i in zip(parts, found) if i is None}))
             found = list(map(get, parts))
         which = np.fromiter(found, dtype=np.int64, count=len(found))
-        flat = np.array(self.flat, dtype=np.uint32)
-        begin = np.array(self.begin, dtype=np.int64)[which]
-        count = np.array(self.count, dtype=np.int64)[which]
+        # views; nothing keeps them when the table grows again
+        flat = np.frombuffer(self.flat, dtype=np.uint32)
+        begin = np.frombuffer(self.begin, dtype=np.uint64)[which].astype(np.int64)
+        count = np.frombuffer(self.count, dtype=np.uint32)[which].astype(np.int64)
         upto = np.concatenate([[0], np.cumsum(count)])
         take = np.arange(upto[-1]) + np.repeat(begin - upto[:-1], count)
         ends_at = upto[np.asarray(ends, dtype=np.int64)]
