@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourglass.llm import exact_dedup, langid, mixing, packing, simhash, simple8b, warc
+from hourglass.llm import automata, exact_dedup, langid, mixing, packing, simhash, simple8b, suffix_dedup, warc
 from hourglass.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +102,17 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 1000 AND page_id < last THEN last END AS refers_to
 FROM g
 """
+
+
+@query
+def op2_automaton_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return automata.remove_repeats(docs, width=20).select(
+        F.col("_id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
+@query
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return suffix_dedup.remove_repeats(docs, width=100).select(
+        F.col("_id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
