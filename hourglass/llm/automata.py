@@ -145,17 +145,17 @@ def remove_repeats(docs: DataFrame, width: int = 20, id_col: str = "doc_id", tex
 
         for b in batches:
             out = []
-            for text, cut in zip(b.column("_text").to_pylist(), b.column("_spans").to_pylist()):
+            for text, cut, copy in zip(*(b.column(c).to_pylist() for c in ("_text", "_spans", "_copy"))):
                 words = split_words(text)
-                gone = removed_mask(cut, len(words))
-                kept = b" ".join(w for w, g in zip(words, gone) if not g) if cut else b" ".join(words)
+                gone = removed_mask(cut, len(words), copy and len(words) >= width)
+                kept = b" ".join(w for w, g in zip(words, gone) if not g) if gone.any() else b" ".join(words)
                 out.append((kept.decode("utf-8"), len(words), int(gone.sum()), hashlib.sha256(kept).hexdigest()))
             if out:
                 cols = [pa.array(list(c), t) for c, t in zip(zip(*out), ("string", "int64", "int64", "string"))]
                 yield pa.RecordBatch.from_arrays([b.column("_id"), *cols],
                                                  ["_id", "kept_text", "n_words", "n_removed", "kept_sha256"])
 
-    return base.join(spans, ["_ord", "_v"], "left").select("_ord", "_v", "_id", "_text", "_spans").mapInArrow(
+    return base.join(spans, ["_ord", "_v"], "left").select("_id", "_text", "_copy", "_spans").mapInArrow(
         apply, "_id long, kept_text string, n_words long, n_removed long, kept_sha256 string")
 
 

@@ -4,6 +4,8 @@ Shared frame of the two substring operators (words, bytes): remove every unit
 covered by a window of ``width`` units whose content also starts earlier
 (smaller document id, or same document, earlier start).
 
+0. Of identical texts only the first is searched; every window of the others
+   starts earlier, so they lose all their units if they are a window long.
 1. Anchors.  Every window has one anchor: the leftmost of its grams with the
    smallest hash.  Equal windows have equal anchors at equal offsets.  Runs of
    windows with the same anchor form a segment (start, number of windows).
@@ -17,7 +19,7 @@ covered by a window of ``width`` units whose content also starts earlier
    instead, so that each of its groups holds a single content.
 4. Removable windows go back to their documents as spans.
 
-The texts are exchanged once (both joins use the same exchange).
+The texts are exchanged once (all joins on the document use that exchange).
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from hourglass.llm.common import order_key, partitions, prepare, text_or_empty
+from hourglass.llm.common import order_key, partitions, prepare, store, text_or_empty
 
 _M = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63],
               dtype=np.uint64)
@@ -71,7 +73,8 @@ def anchor_runs(units: np.ndarray, width: int, gram: int):
 
 def repeated_spans(docs: DataFrame, codec, width: int, gram: int, solve, id_col: str = "doc_id", text_col: str = "text",
                    hot: int = 100_000, batch: int = 4096) -> tuple[DataFrame, DataFrame]:
-    """``(base, spans)``: base has ``_ord, _v, _id, _text`` per input row, spans
+    """``(base, spans)``: base has ``_ord, _v, _id, _text`` and ``_copy`` (an
+    identical text stands in an earlier document) per input row, spans
     ``_ord, _v, spans`` (array of start, end) for documents that lose units.
 
     ``codec`` names the unit: ``codec.hashes(text)`` and ``codec.payload(text)``
@@ -88,6 +91,14 @@ def repeated_spans(docs: DataFrame, codec, width: int, gram: int, solve, id_col:
         text.alias("_text"),
     )
 
+    # one row per later copy; copies fold per task before the exchange
+    heads = store(base.select("_ord", "_v", F.unhex(F.sha2(F.col("_text").cast("binary"), 256)).alias("_sha")), "heads")
+    first = heads.groupBy("_sha").agg(F.min(F.struct("_ord", "_v")).alias("_first"), F.count(F.lit(1)).alias("_c"))
+    later = store(
+        heads.join(first.filter("_c > 1"), "_sha").filter(F.struct("_ord", "_v") > F.col("_first"))
+        .select("_ord", "_v", F.lit(True).alias("_copy")).distinct(), "copies")
+    base = base.join(later, ["_ord", "_v"], "left").withColumn("_copy", F.coalesce("_copy", F.lit(False)))
+
     def find(batches):
         import pyarrow as pa
 
@@ -106,7 +117,7 @@ def repeated_spans(docs: DataFrame, codec, width: int, gram: int, solve, id_col:
                      pa.array(cols[1].astype(np.int32)), pa.array(cols[2].astype(np.int32))],
                     ["h", "_ord", "_v", "s", "n"])
 
-    runs = base.select("_ord", "_v", "_text").mapInArrow(find, "h long, _ord long, _v int, s int, n int")
+    runs = base.filter(~F.col("_copy")).select("_ord", "_v", "_id", "_text").mapInArrow(find, "h long, _ord long, _v int, s int, n int")
     seen = runs.withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("h"))).filter("c > 1")
     wanted = seen.groupBy("_ord", "_v").agg(
         F.collect_list(F.struct("h", "s", "n", (F.col("c") > hot).alias("hot"))).alias("_cand"))  # within one document
@@ -180,8 +191,7 @@ def repeated_spans(docs: DataFrame, codec, width: int, gram: int, solve, id_col:
         if found:
             yield emit()
 
-    # a document's rows stay together only here; _id keeps both joins on one exchange
-    segments = base.join(wanted, ["_ord", "_v"]).select("_ord", "_v", "_id", "_text", "_cand").mapInArrow(
+    segments = base.filter(~F.col("_copy")).join(wanted, ["_ord", "_v"]).select("_ord", "_v", "_id", "_text", "_cand").mapInArrow(
         cut, "h long, _ord long, _v int, s int, n int, seg binary")
     dealt = segments.repartition(partitions(docs.sparkSession), "h").sortWithinPartitions("h", "_ord", "_v", "s")
     spans = dealt.mapInArrow(judge, "_ord long, _v int, s int, e int").groupBy("_ord", "_v").agg(
@@ -189,8 +199,10 @@ def repeated_spans(docs: DataFrame, codec, width: int, gram: int, solve, id_col:
     return base, spans
 
 
-def removed_mask(spans, n: int) -> np.ndarray:
+def removed_mask(spans, n: int, everything: bool = False) -> np.ndarray:
     """Units covered by the spans (list of {s, e} or None)."""
+    if everything:
+        return np.ones(n, dtype=bool)
     edge = np.zeros(n + 1, dtype=np.int32)
     for x in spans or ():
         edge[x["s"]] += 1

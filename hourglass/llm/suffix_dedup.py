@@ -41,21 +41,32 @@ class Bytes:
 
 
 class ColumnFiles:
-    """Transform and common prefixes of a collection in alternating files."""
+    """Transform and common prefixes of a collection in alternating files,
+    opened once and rewritten from the front."""
 
     def __init__(self, folder: str):
-        self.folder, self.turn = folder, 0
+        self.files = [[open(os.path.join(folder, f"{w}.{t}"), "w+b") for w in ("bwt", "lcp")] for t in (0, 1)]
+        self.turn, self.size = 0, 0
 
-    def _name(self, what: str, turn: int) -> str:
-        return os.path.join(self.folder, f"{what}.{turn}")
-
-    def write(self, bwt: np.ndarray, lcp: np.ndarray) -> None:
+    def write(self, *columns: np.ndarray) -> None:
         self.turn ^= 1
-        bwt.tofile(self._name("bwt", self.turn))
-        lcp.tofile(self._name("lcp", self.turn))
+        self.size = len(columns[0])
+        for f, c in zip(self.files[self.turn], columns):
+            f.seek(0)
+            f.write(c.data)
+            f.flush()
+
+    def read(self) -> list[np.ndarray]:
+        out = []
+        for f in self.files[self.turn]:
+            f.seek(0)
+            out.append(np.frombuffer(f.read(self.size), dtype=np.uint8))
+        return out
 
-    def read(self) -> tuple[np.ndarray, np.ndarray]:
-        return tuple(np.fromfile(self._name(w, self.turn), dtype=np.uint8) for w in ("bwt", "lcp"))
+    def close(self) -> None:
+        for pair in self.files:
+            for f in pair:
+                f.close()
 
 
 def _least_between(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -109,7 +120,9 @@ def build_transform(docs: list[bytes], cap: int, folder: str) -> tuple[np.ndarra
         at[live] = n + to[at[live]]
         bwt2[at[live]] = back[live, j]
         files.write(bwt2, lcp2)
-    return files.read()
+    done = files.read()
+    files.close()
+    return tuple(done)
 
 
 def seen_windows(docs: list[bytes], width: int) -> list[np.ndarray]:
@@ -156,9 +169,9 @@ def remove_repeats(docs: DataFrame, width: int = 100, id_col: str = "doc_id", te
 
         for b in batches:
             out = []
-            for text, cut in zip(b.column("_text").to_pylist(), b.column("_spans").to_pylist()):
+            for text, cut, copy in zip(*(b.column(c).to_pylist() for c in ("_text", "_spans", "_copy"))):
                 raw = Bytes.payload(text)
-                gone = removed_mask(cut, len(raw))
+                gone = removed_mask(cut, len(raw), copy and len(raw) >= width)
                 kept = raw[~gone].tobytes()
                 starts = int(np.count_nonzero(gone[1:] & ~gone[:-1])) + int(gone[:1].any())
                 out.append((kept, len(raw), int(gone.sum()), starts, hashlib.sha256(kept).hexdigest()))
@@ -168,5 +181,5 @@ def remove_repeats(docs: DataFrame, width: int = 100, id_col: str = "doc_id", te
                     [b.column("_id"), *(pa.array(list(c), t) for c, t in zip(zip(*out), types))],
                     ["_id", "kept", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return base.join(spans, ["_ord", "_v"], "left").select("_ord", "_v", "_id", "_text", "_spans").mapInArrow(
+    return base.join(spans, ["_ord", "_v"], "left").select("_id", "_text", "_copy", "_spans").mapInArrow(
         apply, "_id long, kept binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
