@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourglass.llm import automata, exact_dedup, langid, mixing, packing, simhash, simple8b, suffix_dedup, warc
+from hourglass.llm import (
+    automata,
+    exact_dedup,
+    langid,
+    mixing,
+    nndescent,
+    packing,
+    simhash,
+    simple8b,
+    suffix_dedup,
+    warc,
+)
 from hourglass.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,3 +127,9 @@ def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     return suffix_dedup.remove_repeats(docs, width=100).select(
         F.col("_id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query
+def op7_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vecs = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
+    return nndescent.nearest(vecs, F.col("id") % 20 == 0, top=20)
