@@ -128,11 +128,8 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
     return EcocModel(langs, code, w.astype(np.float32), hit / hit.sum(), dims_log2)
 
 
-def identify(docs: DataFrame, model: EcocModel | None, text_col: str = "text", ambiguity: float = 0.05) -> DataFrame:
-    """``docs`` plus ``lang_pred`` ("und" for null texts and texts without a
-    letter, or if nothing could be learned), ``score`` (0 to 1: share of the
-    winner in exp(-loss), 0 for und) and ``ambiguous``."""
-    spark = prepare(docs)
+def predictor(spark, model: EcocModel | None, ambiguity: float = 0.05):
+    """Pandas UDF text -> struct(lang_pred, score, ambiguous)."""
     shared = spark.sparkContext.broadcast(model)  # dims x bits weights: fixed size
 
     @F.pandas_udf("lang_pred string, score double, ambiguous boolean")
@@ -161,4 +158,24 @@ def identify(docs: DataFrame, model: EcocModel | None, text_col: str = "text", a
             out += rows
         return pd.DataFrame(out, columns=["lang_pred", "score", "ambiguous"])
 
-    return docs.withColumn("_p", predict(F.col(text_col))).select(*docs.columns, "_p.lang_pred", "_p.score", "_p.ambiguous")
+    return predict
+
+
+def identify(docs: DataFrame, model: EcocModel | None, text_col: str = "text", ambiguity: float = 0.05) -> DataFrame:
+    """``docs`` plus ``lang_pred`` ("und" for null texts and texts without a
+    letter, or if nothing could be learned), ``score`` (0 to 1: share of the
+    winner in exp(-loss), 0 for und) and ``ambiguous``.  Columns of ``docs``
+    with these names are replaced."""
+    found = docs.withColumn("_ecoc", predictor(prepare(docs), model, ambiguity)(F.col(text_col)))
+    rest = [c for c in docs.columns if c not in ("lang_pred", "score", "ambiguous")]
+    return found.select(*rest, "_ecoc.lang_pred", "_ecoc.score", "_ecoc.ambiguous")
+
+
+def recognised(docs: DataFrame, model: EcocModel | None, text_col: str = "text", ambiguity: float = 0.05) -> DataFrame:
+    """Rows of ``docs``, columns unchanged, that are neither ``und`` nor
+    ambiguous.  With nothing to learn from, no row can be recognised or
+    rejected by its language: then only texts without letters go."""
+    if model is None:
+        return docs.filter(F.col(text_col).rlike(r"\p{L}"))
+    found = docs.withColumn("_ecoc", predictor(prepare(docs), model, ambiguity)(F.col(text_col)))
+    return found.filter((F.col("_ecoc.lang_pred") != "und") & ~F.col("_ecoc.ambiguous")).drop("_ecoc")
