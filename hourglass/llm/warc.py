@@ -118,13 +118,17 @@ def write_warc(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
         if out is not None:
             yield close()
 
-    decided = resolve_revisits(pages, id_col, url_col, payload_col, min_bytes)
+    # payloads are exchanged once: dealt by (id, digest), joined and sorted where they are
+    key = F.coalesce("_id", F.lit(LONG_MAX))
+    decided = resolve_revisits(pages, id_col, url_col, payload_col, min_bytes).select(
+        key.alias("_key"), "_sha", "_orig", "_orig_url")
     text = F.coalesce(F.col(payload_col), F.lit(""))
-    rows = pages.select(F.col(id_col).cast("long").alias("_pid"), F.col(url_col).alias("_url"), text.alias("_body"),
-                        F.sha1(text.cast("binary")).alias("_psha"))
-    full = rows.join(decided, rows["_pid"].eqNullSafe(decided["_id"]) & (rows["_psha"] == decided["_sha"])).select(
-        "_id", "_url", "_body", "_sha", "_orig", "_orig_url")
-    dealt = full.repartition(partitions(spark), "_id", "_sha").sortWithinPartitions("_id", "_sha")
+    rows = pages.select(F.col(id_col).cast("long").alias("_id"), F.col(url_col).alias("_url"), text.alias("_body"),
+                        F.sha1(text.cast("binary")).alias("_sha")).withColumn("_key", key)
+    dealt = (
+        rows.repartition(partitions(spark), "_key", "_sha").join(decided, ["_key", "_sha"])
+        .sortWithinPartitions("_key", "_sha").select("_id", "_url", "_body", "_sha", "_orig", "_orig_url")
+    )
     return store(dealt.mapInArrow(write, "path string, n_records long"), "warc-manifest")
 
 
