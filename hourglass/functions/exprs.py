@@ -22,8 +22,12 @@ def nan_to_null(c) -> Column:
 
 
 def to_double(c) -> Column:
-    """Numeric coercion: text that is not a number becomes NULL, NaN becomes NULL."""
-    return nan_to_null(col(c).try_cast("double"))
+    """Numeric coercion: text that is not a number becomes NULL, NaN becomes
+    NULL. Literal suffixes that the cast would accept ("1d", "10F") are not
+    numbers; the type test folds away for numeric columns."""
+    c = col(c)
+    suffixed = (F.typeof(c) == "string") & F.coalesce(c.cast("string").rlike("[0-9.][dDfF]\\s*$"), F.lit(False))
+    return nan_to_null(F.when(~suffixed, c.try_cast("double")))
 
 
 def null_if_sentinel(c, sentinel: float) -> Column:
@@ -94,13 +98,15 @@ def parse_day_first(date_text, time_text=None, formats=DAY_FIRST_FORMATS) -> Col
     """Combine trimmed date and time text with one blank and parse day-first.
 
     Unparseable or impossible dates (31/02) give NULL instead of an error.
-    The result is TIMESTAMP_NTZ (wall-clock time, no zone).
+    The result is TIMESTAMP_NTZ (wall-clock time): the text is read at offset
+    zero, so no session zone or DST rule moves it.
     """
     text = F.trim(col(date_text))
     if time_text is not None:
         text = F.concat_ws(" ", text, F.trim(col(time_text)))
     return F.coalesce(
-        *[F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats]
+        *[ntz_from_wall_seconds(F.unix_seconds(F.try_to_timestamp(F.concat(text, F.lit(" +00:00")), F.lit(f"{f} xxx"))))
+          for f in formats]
     )
 
 

@@ -21,30 +21,50 @@ from hourglass.operators.clean import usable_features
 from hourglass.session import materialize, ship_package
 
 M32 = 4294967296  # 2^32
+M31 = 2147483648
 HASH_MULT = 73244475  # 0x45d9f3b, integer finalizer multiplier
-REP_STRIDE = 1000003
+WORDS = (0, 2654435769)  # offsets that make the two words of a draw differ
 SERIES_HASH_BUCKETS = 1 << 20  # series key -> numeric model feature
 
 
+def _round(x: Column) -> Column:
+    return (F.shiftright(x, 16).bitwiseXOR(x) * HASH_MULT) % M32
+
+
 def hash_draw(rep, k, n) -> Column:
-    """Uniform-ish draw in [0, n) from (rep, k): 32-bit multiply/xor-shift mix.
+    """Uniform draw in [0, n) from (rep, k).
 
-    All intermediate values stay below 2^63, so it is exact BIGINT math.
+    Replicate and draw number are mixed in rounds of their own before they are
+    combined, so neighbouring replicates share no inputs at any number of
+    draws; two 31-bit words make a 62-bit number, so n may exceed 2^32. All
+    intermediate values stay below 2^63 (exact BIGINT math).
     """
-    rep = F.col(rep) if isinstance(rep, str) else rep
-    k = F.col(k) if isinstance(k, str) else k
-    x = (rep.cast("long") * REP_STRIDE + k.cast("long")) % M32
-    for _ in range(2):
-        x = (F.shiftright(x, 16).bitwiseXOR(x) * HASH_MULT) % M32
-    x = F.shiftright(x, 16).bitwiseXOR(x)
-    return x % (n if isinstance(n, Column) else F.lit(n))
+    rep = (F.col(rep) if isinstance(rep, str) else rep).cast("long")
+    k = (F.col(k) if isinstance(k, str) else k).cast("long")
+    words = []
+    for off in WORDS:
+        inner = _round(_round((k % M32 + F.lit(off)) % M32))
+        h = _round(_round((rep + F.lit(off + 1)) % M32))
+        x = (inner + h + F.shiftright(k, 32)) % M32
+        for _ in range(2):
+            x = _round(x)
+        words.append(F.shiftright(x, 16).bitwiseXOR(x) % M31)
+    return (words[0] * M31 + words[1]) % (n if isinstance(n, Column) else F.lit(n))
 
 
 def hash_draw_sql(rep: str, k: str, n: str) -> str:
-    x = f"(({rep}) * {REP_STRIDE} + ({k})) % {M32}"
-    for _ in range(2):
-        x = f"((xor(({x}) >> 16, {x})) * {HASH_MULT}) % {M32}"
-    return f"(xor(({x}) >> 16, {x}) % ({n}))"
+    def rnd(x):
+        return f"((xor(({x}) >> 16, {x})) * {HASH_MULT}) % {M32}"
+
+    words = []
+    for off in WORDS:
+        inner = rnd(rnd(f"((({k}) % {M32} + {off}) % {M32})"))
+        h = rnd(rnd(f"((({rep}) + {off + 1}) % {M32})"))
+        x = f"(({inner}) + ({h}) + (({k}) >> 32)) % {M32}"
+        for _ in range(2):
+            x = f"({rnd(x)})"
+        words.append(f"(xor(({x}) >> 16, {x}) % {M31})")
+    return f"(({words[0]} * {M31} + {words[1]}) % ({n}))"
 
 
 # ------------------------------------------------------------ feature matrix
@@ -196,29 +216,50 @@ def block_bootstrap_ci(
         ci.select("ci_low").scalar().alias("ci_low"), ci.select("ci_high").scalar().alias("ci_high"))
 
 
+DRAW_BITS = 50  # resolution of the uniform number behind a Poisson weight
+
+
+def poisson_thresholds() -> list[int]:
+    """Cumulative Poisson(1) probabilities as integers of ``DRAW_BITS`` bits,
+    up to the last one that resolution can tell from 1."""
+    out, term, total, k = [], float(np.exp(-1.0)), 0.0, 0
+    while True:
+        total += term
+        cut = round(total * (1 << DRAW_BITS))
+        if out and cut <= out[-1] or cut >= 1 << DRAW_BITS:
+            return out
+        out.append(cut)
+        k += 1
+        term /= k
+
+
+def poisson_weight_sql(rep: str, k: str) -> str:
+    cuts = poisson_thresholds()
+    cases = " ".join(f"WHEN u < {c} THEN {i}" for i, c in enumerate(cuts))
+    return f"(SELECT CASE {cases} ELSE {len(cuts)} END FROM (SELECT {hash_draw_sql(rep, k, str(1 << DRAW_BITS))} AS u))"
+
+
 def poisson_bootstrap_ci(
-    diffs: DataFrame, series: Sequence[str], value: str, n_boot: int = 1000, alpha: float = 0.05, seed: int = 42
+    diffs: DataFrame, series: Sequence[str], pos: str, value: str, n_boot: int = 1000, alpha: float = 0.05
 ) -> DataFrame:
     """M11, scale form: each row gets an independent Poisson(1) weight per
-    replicate (a deterministic hash of row id, replicate and seed through
-    the inverse CDF), and replicate means are weighted sums aggregated
-    map-side - no join and no shuffle of the data, only B partial sums per
-    task. Statistically equivalent to the IID bootstrap for large n."""
+    replicate (the integer hash of replicate and position through the inverse
+    CDF), and replicate means are weighted sums aggregated map-side - no join
+    and no shuffle of the data, only B partial sums per task. A replicate in
+    which every weight is 0 (possible for a handful of rows) has no mean and
+    is left out of the percentiles."""
     series = list(series)
-    u = (F.xxhash64(F.col("__rid"), F.col("__r"), F.lit(seed)) % 1000003).cast("double") / 1000003.0
-    # inverse CDF of Poisson(1) by its cumulative table (k <= 9 covers 1 - 1e-7)
-    cdf = np.cumsum([np.exp(-1.0) / float(np.prod(range(1, k + 1))) for k in range(10)])
-    w = F.lit(0)
-    for k in range(len(cdf) - 1, -1, -1):
-        w = F.when(u < float(cdf[k]), F.lit(k)).otherwise(w)
-    w = F.when(u >= float(cdf[-1]), F.lit(10)).otherwise(w)
-    # row id from the row's content: the same weights on any recomputation
-    t = diffs.withColumn("__rid", F.xxhash64(*[F.col(c) for c in diffs.columns])).select(
-        *series, F.col(value).alias("__v"), "__rid", F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1))).alias("__r"))
+    t = diffs.select(*series, F.col(pos).alias("__k"), F.col(value).alias("__v"),
+                     F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1))).alias("__r"))
+    t = t.withColumn("__u", hash_draw("__r", "__k", 1 << DRAW_BITS))
+    cuts = poisson_thresholds()
+    w = F.lit(len(cuts))
+    for i in range(len(cuts) - 1, -1, -1):
+        w = F.when(F.col("__u") < cuts[i], F.lit(i)).otherwise(w)
     reps = t.withColumn("__w", w).groupBy(*series, "__r").agg(
-        (F.sum(F.col("__w") * F.col("__v")) / F.sum("__w")).alias("__m"))
+        F.try_divide(F.sum(F.col("__w") * F.col("__v")), F.sum("__w")).alias("__m"))
     lo, hi = _percentiles("__m", alpha)
-    return reps.groupBy(*series).agg(lo.alias("ci_low"), hi.alias("ci_high"), F.count(F.lit(1)).alias("n_boot"))
+    return reps.groupBy(*series).agg(lo.alias("ci_low"), hi.alias("ci_high"), F.count("__m").alias("n_boot"))
 
 
 # ------------------------------------------------------------------ models

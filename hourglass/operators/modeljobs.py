@@ -128,8 +128,10 @@ def tune(
         subsample=s["subsample"], feature_subset=_subset_strategy(s["colsample_bytree"]), seed=seed, series=series)
     pred = windows.ffill_then_mean(pred, series, "__pos", "y", out="baseline")
     err = stats.forecast_errors(pred, "y", "prediction", "baseline", series).agg(
-        F.sum("n").alias("n"), F.avg("mae_model").alias("mae"), F.avg("rmse_model").alias("rmse"),
-        F.avg("mae_baseline").alias("bmae"), F.avg("rmse_baseline").alias("brmse")).first()
+        F.sum("n").alias("n"), *[  # pooled over all rows, like cv_mae
+            e for out, k in (("", "model"), ("b", "baseline")) for e in (
+                (F.sum(F.col(f"mae_{k}") * F.col("n")) / F.sum("n")).alias(f"{out}mae"),
+                F.sqrt(F.sum(F.col(f"rmse_{k}") * F.col(f"rmse_{k}") * F.col("n")) / F.sum("n")).alias(f"{out}rmse"))]).first()
     report = {
         "best_params": s, "cv_mae": best, "holdout_mae": err["mae"], "holdout_rmse": err["rmse"],
         "baseline_mae": err["bmae"], "baseline_rmse": err["brmse"],

@@ -258,10 +258,17 @@ def feature_set(spark, sf_dir):
     return r6(out.drop("idx"))
 
 
-@query("bootstrap_ci_poisson")
+@query(
+    "bootstrap_ci_poisson",
+    f"""WITH {_FF_CTE},
+wt AS (SELECT f.series, r.r, f.diff, {FC.poisson_weight_sql("r.r", "f.pos")} AS w
+       FROM ff f CROSS JOIN range(0, {N_BOOT}) AS r(r)),
+rep AS (SELECT series, r, sum(w * diff) / nullif(sum(w), 0) AS m FROM wt GROUP BY 1, 2)
+SELECT series, round(quantile_cont(m, 0.025), 6) AS ci_low, round(quantile_cont(m, 0.975), 6) AS ci_high,
+       count(m) AS n_boot FROM rep GROUP BY 1""",
+)
 def bootstrap_ci_poisson(spark, sf_dir):
-    """M11, scale form: Poisson(1) replicate weights from a row-content hash,
-    reduced map-side to B weighted sums per series (no join); checked in
-    pytest for coverage of the mean and determinism."""
+    """M11, scale form: Poisson(1) replicate weights from the integer hash,
+    reduced map-side to B weighted sums per series (no join)."""
     d = forecast_frame(spark, sf_dir).select("series", "pos", "diff")
-    return r6(FC.poisson_bootstrap_ci(d, S, "diff", N_BOOT))
+    return r6(FC.poisson_bootstrap_ci(d, S, "pos", "diff", N_BOOT))

@@ -20,7 +20,7 @@ SENSORS = [
 # Superset of every message variant: 13 sensors, Target, timestamp text and
 # the model payload's calendar fields; absent fields decode to NULL.
 MESSAGE_SCHEMA = T.StructType(
-    [T.StructField(s, T.DoubleType()) for s in SENSORS]
+    [T.StructField(s, T.DoubleType()) for s in [*SENSORS, "CO(GT)"]]  # the raw name is the alert's fallback
     + [T.StructField("Target", T.DoubleType()), T.StructField("timestamp", T.StringType())]
     + [T.StructField(c, T.IntegerType()) for c in ("hour", "day", "month", "season")]
 )
@@ -35,16 +35,19 @@ CORRUPT = "_corrupt_record"
 
 def decode(df: DataFrame, text_col: str, schema: T.StructType = MESSAGE_SCHEMA, prefix: str = "") -> DataFrame:
     """L1 + L2: parse JSON text into typed columns (bare NaN accepted, then
-    NULL); text that does not parse keeps its value in ``raw`` (dead letter)
-    and gets NULL fields."""
+    NULL); text that does not parse, empty text included, keeps its value in
+    ``raw`` (dead letter) and gets NULL fields."""
     txt = F.col(text_col).cast("string")
-    full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
+    # numbers are read as text first, so that "12.5" in quotes counts as 12.5
+    loose = [T.StructField(f.name, T.StringType()) if isinstance(f.dataType, T.DoubleType) else f for f in schema.fields]
+    full = T.StructType([*loose, T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json(txt, full, {**JSON_OPTIONS, "columnNameOfCorruptRecord": CORRUPT})
     fields = {}
     for f in schema.fields:
         v = parsed[f.name]
-        fields[f"{prefix}{f.name}"] = X.nan_to_null(v) if isinstance(f.dataType, T.DoubleType) else v
-    return df.withColumns(fields).withColumn("raw", parsed[CORRUPT])
+        fields[f"{prefix}{f.name}"] = X.to_double(v) if isinstance(f.dataType, T.DoubleType) else v
+    raw = F.when(F.trim(txt) == "", txt).otherwise(F.coalesce(parsed[CORRUPT], F.when(parsed.isNull(), txt)))
+    return df.withColumns(fields).withColumn("raw", raw)
 
 
 def encode(cols: Sequence[str]) -> Column:

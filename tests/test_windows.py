@@ -123,9 +123,28 @@ def test_poisson_bootstrap(spark):
     from hourglass.operators import forecast as FC
 
     rng = np.random.default_rng(9)
-    d = rng.normal(0.5, 1.0, size=400)
+    d = rng.normal(0.5, 1.0, size=2000)
     df = spark.createDataFrame([("a", i, float(v)) for i, v in enumerate(d)], "s string, pos long, d double")
-    r = FC.poisson_bootstrap_ci(df, ["s"], "d", 300).collect()[0]
+    r = FC.poisson_bootstrap_ci(df, ["s"], "pos", "d", 400).collect()[0]
     assert r.ci_low < d.mean() < r.ci_high
-    r2 = FC.poisson_bootstrap_ci(df, ["s"], "d", 300).collect()[0]
+    theory = 2 * 1.959964 * d.std() / np.sqrt(len(d))
+    assert abs((r.ci_high - r.ci_low) / theory - 1) < 0.15
+    r2 = FC.poisson_bootstrap_ci(df, ["s"], "pos", "d", 400).collect()[0]
     assert (r.ci_low, r.ci_high) == (r2.ci_low, r2.ci_high)
+    tiny = FC.poisson_bootstrap_ci(df.filter("pos < 2"), [], "pos", "d", 200).collect()[0]
+    assert 0 < tiny.n_boot <= 200 and tiny.ci_low <= tiny.ci_high
+
+
+def test_neighbouring_replicates_draw_independently(spark):
+    from pyspark.sql import functions as F
+
+    from hourglass.operators import forecast as FC
+
+    n = 1_500_000  # beyond 1,000,003 draws
+    t = spark.range(n).select(*[FC.hash_draw(F.lit(r), F.col("id"), n).alias(f"r{r}") for r in (0, 1)])
+    counts = [t.groupBy(F.col(c).alias("j")).agg(F.count(F.lit(1)).alias(c)) for c in ("r0", "r1")]
+    both = spark.range(n).withColumnRenamed("id", "j").join(counts[0], "j", "left").join(counts[1], "j", "left").fillna(0)
+    s = both.agg(F.corr("r0", "r1").alias("c"), F.avg(F.col("r0") * F.col("r0")).alias("m2")).first()
+    assert abs(s.c) < 0.01 and abs(s.m2 - 2.0) < 0.02  # Poisson(1) counts: E[x^2] = 2
+    wide = spark.range(100_000).agg(F.max(FC.hash_draw(F.lit(3), F.col("id"), F.lit(1 << 40))).alias("m")).first()
+    assert wide.m > 1 << 39
