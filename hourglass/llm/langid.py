@@ -83,7 +83,7 @@ def learnable(id_col: str = "doc_id", fold: int = 1, folds: int = 3):
 
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
-          rows_per_lang: int = 500, max_rows: int = 4000, max_langs: int = 256, dims_log2: int = 12,
+          rows_per_lang: int = 250, max_rows: int = 2000, max_langs: int = 256, dims_log2: int = 12,
           ridge: float = 0.03) -> EcocModel | None:
     """Fit on a bounded sample: at most about ``rows_per_lang`` whole texts a
     language and ``max_rows`` in all, chosen by a hash of the id.  Only their
@@ -115,15 +115,18 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
            .orderBy("d", "l", "x").limit(2 * max_rows).collect())
     if not got:
         return None
-    x = np.stack([np.frombuffer(r["x"], dtype=np.float32) for r in got]).astype(np.float64)
     at = {lang: i for i, lang in enumerate(langs)}
+    label = np.array([at[r["l"]] for r in got])
+    x = np.empty((len(got), (1 << dims_log2) + 1), dtype=np.float32)
+    for i in range(len(got)):
+        x[i] = np.frombuffer(got[i]["x"], dtype=np.float32)
+        got[i] = None  # the driver holds every vector once
     code = codewords(len(langs))
-    y = code[[at[r["l"]] for r in got]]
-    n_of = np.bincount([at[r["l"]] for r in got], minlength=len(langs)).astype(float)
-    row_w = np.sqrt(1.0 / n_of[[at[r["l"]] for r in got]] * len(got) / len(langs))[:, None]  # languages count alike
-    k = (x * row_w) @ (x * row_w).T
-    alpha = np.linalg.solve(k + ridge * len(got) / len(langs) * np.eye(len(got)) * 0.1, y * row_w)
-    w = (x * row_w).T @ alpha
+    y = code[label]
+    row_w = np.sqrt(len(label) / len(langs) / np.bincount(label, minlength=len(langs))[label]).astype(np.float32)[:, None]
+    x *= row_w  # languages count alike
+    alpha = np.linalg.solve((x @ x.T).astype(np.float64) + 0.1 * ridge * len(label) / len(langs) * np.eye(len(label)), y * row_w)
+    w = x.T @ alpha.astype(np.float32)
     hit = ((x @ w > 0) == (y > 0)).mean(axis=0)
     return EcocModel(langs, code, w.astype(np.float32), hit / hit.sum(), dims_log2)
 
