@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from hourglass.functions import exprs as X
 from hourglass.operators.clean import NUMERIC_TYPES
 from hourglass.session import ship_package
-from hourglass.operators.timeaxis import SINGLE_TASK_MAX_ROWS, default_chunks, max_group_rows, row_index
+from hourglass.operators.timeaxis import add_chunk_offsets, range_chunks
 
 
 def _stack(one_row: DataFrame, names: Sequence[str], fields: dict[str, str]) -> DataFrame:
@@ -133,70 +133,41 @@ def profile(df: DataFrame, ts: str, cols: Sequence[str], by: str = "hour", serie
 
 def exact_median(
     df: DataFrame, series: Sequence[str], value: str, out: str = "median", relative_error: float | None = None,
-    max_rows: int | None = None,
 ) -> DataFrame:
     """Exact median per series (NULLs ignored), midpoint of the two middle
     values for an even count.
 
-    Groups proven (by one count job, or ``max_rows``) to hold at most
-    ``SINGLE_TASK_MAX_ROWS`` values are ranked by a per-series sort window.
-    Larger groups never sit in one task: values are ranked by the chunked
-    ``row_index`` (a hot series is spread over quantile chunks). Either way
-    the one or two middle ranks are averaged. ``relative_error`` switches
-    to the bounded-memory ``percentile_approx`` sketch instead.
+    One path at every size: equal values are counted first (map side, so a
+    value that fills a series is one row per task), the distinct values are
+    cut into ranges, and the values that hold the one or two middle positions
+    are found from running counts. ``relative_error`` switches to the
+    bounded-memory ``percentile_approx`` sketch instead.
     """
     series = list(series)
     v = df.select(*series, X.nan_to_null(value).alias("__v")).where(F.col("__v").isNotNull())
     if relative_error is not None:
         acc = int(max(1, round(1.0 / relative_error)))
         return v.groupBy(*series).agg(F.percentile_approx("__v", 0.5, acc).cast("double").alias(out))
-    if max_rows is None:
-        max_rows = max_group_rows(v, series)
-    if max_rows <= SINGLE_TASK_MAX_ROWS:
-        ranked = v.withColumns({
-            "__r": F.row_number().over(Window.partitionBy(*series).orderBy("__v")) - 1,
-            "__n": F.count(F.lit(1)).over(Window.partitionBy(*series)),
-        })
-    else:
-        counts = v.groupBy(*series).agg(F.count(F.lit(1)).alias("__n"))
-        ranked = row_index(v, series, ["__v"], idx_col="__r", chunks=default_chunks(df.sparkSession))
-        ranked = ranked.join(counts, series) if series else ranked.withColumn("__n", counts.select("__n").scalar())
-    lo = F.floor((F.col("__n") - 1) / 2)
-    hi = F.ceil((F.col("__n") - 1) / 2)
-    picked = ranked.where((F.col("__r") == lo) | (F.col("__r") == hi))
-    return picked.groupBy(*series).agg(F.avg("__v").alias(out))
-
-
-def _array_middle(arr) -> F.Column:
-    n = F.size(arr)
-    lo = F.floor((n - 1) / 2).cast("int") + 1
-    hi = F.ceil((n - 1) / 2).cast("int") + 1
-    return F.when(n > 0, (F.element_at(arr, lo) + F.element_at(arr, hi)) / 2.0)
+    counts = v.groupBy(*series, "__v").agg(F.count(F.lit(1)).alias("__c"))
+    t = add_chunk_offsets(range_chunks(counts, [*series, "__v"]), series, F.col("__c"), "__off", "__n")
+    upto = Window.partitionBy(*series, "__chunk").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.col("__off") + F.sum("__c").over(upto)  # positions [end - c, end)
+    t = t.withColumns({"__a": end - F.col("__c"), "__z": end})
+    middle = [F.floor((F.col("__n") - 1) / 2), F.ceil((F.col("__n") - 1) / 2)]
+    times = sum(((F.col("__a") <= m) & (m < F.col("__z"))).cast("int") for m in middle)
+    return t.withColumn("__m", times).where("__m > 0").groupBy(*series).agg((F.sum(F.col("__v") * F.col("__m")) / 2).alias(out))
 
 
 def median_mad(df: DataFrame, series: Sequence[str], value: str, relative_error: float | None = None) -> DataFrame:
-    """Per series median and MAD = median(|x - median|).
-
-    Groups proven bounded (at most ``SINGLE_TASK_MAX_ROWS`` values) are done
-    in one grouped pass: the group's values are sorted once, the middle
-    gives the median, and the sorted absolute deviations give the MAD.
-    Larger groups use the chunked ranked path twice (median, then MAD)."""
+    """Per series median and MAD = median(|x - median|), both by
+    ``exact_median``; no group is gathered in one row or task."""
     series = list(series)
-    max_rows = None
-    if relative_error is None:
-        v = df.select(*series, X.nan_to_null(value).alias("__v")).where(F.col("__v").isNotNull())
-        max_rows = max_group_rows(v, series)
-        if max_rows <= SINGLE_TASK_MAX_ROWS:
-            g = v.groupBy(*series).agg(F.array_sort(F.collect_list("__v")).alias("__a"))
-            g = g.withColumn("median", _array_middle(F.col("__a")))
-            dev = F.array_sort(F.transform("__a", lambda x: F.abs(x - F.col("median"))))
-            return g.select(*series, "median", _array_middle(dev).alias("mad"))
-    med = exact_median(df, series, value, "median", relative_error, max_rows)
+    med = exact_median(df, series, value, "median", relative_error)
     if series:
         dev = df.join(med, series).select(*series, F.abs(X.nan_to_null(value) - F.col("median")).alias("__d"))
     else:
         dev = df.select(F.abs(X.nan_to_null(value) - med.select("median").scalar()).alias("__d"))
-    mad = exact_median(dev, series, "__d", "mad", relative_error, max_rows)
+    mad = exact_median(dev, series, "__d", "mad", relative_error)
     return med.join(mad, series) if series else med.select("median", mad.select("mad").scalar().alias("mad"))
 
 

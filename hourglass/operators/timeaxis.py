@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourglass.functions import exprs as X
-from hourglass.session import shuffle_partitions
+from hourglass.session import materialize, shuffle_partitions
 
 UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
 
@@ -138,70 +138,26 @@ def add_temporal_features(df: DataFrame, ts: str, cyclical: bool = True) -> Data
     return df.withColumns(parts)
 
 
-def _order_key(df: DataFrame, c: str) -> Column:
-    """The leading order column as a DOUBLE (timestamps as epoch microseconds)."""
-    dt = df.schema[c].dataType
-    if isinstance(dt, T.TimestampNTZType):
-        return X.wall_micros(c).cast("double")  # monotone in wall-clock time, zone-free
-    if isinstance(dt, T.TimestampType):
-        return F.unix_micros(F.col(c)).cast("double")
-    if isinstance(dt, T.DateType):
-        return F.unix_date(F.col(c)).cast("double")
-    return F.col(c).cast("double")
+def range_chunks(df: DataFrame, order: Sequence[str], chunks: int | None = None) -> DataFrame:
+    """``df`` with ``__chunk``: rows dealt by range over all ``order`` columns
+    together, so chunk numbers ascend with the order and a value that fills
+    most rows of the first columns is split by the columns after it. The
+    result is checkpointed: the chunk of a row never changes afterwards."""
+    n = chunks or shuffle_partitions(df.sparkSession)
+    return materialize(df.repartitionByRange(n, *order).withColumn("__chunk", F.spark_partition_id()))
 
 
-def bucket_of(x: Column, bounds: Sequence[float]) -> Column:
-    """Number of ``bounds`` that are <= x, as a balanced CASE tree (log2 depth,
-    stays inside whole-stage codegen). NULL goes to bucket 0."""
-
-    def tree(lo: int, hi: int) -> Column:
-        # answer lies in [lo, hi]
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(x < F.lit(bounds[mid - 1]), tree(lo, mid - 1)).otherwise(tree(mid, hi))
-
-    return F.when(x.isNull(), F.lit(0)).otherwise(tree(0, len(bounds)))
-
-
-def with_bucket(df: DataFrame, key: Column, bounds: Sequence[float], out: str, tree_max: int = 64) -> DataFrame:
-    """Add ``out`` = number of ``bounds`` <= key (NULL -> 0). Few bounds: a
-    CASE tree inside codegen; many: MLlib ``Bucketizer`` (a JVM binary search
-    over the split array, so the expression does not grow with the bounds)."""
-    if len(bounds) <= tree_max:
-        return df.withColumn(out, bucket_of(key, bounds))
-    from pyspark.ml.feature import Bucketizer
-
-    inf = float("inf")
-    t = df.withColumn("__bkey", F.coalesce(key, F.lit(-inf)))
-    b = Bucketizer(splits=[-inf, *bounds, inf], inputCol="__bkey", outputCol="__bidx", handleInvalid="keep")
-    return b.transform(t).withColumn(out, F.col("__bidx").cast("int")).drop("__bkey", "__bidx")
-
-
-def quantile_bounds(df: DataFrame, key: Column, chunks: int) -> list[float]:
-    """Split points giving ``chunks`` near-equal row ranges of ``key`` (one
-    small driver result of at most chunks - 1 numbers)."""
-    if chunks <= 1:
-        return []
-    probs = [i / chunks for i in range(1, chunks)]
-    vals = df.select(key.alias("__k")).approxQuantile("__k", probs, 0.25 / chunks)
-    return sorted(set(vals))
-
-
-# Largest group one task may hold whole (a plain per-series window or an
-# exact median aggregate). Above it the chunked, skew-proof forms are used.
-SINGLE_TASK_MAX_ROWS = 2_000_000
-
-
-def max_group_rows(df: DataFrame, series: Sequence[str]) -> int:
-    """Rows in the largest group (one small aggregate job; result is one number)."""
-    if not series:
-        return df.count()
-    return df.groupBy(*series).count().agg(F.max("count")).first()[0] or 0
-
-
-def default_chunks(spark) -> int:
-    return int(min(max(2 * shuffle_partitions(spark), 64), 16384))
+def add_chunk_offsets(df: DataFrame, series: Sequence[str], weight: Column, off: str, total: str) -> DataFrame:
+    """Add ``off`` (weight of the same series in earlier chunks) and ``total``
+    (weight of the series) from the small (series, chunk) table."""
+    per = df.groupBy(*[F.col(c).alias(f"__k_{c}") for c in series], F.col("__chunk").alias("__k")).agg(F.sum(weight).alias("__w"))
+    mine = Window.partitionBy(*[f"__k_{c}" for c in series])
+    before = mine.orderBy("__k").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.withColumns({off: F.coalesce(F.sum("__w").over(before), F.lit(0)), total: F.sum("__w").over(mine)})
+    same = F.col("__chunk") == F.col("__k")
+    for c in series:
+        same = same & F.col(c).eqNullSafe(F.col(f"__k_{c}"))
+    return df.join(per, same).select(*df.columns, off, total)
 
 
 def row_index(
@@ -214,32 +170,16 @@ def row_index(
     """Dense 0-based position of each row inside its series by ``order``.
 
     ``order`` should make rows unique inside a series (add tie-breakers).
-    No task ever holds a whole series: the leading order column is cut into
-    ``chunks`` ranges at approximate quantiles (so a hot series is spread
-    over all of them), positions are numbered inside each (series, chunk)
-    with ``row_number``, and each chunk gets the count of its series' rows in
-    earlier chunks from a prefix over the small (series, chunk) count table.
-    Every step is a deterministic function of the data, so recomputation
-    after an executor loss yields the same index. When one count job shows
-    that the largest series has at most ``SINGLE_TASK_MAX_ROWS`` rows (and
-    ``chunks`` is not forced), a plain ``row_number`` window is used instead.
+    There is one path at every size: rows are cut into ranges of (series,
+    order) (``range_chunks``; a hot series and a hot time spread over many),
+    numbered inside each (series, chunk), and each chunk adds its series'
+    rows in earlier chunks.
     """
     series, order = list(series), list(order)
-    if chunks is None and max_group_rows(df, series) <= SINGLE_TASK_MAX_ROWS:
-        # every series fits one task: a plain numbering window is exact and bounded
-        w = Window.partitionBy(*series).orderBy(*order)
-        return df.withColumn(idx_col, (F.row_number().over(w) - 1).cast("long"))
-    key = _order_key(df, order[0])
-    bounds = quantile_bounds(df, key, chunks or default_chunks(df.sparkSession))
-    t = with_bucket(df, key, bounds, "__chunk")
-    counts = t.groupBy(*series, "__chunk").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy(*series).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*series, "__chunk", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    t = range_chunks(df, [*series, *order], chunks)
     w = Window.partitionBy(*series, "__chunk").orderBy(*order)
-    local = t.withColumn("__local", F.row_number().over(w) - 1)
-    return local.join(offsets, [*series, "__chunk"]).select(
-        *df.columns, (F.col("__local") + F.col("__off")).cast("long").alias(idx_col)
-    )
+    local = add_chunk_offsets(t, series, F.lit(1), "__off", "__total").withColumn("__local", F.row_number().over(w) - 1)
+    return local.select(*df.columns, (F.col("__local") + F.col("__off")).cast("long").alias(idx_col))
 
 
 def synthetic_time_index(df: DataFrame, idx_col: str, n_col: str, end: str, unit: str = "hour",

@@ -304,19 +304,11 @@ def ordered_features(
     """``window_features`` for series without a dense position (irregular
     time, ties broken by ``order``); adds ``idx_col`` as well.
 
-    When one count job proves every series has at most
-    ``SINGLE_TASK_MAX_ROWS`` rows, the numbering and all features are one
-    window pass ordered by ``order`` (one exchange, one sort). Otherwise the
-    chunked ``row_index`` supplies the position and the features run on
-    halo buckets, so no task holds a whole hot series.
+    ``row_index`` supplies the position and the features run on halo
+    buckets, so no task holds a whole hot series.
     """
     from hourglass.operators import timeaxis
 
     series, order = list(series), list(order)
-    if timeaxis.max_group_rows(df, series) <= timeaxis.SINGLE_TASK_MAX_ROWS:
-        w = Window.partitionBy(*series).orderBy(*order)
-        pos = (F.row_number().over(w) - 1).cast("long")
-        t = df.withColumn(idx_col, pos)
-        return window_features(t, series, idx_col, cols, lags, roll_windows, slope_windows, bucket_rows=None)
-    t = timeaxis.row_index(df, series, order, idx_col, chunks=timeaxis.default_chunks(df.sparkSession))
+    t = timeaxis.row_index(df, series, order, idx_col)
     return window_features(t, series, idx_col, cols, lags, roll_windows, slope_windows, bucket_rows=bucket_rows)

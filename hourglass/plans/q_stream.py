@@ -202,7 +202,25 @@ def stream_ingest(spark, sf_dir):
     return spark.read.parquet(sink).select("event_id", "CO", "NOx", "raw")
 
 
-@query("stream_features")
+SPANS = (3, 6, 12, 24)
+
+
+def _features_sql() -> str:
+    lags = ", ".join(f"lag(value, {k}) OVER o AS value_lag{k}" for k in (1, 2, 3, 24))
+    rolls = ", ".join(f"avg(value) OVER (o ROWS {w - 1} PRECEDING) AS value_roll_mean_{w}, "
+                      f"coalesce(stddev_samp(value) OVER (o ROWS {w - 1} PRECEDING), 0.0) AS value_roll_std_{w}" for w in SPANS)
+    first = ", ".join(f"value AS value_ema_{s}" for s in SPANS)
+    then = ", ".join(f"m.value_ema_{s} + (2.0::DOUBLE / {s + 1}) * (e.value - m.value_ema_{s})" for s in SPANS)
+    emas = ", ".join(f"value_ema_{s}" for s in SPANS)
+    return f"""WITH RECURSIVE e AS (
+  SELECT event_type AS series, ts, event_id, value, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS i FROM events),
+m AS (SELECT series, i, {first} FROM e WHERE i = 1
+  UNION ALL SELECT e.series, e.i, {then} FROM m JOIN e ON e.series = m.series AND e.i = m.i + 1),
+f AS (SELECT series, ts, event_id, value, i, {lags}, {rolls} FROM e WINDOW o AS (PARTITION BY series ORDER BY ts, event_id))
+SELECT f.* EXCLUDE (i), {emas}, false AS late FROM f JOIN m ON f.series = m.series AND f.i = m.i"""
+
+
+@query("stream_features", _features_sql())
 def stream_features(spark, sf_dir):
     """Online lag/rolling/EMA features per event type from the events
     stream, with bounded keyed state; returns the sink contents."""
@@ -210,10 +228,10 @@ def stream_features(spark, sf_dir):
 
     schema = spark.read.parquet(table_path(sf_dir, "events")).schema
     stream = (spark.readStream.schema(schema).parquet(_stream_path(sf_dir, "events"))
-              .select(F.col("event_type").alias("series"), "ts", "value"))
-    out = feature_stream(stream, "series", "ts", "value")
+              .select(F.col("event_type").alias("series"), "ts", "event_id", "value"))
+    out = feature_stream(stream, "series", "ts", "value", spans=SPANS, tie="event_id")
     sink, ckpt = _scratch(spark, "features"), _scratch(spark, "features_ckpt")
     q = (out.writeStream.format("parquet").option("path", sink).option("checkpointLocation", ckpt)
          .outputMode("append").trigger(availableNow=True).start())
     jobs.run_available(q)
-    return r6(spark.read.schema(out.schema).parquet(sink))
+    return spark.read.schema(out.schema).parquet(sink)

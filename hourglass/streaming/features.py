@@ -1,10 +1,10 @@
 """Streaming lag / rolling / EMA features per series.
 
-Keyed state per series holds only the last ``reach`` values, the last event
-time and one EMA accumulator per span, so state size is bounded by the
-feature reach, not by the stream length. Rows at or before the last seen
-time of their series are late: they are dropped and counted in the output
-column ``late_dropped`` of the next emitted row set.
+Keyed state per series holds only the last ``reach`` values, the place (time,
+tie-breaker) of the last row and one EMA accumulator per span, so state size is
+bounded by the feature reach, not by the stream length. A row placed before the
+last one of its series, or without a time, comes too late to change what was
+written: it is emitted once with ``late`` true and NULL features.
 """
 
 from __future__ import annotations
@@ -24,60 +24,65 @@ def feature_names(col: str, lags: Sequence[int], windows: Sequence[int], spans:
             + [f"{col}_roll_std_{w}" for w in windows] + [f"{col}_ema_{s}" for s in spans])
 
 
+def _trailing(full: np.ndarray, w: int) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and sample std (0 for one value) of the last ``w`` values, NaN skipped."""
+    x = np.lib.stride_tricks.sliding_window_view(np.concatenate([np.full(w - 1, np.nan), full]), w)
+    n = (~np.isnan(x)).sum(axis=1)
+    mean = np.where(n > 0, np.nansum(x, axis=1) / np.maximum(n, 1), np.nan)
+    sq = np.nansum((x - mean[:, None]) ** 2, axis=1)
+    return mean, np.where(n > 1, np.sqrt(sq / np.maximum(n - 1, 1)), 0.0)
+
+
 def feature_stream(
     stream: DataFrame, series: str, ts: str, col: str, lags: Sequence[int] = (1, 2, 3, 24),
-    windows: Sequence[int] = (3, 6, 12, 24), spans: Sequence[int] = (3, 6, 12, 24),
+    windows: Sequence[int] = (3, 6, 12, 24), spans: Sequence[int] = (3, 6, 12, 24), tie: str | None = None,
 ) -> DataFrame:
-    """Append-mode feature rows (series, ts, value, features..., late_dropped)
-    for each new row; equal to the batch window operators on the same
-    ordered data."""
+    """Append-mode rows (series, ts, tie, value, features..., late), one for
+    each input row. Rows are ordered by (ts, ``tie``), ``tie`` an integer
+    column; a stream that arrives in that order gives the same rows, equal to
+    the batch window operators, however it is cut into micro-batches. Rows
+    with equal places keep their order of arrival."""
     ship_package(stream.sparkSession)
     reach = max([*lags, *(w - 1 for w in windows), 1])
     names = feature_names(col, lags, windows, spans)
     key_type = dict(stream.dtypes)[series]
-    out_schema = ", ".join([f"{series} {key_type}", f"{ts} timestamp_ntz", f"{col} double"]
-                           + [f"{n} double" for n in names] + ["late_dropped long"])
-    state_schema = "hist array<double>, last_ts timestamp_ntz, ema array<double>, seen long"
-    alphas = [2.0 / (s + 1.0) for s in spans]
+    out_schema = ", ".join([f"{series} {key_type}", f"{ts} timestamp_ntz", *([f"{tie} long"] if tie else []), f"{col} double"]
+                           + [f"{n} double" for n in names] + ["late boolean"])
+    state_schema = "hist array<double>, last_ts timestamp_ntz, last_tie long, ema array<double>"
+    place = [ts, tie] if tie else [ts]
 
     def step(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(pdfs), ignore_index=True).sort_values(ts)
-        if state.exists:
-            hist, last_ts, ema, seen = state.get
-            hist = list(hist or [])
-            ema = list(ema) if ema is not None else None
-        else:
-            hist, last_ts, ema, seen = [], None, None, 0
-        late = 0
+        batch = pd.concat(list(pdfs), ignore_index=True).sort_values(place, kind="stable")
+        hist, last_ts, last_tie, ema = state.get if state.exists else ([], None, None, None)
+        late = batch[ts].isna()
         if last_ts is not None:
-            keep = batch[ts] > pd.Timestamp(last_ts)
-            late = int((~keep).sum())
-            batch = batch[keep]
+            last_ts = pd.Timestamp(last_ts)
+            late |= batch[ts] < last_ts
+            if tie:
+                late |= (batch[ts] == last_ts) & (batch[tie] < last_tie)
+        gone, batch = batch[late], batch[~late]
+        if len(gone):
+            yield pd.DataFrame({series: key[0], **{c: gone[c].to_numpy() for c in place}, col: gone[col].astype(float).to_numpy(),
+                                **dict.fromkeys(names, np.nan), "late": True})
         if batch.empty:
             return
         vals = batch[col].astype(float).to_numpy()
-        full = pd.Series(np.concatenate([np.asarray(hist, dtype=float), vals]))
         h = len(hist)
-        out = pd.DataFrame({series: key[0], ts: batch[ts].to_numpy(), col: vals})
+        full = np.concatenate([np.asarray(hist, dtype=float), vals])
+        out = pd.DataFrame({series: key[0], **{c: batch[c].to_numpy() for c in place}, col: vals})
         for k in lags:
-            out[f"{col}_lag{k}"] = full.shift(k).to_numpy()[h:]
+            out[f"{col}_lag{k}"] = pd.Series(full).shift(k).to_numpy()[h:]
         for w in windows:
-            r = full.rolling(w, min_periods=1)
-            out[f"{col}_roll_mean_{w}"] = r.mean().to_numpy()[h:]
-            out[f"{col}_roll_std_{w}"] = r.std().fillna(0.0).to_numpy()[h:]
-        cur = list(ema) if ema is not None else None
-        emas = np.empty((len(vals), len(spans)))
-        for i, v in enumerate(vals):
-            if cur is None:
-                cur = [float(v)] * len(spans)
-            else:
-                cur = [(1 - a) * c + a * float(v) for a, c in zip(alphas, cur)]
-            emas[i] = cur
+            mean, std = _trailing(full, w)
+            out[f"{col}_roll_mean_{w}"], out[f"{col}_roll_std_{w}"] = mean[h:], std[h:]
         for j, s in enumerate(spans):
-            out[f"{col}_ema_{s}"] = emas[:, j]
-        out["late_dropped"] = late
-        state.update((full.to_numpy()[-reach:].tolist(), batch[ts].iloc[-1].to_pydatetime(), cur, int(seen) + len(vals)))
-        yield out
+            run = pd.Series(vals if ema is None else np.concatenate([[ema[j]], vals]))
+            out[f"{col}_ema_{s}"] = run.ewm(span=s, adjust=False).mean().to_numpy()[len(run) - len(vals):]
+        out["late"] = False
+        last = batch.iloc[-1]
+        state.update((full[-reach:].tolist(), last[ts].to_pydatetime(), int(last[tie]) if tie else 0,
+                      [float(out[f"{col}_ema_{s}"].iloc[-1]) for s in spans]))
+        yield out[[series, *place, col, *names, "late"]]
 
     return stream.groupBy(series).applyInPandasWithState(
         step, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)

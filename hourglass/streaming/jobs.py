@@ -75,22 +75,31 @@ def hourly_stream(stream: DataFrame, series: Sequence[str], ts: str, cols: Seque
 
 
 def score(stream: DataFrame, model, stats: dict[str, tuple[float, float]], features: Sequence[str],
-          default: float = 0.0, drift_threshold: float = M.DRIFT_THRESHOLD) -> DataFrame:
+          default: float = 0.0, drift_threshold: float = M.DRIFT_THRESHOLD, arrived: str | None = None) -> DataFrame:
     """L9 + M14 + L7 + A12: fill missing features with ``default``, score with
-    a fitted PipelineModel, flag drift, and shape a prediction-log row."""
+    a fitted PipelineModel (column ``prediction``) or with several (a dict of
+    column name to model), flag drift, and shape a prediction-log row.
+
+    ``latency_sec`` is the time from ``arrived`` (a timestamp column, such as
+    the broker's) to the micro-batch that scores the row; NULL without it."""
     from hourglass.operators.clean import fill_default
 
+    models = model if isinstance(model, dict) else {"prediction": model}
     t = stream.withColumns({f: fill_default(f, default) for f in features})
     t = M.drift_columns(t, stats, drift_threshold)
-    t = model.transform(t.withColumn("__t0", F.current_timestamp()))
-    t = t.withColumn(
-        "latency_sec", (F.unix_micros(F.current_timestamp()) - F.unix_micros("__t0")) / 1e6
-    ).drop("__t0")
+    for name, fitted in models.items():
+        kept = [F.col(c) for c in t.columns]
+        t = fitted.transform(t).select(*kept, F.col("prediction").alias(name))
+    latency = (F.unix_micros(F.current_timestamp()) - F.unix_micros(F.col(arrived).cast("timestamp"))) / 1e6 if arrived else F.lit(None)
+    t = t.withColumn("latency_sec", latency.cast("double"))
+    failed = F.lit(False)
+    for name in models:
+        failed = failed | F.col(name).isNull() | F.isnan(name)
     # Prediction count, failed predictions, latency summary, drift gauge
     return t.observe(
         "scoring",
         F.count(F.lit(1)).alias("predictions"),
-        F.count_if(F.col("prediction").isNull() | F.isnan("prediction")).alias("prediction_errors"),
+        F.count_if(failed).alias("prediction_errors"),
         F.avg("latency_sec").alias("latency_avg"),
         F.max("latency_sec").alias("latency_max"),
         F.max(F.col("drift").cast("int")).alias("drift"),

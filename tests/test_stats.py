@@ -40,18 +40,16 @@ def test_pvalues(spark):
     assert r.stars == ("***" if r.p < 0.001 else "**" if r.p < 0.01 else "*" if r.p < 0.05 else "")
 
 
-@pytest.mark.parametrize("forced_chunks", [False, True])
 @pytest.mark.parametrize("n", [1, 2, 7, 10])
-def test_exact_median_and_mad(spark, n, forced_chunks, monkeypatch):
-    if forced_chunks:  # take the skew-proof ranked path even for small groups
-        monkeypatch.setattr(stats, "SINGLE_TASK_MAX_ROWS", 0)
+def test_exact_median_and_mad(spark, n):
     rng = np.random.default_rng(n)
     vals = rng.integers(0, 5, size=n).astype(float)  # ties on purpose
     big = rng.normal(size=999)
-    data = [("s", float(v)) for v in vals] + [("hot", float(v)) for v in big] + [("s", None)]
+    stuck = np.concatenate([np.full(900, 7.0), rng.normal(size=100)])  # a sensor that repeats one value
+    data = [("s", float(v)) for v in vals] + [("hot", float(v)) for v in big] + [("s", None)] + [("stuck", float(v)) for v in stuck]
     df = spark.createDataFrame(data, "k string, v double")
     got = {r.k: (r.median, r.mad) for r in stats.median_mad(df, ["k"], "v").collect()}
-    for k, arr in (("s", vals), ("hot", big)):
+    for k, arr in (("s", vals), ("hot", big), ("stuck", stuck)):
         med = float(np.median(arr))
         assert got[k][0] == pytest.approx(med)
         assert got[k][1] == pytest.approx(float(np.median(np.abs(arr - med))))

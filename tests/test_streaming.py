@@ -123,12 +123,43 @@ def test_feature_stream_matches_batch(spark):
     b = windows.window_features(b, ["s"], "idx", ["v"], lags=(1, 2, 3, 24), roll_windows=(3, 6, 12, 24))
     b = ema.ema_features(b, ["s"], "idx", ["v"], (3, 6, 12, 24))
     exp = b.toPandas().sort_values(["s", "ts"]).reset_index(drop=True)
-    assert len(got) == len(exp) == 240 and (got["late_dropped"] == 0).all()
+    assert len(got) == len(exp) == 240 and not got["late"].any()
     for c in feature_names("v", (1, 2, 3, 24), (3, 6, 12, 24), (3, 6, 12, 24)):
         np.testing.assert_allclose(got[c].astype(float), exp[c].astype(float), rtol=1e-9, atol=1e-9, equal_nan=True, err_msg=c)
     assert pd is not None
 
 
+def test_feature_stream_does_not_depend_on_the_split(spark):
+    import datetime as dt
+
+    from hourglass.streaming.features import feature_stream
+
+    base = dt.datetime(2024, 1, 1)
+    rows = [("a", base + dt.timedelta(hours=i // 3), i, float(i * i % 7)) for i in range(20)]  # three rows share each hour
+    late = ("a", base, -1, 1.0)
+    ddl = "s string, ts timestamp_ntz, id long, v double"
+
+    def run(parts):
+        tmp = tempfile.mkdtemp(dir="/tmp")
+        src = os.path.join(tmp, "in")
+        for part in parts:
+            spark.createDataFrame(part, ddl).coalesce(1).write.mode("append").parquet(src)
+            time.sleep(1.1)
+        stream = spark.readStream.schema(ddl).option("maxFilesPerTrigger", 1).parquet(src)
+        q = (feature_stream(stream, "s", "ts", "v", tie="id").writeStream.format("parquet").option("path", os.path.join(tmp, "out"))
+             .option("checkpointLocation", os.path.join(tmp, "c")).outputMode("append").trigger(availableNow=True).start())
+        jobs.run_available(q)
+        return spark.read.parquet(os.path.join(tmp, "out")).orderBy("id").toPandas()
+
+    one, two = run([rows]), run([rows[:10], rows[10:], [late]])
+    assert len(one) == 20 and len(two) == 21 and two["late"].tolist() == [True] + [False] * 20
+    kept = two[~two["late"]].reset_index(drop=True)
+    for c in one.columns:
+        if one[c].dtype == float:
+            assert (one[c].isna() == kept[c].isna()).all() and ((one[c] - kept[c]).abs().fillna(0) < 1e-12).all(), c
+    assert two.loc[0, "v"] == 1.0 and two.loc[0, [c for c in two.columns if c.startswith("v_")]].isna().all()
+
+
 def test_score_stream_metrics(spark):
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import VectorAssembler
@@ -139,13 +170,17 @@ def test_score_stream_metrics(spark):
                              LinearRegression(labelCol="y")]).fit(train)
     tmp = tempfile.mkdtemp(dir="/tmp")
     src = _src(spark, tmp)
-    d = M.decode(spark.readStream.schema("offset int, value string").json(src), "value")
-    scored = jobs.score(d, model, {"CO": (2.0, 1.0)}, ["CO"])
-    log = jobs.prediction_log(scored, ["CO"], {"linear": "prediction"})
+    half = Pipeline(stages=[VectorAssembler(inputCols=["CO"], outputCol="features"),
+                            LinearRegression(labelCol="y", regParam=5.0)]).fit(train)
+    lines = spark.readStream.schema("offset int, value string").json(src).select("*", "_metadata.file_modification_time")
+    d = M.decode(lines, "value")
+    scored = jobs.score(d, {"linear": model, "ridge": half}, {"CO": (2.0, 1.0)}, ["CO"], arrived="file_modification_time")
+    log = jobs.prediction_log(scored, ["CO"], {"linear": "linear", "ridge": "ridge"})
     q = (log.writeStream.format("parquet").option("path", os.path.join(tmp, "o"))
          .option("checkpointLocation", os.path.join(tmp, "c")).trigger(availableNow=True).start())
     jobs.run_available(q)
     m = q.lastProgress["observedMetrics"]["scoring"]
     assert m["predictions"] == 6 and m["prediction_errors"] == 0 and m["drift"] == 1
     out = spark.read.parquet(os.path.join(tmp, "o"))
-    assert out.count() == 6 and set(out.columns) >= {"data", "predictions", "latency_sec", "drift"}
+    assert out.count() == 6 and set(out.columns) >= {"offset", "data", "predictions", "latency_sec", "drift"}
+    assert out.where("predictions.linear IS NULL OR predictions.ridge IS NULL OR NOT latency_sec > 0").count() == 0

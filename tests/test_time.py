@@ -40,12 +40,25 @@ def test_row_index_matches_rank_with_many_chunks(spark):
     df = spark.createDataFrame(data, "s string, t long, id long")
     pdf = pd.DataFrame(data, columns=["s", "t", "id"])
     pdf["exp"] = pdf.sort_values(["t", "id"]).groupby("s").cumcount()
-    for chunks in (17, 300, None):  # CASE tree, Bucketizer, bounded window
+    for chunks in (17, 300, None):
         out = timeaxis.row_index(df, ["s"], ["t", "id"], chunks=chunks).toPandas()
         m = out.merge(pdf, on=["s", "t", "id"])
         assert len(m) == len(data) and (m["idx"] == m["exp"]).all()
 
 
+def test_chunks_split_a_tied_time(spark):
+    df = spark.range(40_000).selectExpr("'s' AS s", "if(id % 10 < 9, 5L, id) AS t", "id")
+    sizes = [r["count"] for r in timeaxis.range_chunks(df, ["s", "t", "id"], 16).groupBy("__chunk").count().collect()]
+    assert sum(sizes) == 40_000 and max(sizes) <= 2 * 40_000 / 16
+    out = timeaxis.row_index(df, ["s"], ["t", "id"], chunks=16).orderBy("t", "id").select("idx").toPandas()
+    assert (out["idx"] == range(40_000)).all()
+
+
+def test_row_index_keeps_missing_series(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), ("a", 1)], "s string, t int")
+    assert sorted((r.s or "", r.idx) for r in timeaxis.row_index(df, ["s"], ["t"]).collect()) == [("", 0), ("", 1), ("a", 0)]
+
+
 def test_synthetic_index(spark):
     df = spark.createDataFrame([(0, 3), (1, 3), (2, 3)], "idx long, n long")
     out = timeaxis.synthetic_time_index(df, "idx", "n", "2024-02-01 00:00:00").orderBy("idx").collect()
