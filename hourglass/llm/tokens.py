@@ -74,7 +74,7 @@ class PieceEncoder:
             self.begin.frombytes(begin.astype(np.uint64).tobytes())
             self.count.frombytes((end - begin).astype(np.uint32).tobytes())
         self.table.update(zip(plain, range(len(self.table), len(self.table) + len(plain))))
-        other = [p for p in pieces if p not in self.table]
+        other = pieces if not plain else [p for p in pieces if not _PLAIN(p)] if len(plain) < len(pieces) else []
         for piece, enc in zip(other, encode(other, add_special_tokens=False)):
             self.table[piece] = len(self.begin)
             self.begin.append(len(self.flat))
@@ -96,9 +96,12 @@ class PieceEncoder:
             ends.append(len(parts))
         get = self.table.get
         found = list(map(get, parts))
-        if None in found:
-            self._learn(list({p for p, i in zip(parts, found) if i is None}))
-            found = list(map(get, parts))
+        if None in found:  # only new pieces are looked up again
+            missing = [i for i, f in enumerate(found) if f is None]
+            fresh = [parts[i] for i in missing]
+            self._learn(list(dict.fromkeys(fresh)))
+            for i, at in zip(missing, map(get, fresh)):
+                found[i] = at
         which = np.fromiter(found, dtype=np.int64, count=len(found))
         # views; nothing keeps them when the table grows again
         flat = np.frombuffer(self.flat, dtype=np.uint32)
