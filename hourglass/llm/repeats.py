@@ -191,7 +191,8 @@ def repeated_spans(docs: DataFrame, codec, width: int, gram: int, solve, id_col:
         if found:
             yield emit()
 
-    segments = base.filter(~F.col("_copy")).join(wanted, ["_ord", "_v"]).select("_ord", "_v", "_id", "_text", "_cand").mapInArrow(
+    # only first texts have candidates; same rows and columns as in the last join, so that both read one exchange
+    segments = base.join(wanted, ["_ord", "_v"]).select("_ord", "_v", "_id", "_text", "_copy", "_cand").mapInArrow(
         cut, "h long, _ord long, _v int, s int, n int, seg binary")
     dealt = segments.repartition(partitions(docs.sparkSession), "h").sortWithinPartitions("h", "_ord", "_v", "s")
     spans = dealt.mapInArrow(judge, "_ord long, _v int, s int, e int").groupBy("_ord", "_v").agg(
