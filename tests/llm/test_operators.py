@@ -323,6 +323,25 @@ def test_nearest(spark):
     assert nndescent.nearest(df.limit(0), F.col("id") % 20 == 0).count() == 0
 
 
+def test_nearest_settles_and_unfolds_copies(spark):
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((3000, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[::3] = x[0]  # a third of the table is one vector
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = nndescent.nearest(df, F.col("id") % 20 == 0, top=20).toPandas().sort_values(["query_id", "rank"])
+    found = {q: g for q, g in got.groupby("query_id")}
+    assert sorted(found) == list(range(0, 3000, 20))
+    hit = 0
+    for q, g in found.items():
+        best = [int(i) for i in np.lexsort((np.arange(3000), -np.round(x @ x[q], 12))) if i != q][:20]
+        assert list(g["rank"]) == list(range(1, 21)) and g.vec_id.is_unique
+        if q % 3 == 0:
+            assert list(g.vec_id) == best == [i for i in range(0, 64, 3) if i != q][:20]
+        hit += len(set(best) & set(g.vec_id))
+    assert hit >= 0.9 * 20 * len(found)
+
+
 def test_warc(spark):
     rows = [(1, "u1", "x" * 2000), (2, "u 2", "x" * 2000), (2, "u 2", "x" * 2000), (None, "u", "x" * 2000), (3, None, None),
             (4, "a", "é" * 499), (5, "b", "é" * 499), (6, "", "é" * 500), (7, "c", "é" * 500), (None, None, "z" * 1500)]
