@@ -172,23 +172,41 @@ def _scratch(spark, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-@query("stream_hourly")
+@query(
+    "stream_hourly",
+    """SELECT event_type AS series, date_trunc('hour', ts) AS ts_hour, round(avg(value), 6) AS value_mean, count(*) AS n
+FROM events WHERE ts IS NOT NULL GROUP BY 1, 2""",
+)
 def stream_hourly(spark, sf_dir):
     """The events file read as a stream (availableNow), hourly means per
     event type with a one-hour lateness bound, written to a checkpointed
-    Parquet sink; returns the sink contents (hours closed by the watermark)."""
+    Parquet sink. A second run at the end of the input writes the hours that
+    are still open; returns the sink contents."""
     src = table_path(sf_dir, "events")
     schema = spark.read.parquet(src).schema
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(_stream_path(sf_dir, "events"))
-    out = jobs.hourly_stream(stream.withColumnRenamed("event_type", "series"), ["series"], "ts", ["value"])
-    sink, ckpt = _scratch(spark, "stream_hourly"), _scratch(spark, "stream_hourly_ckpt")
-    q = (out.writeStream.format("parquet").option("path", sink).option("checkpointLocation", ckpt)
-         .outputMode("append").trigger(availableNow=True).start())
-    jobs.run_available(q)
+    sink, ckpt, end = (_scratch(spark, f"stream_hourly{x}") for x in ("", "_ckpt", "_end"))
+    whole = jobs.with_end(stream, "ts", end)
+    out = jobs.hourly_stream(whole.withColumnRenamed("event_type", "series"), ["series"], "ts", ["value"])
+
+    def run():
+        q = (out.writeStream.format("parquet").option("path", sink).option("checkpointLocation", ckpt)
+             .outputMode("append").trigger(availableNow=True).start())
+        jobs.run_available(q)
+
+    run()
+    jobs.end_input(spark, schema, "ts", end)
+    run()
     return r6(spark.read.schema(out.schema).parquet(sink))
 
 
-@query("stream_ingest")
+@query(
+    "stream_ingest",
+    f"""SELECT event_id, CASE WHEN json_valid(msg) THEN TRY_CAST(json_extract_string(msg, '$.k') AS DOUBLE) END AS k,
+       CASE WHEN json_valid(msg) THEN TRY_CAST(json_extract_string(msg, '$.missing') AS DOUBLE) END AS missing,
+       CASE WHEN json_valid(msg) THEN NULL ELSE msg END AS raw
+FROM (SELECT event_id, {_MSG_SQL} AS msg FROM events)""",
+)
 def stream_ingest(spark, sf_dir):
     """Messages decoded from a stream into a checkpointed
     Parquet sink (dead letters kept in ``raw``); returns the sink contents."""
@@ -197,9 +215,9 @@ def stream_ingest(spark, sf_dir):
     stream = (spark.readStream.schema(schema).parquet(_stream_path(sf_dir, "events"))
               .withColumn("msg", _msg_col()).select("event_id", "msg"))
     sink, ckpt = _scratch(spark, "ingest"), _scratch(spark, "ingest_ckpt")
-    q = jobs.ingest(stream, "msg", sink, ckpt)
+    q = jobs.ingest(stream, "msg", sink, ckpt, schema=K_SCHEMA)
     jobs.run_available(q)
-    return spark.read.parquet(sink).select("event_id", "CO", "NOx", "raw")
+    return spark.read.parquet(sink).select("event_id", "k", "missing", "raw")
 
 
 SPANS = (3, 6, 12, 24)

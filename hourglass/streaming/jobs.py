@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hourglass.functions import exprs as X
 from hourglass.streaming import messages as M
@@ -35,8 +36,8 @@ def kafka_sink(df: DataFrame, servers: str, topic: str, checkpoint: str):
 
 
 def ingest(stream: DataFrame, text_col: str, sink_path: str, checkpoint: str, clean_bounds=None,
-           partition_by: Sequence[str] = (), rows_per_file: int | None = None):
-    """A5 + L1 + L4 + L5 + L10: decode -> optional clip -> Parquet sink.
+           partition_by: Sequence[str] = (), rows_per_file: int | None = None, schema: T.StructType = M.MESSAGE_SCHEMA):
+    """A5 + L1 + L4 + L5 + L10: decode by ``schema`` -> optional clip -> Parquet sink.
 
     The checkpoint records offsets and committed files together, so a
     restart neither loses nor duplicates rows (the reference committed
@@ -45,7 +46,7 @@ def ingest(stream: DataFrame, text_col: str, sink_path: str, checkpoint: str, cl
     """
     from hourglass.operators.clean import range_clip
 
-    d = M.decode(stream, text_col)
+    d = M.decode(stream, text_col, schema)
     if clean_bounds:
         d = range_clip(d, clean_bounds)
     d = d.observe("ingest", F.count(F.lit(1)).alias("processed"), F.count_if(F.col("raw").isNotNull()).alias("failed"))
@@ -74,6 +75,28 @@ def hourly_stream(stream: DataFrame, series: Sequence[str], ts: str, cols: Seque
     ).select(*series, F.col("w.start").cast("timestamp_ntz").alias("ts_hour"), *[f"{c}_mean" for c in cols], "n")
 
 
+END = "9999-12-01 00:00:00"
+
+
+def _end_rows(spark: SparkSession, schema: T.StructType, ts: str, n: int) -> DataFrame:
+    return spark.range(n).select(*[F.lit(END if f.name == ts else None).cast(f.dataType).alias(f.name) for f in schema])
+
+
+def with_end(stream: DataFrame, ts: str, folder: str) -> DataFrame:
+    """``stream`` and the rows of ``folder``, where ``end_input`` puts the row
+    that closes all open windows."""
+    spark = stream.sparkSession
+    _end_rows(spark, stream.schema, ts, 0).write.mode("ignore").parquet(folder)
+    return stream.unionByName(spark.readStream.schema(stream.schema).parquet(folder))
+
+
+def end_input(spark: SparkSession, schema: T.StructType, ts: str, folder: str) -> None:
+    """Say that no more input comes: a row far in the future, whose own window
+    is never written. The next run of the query moves the watermark past every
+    open window."""
+    _end_rows(spark, schema, ts, 1).write.mode("append").parquet(folder)
+
+
 def score(stream: DataFrame, model, stats: dict[str, tuple[float, float]], features: Sequence[str],
           default: float = 0.0, drift_threshold: float = M.DRIFT_THRESHOLD, arrived: str | None = None) -> DataFrame:
     """L9 + M14 + L7 + A12: fill missing features with ``default``, score with

@@ -184,3 +184,17 @@ def test_score_stream_metrics(spark):
     out = spark.read.parquet(os.path.join(tmp, "o"))
     assert out.count() == 6 and set(out.columns) >= {"offset", "data", "predictions", "latency_sec", "drift"}
     assert out.where("predictions.linear IS NULL OR predictions.ridge IS NULL OR NOT latency_sec > 0").count() == 0
+
+
+def test_streams_keep_the_whole_input(spark, tmp_path):
+    from hourglass.plans import q_stream
+
+    rows = [(i, f"2024-01-{1 + i % 3:02d} {i % 24:02d}:{i % 60:02d}:00", "error" if i % 5 == 0 else f"t{i % 2}", float(i), f'{{"k": {i}}}') for i in range(200)]
+    ev = spark.createDataFrame(rows, "event_id long, ts string, event_type string, value double, props string")
+    ev = ev.withColumn("ts", F.col("ts").cast("timestamp_ntz")).coalesce(1)
+    ev.write.parquet(str(tmp_path / "dir"))
+    next((tmp_path / "dir").glob("part-*.parquet")).rename(tmp_path / "events.parquet")
+    want = ev.groupBy("event_type", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("h")).agg(F.avg("value"), F.count("*")).collect()
+    assert sorted(map(tuple, q_stream.stream_hourly(spark, str(tmp_path)).collect())) == sorted((a, b, round(c, 6), d) for a, b, c, d in want)
+    got = {r.event_id: (r.k, r.raw) for r in q_stream.stream_ingest(spark, str(tmp_path)).collect()}
+    assert got == {i: (None, "{bad json " + p) if e == "error" else (float(i), None) for i, _, e, _, p in rows}
