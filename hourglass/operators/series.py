@@ -219,7 +219,7 @@ def anomaly_counts(anoms: DataFrame, group: str) -> DataFrame:
     return anoms.rollup(group).agg(F.count(F.lit(1)).cast("long").alias("n"))
 
 
-def summary_table(corr: DataFrame, order: Sequence[str], anoms: DataFrame, group: str, k: int = 5) -> DataFrame:
+def summary_table(corr: DataFrame, order: Sequence[str] | None, anoms: DataFrame, group: str, k: int = 5) -> DataFrame:
     """Section, rank, label, value - the top-k absolute correlations
     (H2) and the anomaly total and per-group counts (E6), largest first."""
     top = stats.top_correlations(corr, order, k).select(

@@ -209,14 +209,34 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], min_n: int = 3) -> DataFrame
     return wide.select(F.inline(F.array(*structs)))
 
 
-def corr_pairs(corr: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Unordered pairs i < j in the given column order."""
+def corr_long(df: DataFrame, on: str, key: str, value: str, min_n: int = 3) -> DataFrame:
+    """E9 on long rows (one per ``on`` and ``key``): Pearson r of every pair of
+    keys in the data over the ``on`` that both have a value for.
+
+    Output: col_a < col_b, n, r (NULL when n < ``min_n`` or a variance is 0).
+    """
+    rows = df.select(on, key, X.nan_to_null(value).alias("v")).where(F.col(key).isNotNull())
+    a = rows.select(on, F.col(key).alias("col_a"), F.col("v").alias("a")).where("a IS NOT NULL")
+    b = rows.select(on, F.col(key).alias("col_b"), F.col("v").alias("b")).where("b IS NOT NULL")
+    r = F.try_divide(F.covar_samp("a", "b"), F.stddev_samp("a") * F.stddev_samp("b"))
+    both = a.join(b, on).where("col_a < col_b").groupBy("col_a", "col_b").agg(
+        F.count(F.lit(1)).alias("n"), r.alias("r"))
+    keys = rows.select(key).distinct()
+    pairs = keys.select(F.col(key).alias("col_a")).join(keys.select(F.col(key).alias("col_b")), F.col("col_a") < F.col("col_b"))
+    return pairs.join(both, ["col_a", "col_b"], "left").select(
+        "col_a", "col_b", F.coalesce("n", F.lit(0)).cast("long").alias("n"), F.when(F.col("n") >= min_n, X.nan_to_null("r")).alias("r"))
+
+
+def corr_pairs(corr: DataFrame, order: Sequence[str] | None) -> DataFrame:
+    """Unordered pairs i < j in the given column order, by name without."""
+    if order is None:
+        return corr.where(F.col("col_a") < F.col("col_b"))
     pos = {c: i for i, c in enumerate(order)}
     m = F.create_map(*[x for c, i in pos.items() for x in (F.lit(c), F.lit(i))])
     return corr.where(m[F.col("col_a")] < m[F.col("col_b")])
 
 
-def top_correlations(corr: DataFrame, order: Sequence[str], k: int = 5) -> DataFrame:
+def top_correlations(corr: DataFrame, order: Sequence[str] | None, k: int = 5) -> DataFrame:
     """H2: top-k pairs by |r| descending, ties by names descending."""
     pairs = corr_pairs(corr, order).select("col_a", "col_b", "r")
     ranked = pairs.orderBy(

@@ -7,7 +7,6 @@ supplies four numeric "sensors" and an irregular series per supplier.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from hourglass.operators import timeaxis
 from hourglass.sources.tables import read_table
@@ -46,13 +45,6 @@ def lineitem4(spark: SparkSession, sf_dir: str, extra=()) -> DataFrame:
     return read_table(spark, sf_dir, "lineitem", [*extra, *LINEITEM4])
 
 
-# The event types play the role of the fixed sensor list (a query parameter,
-# like the pollutant list): one wide column each.
+# The event types of the driver tables, which the SQL writes out as columns;
+# the queries take every type in the data.
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
-
-
-def wide_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ts_hour plus one imputed hourly column per event type (NULL outside
-    that series' time range)."""
-    h = hourly_imputed(spark, sf_dir)
-    return h.groupBy("ts_hour").pivot("series", EVENT_TYPES).agg(F.max("value"))

@@ -11,6 +11,7 @@ from hourglass.operators import stats
 from hourglass.plans import frames
 from hourglass.plans.catalog import query, r6
 from hourglass.plans.sqlparts import HOURLY_CTE
+from hourglass.session import materialize
 
 S = ["series"]
 NLAGS = 40
@@ -180,16 +181,18 @@ def _event_pairs_sql() -> str:
     return "\nUNION ALL\n".join(rows)
 
 
+def _event_pairs(spark, sf_dir):
+    return stats.corr_long(materialize(frames.hourly_imputed(spark, sf_dir)), "ts_hour", "series", "value")
+
+
 @query(
     "event_corr_matrix",
     f"""WITH {HOURLY_CTE}, {_wide_sql()}
 {_event_pairs_sql()}""",
 )
 def event_corr_matrix(spark, sf_dir):
-    """E9 on the wide hourly table (one column per event type, like one column per sensor)."""
-    wide = frames.wide_hourly(spark, sf_dir)
-    c = stats.corr_matrix(wide, frames.EVENT_TYPES)
-    return r6(stats.corr_pairs(c, frames.EVENT_TYPES).select("col_a", "col_b", "r"))
+    """E9 on the hourly table: every pair of event types in the data, like one column per sensor."""
+    return r6(_event_pairs(spark, sf_dir).select("col_a", "col_b", "r"))
 
 
 @query(
@@ -205,7 +208,6 @@ UNION ALL SELECT 'anomalies', CAST(0 AS BIGINT), 'total', CAST(count(*) AS DOUBL
 UNION ALL SELECT 'anomalies', CAST(row_number() OVER (ORDER BY n DESC, series) AS BIGINT), series, CAST(n AS DOUBLE) FROM cnt""",
 )
 def summary_report(spark, sf_dir):
-    wide = frames.wide_hourly(spark, sf_dir)
-    corr = r6(stats.corr_matrix(wide, frames.EVENT_TYPES))
+    corr = r6(_event_pairs(spark, sf_dir))
     anoms = TS.anomaly_table(_scored(spark, sf_dir), S, "ts_hour", "value")
-    return r6(TS.summary_table(corr, frames.EVENT_TYPES, anoms, "series"))
+    return r6(TS.summary_table(corr, None, anoms, "series"))
