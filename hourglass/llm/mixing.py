@@ -2,8 +2,9 @@
 
 Documents fall into cells (source, language, topic).  Starting from the cells'
 token counts, every round scales the cells so that each source's total meets
-its target, then each language's, then each topic's (raking), until all three
-marginals hold.  A cell's factor is its raked weight over its tokens; divided
+its target, then each language's, then each topic's (raking), until no
+marginal is off by more than ``TOLERANCE`` of its target, or, where no weights
+meet all targets, until a round brings them no nearer.  A cell's factor is its raked weight over its tokens; divided
 by the largest factor it is the inclusion probability of the cell's documents,
 so the expected token shares of the sample are the targets and no probability
 exceeds one.  Documents are drawn by a hash of their id.
@@ -14,6 +15,8 @@ windows over it, each stored in the shared folder.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -21,7 +24,8 @@ from pyspark.sql.window import Window
 from hourglass.llm.common import store
 
 DIMS = ("source", "lang", "topic")
-ROUNDS = 8
+ROUNDS = 8  # written out in the SQL of op3
+TOLERANCE = 1e-4
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
@@ -38,13 +42,14 @@ def with_topic(docs: DataFrame, text_col: str = "text") -> DataFrame:
     )
 
 
-def rake(cells: DataFrame, dims=DIMS, targets: dict | None = None, alpha: float = 0.85, rounds: int = ROUNDS) -> DataFrame:
+def rake(cells: DataFrame, dims=DIMS, targets: dict | None = None, alpha: float = 0.85, rounds: int | None = None) -> DataFrame:
     """``cells`` (one row per combination of ``dims``, with ``tokens``) plus
     ``raked`` and ``probability``.
 
     ``targets[dim]`` maps values to shares; a dimension without an entry gets
     its own shares raised to ``alpha`` and normalised, which flattens it.
-    Cells without tokens get probability 1 (they cost nothing).
+    Cells without tokens get probability 1 (they cost nothing).  ``rounds``
+    fixes the number of rounds; without it they go on until the marginals hold.
     """
     total = F.sum("tokens").over(Window.partitionBy(F.lit(1)))
     now = cells
@@ -59,11 +64,15 @@ def rake(cells: DataFrame, dims=DIMS, targets: dict | None = None, alpha: float
             share = power.crossJoin(power.agg(F.sum("_p").alias("_all"))).select("_v", (F.col("_p") / F.col("_all")).alias(f"_t_{d}"))
             now = now.join(share, F.col(d).eqNullSafe(F.col("_v")), "left").drop("_v").fillna(0.0, [f"_t_{d}"])
     now = store(now.withColumn("_w", F.col("tokens").cast("double")).withColumn("_total", total.cast("double")), "rake")
-    for _ in range(rounds):
+    turn, off, gap, last = 0, float("inf"), float("inf"), float("inf")
+    while turn < rounds if rounds is not None else turn == 0 or (off > TOLERANCE and gap < 0.999 * last):
         for d in dims:
             have = F.sum("_w").over(Window.partitionBy(d))
             now = now.withColumn("_w", F.coalesce(F.try_divide(F.col("_w") * F.col(f"_t_{d}") * F.col("_total"), have), F.lit(0.0)))
         now = store(now, "rake")
+        turn += 1
+        if rounds is None:
+            last, (off, gap) = gap, _off(now, dims)
     factor = F.try_divide(F.col("_w"), F.col("tokens"))
     top = now.agg(F.max(factor).alias("_top"))  # one row
     return now.crossJoin(top).select(
@@ -72,6 +81,16 @@ def rake(cells: DataFrame, dims=DIMS, targets: dict | None = None, alpha: float
     )
 
 
+def _off(now: DataFrame, dims) -> tuple[float, float]:
+    """Largest relative error of a marginal, and the sum of all errors (which
+    raking never raises) as a share of the tokens."""
+    parts = [now.groupBy(d).agg(F.sum("_w").alias("have"), F.max(F.col(f"_t_{d}") * F.col("_total")).alias("due"), F.max("_total").alias("all"))
+             .select("have", "due", "all") for d in dims]
+    miss = F.abs(F.col("have") - F.col("due"))
+    row = reduce(DataFrame.unionByName, parts).agg(F.max(F.try_divide(miss, F.col("due"))), F.sum(F.try_divide(miss, F.col("all")))).first()
+    return row[0] or 0.0, row[1] or 0.0
+
+
 def draw(id_col: str = "doc_id", seed: str = "mix"):
     """Uniform number in [0, 1) from the id (missing ids draw like text "null")."""
     key = F.concat(F.lit(seed + ":"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")))
@@ -79,13 +98,14 @@ def draw(id_col: str = "doc_id", seed: str = "mix"):
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang",
-        topic_col: str | None = None, targets: dict | None = None, alpha: float = 0.85, seed: str = "mix") -> DataFrame:
+        topic_col: str | None = None, targets: dict | None = None, alpha: float = 0.85, seed: str = "mix",
+        rounds: int | None = None) -> DataFrame:
     """Per input row ``_id, _source, _lang, _topic, _tokens, probability,
     sampled``.  Null sources, languages and topics are values of their own;
     null text has no tokens; rows repeating an id share its draw."""
     rows = store(_keyed(docs, text_col, source_col, lang_col, topic_col).select(
         F.col(id_col).cast("long").alias("_id"), "_source", "_lang", "_topic", "_tokens"), "mix-rows")
-    cells = rake_rows(rows, targets, alpha)
+    cells = rake_rows(rows, targets, alpha, rounds)
     return _joined(rows, cells).withColumn("sampled", draw("_id", seed) < F.col("probability")).select(
         "_id", "_source", "_lang", "_topic", "_tokens", "probability", "sampled")
 
@@ -106,11 +126,11 @@ def _keyed(docs, text_col, source_col, lang_col, topic_col):
     return keyed.withColumn("_source", F.col(source_col)).withColumn("_lang", F.col(lang_col))
 
 
-def rake_rows(rows: DataFrame, targets: dict | None = None, alpha: float = 0.85) -> DataFrame:
+def rake_rows(rows: DataFrame, targets: dict | None = None, alpha: float = 0.85, rounds: int | None = None) -> DataFrame:
     cells = store(
         rows.groupBy(F.col("_source").alias("source"), F.col("_lang").alias("lang"), F.col("_topic").alias("topic"))
         .agg(F.sum("_tokens").alias("tokens")), "cells")
-    return store(rake(cells, DIMS, targets, alpha), "raked")
+    return store(rake(cells, DIMS, targets, alpha, rounds), "raked")
 
 
 def _joined(rows: DataFrame, cells: DataFrame) -> DataFrame:

@@ -78,7 +78,7 @@ def op9_simple8b_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_mix_to_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "source", "lang"])
-    return mixing.mix(docs).select(
+    return mixing.mix(docs, rounds=mixing.ROUNDS).select(
         F.col("_id").alias("doc_id"), F.col("_source").alias("source"), F.col("_lang").alias("lang"),
         F.col("_topic").alias("topic"), F.col("_tokens").alias("tokens"),
         F.round("probability", 6).alias("probability"), "sampled",

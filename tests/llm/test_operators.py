@@ -294,6 +294,47 @@ def test_raking_meets_all_marginals(spark):
     assert np.allclose(out.probability / out.probability.max(), (out.raked / out.tokens) / (out.raked / out.tokens).max())
 
 
+def test_raking_goes_on_until_the_marginals_hold(spark):
+    cells = spark.createDataFrame([("a", "x", "p", 1000), ("a", "y", "p", 1), ("b", "x", "p", 1), ("b", "y", "p", 1000)],
+                                  "source string, lang string, topic string, tokens long")  # sources nearly tied to languages
+    out = mixing.rake(cells, targets={"source": {"a": 0.5, "b": 0.5}, "lang": {"x": 0.3, "y": 0.7}}).toPandas()
+    for d, due in (("source", {"a": 0.5, "b": 0.5}), ("lang", {"x": 0.3, "y": 0.7})):
+        share = out.groupby(d).raked.sum() / out.raked.sum()
+        assert all(abs(share[k] / v - 1) <= 1.01e-4 for k, v in due.items())
+    tied = cells.filter("tokens > 1")  # no weights meet these targets
+    assert mixing.rake(tied, targets={"source": {"a": 0.5, "b": 0.5}, "lang": {"x": 0.3, "y": 0.7}}).count() == 2
+
+
+def test_mix_stage_keeps_the_rows_of_a_brute_force_rake(spark):
+    import corpus_pipeline as cp
+
+    rng = random.Random(8)
+    rows = []
+    for i in range(400):
+        lang = "en" if rng.random() < 0.8 else "de"
+        source = "s1" if (lang == "en") == (rng.random() < 0.98) else "s2"
+        rows.append((i, " ".join(["w"] * (rng.randint(1, 60) if i % 3 else rng.randint(100, 300))), lang, source))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    cell, tokens = [(s, la, "note" if len(t.split()) < 100 else "article") for _, t, la, s in rows], {}
+    for c, (_, t, _, _) in zip(cell, rows):
+        tokens[c] = tokens.get(c, 0) + len(t.split())
+    sums = lambda w, d: {v: sum(x for c, x in w.items() if c[d] == v) for v in {c[d] for c in w}}
+    due = [{v: m**0.85 / sum(x**0.85 for x in sums(tokens, d).values()) for v, m in sums(tokens, d).items()} for d in range(3)]
+    w = {c: float(x) for c, x in tokens.items()}
+    for _ in range(500):
+        for d in range(3):
+            have = sums(w, d)
+            w = {c: x * due[d][c[d]] * sum(tokens.values()) / have[c[d]] for c, x in w.items()}
+    factor = {c: w[c] / tokens[c] for c in w}
+    want, near = set(), set()
+    for c, (i, *_) in zip(cell, rows):
+        p = factor[c] / max(factor.values())
+        u = int(hashlib.md5(f"mix:{i}".encode()).hexdigest()[:13], 16) / (1 << 52)
+        (near if abs(u - p) < 1e-3 else want if u < p else set()).add(i)  # the tolerance leaves ``near`` open
+    got = [r.doc_id for r in cp.mix(spark, df, "").collect()]
+    assert len(near) < 5 and len(got) == len(set(got)) and set(got) - near == want
+
+
 def test_mixing_rows(spark, docs):
     got = mixing.mix(docs)
     assert got.count() == len(rows_of())
