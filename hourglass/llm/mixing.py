@@ -3,8 +3,10 @@
 Documents fall into cells (source, language, topic).  Starting from the cells'
 token counts, every round scales the cells so that each source's total meets
 its target, then each language's, then each topic's (raking), until no
-marginal is off by more than ``TOLERANCE`` of its target, or, where no weights
-meet all targets, until a round brings them no nearer.  A cell's factor is its raked weight over its tokens; divided
+marginal is off by more than ``TOLERANCE`` of its target, or, after at
+least ``ROUNDS``, until a round lowers the sum of the errors by less than 5 %,
+as it does where no weights meet all targets (and where sources and languages
+are so nearly tied that raking creeps).  A cell's factor is its raked weight over its tokens; divided
 by the largest factor it is the inclusion probability of the cell's documents,
 so the expected token shares of the sample are the targets and no probability
 exceeds one.  Documents are drawn by a hash of their id.
@@ -26,6 +28,7 @@ from hourglass.llm.common import store
 DIMS = ("source", "lang", "topic")
 ROUNDS = 8  # written out in the SQL of op3
 TOLERANCE = 1e-4
+STALL = 0.95
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
@@ -65,7 +68,7 @@ def rake(cells: DataFrame, dims=DIMS, targets: dict | None = None, alpha: float
             now = now.join(share, F.col(d).eqNullSafe(F.col("_v")), "left").drop("_v").fillna(0.0, [f"_t_{d}"])
     now = store(now.withColumn("_w", F.col("tokens").cast("double")).withColumn("_total", total.cast("double")), "rake")
     turn, off, gap, last = 0, float("inf"), float("inf"), float("inf")
-    while turn < rounds if rounds is not None else turn == 0 or (off > TOLERANCE and gap < 0.999 * last):
+    while turn < rounds if rounds is not None else turn == 0 or (off > TOLERANCE and (turn < ROUNDS or gap < STALL * last)):
         for d in dims:
             have = F.sum("_w").over(Window.partitionBy(d))
             now = now.withColumn("_w", F.coalesce(F.try_divide(F.col("_w") * F.col(f"_t_{d}") * F.col("_total"), have), F.lit(0.0)))
