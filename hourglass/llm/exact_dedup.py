@@ -1,10 +1,11 @@
-"""Exact duplicate removal by a tree merge of sorted digest runs.
+"""Exact duplicate removal by a tree merge of digest runs.
 
 Every row gets a 64-bit digest of its text and belongs to one of ``runs``
 runs, chosen from its id.  A run holds, per distinct text, one entry with the
 representative id, the number of rows and the 256-bit digest that verifies the
-64-bit one; entries of a run are sorted by digest and cut into slices by
-digest, so a slice of a run is a bounded unit of work.  In merge round r the
+64-bit one; entries of a run are cut into slices by digest, so a
+slice of a run is a bounded unit of work.  Nothing is sorted: a run is built
+and merged by repartition and hash aggregate, which gives the same entries.  In merge round r the
 runs whose numbers differ only in the bits of that round meet: each sends its
 slices to the run that has those bits cleared, which merges them and keeps one
 verified entry per text.  After the last round run 0 holds one entry per text
