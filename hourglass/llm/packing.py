@@ -62,8 +62,8 @@ def document_items(
 
         for batch in batches:
             docs_in, rows = batch.column("_id").to_pylist(), []
-            for doc, ids in zip(docs_in, encode_with_end(batch.column("_text").to_pylist(), vocab, end_id)):
-                ids = ids.astype("<u4")
+            for doc, ids in zip(docs_in, encode_with_end(batch.column("_text"), vocab, end_id)):
+                ids = ids.astype("<u4", copy=False)
                 for a in range(0, len(ids), size):
                     part = ids[a : a + size]
                     whole = len(part) == limits.tokens and not keep_ids

@@ -8,14 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourglass.llm import (
+    alignment,
     automata,
     exact_dedup,
+    hard_negatives,
     langid,
     mixing,
     nndescent,
     packing,
     simhash,
     simple8b,
+    sos_packing,
     suffix_dedup,
     warc,
 )
@@ -133,3 +136,44 @@ def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     vecs = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
     return nndescent.nearest(vecs, F.col("id") % 20 == 0, top=20)
+
+
+@query
+def op11_interval_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return alignment.aligned(docs)
+
+
+@query
+def op12_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return sos_packing.pack_documents(docs, end_id=1, capacity=4096, keep_ids=False).drop("ids")
+
+
+@query
+def op13_threshold_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vecs = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"])
+    moved = F.when(F.col("id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vecs, F.col("id") % 100 == 0, relabel=moved)
+
+
+ORACLE["op13_threshold_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_inner_product(a.q, c.q) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+r AS (
+  SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank,
+         vec_id AS negative_id, positive_score, score AS negative_score
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same
+    AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM r WHERE rank <= 10
+"""

@@ -202,7 +202,7 @@ def write_token_files(
 
         for batch in batches:
             ids_in = batch.column("_id").to_pylist()
-            for doc, ids in zip(ids_in, encode_with_end(batch.column("_text").to_pylist(), vocab, end_id)):
+            for doc, ids in zip(ids_in, encode_with_end(batch.column("_text"), vocab, end_id)):
                 names.append(doc), counts.append(len(ids)), held.append(ids)
                 n_held += len(ids)
                 if n_held >= file_ids:

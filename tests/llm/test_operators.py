@@ -113,19 +113,6 @@ def test_simhash_links_lose_nothing(spark, cap):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, byroot.values()))
 
 
-def test_piece_encoder_equals_whole_texts():
-    from tokenizers import Tokenizer
-
-    tk = Tokenizer.from_file(tokens.tokenizer_path())
-    tk.encode_special_tokens = True
-    rng = random.Random(1)
-    bits = ["a", "b ", " ", "\n", "\t", " ", "'s", "é", "1", "!!", "  ", "\x01", "<|endoftext|>", "\r\n", "\x1c", " word"]
-    texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 12))) for _ in range(3000)]
-    ids, counts = tokens.PieceEncoder(tokens.tokenizer_path(), max_pieces=50).encode(texts)
-    want = [e.ids for e in tk.encode_batch(texts, add_special_tokens=False)]
-    assert [len(w) for w in want] == list(counts) and ids.tolist() == [x for w in want for x in w]
-
-
 def test_simple8b_round_trip():
     rng = np.random.default_rng(0)
     for n in (0, 1, 5, 255, 256, 257, 3000):
@@ -140,7 +127,6 @@ def token_ids(end):
     from tokenizers import Tokenizer
 
     tk = Tokenizer.from_file(tokens.tokenizer_path())
-    tk.encode_special_tokens = True
     return [(i, np.array(tk.encode(t, add_special_tokens=False).ids + [end], dtype="<u4")) for i, t in rows_of()]
 
 
