@@ -160,24 +160,149 @@ def _percentiles(col: str, alpha: float) -> tuple[Column, Column]:
     return q[0], q[1]
 
 
+RANGE_ROWS = 4096  # rows of one range of a bootstrap; a range's values are one array
+SPLIT_BITS = 40  # bits of a split's probability; ranges of equal size need one
+WORD_BITS = 60
+
+
+def _word(*key: Column) -> Column:
+    """60 random bits for a key of integers."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", *key).cast("binary")), 1, WORD_BITS // 4), 16, 10).cast("long")
+
+
+def _word_sql(*key: str) -> str:
+    return f"CAST('0x' || substr(md5(concat_ws(':', {', '.join(key)})), 1, {WORD_BITS // 4}) AS BIGINT)"
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` worked out once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _ones(key: Sequence[Column], draws: Column) -> Column:
+    """Number of ones among ``draws`` random bits."""
+    zero = F.lit(0).cast("long")
+
+    def add(total, j):
+        left = F.least(draws - j * WORD_BITS, F.lit(WORD_BITS)).cast("int")
+        part = _word(*key, j) % F.call_function("shiftleft", F.lit(1).cast("long"), left)
+        return total + F.bit_count(part).cast("long")
+
+    last = F.floor((draws - 1) / WORD_BITS).cast("long")
+    return F.when(draws > 0, F.aggregate(F.sequence(zero, F.greatest(last, zero)), zero, add)).otherwise(zero)
+
+
+def _split(draws: Column, left: Column, both: Column, key: Sequence[Column]) -> Column:
+    """Binomial(draws, left / both): every draw's uniform number is compared
+    with the probability bit by bit, all undecided draws at once (a popcount)."""
+    zero = F.lit(0).cast("long")
+
+    def step(acc, s):
+        one = acc["t"] * 2 >= both
+        return _let(_ones([*key, s], acc["open"]), lambda ones: F.struct(
+            (acc["t"] * 2 - F.when(one, both).otherwise(zero)).alias("t"),
+            F.when(one, ones).otherwise(acc["open"] - ones).alias("open"),
+            (acc["got"] + F.when(one, acc["open"] - ones).otherwise(zero)).alias("got")))
+
+    start = F.struct(left.cast("long").alias("t"), draws.cast("long").alias("open"), zero.alias("got"))
+    got = F.aggregate(F.sequence(zero, F.lit(SPLIT_BITS - 1).cast("long")), start, step, lambda acc: acc["got"])
+    return F.when(left <= 0, zero).when(left >= both, draws).otherwise(got)
+
+
+def _levels(ranges: Column) -> Column:
+    """Bit length of ``ranges - 1``: levels of a binary tree over the ranges."""
+    return F.when(ranges <= 1, F.lit(0)).otherwise(F.length(F.bin(ranges - 1))).cast("long")
+
+
+def range_draws(rep: Column, n: Column, range_rows: int) -> Column:
+    """Array of how many of replicate ``rep``'s ``n`` draws fall into each range
+    of ``range_rows`` positions: a multinomial count by halving the ranges, each
+    half's share a binomial split of its parent's draws."""
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    n = n.cast("long")
+    depth = _levels(F.floor((n + range_rows - 1) / range_rows).cast("long"))
+
+    def halve(counts, level):
+        width = F.call_function("shiftleft", F.lit(range_rows).cast("long"), (depth - level).cast("int"))
+        first = F.call_function("shiftleft", one, (level - 1).cast("int"))
+
+        def children(m, i):
+            rest = n - i.cast("long") * 2 * width
+            left, both = F.greatest(zero, F.least(width, rest)), F.greatest(zero, F.least(width * 2, rest))
+            return _let(_split(m, left, both, [rep, first + i.cast("long")]), lambda got: F.array(got, m - got))
+
+        return F.flatten(F.transform(counts, children))
+
+    return F.when(depth == 0, F.array(n)).otherwise(F.aggregate(F.sequence(one, F.greatest(depth, one)), F.array(n), halve))
+
+
+def bootstrap_draws_sql(frame: str, n_boot: int, range_rows: int) -> str:
+    """CTEs ``split`` and ``leaf(series, n, r, rng, m)``: :func:`range_draws` in
+    SQL, for a recursive WITH. ``frame`` holds (series, n)."""
+    word = _word_sql("s.r", "(1::BIGINT << s.lvl::INT) + s.idx", "s.step", "j")
+    ones = (f"coalesce(list_sum(list_transform(range(0, (s.opened + {WORD_BITS - 1}) // {WORD_BITS}), "
+            f"lambda j: bit_count({word} % (1::BIGINT << least(s.opened - j * {WORD_BITS}, {WORD_BITS})::INT)))), 0)::BIGINT")
+    levels = f"CASE WHEN n <= {range_rows} THEN 0 ELSE length(bin((n + {range_rows} - 1) // {range_rows} - 1)) END"
+    return f"""split(series, n, depth, r, lvl, idx, m, step, t, opened, got) AS (
+  SELECT series, n, CAST({levels} AS BIGINT), r, 0::BIGINT, 0::BIGINT, n, 0::BIGINT, -1::BIGINT, n, 0::BIGINT
+  FROM {frame} CROSS JOIN range(0, {n_boot}) AS q(r)
+  UNION ALL
+  SELECT series, n, depth, r,
+         CASE WHEN done THEN lvl + 1 ELSE lvl END, CASE WHEN done THEN idx * 2 + side ELSE idx END,
+         CASE WHEN NOT done THEN m WHEN side = 0 THEN share ELSE m - share END,
+         CASE WHEN done THEN 0 ELSE step + 1 END,
+         CASE WHEN done THEN -1 WHEN 2 * t >= b THEN 2 * t - b ELSE 2 * t END,
+         CASE WHEN done THEN CASE WHEN side = 0 THEN share ELSE m - share END WHEN 2 * t >= b THEN h ELSE opened - h END,
+         CASE WHEN done THEN 0 WHEN 2 * t >= b THEN got + opened - h ELSE got END
+  FROM (SELECT *, CASE WHEN a <= 0 THEN 0 WHEN a >= b THEN m ELSE got END AS share,
+               step = {SPLIT_BITS} OR opened = 0 OR a <= 0 OR a >= b AS done
+        FROM (SELECT s.* EXCLUDE (t), CASE WHEN s.t < 0 THEN a ELSE s.t END AS t, {ones} AS h
+              FROM (SELECT *, greatest(0, least(w, n - idx * 2 * w)) AS a, greatest(0, least(2 * w, n - idx * 2 * w)) AS b
+                    FROM (SELECT *, ({range_rows}::BIGINT << greatest(depth - lvl - 1, 0)::INT) AS w
+                          FROM split WHERE lvl < depth)) AS s))
+       JOIN (VALUES (0), (1)) AS sides(side) ON done OR side = 0),
+leaf AS (SELECT series, n, r, idx AS rng, m FROM split WHERE lvl = depth AND step = 0 AND m > 0)"""
+
+
+def range_pick_sql(rep: str, rng: str, k: str, size: str) -> str:
+    return f"({_word_sql(rep, f'-1 - ({rng})', k)} % ({size}))"
+
+
 def bootstrap_ci(
-    diffs: DataFrame, series: Sequence[str], pos: str, value: str, n_boot: int = 1000, alpha: float = 0.05
+    diffs: DataFrame, series: Sequence[str], pos: str, value: str, n_boot: int = 1000, alpha: float = 0.05,
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
-    """IID bootstrap of the mean. Draw k of replicate r takes row
-    ``hash(r, k) mod n``; replicate means are an aggregate per (series, r),
-    the interval is the exact linear-interpolated percentile of the B means.
-    ``pos`` is the dense position 0..n-1 inside each series.
+    """IID bootstrap of the mean. Positions are cut into ranges of
+    ``range_rows``; how many of a replicate's n draws fall into each range is a
+    multinomial count from binomial splits (:func:`range_draws`), and the draws
+    inside a range pick from the array of its values. So B rows per range are
+    shuffled instead of B per value. The interval is the exact
+    linear-interpolated percentile of the B means; NULL values are drawn but
+    not averaged. ``pos`` is the dense position 0..n-1 inside each series.
     Output: series, n, n_boot, mean_diff, ci_low, ci_high."""
+    if not 1 <= range_rows <= 1 << 20:
+        raise ValueError("range_rows must lie between 1 and 2^20")
     series = list(series)
-    diffs = materialize(diffs.select(*series, pos, value))  # n rows, read by three branches
-    stats_ = diffs.groupBy(*series).agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("mean_diff"))
-    d = diffs.join(stats_.select(*series, "n"), series) if series else diffs.withColumn("n", stats_.select("n").scalar())
-    draws = d.select(*series, "n", F.col(pos).alias("__k"), F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1))).alias("__r"))
-    draws = draws.withColumn("__j", hash_draw("__r", "__k", F.col("n")))
-    vals = diffs.select(*series, F.col(pos).alias("__j"), F.col(value).alias("__v"))
-    reps = draws.join(vals, [*series, "__j"]).groupBy(*series, "__r").agg(F.avg("__v").alias("__m"))
+    cells = diffs.groupBy(*series, F.floor(F.col(pos) / range_rows).cast("long").alias("__g")).agg(
+        F.sort_array(F.collect_list(F.struct(F.col(pos), F.col(value).alias("__v")))).alias("__rows"),
+        F.count(value).alias("__some"), F.sum(value).alias("__sum"), F.count(F.lit(1)).alias("__all"))
+    cells = materialize(cells.select(*series, "__g", F.transform("__rows", lambda x: x["__v"]).alias("__values"), "__some", "__sum", "__all"))
+    stats_ = cells.groupBy(*series).agg(F.sum("__all").alias("n"), F.try_divide(F.sum("__sum"), F.sum("__some")).alias("mean_diff"))
+    # replicates are spread before their counts are worked out
+    reps = stats_.select(*series, "n", F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1))).alias("__r")).repartition("__r")
+    shares = reps.select(*series, "n", "__r", F.posexplode(range_draws(F.col("__r"), F.col("n"), range_rows)).alias("__g", "__m")).filter("__m > 0")
+    drawn = shares.withColumn("__g", F.col("__g").cast("long")).join(cells.select(*series, "__g", "__values"), [*series, "__g"])
+
+    def add(acc, k):
+        pick = F.get("__values", (_word(F.col("__r"), -1 - F.col("__g"), k) % F.size("__values")).cast("int"))
+        return _let(pick, lambda v: F.struct((acc["s"] + F.coalesce(v, F.lit(0.0))).alias("s"), (acc["c"] + v.isNotNull().cast("long")).alias("c")))
+
+    start = F.struct(F.lit(0.0).alias("s"), F.lit(0).cast("long").alias("c"))
+    part = F.aggregate(F.sequence(F.lit(0).cast("long"), F.col("__m") - 1), start, add)
+    means = drawn.select(*series, "__r", part.alias("__p")).groupBy(*series, "__r").agg(
+        F.try_divide(F.sum("__p.s"), F.sum("__p.c")).alias("__m"))
     lo, hi = _percentiles("__m", alpha)
-    ci = reps.groupBy(*series).agg(lo.alias("ci_low"), hi.alias("ci_high"), F.count(F.lit(1)).cast("long").alias("n_boot"))
+    ci = means.groupBy(*series).agg(lo.alias("ci_low"), hi.alias("ci_high"), F.count(F.lit(1)).cast("long").alias("n_boot"))
     return stats_.join(ci, series) if series else stats_.select(
         "n", F.lit(n_boot).cast("long").alias("n_boot"), "mean_diff",
         ci.select("ci_low").scalar().alias("ci_low"), ci.select("ci_high").scalar().alias("ci_high"))

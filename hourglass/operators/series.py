@@ -10,15 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourglass.functions.exprs import Z_975
 from hourglass.operators import stats
 from hourglass.operators.windows import DEFAULT_BUCKET_ROWS, centered_moving_average, window_select
-from hourglass.session import materialize, ship_package
+from hourglass.session import materialize
 
 # Fixed values that must equal the reference for equal results.
 MAD_SCALE = 1.4826  # MAD -> sigma for normal data
@@ -65,50 +63,34 @@ def acf(
     return long.select(*series, "lag", "r", (F.lit(Z_975) * F.sqrt(var)).alias("ci_half_width"))
 
 
-def _durbin_levinson(r: np.ndarray) -> np.ndarray:
-    """Partial autocorrelations from autocorrelations r[0..K] (r[0] = 1)."""
-    K = len(r) - 1
-    out = np.zeros(K + 1)
-    out[0] = 1.0
-    phi = np.zeros(K + 1)
-    v = 1.0
-    for k in range(1, K + 1):
-        acc = r[k] - np.dot(phi[1:k], r[k - 1:0:-1])
-        a = acc / v if v > 0 else np.nan
-        new = phi.copy()
-        new[k] = a
-        new[1:k] = phi[1:k] - a * phi[k - 1:0:-1]
-        phi = new
-        v = v * (1.0 - a * a)
-        out[k] = a
-    return out
-
-
 def pacf(acf_table: DataFrame, series: Sequence[str], n_table: DataFrame) -> DataFrame:
-    """Yule-Walker partial autocorrelation by Durbin-Levinson over each
-    series' ACF (at most nlags+1 rows per series), band 1.96/sqrt(n).
+    """Yule-Walker partial autocorrelation: Durbin-Levinson as a fold over the
+    array of a series' autocorrelations (nlags + 1 values), band 1.96/sqrt(n).
+    NULL from the lag on where the recursion has no variance left.
 
     ``n_table`` gives (series..., n). Output: series, lag, r, ci_half_width.
     """
     series = list(series)
-    ship_package(acf_table.sparkSession)
-    t = acf_table.join(n_table, series) if series else acf_table.withColumn("n", n_table.select("n").scalar())
-    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in acf_table.schema.fields if f.name in series]
-                       + ["lag bigint", "r double", "ci_half_width double"])
-
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("lag")
-        p = _durbin_levinson(pdf["r"].to_numpy(dtype=float))
-        n = float(pdf["n"].iloc[0])
-        out = pdf[series + ["lag"]].copy()
-        out["r"] = p
-        out["ci_half_width"] = Z_975 / np.sqrt(n)
-        out.loc[out["lag"] == 0, "ci_half_width"] = 0.0
-        return out
+    lists = acf_table.groupBy(*series).agg(F.transform(F.sort_array(F.collect_list(F.struct("lag", "r"))), lambda x: x["r"]).alias("__r"))
+    t = lists.join(n_table, series) if series else lists.withColumn("n", n_table.select("n").scalar())
+    r, none = F.col("__r"), F.array().cast("array<double>")
 
-    if series:
-        return t.groupBy(*series).applyInPandas(fn, schema)
-    return t.groupBy(F.lit(0)).applyInPandas(fn, schema)
+    def step(s, k):
+        k = k.cast("int")
+        met = F.zip_with(s["phi"], F.reverse(F.slice(r, F.lit(2), k - 1)), lambda x, y: x * y)
+        rest = r[k] - F.aggregate(met, F.lit(0.0), lambda u, x: u + x)
+
+        def grow(a):
+            phi = F.concat(F.zip_with(s["phi"], F.reverse(s["phi"]), lambda x, y: x - a * y), F.array(a))
+            return F.struct(phi.alias("phi"), (s["v"] * (1 - a * a)).alias("v"), F.concat(s["out"], F.array(a)).alias("out"))
+
+        return F.transform(F.array(F.when(s["v"] > 0, rest / s["v"])), grow)[0]
+
+    start = F.struct(none.alias("phi"), F.lit(1.0).alias("v"), none.alias("out"))
+    folded = F.when(F.size(r) > 1, F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(r) - 1, F.lit(1))), start, step, lambda s: s["out"])).otherwise(none)
+    out = t.select(*series, "n", F.posexplode(F.concat(F.array(F.lit(1.0)), folded)).alias("lag", "r"))
+    half = F.when(F.col("lag") == 0, F.lit(0.0)).otherwise(F.lit(Z_975) / F.sqrt("n"))
+    return out.select(*series, F.col("lag").cast("long").alias("lag"), "r", half.alias("ci_half_width"))
 
 
 def seasonal_decompose(
@@ -147,13 +129,22 @@ def mad_columns(
     relative_error: float | None = None,
 ) -> DataFrame:
     """mad_z = (x - median) / (1.4826 * MAD); MAD = 0 gives 0, or uses ``floor``."""
-    mm = stats.median_mad(df.where(F.col(value).isNotNull()), series, value, relative_error)
-    t = _join_stats(df, mm.withColumnsRenamed({"median": "__med", "mad": "__mad"}), series)
-    mad = F.col("__mad") if floor is None else F.when(F.col("__mad") == 0, F.lit(floor)).otherwise(F.col("__mad"))
-    z = (F.col(value) - F.col("__med")) / (F.lit(MAD_SCALE) * mad)
-    if floor is None:
-        z = F.when(F.col("__mad") == 0, F.lit(0.0)).otherwise(z)
-    return t.withColumn(out, z).drop("__med", "__mad")
+    return mad_scores(df, series, {out: (value, floor)}, relative_error)
+
+
+def mad_scores(df: DataFrame, series: Sequence[str], scores: dict[str, tuple[str, float | None]],
+               relative_error: float | None = None) -> DataFrame:
+    """:func:`mad_columns` of several columns (``{output: (column, floor)}``); all
+    medians come from the same passes."""
+    mm = stats.median_mads(df, series, {f"__{o}": v for o, (v, _) in scores.items()}, relative_error)
+    t = _join_stats(df, mm, series)
+    cols = {}
+    for o, (value, floor) in scores.items():
+        med, raw = F.col(f"median__{o}"), F.col(f"mad__{o}")
+        mad = raw if floor is None else F.when(raw == 0, F.lit(floor)).otherwise(raw)
+        z = (F.col(value) - med) / (F.lit(MAD_SCALE) * mad)
+        cols[o] = z if floor is not None else F.when(raw == 0, F.lit(0.0)).otherwise(z)
+    return t.withColumns(cols).drop(*[f"{k}__{o}" for o in scores for k in ("median", "mad")])
 
 
 def anomaly_scores(
@@ -165,13 +156,11 @@ def anomaly_scores(
     series (NULL otherwise); NULL residuals (series ends) get no score."""
     series = list(series)
     t = materialize(df.where(F.col(value).isNotNull()))
-    t = zscore_columns(t, series, value)
-    t = mad_columns(t, series, value, "mad_z", relative_error=relative_error)
-    dec = seasonal_decompose(t, series, idx, value, period, bucket_rows, materialize_input=False)
-    sized = dec.groupBy(*series).agg(F.count(F.lit(1)).alias("__cnt"))
-    dec = _join_stats(dec, sized, series)
-    dec = materialize(dec.withColumn("__r", F.when(F.col("__cnt") > period, F.col("resid"))))
-    dec = mad_columns(dec, series, "__r", "resid_z", floor=RESID_MAD_FLOOR, relative_error=relative_error)
+    sized = t.groupBy(*series).agg(F.count(F.lit(1)).alias("__cnt"))
+    dec = seasonal_decompose(_join_stats(t, sized, series), series, idx, value, period, bucket_rows, materialize_input=False)
+    dec = dec.withColumn("__r", F.when(F.col("__cnt") > period, F.col("resid")))
+    dec = materialize(zscore_columns(dec, series, value))
+    dec = mad_scores(dec, series, {"mad_z": (value, None), "resid_z": ("__r", RESID_MAD_FLOOR)}, relative_error)
     return dec.drop("__cnt", "__r", "trend", "seasonal", "observed")
 
 

@@ -116,17 +116,22 @@ def forecast_errors(spark, sf_dir):
     return r6(stats.forecast_errors(forecast_frame(spark, sf_dir), "value", "model", "baseline", S))
 
 
+RANGE = 60  # rows of a bootstrap range: several ranges even in small tables
+
+
 @query(
     "bootstrap_ci",
-    f"""WITH {_FF_CTE},
-dj AS (SELECT f.series, r.r, {FC.hash_draw_sql("r.r", "f.pos", "cs.n")} AS j
-       FROM ff f JOIN cs USING (series) CROSS JOIN range(0, {N_BOOT}) AS r(r)),
-rep AS (SELECT dj.series, dj.r, avg(ff.diff) AS m FROM dj JOIN ff ON ff.series = dj.series AND ff.pos = dj.j GROUP BY 1, 2)
+    f"""WITH RECURSIVE {_FF_CTE.replace("ff AS (", "ff AS MATERIALIZED (")},
+{FC.bootstrap_draws_sql("cs", N_BOOT, RANGE)},
+dr AS (SELECT series, n, r, rng, unnest(range(0, m)) AS k FROM leaf),
+rep AS (SELECT dr.series, dr.r, avg(ff.diff) AS m FROM dr JOIN ff ON ff.series = dr.series
+        AND ff.pos = dr.rng * {RANGE} + {FC.range_pick_sql("dr.r", "dr.rng", "dr.k", f"least({RANGE}, dr.n - dr.rng * {RANGE})")} GROUP BY 1, 2)
 {_CI_SELECT}""",
 )
 def bootstrap_ci(spark, sf_dir):
     d = forecast_frame(spark, sf_dir).select("series", "pos", "diff")
-    return r6(FC.bootstrap_ci(d, S, "pos", "diff", N_BOOT).select("series", "n", "n_boot", "mean_diff", "ci_low", "ci_high"))
+    out = FC.bootstrap_ci(d, S, "pos", "diff", N_BOOT, range_rows=RANGE)
+    return r6(out.select("series", "n", "n_boot", "mean_diff", "ci_low", "ci_high"))
 
 
 @query(

@@ -123,11 +123,30 @@ def top_correlations(spark, sf_dir):
     return r6(stats.top_correlations(r6(c), LINEITEM4, 5))
 
 
-@query("corr_pvalues")
+def _raw_corr_sql() -> str:
+    """Unrounded r of every ordered pair and the diagonal."""
+    rows = []
+    for a in LINEITEM4:
+        for b in LINEITEM4:
+            n = f"count(*) FILTER (WHERE {a} IS NOT NULL AND {b} IS NOT NULL)"
+            r = "1.0::DOUBLE" if a == b else f"CASE WHEN {n} >= 3 AND NOT isnan(corr({a}, {b})) THEN corr({a}, {b}) END"
+            rows.append(f"SELECT '{a}' AS col_a, '{b}' AS col_b, {n} AS n, {r} AS r FROM lineitem")
+    return "\nUNION ALL\n".join(rows)
+
+
+@query(
+    "corr_pvalues",
+    f"""WITH RECURSIVE cm AS MATERIALIZED ({_raw_corr_sql()}),
+{stats.pearson_pvalues_sql("cm")},
+o AS (SELECT col_a, col_b, n, round(r, 6) AS r, CASE WHEN col_a <> col_b THEN p END AS q FROM pval)
+SELECT col_a, col_b, n, r, round(q, 6) AS p,
+       CASE WHEN q IS NULL THEN '' WHEN q < 0.001 THEN '***' WHEN q < 0.01 THEN '**' WHEN q < 0.05 THEN '*' ELSE '' END AS stars,
+       printf('%.12e', round(q, 6)) AS p_text FROM o""",
+)
 def corr_pvalues(spark, sf_dir):
-    """P-values need the t distribution (no SQL oracle); pytest checks them."""
+    """P-values (the text form shows the rounded value)."""
     c = stats.corr_matrix(frames.lineitem4(spark, sf_dir), LINEITEM4)
-    return r6(stats.corr_pvalues(c))
+    return r6(stats.corr_pvalues(c)).withColumn("p_text", X.sci12("p"))
 
 
 @query(

@@ -82,3 +82,37 @@ def test_engineered_feature_switches(spark):
     assert "v_lag1" not in sc and "v_lag1__v_lag24" in sc  # interaction lags are not kept as columns
     row = full.where(F.col("idx") == 30).first()
     assert row.v_lag1__v_lag24 == float(29 % 7) * float(6 % 7)
+
+
+def test_range_draws_are_a_multinomial(spark):
+    """Counts add up, empty ranges get nothing, and means and variances are those of n uniform draws."""
+    import numpy as np
+
+    n, rows, reps = 1000, 60, 400
+    got = spark.range(reps).select("id", FC.range_draws(F.col("id"), F.lit(n), rows).alias("c")).collect()
+    counts = np.array([r.c for r in got])
+    assert (counts.sum(axis=1) == n).all() and counts.shape[1] == 32 and (counts[:, 17:] == 0).all()
+    size = np.array([60] * 16 + [40])
+    p = size / n
+    assert np.allclose(counts[:, :17].mean(axis=0), n * p, atol=5 * np.sqrt(n * p * (1 - p) / reps))
+    assert np.allclose(counts[:, :17].var(axis=0) / (n * p * (1 - p)), 1, atol=0.4)
+    one = spark.range(3).select(FC.range_draws(F.col("id"), F.lit(7), 60).alias("c")).collect()
+    assert [r.c for r in one] == [[7]] * 3
+
+
+def test_bootstrap_by_ranges_covers_the_normal_interval(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    x = rng.standard_normal(1500) + 3
+    df = spark.createDataFrame([("a", i, float(v)) for i, v in enumerate(x)] + [("b", 0, 2.0)] + [("c", i, None) for i in range(3)],
+                               "s string, k long, d double")
+    for rows in (50, 4096):
+        got = {r.s: r for r in FC.bootstrap_ci(df, ["s"], "k", "d", n_boot=600, range_rows=rows).collect()}
+        se = x.std() / np.sqrt(len(x))
+        assert got["a"].mean_diff == pytest.approx(x.mean()) and got["a"].n == 1500 and got["a"].n_boot == 600
+        assert got["a"].ci_low == pytest.approx(x.mean() - 1.96 * se, abs=0.4 * se)
+        assert got["a"].ci_high == pytest.approx(x.mean() + 1.96 * se, abs=0.4 * se)
+        assert (got["b"].ci_low, got["b"].ci_high) == (2.0, 2.0) and got["c"].ci_low is None
+    whole = FC.bootstrap_ci(df.where("s = 'a'"), [], "k", "d", n_boot=200, range_rows=100).collect()
+    assert len(whole) == 1 and whole[0].ci_low < x.mean() < whole[0].ci_high

@@ -70,3 +70,44 @@ def test_top_correlations_order(spark):
     top = [(r.rank, r.col_a, r.col_b) for r in stats.top_correlations(corr, ["a", "b", "c", "d"], 3).orderBy("rank").collect()]
     assert top == [(1, "a", "c"), (2, "b", "c"), (3, "a", "b")]
     assert F is not None
+
+
+def test_pvalues_against_numerical_integration(spark):
+    """Student's t density integrated with fine steps, small to large samples."""
+    import math
+
+    import numpy as np
+
+    rows = [(0.5, 3), (0.9, 4), (-0.3, 10), (0.05, 500), (0.2, 2000), (0.004, 1_000_000), (1.0, 9), (0.0, 9), (0.999, 30), (None, 8), (0.4, 2)]
+    df = spark.createDataFrame(rows, "r double, n long")
+    for r, n, p in [(x.r, x.n, x.p) for x in stats.pearson_pvalues(df, "r", "n").collect()]:
+        if r is None or n <= 2:
+            assert p is None
+            continue
+        free = n - 2
+        t = math.inf if abs(r) == 1 else abs(r) * math.sqrt(free / (1 - r * r))
+        # tail over u = arctan(x / sqrt(free)): density cos(u)^(free - 1)
+        end = min(math.pi / 2, 40 / math.sqrt(free))  # nothing counts beyond
+        top = np.linspace(0.0, end, 400_001)
+        f = np.cos(top) ** (free - 1)
+        whole = np.trapezoid(f, top)
+        u = np.linspace(min(math.atan(t / math.sqrt(free)), end), end, 400_001)
+        assert p == pytest.approx(np.trapezoid(np.cos(u) ** (free - 1), u) / whole, rel=1e-5, abs=1e-12)
+
+
+def test_medians_of_several_columns_and_null_keys(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    rows = [(k, float(v), None if i % 4 == 0 else float(i % 7)) for k in ("a", "b", None) for i, v in enumerate(rng.integers(0, 40, 301))]
+    rows += [("c", None, 1.0), ("d", None, None), ("e", float("nan"), 2.0)]
+    df = spark.createDataFrame(rows, "s string, x double, y double").repartition(6)
+    for accuracy in (10_000, 20):  # a coarse sketch leaves many values inside the bracket
+        got = {r.s: (r.mx, r.my) for r in stats.exact_medians(df, ["s"], {"mx": "x", "my": "y"}, accuracy=accuracy).collect()}
+        for k in ("a", "b", None):
+            x = [v for s, v, _ in rows if s == k]
+            y = [v for s, _, v in rows if s == k and v is not None]
+            assert got[k] == (np.median(x), np.median(y))
+        assert got["c"] == (None, 1.0) and got["e"] == (None, 2.0) and "d" not in got
+    whole = stats.exact_medians(df, [], {"m": "x"}).collect()
+    assert whole[0].m == np.median([v for _, v, _ in rows if v is not None and v == v])
