@@ -247,9 +247,7 @@ def stream_features(spark, sf_dir):
     schema = spark.read.parquet(table_path(sf_dir, "events")).schema
     stream = (spark.readStream.schema(schema).parquet(_stream_path(sf_dir, "events"))
               .select(F.col("event_type").alias("series"), "ts", "event_id", "value"))
-    out = feature_stream(stream, "series", "ts", "value", spans=SPANS, tie="event_id")
     sink, ckpt = _scratch(spark, "features"), _scratch(spark, "features_ckpt")
-    q = (out.writeStream.format("parquet").option("path", sink).option("checkpointLocation", ckpt)
-         .outputMode("append").trigger(availableNow=True).start())
+    q = feature_stream(stream, "series", "ts", "value", sink, ckpt, spans=SPANS, tie="event_id")
     jobs.run_available(q)
-    return spark.read.schema(out.schema).parquet(sink)
+    return spark.read.parquet(sink).drop("batch")

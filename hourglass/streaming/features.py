@@ -1,22 +1,25 @@
 """Streaming lag / rolling / EMA features per series.
 
-Keyed state per series holds only the last ``reach`` values, the place (time,
-tie-breaker) of the last row and one EMA accumulator per span, so state size is
-bounded by the feature reach, not by the stream length. A row placed before the
-last one of its series, or without a time, comes too late to change what was
-written: it is emitted once with ``late`` true and NULL features.
+Every micro-batch is one set of distributed batch operators: the last ``reach``
+rows of each series are put before its new rows, positions come from the
+distributed row index, features from halo-bucket windows and the blocked EMA
+scan, so no task holds a series. What a series leaves behind - its last rows,
+place and one EMA value per span - is one row of the state table, written per
+micro-batch next to the features; both are replaced as a whole when a
+micro-batch is repeated. A row placed before the last one of its series, or
+without a time, comes too late to change what was written: it is emitted once
+with ``late`` true and NULL features.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hourglass.session import ship_package
+from hourglass.operators import ema, timeaxis, windows
+from hourglass.session import materialize
 
 
 def feature_names(col: str, lags: Sequence[int], windows: Sequence[int], spans: Sequence[int]) -> list[str]:
@@ -24,65 +27,101 @@ def feature_names(col: str, lags: Sequence[int], windows: Sequence[int], spans:
             + [f"{col}_roll_std_{w}" for w in windows] + [f"{col}_ema_{s}" for s in spans])
 
 
-def _trailing(full: np.ndarray, w: int) -> tuple[np.ndarray, np.ndarray]:
-    """Mean and sample std (0 for one value) of the last ``w`` values, NaN skipped."""
-    x = np.lib.stride_tricks.sliding_window_view(np.concatenate([np.full(w - 1, np.nan), full]), w)
-    n = (~np.isnan(x)).sum(axis=1)
-    mean = np.where(n > 0, np.nansum(x, axis=1) / np.maximum(n, 1), np.nan)
-    sq = np.nansum((x - mean[:, None]) ** 2, axis=1)
-    return mean, np.where(n > 1, np.sqrt(sq / np.maximum(n - 1, 1)), 0.0)
+def _read_state(spark: SparkSession, folder: str, batch: int, schema: str) -> DataFrame:
+    """State left by the micro-batch before ``batch`` (none before the first)."""
+    if batch == 0:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{folder}/batch={batch - 1}")
+
+
+def features_after(
+    state: DataFrame, rows: DataFrame, series: str, ts: str, tie: str, col: str, lags: Sequence[int],
+    roll_windows: Sequence[int], spans: Sequence[int], bucket_rows: int = windows.DEFAULT_BUCKET_ROWS,
+) -> tuple[DataFrame, DataFrame]:
+    """``(features, next state)`` of new ``rows`` (series, ts, tie, col) after ``state``."""
+    reach = max([*lags, *(w - 1 for w in roll_windows), 1])
+    names = feature_names(col, lags, roll_windows, spans)
+    mine = F.col(series).eqNullSafe(F.col("__series"))
+    before = state.select(F.col(series).alias("__series"), "last_ts", "last_tie", "ema", "hist")
+    new = materialize(rows.withColumn("__seq", F.monotonically_increasing_id()))
+    placed = new.join(before.select("__series", "last_ts", "last_tie"), mine, "left").drop("__series")
+    late = F.col(ts).isNull() | F.coalesce(
+        (F.col(ts) < F.col("last_ts")) | ((F.col(ts) == F.col("last_ts")) & (F.col(tie) < F.col("last_tie"))), F.lit(False))
+    placed = materialize(placed.withColumn("late", late).drop("last_ts", "last_tie"))
+    ontime = placed.where(~F.col("late")).select(series, ts, tie, col, "__seq").withColumn("__new", F.lit(1))
+    held = state.join(ontime.select(F.col(series).alias("__series")).distinct(), mine, "left_semi").select(
+        series, F.posexplode("hist").alias("__seq", "__h")).select(
+        series, F.col("__h.ts").alias(ts), F.col("__h.tie").alias(tie), F.col("__h.value").alias(col),
+        F.col("__seq").cast("long").alias("__seq"), F.lit(0).alias("__new"))
+    t = timeaxis.row_index(ontime.unionByName(held), [series], ["__new", ts, tie, "__seq"], "__idx")
+    t = windows.window_features(t, [series], "__idx", [col], lags=lags, roll_windows=roll_windows, bucket_rows=bucket_rows)
+    t = materialize(t)
+    # the EMA runs over the new rows that have a value, from their first one on
+    some = windows.running_scan(
+        t.where("__new = 1").withColumn("__one", F.col(col).isNotNull().cast("double")), [series], "__idx", "__one", "sum", "__i",
+        bucket_rows, exclusive=True).withColumn("__i", F.col("__i").cast("long")).drop("__one")
+    some = materialize(some)
+    avg = ema.ema_features(some.where(F.col(col).isNotNull()).select(series, "__idx", "__i", col), [series], "__i", [col], spans)
+    first = some.where(F.col(col).isNotNull()).groupBy(F.col(series).alias("__series")).agg(F.min_by(col, "__i").alias("__first"))
+    carry = first.join(before.select(F.col("__series").alias("__before"), "ema"), F.col("__series").eqNullSafe(F.col("__before")), "left")
+    avg = avg.join(carry.drop("__before"), mine, "left").drop("__series")
+    # an average that starts at ``y`` instead of the first value differs by (1 - a)^(i + 1) (y - first)
+    for j, s in enumerate(spans):
+        left = F.pow(F.lit(1 - 2.0 / (s + 1)), F.col("__i") + 1) * (F.col("ema")[j] - F.col("__first"))
+        avg = avg.withColumn(f"{col}_ema_{s}", F.col(f"{col}_ema_{s}") + F.coalesce(left, F.lit(0.0)))
+    emas = [f"{col}_ema_{s}" for s in spans]
+    avg = avg.select(F.col(series).alias("__series"), F.col("__idx").alias("__at"), *emas)
+    full = materialize(some.join(avg, mine & (F.col("__idx") == F.col("__at")), "left").drop("__series", "__at"))
+    out = full.withColumn("late", F.lit(False)).select(series, ts, tie, col, *names, "late").unionByName(
+        placed.where("late").select(series, ts, tie, col, *[F.lit(None).cast("double").alias(n) for n in names], "late"))
+    sizes = t.groupBy(F.col(series).alias("__series")).agg(F.max("__idx").alias("__top"))
+    tail = t.join(sizes, mine).where(F.col("__idx") > F.col("__top") - reach)
+    hist = tail.groupBy(series).agg(F.sort_array(F.collect_list(F.struct("__idx", F.col(ts).alias("ts"), F.col(tie).alias("tie"), F.col(col).alias("value")))).alias("h"))
+    hist = hist.select(series, F.transform("h", lambda x: F.struct(x["ts"].alias("ts"), x["tie"].alias("tie"), x["value"].alias("value"))).alias("hist"))
+    last = full.where(F.col(emas[0]).isNotNull()).groupBy(F.col(series).alias("__series")).agg(
+        F.max_by(F.array(*emas), "__idx").alias("fresh")) if emas else None
+    after = hist
+    if last is not None:
+        after = after.join(last, mine, "left").drop("__series")
+        after = after.join(before.select("__series", F.col("ema").alias("__old")), mine, "left").drop("__series").withColumn(
+            "ema", F.coalesce("fresh", "__old")).drop("fresh", "__old")
+    else:
+        after = after.withColumn("ema", F.array().cast("array<double>"))
+    end = F.element_at("hist", -1)
+    after = after.select(series, end["ts"].alias("last_ts"), end["tie"].alias("last_tie"), "ema", "hist")
+    idle = state.join(after.select(F.col(series).alias("__series")), mine, "left_anti")
+    return out, after.unionByName(idle.select(*after.columns))
 
 
 def feature_stream(
-    stream: DataFrame, series: str, ts: str, col: str, lags: Sequence[int] = (1, 2, 3, 24),
-    windows: Sequence[int] = (3, 6, 12, 24), spans: Sequence[int] = (3, 6, 12, 24), tie: str | None = None,
-) -> DataFrame:
-    """Append-mode rows (series, ts, tie, value, features..., late), one for
-    each input row. Rows are ordered by (ts, ``tie``), ``tie`` an integer
-    column; a stream that arrives in that order gives the same rows, equal to
-    the batch window operators, however it is cut into micro-batches. Rows
-    with equal places keep their order of arrival."""
-    ship_package(stream.sparkSession)
-    reach = max([*lags, *(w - 1 for w in windows), 1])
-    names = feature_names(col, lags, windows, spans)
-    key_type = dict(stream.dtypes)[series]
-    out_schema = ", ".join([f"{series} {key_type}", f"{ts} timestamp_ntz", *([f"{tie} long"] if tie else []), f"{col} double"]
-                           + [f"{n} double" for n in names] + ["late boolean"])
-    state_schema = "hist array<double>, last_ts timestamp_ntz, last_tie long, ema array<double>"
-    place = [ts, tie] if tie else [ts]
-
-    def step(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(pdfs), ignore_index=True).sort_values(place, kind="stable")
-        hist, last_ts, last_tie, ema = state.get if state.exists else ([], None, None, None)
-        late = batch[ts].isna()
-        if last_ts is not None:
-            last_ts = pd.Timestamp(last_ts)
-            late |= batch[ts] < last_ts
-            if tie:
-                late |= (batch[ts] == last_ts) & (batch[tie] < last_tie)
-        gone, batch = batch[late], batch[~late]
-        if len(gone):
-            yield pd.DataFrame({series: key[0], **{c: gone[c].to_numpy() for c in place}, col: gone[col].astype(float).to_numpy(),
-                                **dict.fromkeys(names, np.nan), "late": True})
-        if batch.empty:
-            return
-        vals = batch[col].astype(float).to_numpy()
-        h = len(hist)
-        full = np.concatenate([np.asarray(hist, dtype=float), vals])
-        out = pd.DataFrame({series: key[0], **{c: batch[c].to_numpy() for c in place}, col: vals})
-        for k in lags:
-            out[f"{col}_lag{k}"] = pd.Series(full).shift(k).to_numpy()[h:]
-        for w in windows:
-            mean, std = _trailing(full, w)
-            out[f"{col}_roll_mean_{w}"], out[f"{col}_roll_std_{w}"] = mean[h:], std[h:]
-        for j, s in enumerate(spans):
-            run = pd.Series(vals if ema is None else np.concatenate([[ema[j]], vals]))
-            out[f"{col}_ema_{s}"] = run.ewm(span=s, adjust=False).mean().to_numpy()[len(run) - len(vals):]
-        out["late"] = False
-        last = batch.iloc[-1]
-        state.update((full[-reach:].tolist(), last[ts].to_pydatetime(), int(last[tie]) if tie else 0,
-                      [float(out[f"{col}_ema_{s}"].iloc[-1]) for s in spans]))
-        yield out[[series, *place, col, *names, "late"]]
-
-    return stream.groupBy(series).applyInPandasWithState(
-        step, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
+    stream: DataFrame, series: str, ts: str, col: str, sink: str, checkpoint: str, lags: Sequence[int] = (1, 2, 3, 24),
+    roll_windows: Sequence[int] = (3, 6, 12, 24), spans: Sequence[int] = (3, 6, 12, 24), tie: str | None = None,
+    bucket_rows: int = windows.DEFAULT_BUCKET_ROWS,
+):
+    """Start the job that writes rows (series, ts, tie, value, features..., late),
+    one for each input row, as Parquet folders ``sink/batch=<n>``; state goes to
+    ``checkpoint/features``. Returns the started query.
+
+    Rows are ordered by (ts, ``tie``), ``tie`` an integer column; a stream that
+    arrives in that order gives the same rows, equal to the batch window
+    operators, however it is cut into micro-batches. Rows with equal places keep
+    their order of arrival. A missing value has lags and rolling figures, but no
+    EMA, and leaves the running one as it is."""
+    key = dict(stream.dtypes)[series]
+    schema = (f"`{series}` {key}, last_ts timestamp_ntz, last_tie long, ema array<double>, "
+              "hist array<struct<ts:timestamp_ntz,tie:long,value:double>>")
+    folder = f"{checkpoint.rstrip('/')}/features"
+    place = tie or "__tie"
+
+    def batch(rows: DataFrame, n: int) -> None:
+        # an empty batch still passes the state on
+        rows = rows.select(series, F.col(ts).cast("timestamp_ntz").alias(ts),
+                           (F.col(tie) if tie else F.lit(0)).cast("long").alias(place), F.col(col).cast("double").alias(col))
+        out, after = features_after(_read_state(rows.sparkSession, folder, n, schema), rows, series, ts, place, col, lags, roll_windows, spans,
+                                    bucket_rows)
+        if tie is None:
+            out = out.drop(place)
+        out.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch={n}")
+        after.write.mode("overwrite").parquet(f"{folder}/batch={n}")
+
+    return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
