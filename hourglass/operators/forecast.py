@@ -9,6 +9,7 @@ another engine.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 import numpy as np
@@ -16,15 +17,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourglass.operators import timeaxis, windows
+from hourglass.operators import ema, timeaxis, windows
 from hourglass.operators.clean import usable_features
-from hourglass.session import materialize, ship_package
+from hourglass.session import ensure_checkpoint_dir, materialize, ship_package
 
 M32 = 4294967296  # 2^32
 M31 = 2147483648
 HASH_MULT = 73244475  # 0x45d9f3b, integer finalizer multiplier
 WORDS = (0, 2654435769)  # offsets that make the two words of a draw differ
-SERIES_HASH_BUCKETS = 1 << 20  # series key -> numeric model feature
 
 
 def _round(x: Column) -> Column:
@@ -390,130 +390,294 @@ def poisson_bootstrap_ci(
 # ------------------------------------------------------------------ models
 
 
+SERIES_MEAN = "__series_mean"
+
+
+def series_encoding(train: DataFrame, series: Sequence[str], label: str = "y", folds: int = 5, weight: float = 20.0):
+    """Numeric feature of a series key: the mean label of the key's other rows.
+
+    Rows are dealt to ``folds`` by a hash of their content; a row takes the mean
+    over the other folds of its key, shrunk towards the overall mean by
+    ``weight`` rows, so its own label never enters. One aggregate and joins by
+    key; no list of keys reaches the driver. Returns (train with
+    ``SERIES_MEAN``, table of series and ``SERIES_MEAN`` over all rows for
+    scoring, overall mean, which unseen keys take)."""
+    series = list(series)
+    t = train.withColumn("__fold", F.pmod(F.xxhash64(*train.columns), F.lit(folds)))
+    parts = materialize(t.groupBy(*series, "__fold").agg(F.sum(label).alias("__s"), F.count(label).alias("__n")))
+    total = parts.agg(F.sum("__s"), F.sum("__n")).first()
+    prior = float(total[0]) / total[1] if total[1] else 0.0
+    whole = parts.groupBy(*series).agg(F.sum("__s").alias("__ts"), F.sum("__n").alias("__tn"))
+    mean = lambda s, n: (s + F.lit(prior * weight)) / (n + F.lit(weight))
+    table = whole.select(*series, mean(F.coalesce("__ts", F.lit(0.0)), F.col("__tn")).alias(SERIES_MEAN))
+    keys = [F.col(c).alias(f"__k_{c}") for c in series]
+    none = F.lit(0.0)
+    rest = parts.join(whole.select(*keys, "__ts", "__tn"), _same(series)).select(
+        *[F.col(c).alias(f"__f_{c}") for c in series], F.col("__fold").alias("__of"),
+        mean(F.coalesce("__ts", none) - F.coalesce("__s", none), F.col("__tn") - F.col("__n")).alias(SERIES_MEAN))
+    out = t.join(rest, _same(series, "__f_") & (F.col("__fold") == F.col("__of")))
+    return out.select(*train.columns, SERIES_MEAN), table, prior
+
+
+def _same(series: Sequence[str], prefix: str = "__k_") -> Column:
+    same = F.lit(True)
+    for c in series:
+        same = same & F.col(c).eqNullSafe(F.col(f"{prefix}{c}"))
+    return same
+
+
+def prepared(train: DataFrame, test: DataFrame, features: Sequence[str], label: str = "y", series: Sequence[str] = (),
+             encoding_path: str | None = None):
+    """``(train, test, stages)``: both frames with the vector ``features``, and
+    the fitted stages that make it for new rows. The table of series means is
+    written to ``encoding_path`` (by default in the shared folder); the stage
+    joins it, so it must stay where a saved model is used."""
+    from pyspark.ml.feature import SQLTransformer, VectorAssembler
+
+    stages, cols = [], list(features)
+    if series:
+        path = encoding_path or f"{ensure_checkpoint_dir(train.sparkSession).rstrip('/')}/series-means-{uuid.uuid4().hex}"
+        train, table, prior = series_encoding(train, series, label)
+        table.write.parquet(path)
+        on = " AND ".join(f"d.`{c}` <=> m.`{c}`" for c in series)
+        stages.append(SQLTransformer(statement=(
+            f"SELECT d.*, coalesce(m.`{SERIES_MEAN}`, CAST({prior!r} AS DOUBLE)) AS `{SERIES_MEAN}` FROM __THIS__ d LEFT JOIN parquet.`{path}` m ON {on}")))
+        cols.append(SERIES_MEAN)
+        test = stages[0].transform(test)
+    stages.append(VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep"))
+    return stages[-1].transform(train), stages[-1].transform(test), stages
+
+
+def gbt(label: str, n_trees: int, max_depth: int, step: float, subsample: float, feature_subset: str, seed: int):
+    from pyspark.ml.regression import GBTRegressor
+
+    return GBTRegressor(featuresCol="features", labelCol=label, maxIter=n_trees, maxDepth=max_depth, stepSize=step,
+                        subsamplingRate=subsample, featureSubsetStrategy=feature_subset, seed=seed)
+
+
 def gbt_fit_predict(
     train: DataFrame, test: DataFrame, features: Sequence[str], label: str = "y", n_trees: int = 100,
     max_depth: int = 5, step: float = 0.1, subsample: float = 1.0, feature_subset: str = "all", seed: int = 42,
-    series: Sequence[str] = (),
+    series: Sequence[str] = (), encoding_path: str | None = None,
 ):
     """Gradient-boosted regression trees (MLlib). The series key
-    enters as one more numeric feature, a hash bucket of the key computed on
-    the executors (no distinct-key list is collected to the driver, which a
-    label indexer would do), so one model serves every series. Returns
-    (fitted PipelineModel, test predictions)."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import SQLTransformer, VectorAssembler
-    from pyspark.ml.regression import GBTRegressor
+    enters as one more numeric feature, its out-of-fold mean label
+    (:func:`series_encoding`), so one model serves every series. Both frames
+    are made once, whatever the number of trees. Returns (fitted PipelineModel,
+    test predictions)."""
+    from pyspark.ml import PipelineModel
 
-    stages, cols = [], list(features)
-    for s in series:
-        stages.append(SQLTransformer(
-            statement=f"SELECT *, CAST(pmod(xxhash64(`{s}`), {SERIES_HASH_BUCKETS}) AS DOUBLE) AS `{s}__ix` FROM __THIS__"))
-        cols.append(f"{s}__ix")
-    stages.append(VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep"))
-    stages.append(GBTRegressor(featuresCol="features", labelCol=label, maxIter=n_trees, maxDepth=max_depth,
-                               stepSize=step, subsamplingRate=subsample, featureSubsetStrategy=feature_subset,
-                               seed=seed))
-    model = Pipeline(stages=stages).fit(train)
-    return model, model.transform(test)
-
-
-def _solve_rows(pdf: pd.DataFrame, names: list[str], target: str, series: list[str]) -> pd.DataFrame:
-    """Least squares from cross-product sums ``s__a__b`` (one row per series)."""
-    out = []
-    p = len(names)
-    for _, row in pdf.iterrows():
-        XtX = np.array([[row[f"s__{min(a, b)}__{max(a, b)}"] for b in names] for a in names], dtype=float)
-        Xty = np.array([row[f"s__{min(a, target)}__{max(a, target)}"] for a in names], dtype=float)
-        try:
-            beta = np.linalg.solve(XtX, Xty)
-        except np.linalg.LinAlgError:
-            beta = np.linalg.lstsq(XtX, Xty, rcond=None)[0]
-        rec = {s: row[s] for s in series}
-        rec.update({f"b_{i}": float(beta[i]) for i in range(p)})
-        rec["rows"] = int(row["rows"])
-        out.append(rec)
-    return pd.DataFrame(out, columns=[*series, *[f"b_{i}" for i in range(p)], "rows"])
-
-
-def _ols_by_series(t: DataFrame, series: list[str], target: str, regressors: list[str]) -> DataFrame:
-    """Per-series OLS without intercept: all cross-product sums in one
-    aggregate (partial aggregation, skew-proof), then a p x p solve per
-    series on the one-row-per-series sums table."""
-    ship_package(t.sparkSession)
-    cols = [target, *regressors]
-    ok = t.dropna(subset=cols)
-    sums = [F.sum(F.col(a) * F.col(b)).alias(f"s__{min(a, b)}__{max(a, b)}")
-            for i, a in enumerate(cols) for b in cols[i:]]
-    agg = ok.groupBy(*series).agg(F.count(F.lit(1)).alias("rows"), *sums)
-    key_types = {f.name: f.dataType.simpleString() for f in t.schema.fields}
-    schema = ", ".join([f"{s} {key_types[s]}" for s in series] + [f"b_{i} double" for i in range(len(regressors))]
-                       + ["rows bigint"])
-    return agg.groupBy(*series).applyInPandas(lambda pdf: _solve_rows(pdf, regressors, target, series), schema)
+    train, test, stages = prepared(train, test, features, label, series, encoding_path)
+    model = gbt(label, n_trees, max_depth, step, subsample, feature_subset, seed).fit(materialize(train.select("features", label)))
+    return PipelineModel([*stages, model]), model.transform(test)
+
+
+def difference_sums(
+    df: DataFrame, series: Sequence[str], idx: str, value: str, reach: int, bucket_rows: int | None = windows.DEFAULT_BUCKET_ROWS,
+) -> DataFrame:
+    """Per series ``rows`` and ``s_i_j`` (0 <= i <= j <= reach): sums of
+    dy[t-i] * dy[t-j] over the rows that have all these differences. One
+    window projection, one aggregate."""
+    series = list(series)
+    t = windows.window_select(df.select(*series, idx, value), series, idx,
+                              lambda w: {f"__y{k}": F.lag(value, k).over(w) for k in range(1, reach + 2)},
+                              preceding=reach + 1, bucket_rows=bucket_rows)
+    y = [F.col(value), *[F.col(f"__y{k}") for k in range(1, reach + 2)]]
+    d = t.select(*series, *[(y[k] - y[k + 1]).alias(f"__d{k}") for k in range(reach + 1)]).dropna(
+        subset=[f"__d{k}" for k in range(reach + 1)])
+    return d.groupBy(*series).agg(F.count(F.lit(1)).alias("rows"), *[
+        F.sum(F.col(f"__d{i}") * F.col(f"__d{j}")).alias(f"s_{i}_{j}") for i in range(reach + 1) for j in range(i, reach + 1)])
+
+
+def _solve(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Many small systems at once; least squares where one is singular."""
+    try:
+        return np.linalg.solve(a, b[..., None])[..., 0]
+    except np.linalg.LinAlgError:
+        return np.stack([np.linalg.lstsq(x, y, rcond=None)[0] for x, y in zip(a, b)])
+
+
+def _hannan_rissanen(s: np.ndarray, rows: np.ndarray, p: int, q: int, long_ar: int) -> tuple[np.ndarray, np.ndarray]:
+    """Coefficients and residual variance from the sums ``s[series, i, j]``.
+
+    Stage 1 is an AR(``long_ar``). Its residual is a fixed combination of
+    differences, so the sums that stage 2 needs are combinations of ``s``."""
+    size = s.shape[1]
+    ar = _solve(s[:, 1 : long_ar + 1, 1 : long_ar + 1], s[:, 1 : long_ar + 1, 0])
+    take = np.zeros((len(s), p + q, size))
+    for k in range(p):
+        take[:, k, k + 1] = 1.0
+    for k in range(q):
+        take[:, p + k, k + 1] = 1.0
+        take[:, p + k, k + 2 : k + 2 + long_ar] = -ar
+    xx = take @ s @ take.transpose(0, 2, 1)
+    xy = (take @ s[:, :, :1])[..., 0]
+    beta = _solve(xx, xy)
+    rest = s[:, 0, 0] - 2 * (beta * xy).sum(axis=1) + np.einsum("ni,nij,nj->n", beta, xx, beta)
+    return beta, np.maximum(rest, 0.0) / rows
 
 
 def arma_fit(
     df: DataFrame, series: Sequence[str], idx: str, value: str, p: int = 2, q: int = 2, long_ar: int = 10,
     min_points: int = 10, bucket_rows: int | None = windows.DEFAULT_BUCKET_ROWS,
 ) -> DataFrame:
-    """M4: ARIMA(p,1,q) coefficients by Hannan-Rissanen, per series.
+    """M4: ARIMA(p,1,q) coefficients by Hannan-Rissanen, per series (or of the
+    whole table without a series key).
 
-    Stage 1 fits a long AR(``long_ar``) to the differences; its residuals
-    stand in for the innovations. Stage 2 regresses the difference on p
-    lagged differences and q lagged residuals (no constant with d = 1).
+    The data is read once, for the cross-product sums of the lagged differences
+    (``difference_sums``); both regressions (no constant with d = 1) are
+    solved from them, for many series at a time.
     Output: series, ar_1..ar_p, ma_1..ma_q, sigma2, n.
     """
     series = list(series)
-    reach = max(long_ar, p, q) + 1
-    d = windows.window_select(df, series, idx, lambda w: {"__dy": F.col(value) - F.lag(value, 1).over(w)},
-                              preceding=1, bucket_rows=bucket_rows)
-    d = windows.window_select(d, series, idx, lambda w: {f"__dy{k}": F.lag("__dy", k).over(w) for k in range(1, reach + 1)},
-                              preceding=reach, bucket_rows=bucket_rows)
-    ar_cols = [f"__dy{k}" for k in range(1, long_ar + 1)]
-    c1 = _ols_by_series(d, series, "__dy", ar_cols)
-    fit1 = sum(F.col(f"b_{i}") * F.col(ar_cols[i]) for i in range(long_ar))
-    e = d.join(c1.drop("rows"), series).withColumn("__e", F.col("__dy") - fit1)
-    e = windows.window_select(e.select(*series, idx, "__dy", *[f"__dy{k}" for k in range(1, p + 1)], "__e"),
-                              series, idx, lambda w: {f"__e{k}": F.lag("__e", k).over(w) for k in range(1, q + 1)},
-                              preceding=q, bucket_rows=bucket_rows)
-    regs = [f"__dy{k}" for k in range(1, p + 1)] + [f"__e{k}" for k in range(1, q + 1)]
-    c2 = _ols_by_series(e, series, "__dy", regs)
-    fit2 = sum(F.col(f"b_{i}") * F.col(regs[i]) for i in range(len(regs)))
-    resid = e.join(c2.drop("rows"), series).dropna(subset=["__dy", *regs]).withColumn("__r", F.col("__dy") - fit2)
-    sig = resid.groupBy(*series).agg(F.avg(F.col("__r") * F.col("__r")).alias("sigma2"))
+    reach = max(long_ar + q, p)
+    sums = difference_sums(df, series, idx, value, reach, bucket_rows).where(F.col("rows") >= min_points)
+    ship_package(df.sparkSession)
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     names = [f"ar_{k}" for k in range(1, p + 1)] + [f"ma_{k}" for k in range(1, q + 1)]
-    out = c2.select(*series, *[F.col(f"b_{i}").alias(nm) for i, nm in enumerate(names)], F.col("rows").alias("n"))
-    return out.join(sig, series).where(F.col("n") >= min_points)
+    schema = ", ".join([*(f"`{s}` {types[s]}" for s in series), *(f"{c} double" for c in names), "sigma2 double", "n bigint"])
 
+    def solve(pdfs):
+        for pdf in pdfs:
+            if not len(pdf):
+                continue
+            s = np.zeros((len(pdf), reach + 1, reach + 1))
+            for i in range(reach + 1):
+                for j in range(i, reach + 1):
+                    s[:, i, j] = s[:, j, i] = pdf[f"s_{i}_{j}"].to_numpy(dtype=float)
+            beta, sigma2 = _hannan_rissanen(s, pdf["rows"].to_numpy(dtype=float), p, q, long_ar)
+            yield pd.DataFrame({**{c: pdf[c] for c in series}, **{c: beta[:, k] for k, c in enumerate(names)}, "sigma2": sigma2, "n": pdf["rows"]})
 
-def arma_forecast(
-    df: DataFrame, coefs: DataFrame, series: Sequence[str], idx: str, value: str, long_ar: int = 10,
+    return sums.mapInPandas(solve, schema)
+
+
+FAN = 256  # elements of one group of a vector scan (a power of two)
+
+
+def _times(mat: Column, vec: Column) -> Column:
+    return F.transform(mat, lambda row: F.aggregate(F.zip_with(row, vec, lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x))
+
+
+def _squared(mat: Column, size: int) -> Column:
+    rows = range(size)
+    return F.array(*[F.array(*[sum((mat[i][k] * mat[k][j] for k in rows), F.lit(0.0)) for j in rows]) for i in rows])
+
+
+def vector_scan(t: DataFrame, series: Sequence[str], size: int, longest: int) -> DataFrame:
+    """y_t = A y_{t-1} + c_t (y before the first row 0) over dense ``idx``.
+
+    ``t``: series, idx, ``c`` (array of ``size``) and ``mat``, the matrix A of
+    the series (array of rows). Groups of ``FAN`` elements are folded in order
+    from 0; their ends form a scan of their own with A^FAN, whose result is
+    carried into the groups. No task holds more than ``FAN`` elements of a
+    series; ``longest`` (rows of the longest series) sets the levels.
+    Returns series, idx, ``y``."""
+    series = list(series)
+    zeros = F.array(*[F.lit(0.0)] * size)
+    g = t.groupBy(*series, F.floor(F.col("idx") / FAN).alias("__g")).agg(
+        F.array_sort(F.collect_list(F.struct("idx", "c"))).alias("__items"), F.first("mat").alias("mat"))
+
+    def step(y, x):
+        return F.zip_with(_times(F.col("mat"), y), x["c"], lambda a, b: a + b)
+
+    if longest > FAN:
+        g = materialize(g)  # read for the group ends and for the result
+        power = g.select(*series, F.col("__g").alias("idx"), F.aggregate("__items", zeros, step).alias("c"), "mat")
+        for _ in range(FAN.bit_length() - 1):
+            power = power.withColumn("mat", F.transform(F.array("mat"), lambda m: _squared(m, size))[0])
+        ends = vector_scan(power, series, size, -(-longest // FAN))
+        carried = ends.select(*[F.col(c).alias(f"__s_{c}") for c in series], (F.col("idx") + 1).alias("__to"), F.col("y").alias("__in"))
+        same = F.col("__g") == F.col("__to")
+        for c in series:
+            same = same & F.col(c).eqNullSafe(F.col(f"__s_{c}"))
+        g = g.join(carried, same, "left").withColumn("__in", F.coalesce("__in", zeros))
+    else:
+        g = g.withColumn("__in", zeros)
+    kind = "array<struct<idx:bigint,y:array<double>>>"
+    start = F.struct(F.col("__in").alias("y"), F.array().cast(kind).alias("out"))
+
+    def walk(acc, x):
+        return F.transform(F.array(step(acc["y"], x)), lambda y: F.struct(
+            y.alias("y"), F.concat(acc["out"], F.array(F.struct(x["idx"].cast("long").alias("idx"), y.alias("y")))).alias("out")))[0]
+
+    return g.select(*series, F.inline(F.aggregate("__items", start, walk, lambda acc: acc["out"])))
+
+
+def arma_residuals(
+    df: DataFrame, coefs: DataFrame, series: Sequence[str], idx: str, value: str, before: str | None = None,
     bucket_rows: int | None = windows.DEFAULT_BUCKET_ROWS,
 ) -> DataFrame:
-    """M5: one-step forecast y_t + sum ar_k dy_{t-k+1} + sum ma_k e_{t-k+1}
-    at every row, with the stage-1 long-AR residuals as innovations.
-    Adds ``forecast`` (prediction for the next position)."""
+    """``df`` with ``__d`` (array of the last p differences, latest first), the
+    ARMA innovations ``__e`` (array of the last q, latest first) and the
+    coefficients. e_t = dy_t - sum ar_k dy_{t-k} - sum ma_k e_{t-k}: a vector
+    scan with the companion matrix of the MA part. Differences and innovations
+    before the first row count as 0, or come from ``before``: a column with
+    the innovations before row 0 (latest first), for rows that continue a
+    series."""
     series = list(series)
     p = len([c for c in coefs.columns if c.startswith("ar_")])
     q = len([c for c in coefs.columns if c.startswith("ma_")])
-    reach = max(long_ar, p, q) + 1
-    d = windows.window_select(df, series, idx, lambda w: {"__dy": F.col(value) - F.lag(value, 1).over(w)},
-                              preceding=1, bucket_rows=bucket_rows)
-    d = windows.window_select(d, series, idx, lambda w: {f"__dy{k}": F.lag("__dy", k).over(w) for k in range(1, reach + 1)},
-                              preceding=reach, bucket_rows=bucket_rows)
-    ar_cols = [f"__dy{k}" for k in range(1, long_ar + 1)]
-    c1 = _ols_by_series(d, series, "__dy", ar_cols)
-    e = d.join(c1.drop("rows"), series).withColumn(
-        "__e", F.col("__dy") - sum(F.col(f"b_{i}") * F.col(ar_cols[i]) for i in range(long_ar)))
-    e = e.drop(*[f"b_{i}" for i in range(long_ar)])
-    e = windows.window_select(e, series, idx, lambda w: {f"__e{k}": F.lag("__e", k).over(w) for k in range(1, q)},
-                              preceding=max(q - 1, 1), bucket_rows=bucket_rows)
-    e = e.join(coefs, series)
-    dy_terms = [F.col("__dy")] + [F.col(f"__dy{k}") for k in range(1, p)]
-    e_terms = [F.col("__e")] + [F.col(f"__e{k}") for k in range(1, q)]
-    fc = F.col(value) + sum(F.col(f"ar_{k + 1}") * dy_terms[k] for k in range(p)) + sum(
-        F.col(f"ma_{k + 1}") * e_terms[k] for k in range(q))
-    keep = [c for c in df.columns]
-    return e.select(*keep, fc.alias("forecast"))
+    t = windows.window_select(df, series, idx, lambda w: {f"__y{k}": F.lag(value, k).over(w) for k in range(1, p + 2)},
+                              preceding=p + 1, bucket_rows=bucket_rows)
+    y = [F.col(value), *[F.col(f"__y{k}") for k in range(1, p + 2)]]
+    d = [F.coalesce(y[k] - y[k + 1], F.lit(0.0)) for k in range(p + 1)]
+    t = t.withColumns({f"__d{k}": d[k] for k in range(p + 1)}).drop(*[f"__y{k}" for k in range(1, p + 2)])
+    t = _with_coefficients(t, coefs, series)
+    c0 = F.col("__d0") - sum((F.col(f"ar_{k}") * F.col(f"__d{k}") for k in range(1, p + 1)), F.lit(0.0))
+    t = t.withColumn("__d", F.array(*[F.col(f"__d{k}") for k in range(p)]).cast("array<double>")).withColumn("__u", c0)
+    t = t.drop(*[f"__d{k}" for k in range(p + 1)])
+    if not q:
+        return t.withColumn("__e", F.array().cast("array<double>"))
+    t = materialize(t)  # read by the scan and joined with its result
+    mat = F.array(F.array(*[-F.col(f"ma_{k}") for k in range(1, q + 1)]),
+                  *[F.array(*[F.lit(1.0 if j == i else 0.0) for j in range(q)]) for i in range(q - 1)])
+    c = F.array(F.col("__u"), *[F.lit(0.0)] * (q - 1))
+    if before is not None:
+        entry = F.zip_with(c, _times(F.col("mat"), F.coalesce(F.col(before), F.array(*[F.lit(0.0)] * q))), lambda a, b: a + b)
+        c = F.when(F.col(idx) == 0, entry).otherwise(c)
+    rows = t.withColumn("mat", mat).select(*series, F.col(idx).cast("long").alias("idx"), c.alias("c"), "mat")
+    longest = t.agg(F.max(idx)).first()[0]
+    e = vector_scan(rows, series, q, (longest or 0) + 1)
+    e = e.select(*[F.col(c).alias(f"__s_{c}") for c in series], F.col("idx").alias("__at"), F.col("y").alias("__e"))
+    same = F.col(idx) == F.col("__at")
+    for c in series:
+        same = same & F.col(c).eqNullSafe(F.col(f"__s_{c}"))
+    return t.join(e, same).drop("__at", "__u", *[f"__s_{c}" for c in series])
+
+
+def _with_coefficients(t: DataFrame, coefs: DataFrame, series: list[str]) -> DataFrame:
+    names = [c for c in coefs.columns if c.startswith(("ar_", "ma_"))]
+    if not series:
+        return t.withColumns({c: coefs.select(c).scalar() for c in names})
+    side = coefs.select(*[F.col(c).alias(f"__s_{c}") for c in series], *names)
+    same = None
+    for c in series:
+        eq = F.col(c).eqNullSafe(F.col(f"__s_{c}"))
+        same = eq if same is None else same & eq
+    return t.join(side, same).drop(*[f"__s_{c}" for c in series])
+
+
+def arma_forecast(
+    df: DataFrame, coefs: DataFrame, series: Sequence[str], idx: str, value: str,
+    bucket_rows: int | None = windows.DEFAULT_BUCKET_ROWS,
+) -> DataFrame:
+    """M5: one-step forecast y_t + sum ar_k dy_{t-k+1} + sum ma_k e_{t-k+1} at
+    every row, with the innovations of :func:`arma_residuals`. Adds ``forecast``
+    (prediction for the next position); series without coefficients are left out."""
+    t = arma_residuals(df, coefs, series, idx, value, None, bucket_rows)
+    return t.select(*df.columns, arma_step(coefs, value).alias("forecast"))
+
+
+def arma_step(coefs: DataFrame, value: str) -> Column:
+    """Forecast from the columns that :func:`arma_residuals` adds."""
+    p = len([c for c in coefs.columns if c.startswith("ar_")])
+    q = len([c for c in coefs.columns if c.startswith("ma_")])
+    out = F.col(value)
+    for k in range(p):
+        out = out + F.col(f"ar_{k + 1}") * F.col("__d")[k]
+    for k in range(q):
+        out = out + F.col(f"ma_{k + 1}") * F.col("__e")[k]
+    return out
 
 
 def replay_sample(df: DataFrame, series: Sequence[str], pos: str, n_draws: int | None = None, seed: int = 42,
@@ -567,14 +731,8 @@ def engineered_features(
     t = windows.window_features(t, series, idx, cols, lags=all_lags, roll_windows=rolling_windows,
                                 slope_windows=slope_windows if add_slopes else (), bucket_rows=bucket_rows)
     if add_ema:
-        t = ema_features_op(t, series, idx, cols, ema_windows)
+        t = ema.ema_features(t, series, idx, cols, ema_windows)
     if add_interactions:
         t = t.withColumns({f"{a}__{b}": F.col(a) * F.col(b) for a, b in windows.interaction_names(cols, interaction_lags)})
     extra = [f"{c}_lag{k}" for k in all_lags if k not in set(lags) for c in cols]
     return t.drop(*extra)
-
-
-def ema_features_op(*args, **kw):
-    from hourglass.operators.ema import ema_features
-
-    return ema_features(*args, **kw)

@@ -11,6 +11,7 @@ from __future__ import annotations
 import itertools
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from hourglass.operators import forecast as FC
 from hourglass.operators import stats, timeaxis, windows
 from hourglass.session import materialize
+from hourglass.sources import files
 
 # Fixed values that must equal the reference for equal results.
 # Search grid, in search order (the first best setting wins ties).
@@ -44,34 +46,39 @@ def _matrix(df, series, idx, ts, target, horizon):
 def evaluation_report(
     df: DataFrame, series: Sequence[str], idx: str, ts: str, target: str, horizon: int = 1,
     test_size: float = 0.2, n_trees: int = EVAL_TREES, n_boot: int = 1000, block: int | None = None, seed: int = 42,
+    alpha: float = 0.05, candidates: Sequence[str] | None = None,
 ) -> DataFrame:
     """Boosted trees vs persistence on the last ``test_size`` of each
     series' feature rows; paired |error| difference and its bootstrap CI
-    (IID, or moving-block when ``block`` is set).
+    (IID, or moving-block when ``block`` is set). The baseline is the feature
+    ``<target>_lag1`` where the features have it, else the previous test value.
 
-    One row per series: target, horizon, n_train, n_test, model_mae,
-    model_rmse, baseline_mae, baseline_rmse, mae_diff_mean, ci_low, ci_high.
+    One nested row per series: target, horizon, n_train, n_test,
+    model {mae, rmse}, baseline {mae, rmse}, mae_diff_mean, mae_diff_ci [low, high].
     """
     series = list(series)
-    fm, names = _matrix(df, series, idx, ts, target, horizon)
+    fm, names = FC.feature_matrix(df, series, idx, ts, target, horizon, candidates=candidates)
+    if candidates is not None and target in candidates:  # the target's own previous value as a feature
+        lag = f"{target}_lag1"
+        prev = windows.lag_features(df.select(*series, idx, F.col(target).cast("double").alias(target)), series, idx, [target], (1,))
+        fm = fm.join(prev.select(*series, idx, lag), [*series, idx])
+        names = [*names, lag]
+    fm = timeaxis.row_index(fm, series, [idx], idx_col="__pos")
     sp = materialize(FC.chrono_split(fm, series, "__pos", test_size))
     train, test = sp.where(F.col("part") == "train"), sp.where(F.col("part") == "test")
     _, pred = FC.gbt_fit_predict(train, test, names, "y", n_trees=n_trees, seed=seed, series=series)
-    # persistence inside the test rows: previous y; the first test row predicts itself
-    pred = windows.window_select(pred, series, "__pos", lambda w: {"__prev": F.lag("y", 1).over(w)}, preceding=1)
-    pred = pred.withColumn("baseline", F.coalesce("__prev", "y"))
+    pred = windows.persistence_baseline(pred.drop("features"), series, "__pos", "y", lagged=f"{target}_lag1")
     pred = pred.withColumn("diff", F.abs(F.col("prediction") - F.col("y")) - F.abs(F.col("baseline") - F.col("y")))
     pred = materialize(pred.withColumn("__k", F.col("__pos") - F.col("split_at")))
     err = stats.forecast_errors(pred, "y", "prediction", "baseline", series)
-    ci = (FC.block_bootstrap_ci(pred, series, "__k", "diff", block, n_boot) if block
-          else FC.bootstrap_ci(pred, series, "__k", "diff", n_boot)).select(*series, "ci_low", "ci_high")
+    ci = (FC.block_bootstrap_ci(pred, series, "__k", "diff", block, n_boot, alpha) if block
+          else FC.bootstrap_ci(pred, series, "__k", "diff", n_boot, alpha)).select(*series, "ci_low", "ci_high")
     n_train = train.groupBy(*series).agg(F.count(F.lit(1)).cast("long").alias("n_train"))
-    out = err.join(n_train, series).join(ci, series)
+    out = err.join(n_train, series).join(ci, series) if series else err.crossJoin(n_train).crossJoin(ci)  # one row each
+    pair = lambda k: F.struct(F.col(f"mae_{k}").alias("mae"), F.col(f"rmse_{k}").alias("rmse")).alias(k)
     return out.select(
-        *series, F.lit(target).alias("target"), F.lit(horizon).alias("horizon"), "n_train",
-        F.col("n").alias("n_test"), F.col("mae_model").alias("model_mae"), F.col("rmse_model").alias("model_rmse"),
-        F.col("mae_baseline").alias("baseline_mae"), F.col("rmse_baseline").alias("baseline_rmse"),
-        "mae_diff_mean", "ci_low", "ci_high")
+        *series, F.lit(target).alias("target"), F.lit(horizon).alias("horizon"), "n_train", F.col("n").alias("n_test"),
+        pair("model"), pair("baseline"), "mae_diff_mean", F.array("ci_low", "ci_high").alias("mae_diff_ci"))
 
 
 def grid_settings(grid: Mapping[str, Sequence]) -> list[dict]:
@@ -79,17 +86,28 @@ def grid_settings(grid: Mapping[str, Sequence]) -> list[dict]:
     return [dict(zip(keys, vals)) for vals in itertools.product(*[grid[k] for k in keys])]
 
 
+class Tuned(NamedTuple):
+    """Result of :func:`tune`."""
+
+    scores: DataFrame
+    report: dict
+    model: object
+
+
 def tune(
     df: DataFrame, series: Sequence[str], idx: str, ts: str, target: str, horizon: int = 1,
     grid: Mapping[str, Sequence] = DEFAULT_GRID, n_splits: int = 3, n_trees: int = GRID_TREES,
-    holdout: float = 0.2, refit_trees: int = REFIT_TREES, parallelism: int = 4, seed: int = 42,
-):
+    holdout: float = 0.2, refit_trees: int = REFIT_TREES, parallelism: int = 4, seed: int = 42, save_to: str | None = None,
+) -> Tuned:
     """M8 + M9 + E15: grid search by mean validation MAE over expanding
     folds (strict < keeps the first best), refit of the best setting on the
     first 1 - ``holdout`` of the rows, holdout MAE/RMSE against the
     forward-filled persistence baseline (first row = holdout mean).
 
-    Returns (scores DataFrame: setting, fold, mae; report dict).
+    The vectors of every fold are assembled and checkpointed once, and all fits
+    read those. ``save_to``: a folder that takes the refitted pipeline
+    (``model``), its table of series means and the report (``report``).
+    Returns scores (setting, fold, mae), report and the fitted pipeline.
     """
     series = list(series)
     fm, names = _matrix(df, series, idx, ts, target, horizon)
@@ -97,17 +115,21 @@ def tune(
     train, hold = sp.where(F.col("part") == "train"), sp.where(F.col("part") == "test")
     # folds cut the training part only; the holdout stays unseen until the refit
     folds = materialize(FC.fold_membership(train.drop("split_at", "part"), series, "__pos", n_splits))
+    vectors = []
+    for fold in range(n_splits):
+        part = folds.where(F.col("fold") == fold)
+        a, b, _ = FC.prepared(part.where(F.col("role") == "train"), part.where(F.col("role") == "val"), names, "y", series)
+        vectors.append((materialize(a.select("features", "y")), materialize(b.select("features", "y"))))
     settings = grid_settings(grid)
 
+    def trees(s, n):
+        return FC.gbt("y", n, s["max_depth"], s["learning_rate"], s["subsample"], _subset_strategy(s["colsample_bytree"]), seed)
+
     def run(job):
         i, s, fold = job
-        part = folds.where(F.col("fold") == fold)
-        _, pred = FC.gbt_fit_predict(
-            part.where(F.col("role") == "train"), part.where(F.col("role") == "val"), names, "y", n_trees=n_trees,
-            max_depth=s["max_depth"], step=s["learning_rate"], subsample=s["subsample"],
-            feature_subset=_subset_strategy(s["colsample_bytree"]), seed=seed, series=series)
-        mae = pred.agg(F.avg(F.abs(F.col("prediction") - F.col("y")))).first()[0]
-        return i, fold, mae
+        fit, val = vectors[fold]
+        pred = trees(s, n_trees).fit(fit).transform(val)
+        return i, fold, pred.agg(F.avg(F.abs(F.col("prediction") - F.col("y")))).first()[0]
 
     jobs = [(i, s, f) for i, s in enumerate(settings) for f in range(n_splits)]
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
@@ -123,10 +145,11 @@ def tune(
         if m < best:
             best_i, best = i, m
     s = settings[best_i]
-    _, pred = FC.gbt_fit_predict(
+    model, pred = FC.gbt_fit_predict(
         train, hold, names, "y", n_trees=refit_trees, max_depth=s["max_depth"], step=s["learning_rate"],
-        subsample=s["subsample"], feature_subset=_subset_strategy(s["colsample_bytree"]), seed=seed, series=series)
-    pred = windows.ffill_then_mean(pred, series, "__pos", "y", out="baseline")
+        subsample=s["subsample"], feature_subset=_subset_strategy(s["colsample_bytree"]), seed=seed, series=series,
+        encoding_path=f"{save_to.rstrip('/')}/series_means" if save_to else None)
+    pred = windows.ffill_then_mean(pred.drop("features"), series, "__pos", "y", out="baseline")
     err = stats.forecast_errors(pred, "y", "prediction", "baseline", series).agg(
         F.sum("n").alias("n"), *[  # pooled over all rows, like cv_mae
             e for out, k in (("", "model"), ("b", "baseline")) for e in (
@@ -137,7 +160,14 @@ def tune(
         "baseline_mae": err["bmae"], "baseline_rmse": err["brmse"],
         "n_train": train.count(), "n_holdout": int(err["n"]),
     }
-    return scores, report
+    if save_to:
+        files.save_model(model, f"{save_to.rstrip('/')}/model")
+        kinds = ", ".join(f"{k}: {'int' if k == 'max_depth' else 'double'}" for k in s)
+        row = {**report, "best_params": {k: int(v) if k == "max_depth" else float(v) for k, v in s.items()}}
+        schema = (f"best_params struct<{kinds}>, cv_mae double, holdout_mae double, holdout_rmse double, baseline_mae double, "
+                  "baseline_rmse double, n_train long, n_holdout long")
+        files.write_json_report(spark.createDataFrame([row], schema), f"{save_to.rstrip('/')}/report")
+    return Tuned(scores, report, model)
 
 
 def manifest(df: DataFrame, features: Sequence[str], target: str, horizon: int, models: Sequence[str]) -> DataFrame:

@@ -197,9 +197,13 @@ def lag_interactions(
 
 def persistence_baseline(
     df: DataFrame, series: Sequence[str], idx: str, y: str, out: str = "baseline",
-    bucket_rows: int | None = DEFAULT_BUCKET_ROWS,
+    bucket_rows: int | None = DEFAULT_BUCKET_ROWS, lagged: str | None = None,
 ) -> DataFrame:
-    """previous value; the first row predicts itself."""
+    """the column ``lagged`` (such as ``<target>_lag1``) where the frame has
+    it, missing values included; else the previous value of ``y``, where the
+    first row predicts itself."""
+    if lagged is not None and lagged in df.columns:
+        return df.withColumn(out, F.col(lagged).cast("double"))
     return window_select(
         df, series, idx, lambda w: {out: F.coalesce(F.lag(y, 1).over(w), F.col(y))},
         preceding=1, bucket_rows=bucket_rows,

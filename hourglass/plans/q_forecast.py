@@ -167,6 +167,23 @@ def gbt_forecast(spark, sf_dir):
     return r6(pred.select("series", "ts_hour", "y", "prediction"))
 
 
+_REACH = 12  # differences that ARIMA(2,1,2) with a long AR(10) needs
+_SUM_PAIRS = [(i, j) for i in range(_REACH + 1) for j in range(i, _REACH + 1)]
+
+
+@query(
+    "arma_sums",
+    f"""WITH {HOURLY_CTE},
+y AS (SELECT series, value AS y0, {", ".join(f"lag(value, {k}) OVER w AS y{k}" for k in range(1, _REACH + 2))} FROM himp {_W}),
+d AS (SELECT series, {", ".join(f"y{k} - y{k + 1} AS d{k}" for k in range(_REACH + 1))} FROM y)
+SELECT series, count(*) AS rows, {", ".join(f"round(sum(d{i} * d{j}), 6) AS s_{i}_{j}" for i, j in _SUM_PAIRS)}
+FROM d WHERE {" AND ".join(f"d{k} IS NOT NULL" for k in range(_REACH + 1))} GROUP BY 1""",
+)
+def arma_sums(spark, sf_dir):
+    """M4: the cross-product sums that the coefficients are solved from."""
+    return r6(FC.difference_sums(_h(spark, sf_dir), S, "idx", "value", _REACH))
+
+
 @query("arma_coefficients")
 def arma_coefficients(spark, sf_dir):
     """M4: ARIMA(2,1,2) by Hannan-Rissanen per series (checked by parameter
@@ -176,12 +193,46 @@ def arma_coefficients(spark, sf_dir):
 
 @query("arma_forecast")
 def arma_forecast(spark, sf_dir):
-    h = _h(spark, sf_dir)
-    coefs = FC.arma_fit(h, S, "idx", "value", 2, 2).drop("sigma2", "n")
+    h = materialize(_h(spark, sf_dir))  # read by the fit and the forecast
+    coefs = materialize(FC.arma_fit(h, S, "idx", "value", 2, 2).drop("sigma2", "n"))
     return r6(FC.arma_forecast(h, coefs, S, "idx", "value").select("series", "ts_hour", "value", "forecast"))
 
 
-@query("replay_sample")
+_FIXED_ARMA = (0.4, -0.2, 0.3, 0.1)  # ar_1, ar_2, ma_1, ma_2
+
+
+@query(
+    "arma_innovations",
+    f"""WITH RECURSIVE {HOURLY_CTE.replace("himp AS (", "himp AS MATERIALIZED (")},
+y AS (SELECT series, ts_hour, idx, value, coalesce(value - lag(value, 1) OVER w, 0) AS d0,
+             coalesce(lag(value, 1) OVER w - lag(value, 2) OVER w, 0) AS d1,
+             coalesce(lag(value, 2) OVER w - lag(value, 3) OVER w, 0) AS d2 FROM himp {_W}),
+e(series, idx, e1, e2) AS (
+  SELECT series, -1::BIGINT, 0.0::DOUBLE, 0.0::DOUBLE FROM y WHERE idx = 0
+  UNION ALL
+  SELECT y.series, y.idx, d0 - ({_FIXED_ARMA[0]} * d1 + {_FIXED_ARMA[1]} * d2) - ({_FIXED_ARMA[2]} * e1 + {_FIXED_ARMA[3]} * e2), e1
+  FROM e JOIN y ON y.series = e.series AND y.idx = e.idx + 1)
+SELECT series, ts_hour, round(e1, 6) AS innovation,
+       round(value + {_FIXED_ARMA[0]} * d0 + {_FIXED_ARMA[1]} * d1 + {_FIXED_ARMA[2]} * e1 + {_FIXED_ARMA[3]} * e2, 6) AS forecast
+FROM y JOIN e USING (series, idx)""",
+)
+def arma_innovations(spark, sf_dir):
+    """M5: innovations and one-step forecasts of an ARIMA(2,1,2) with given coefficients."""
+    h = materialize(_h(spark, sf_dir))
+    coefs = h.select("series").distinct().withColumns(
+        {k: F.lit(v) for k, v in zip(("ar_1", "ar_2", "ma_1", "ma_2"), _FIXED_ARMA)})
+    t = FC.arma_residuals(h, coefs, S, "idx", "value")
+    return r6(t.select("series", "ts_hour", F.col("__e")[0].alias("innovation"), FC.arma_step(coefs, "value").alias("forecast")))
+
+
+@query(
+    "replay_sample",
+    f"""WITH {HOURLY_CTE},
+c AS (SELECT series, idx, count(*) OVER (PARTITION BY series) AS rows FROM himp),
+d AS (SELECT series, idx AS draw_id, {FC.hash_draw_sql("42", "idx", "rows")} AS source_pos FROM c)
+SELECT d.series, d.draw_id, CAST(d.source_pos AS BIGINT) AS source_pos, h.ts_hour, round(h.value, 6) AS value, h.ts_hour AS sent_at
+FROM d JOIN himp h ON h.series = d.series AND h.idx = d.source_pos""",
+)
 def replay_sample(spark, sf_dir):
     """Rows drawn uniformly with replacement per series, stamped with
     their own hour."""
@@ -195,7 +246,11 @@ def evaluation_report(spark, sf_dir):
     bootstrap CI of the paired |error| difference."""
     from hourglass.operators import modeljobs
 
-    return r6(modeljobs.evaluation_report(_h(spark, sf_dir), S, "idx", "ts_hour", "value", 1, TEST_SIZE))
+    rep = modeljobs.evaluation_report(_h(spark, sf_dir), S, "idx", "ts_hour", "value", 1, TEST_SIZE)
+    return r6(rep.select(
+        "series", "target", "horizon", "n_train", "n_test", F.col("model.mae").alias("model_mae"), F.col("model.rmse").alias("model_rmse"),
+        F.col("baseline.mae").alias("baseline_mae"), F.col("baseline.rmse").alias("baseline_rmse"), "mae_diff_mean",
+        F.col("mae_diff_ci")[0].alias("ci_low"), F.col("mae_diff_ci")[1].alias("ci_high")))
 
 
 _FS_COLS = ["value", "n"]

@@ -27,6 +27,53 @@ def test_arma_recovers_coefficients(spark):
     assert np.nanmean(err[50:] ** 2) < np.mean(np.diff(y)[50:] ** 2)  # beats persistence
 
 
+def _plain_arma(y, ar, ma):
+    """Innovations and one-step forecasts, row by row."""
+    dy = np.concatenate([[0.0, 0.0, 0.0], np.diff(y)])  # three zeros: rows before the series and its first row
+    e, out = [0.0, 0.0], []
+    for t in range(len(y)):
+        d = dy[t + 2 :: -1][:3]
+        e.append(d[0] - ar[0] * d[1] - ar[1] * d[2] - ma[0] * e[-1] - ma[1] * e[-2])
+        out.append(y[t] + ar[0] * d[0] + ar[1] * d[1] + ma[0] * e[-1] + ma[1] * e[-2])
+    return np.array(e[2:]), np.array(out)
+
+
+@pytest.mark.parametrize("fan", [4, 256])
+def test_arma_innovations_by_blocks(spark, monkeypatch, fan):
+    monkeypatch.setattr(FC, "FAN", fan)  # 4: several levels
+    y = {"a": _arma_series(300), "b": _arma_series(37, seed=3), None: _arma_series(5, seed=4)}
+    df = spark.createDataFrame([(k, i, float(v)) for k, x in y.items() for i, v in enumerate(x)], "s string, idx long, v double")
+    want = {"a": (0.5, -0.2, 0.6, 0.2), "b": (0.1, 0.3, -0.4, 0.1), None: (0.0, 0.2, 0.3, 0.3)}
+    coefs = spark.createDataFrame([(k, *c) for k, c in want.items()], "s string, ar_1 double, ar_2 double, ma_1 double, ma_2 double")
+    got = FC.arma_residuals(df, coefs, ["s"], "idx", "v").select("s", "idx", F.col("__e")[0].alias("e"), FC.arma_step(coefs, "v").alias("f")).toPandas()
+    for k, x in y.items():
+        mine = got[got.s.isna() if k is None else got.s == k].sort_values("idx")
+        e, f = _plain_arma(x, want[k][:2], want[k][2:])
+        assert np.allclose(mine.e, e, rtol=1e-9, atol=1e-9) and np.allclose(mine.f, f, rtol=1e-9, atol=1e-9)
+
+
+def test_arma_without_a_series_key(spark):
+    y = _arma_series(2000)
+    keyed = spark.createDataFrame([("a", i, float(v)) for i, v in enumerate(y)], "s string, idx long, v double")
+    a, b = FC.arma_fit(keyed, ["s"], "idx", "v").collect()[0], FC.arma_fit(keyed.drop("s"), [], "idx", "v").collect()[0]
+    assert [a[c] for c in ("ar_1", "ar_2", "ma_1", "ma_2", "sigma2", "n")] == pytest.approx([b[c] for c in ("ar_1", "ar_2", "ma_1", "ma_2", "sigma2", "n")])
+    coefs = FC.arma_fit(keyed.drop("s"), [], "idx", "v").drop("sigma2", "n")
+    got = FC.arma_forecast(keyed.drop("s"), coefs, [], "idx", "v").orderBy("idx").toPandas()
+    assert np.allclose(got.forecast, _plain_arma(y, (a.ar_1, a.ar_2), (a.ma_1, a.ma_2))[1], rtol=1e-8)
+    # the regressions themselves, on explicit rows
+    dy = np.diff(y)
+    rows = np.arange(12, len(dy))
+    lag = lambda x, k: x[rows - k]
+    ar = np.linalg.lstsq(np.stack([lag(dy, k) for k in range(1, 11)], 1), lag(dy, 0), rcond=None)[0]
+    e = np.zeros_like(dy)
+    for t in range(10, len(dy)):
+        e[t] = dy[t] - ar @ dy[t - 10 : t][::-1]
+    x = np.stack([lag(dy, 1), lag(dy, 2), lag(e, 1), lag(e, 2)], 1)
+    beta = np.linalg.lstsq(x, lag(dy, 0), rcond=None)[0]
+    assert [a.ar_1, a.ar_2, a.ma_1, a.ma_2] == pytest.approx(beta, rel=1e-6)
+    assert a.sigma2 == pytest.approx(((lag(dy, 0) - x @ beta) ** 2).mean(), rel=1e-6) and a.n == len(rows)
+
+
 def test_hash_draws_uniform(spark):
     df = spark.range(200000).select(FC.hash_draw(F.lit(3), F.col("id"), F.lit(10)).alias("j"))
     counts = sorted(r["count"] for r in df.groupBy("j").count().collect())

@@ -23,13 +23,46 @@ def test_evaluation_report(spark):
     rep = modeljobs.evaluation_report(_frame(spark), ["s"], "idx", "ts", "y", 1, n_trees=10, n_boot=200).collect()[0]
     n_rows = 400 - 24 - 1
     assert rep.n_train + rep.n_test == n_rows and rep.n_train == int(n_rows * 0.8)
-    assert rep.ci_low <= rep.mae_diff_mean <= rep.ci_high
-    assert rep.model_mae > 0 and rep.baseline_rmse >= rep.baseline_mae
+    assert rep.mae_diff_ci[0] <= rep.mae_diff_mean <= rep.mae_diff_ci[1]
+    assert rep.model.mae > 0 and rep.baseline.rmse >= rep.baseline.mae
+
+
+def test_evaluation_report_uses_the_lagged_target(spark):
+    df = _frame(spark)
+    rep = modeljobs.evaluation_report(df, ["s"], "idx", "ts", "y", 1, n_trees=5, n_boot=100, candidates=["other", "y"]).collect()[0]
+    y = np.array([r.y for r in df.orderBy("idx").collect()])
+    pos = np.arange(24, 399)  # rows of the matrix; the label is one row ahead, the feature one row back
+    test = pos[int(len(pos) * 0.8):]
+    assert rep.baseline.mae == pytest.approx(np.abs(y[test - 1] - y[test + 1]).mean())
+
+
+def test_series_means_tell_colliding_keys_apart(spark):
+    rng = np.random.default_rng(2)
+    keys = ["a", "b", None]
+    rows = [(keys[i % 3], float(i % 3 * 10 + rng.normal())) for i in range(600)]
+    df = spark.createDataFrame(rows, "s string, y double")
+    out, table, prior = FC.series_encoding(df, ["s"])
+    y = {k: [v for s, v in rows if s == k] for k in keys}
+    means = {r.s: r[FC.SERIES_MEAN] for r in table.collect()}
+    assert prior == pytest.approx(np.mean([v for _, v in rows]))
+    for k in keys:  # every key has a feature of its own: no buckets to share
+        assert means[k] == pytest.approx((sum(y[k]) + 20 * prior) / (len(y[k]) + 20))
+    assert len({round(v, 6) for v in means.values()}) == 3 and out.count() == 600
+    own = out.groupBy("s").agg(F.countDistinct(FC.SERIES_MEAN).alias("n"), F.corr("y", FC.SERIES_MEAN).alias("r")).collect()
+    assert all(1 < r.n <= 5 and r.r < 0.2 for r in own)  # a row's label is not in its own mean
 
 
 def test_tune_small_grid_and_manifest(spark):
     grid = {"max_depth": [2, 3], "learning_rate": [0.1], "subsample": [1.0], "colsample_bytree": [1.0]}
-    scores, rep = modeljobs.tune(_frame(spark), ["s"], "idx", "ts", "y", 1, grid=grid, n_trees=5, refit_trees=5)
+    tmp = tempfile.mkdtemp(dir="/tmp")
+    scores, rep, model = modeljobs.tune(_frame(spark), ["s"], "idx", "ts", "y", 1, grid=grid, n_trees=5, refit_trees=5, save_to=tmp)
+    full, _ = modeljobs._matrix(_frame(spark), ["s"], "idx", "ts", "y", 1)
+    hold = FC.chrono_split(full, ["s"], "__pos", 0.2).where("part = 'test'")
+    for m in (model, files.load_model(f"{tmp}/model")):
+        mae = m.transform(hold).agg(F.avg(F.abs(F.col("prediction") - F.col("y")))).first()[0]
+        assert mae == pytest.approx(rep["holdout_mae"])
+    saved = spark.read.json(f"{tmp}/report", multiLine=True).collect()[0]
+    assert saved.holdout_mae == pytest.approx(rep["holdout_mae"]) and saved.best_params.max_depth == rep["best_params"]["max_depth"]
     assert scores.count() == 2 * 3
     means = {r.setting: r.m for r in scores.groupBy("setting").agg(F.avg("mae").alias("m")).collect()}
     assert rep["cv_mae"] == pytest.approx(min(means.values()))
