@@ -43,5 +43,11 @@ def order_key(id_col: str = "doc_id"):
     return F.coalesce(F.col(id_col).cast("long"), F.lit(LONG_MAX))
 
 
+def whole_row(df: DataFrame, name: str = "_row"):
+    """All columns as one struct: columns added next to it cannot clash, and
+    ``select("_row.*")`` gives the rows back."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name)
+
+
 def text_or_empty(col: str = "text"):
     return F.coalesce(F.col(col), F.lit(""))

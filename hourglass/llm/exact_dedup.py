@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourglass.llm.common import store, text_or_empty
+from hourglass.llm.common import store, text_or_empty, whole_row
 
 
 def digest_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", runs: int = 64) -> DataFrame:
@@ -99,13 +99,12 @@ def exact_classes(
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min", **tree) -> DataFrame:
-    """``docs`` without later copies, all columns retained.
+    """``docs`` without later copies, all columns retained, whatever their names.
 
     Dropped are the rows whose id is not the group's representative; of rows
     repeating id and text one is left.  The rows that stay are found by id and
     digest; only rows known to be repeated are compared as a whole again.
     """
-    text = text_or_empty(text_col)
     classes = exact_classes(docs, id_col, text_col, keep, **tree)
     stay = (
         classes.groupBy("_id", "_sha")
@@ -113,11 +112,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .filter("_kept")
         .select(F.col("_id").alias("_kid"), F.col("_sha").alias("_ksha"), "_rows")
     )
-    tagged = docs.withColumn("_sha_row", F.unhex(F.sha2(text.cast("binary"), 256)))
-    left = tagged.join(
-        stay,
-        tagged[id_col].cast("long").eqNullSafe(F.col("_kid")) & (F.col("_sha_row") == F.col("_ksha")),
-    )
-    once = left.filter("_rows = 1").select(*docs.columns)
-    again = left.filter("_rows > 1").dropDuplicates(["_kid", "_ksha"]).select(*docs.columns)
+    sha = F.unhex(F.sha2(text_or_empty(text_col).cast("binary"), 256))
+    tagged = docs.select(whole_row(docs), F.col(id_col).cast("long").alias("_own"), sha.alias("_sha_row"))
+    left = tagged.join(stay, F.col("_own").eqNullSafe(F.col("_kid")) & (F.col("_sha_row") == F.col("_ksha")))
+    once = left.filter("_rows = 1").select("_row.*")
+    again = left.filter("_rows > 1").dropDuplicates(["_kid", "_ksha"]).select("_row.*")
     return once.unionByName(again)

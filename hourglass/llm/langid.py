@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourglass.llm.common import prepare
+from hourglass.llm.common import prepare, whole_row
 
 LETTER = re.compile(r"[^\W\d_]")
 _KEEP = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
@@ -83,25 +83,26 @@ def learnable(id_col: str = "doc_id", fold: int = 1, folds: int = 3):
 
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
-          rows_per_lang: int = 250, max_rows: int = 2000, max_langs: int = 256, dims_log2: int = 12,
+          rows_per_lang: int = 250, max_rows: int = 2000, max_langs: int = 1000, dims_log2: int = 12,
           ridge: float = 0.03) -> EcocModel | None:
     """Fit on a bounded sample: at most about ``rows_per_lang`` whole texts a
-    language and ``max_rows`` in all, chosen by a hash of the id.  Only their
-    fixed-size feature vectors reach the driver.  None if nothing is labelled.
+    language and ``max_rows`` in all, chosen by a hash of the id, of the
+    ``max_langs`` languages with most rows (ties by name); rarer labels cannot
+    be learned from so few rows.  Only fixed-size feature vectors reach
+    the driver, however long the texts.  Rows repeating an id are drawn
+    together.  None if nothing is labelled, as in an empty table.
     """
     prepare(docs)
     rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     counts = rows.groupBy(F.col(lang_col).alias("_l")).agg(F.count(F.lit(1)).alias("_c"))
-    found = {r["_l"]: r["_c"] for r in counts.orderBy(F.desc("_c"), "_l").limit(max_langs + 1).collect()}
+    found = {r["_l"]: r["_c"] for r in counts.orderBy(F.desc("_c"), "_l").limit(max_langs).collect()}
     if not found:
         return None
-    if len(found) > max_langs:
-        raise ValueError(f"more than {max_langs} languages")
     langs = sorted(found)
     share = min(rows_per_lang, max(1, max_rows // len(langs)))
     draw = F.pmod(F.xxhash64(F.col(id_col), F.lit(11)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     frac = F.create_map(*[x for lang in langs for x in (F.lit(lang), F.lit(min(1.0, share / found[lang])))])
-    sample = rows.filter(draw < frac[F.col(lang_col)]).select(
+    sample = rows.filter(draw < F.coalesce(frac[F.col(lang_col)], F.lit(0.0))).select(
         F.col(lang_col).alias("_l"), F.col(text_col).alias("_t"), draw.alias("_d"))
 
     def vectors(batches):
@@ -139,6 +140,9 @@ def predictor(spark, model: EcocModel | None, ambiguity: float = 0.05):
     def predict(texts):
         import pandas as pd
 
+        from hourglass.llm import tokens
+
+        tokens.release()
         m = shared.value
         out = []
         for a in range(0, len(texts), 128):
@@ -169,9 +173,9 @@ def identify(docs: DataFrame, model: EcocModel | None, text_col: str = "text", a
     letter, or if nothing could be learned), ``score`` (0 to 1: share of the
     winner in exp(-loss), 0 for und) and ``ambiguous``.  Columns of ``docs``
     with these names are replaced."""
-    found = docs.withColumn("_ecoc", predictor(prepare(docs), model, ambiguity)(F.col(text_col)))
+    found = docs.select(whole_row(docs), predictor(prepare(docs), model, ambiguity)(F.col(text_col)).alias("_ecoc"))
     rest = [c for c in docs.columns if c not in ("lang_pred", "score", "ambiguous")]
-    return found.select(*rest, "_ecoc.lang_pred", "_ecoc.score", "_ecoc.ambiguous")
+    return found.select(*[F.col("_row")[c].alias(c) for c in rest], "_ecoc.lang_pred", "_ecoc.score", "_ecoc.ambiguous")
 
 
 def recognised(docs: DataFrame, model: EcocModel | None, text_col: str = "text", ambiguity: float = 0.05) -> DataFrame:
@@ -180,5 +184,5 @@ def recognised(docs: DataFrame, model: EcocModel | None, text_col: str = "text",
     rejected by its language: then only texts without letters go."""
     if model is None:
         return docs.filter(F.col(text_col).rlike(r"\p{L}"))
-    found = docs.withColumn("_ecoc", predictor(prepare(docs), model, ambiguity)(F.col(text_col)))
-    return found.filter((F.col("_ecoc.lang_pred") != "und") & ~F.col("_ecoc.ambiguous")).drop("_ecoc")
+    found = docs.select(whole_row(docs), predictor(prepare(docs), model, ambiguity)(F.col(text_col)).alias("_ecoc"))
+    return found.filter((F.col("_ecoc.lang_pred") != "und") & ~F.col("_ecoc.ambiguous")).select("_row.*")

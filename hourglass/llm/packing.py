@@ -11,8 +11,9 @@ so that the sequence becomes full; the rest of that piece waits on.
 Documents longer than a sequence are cut into full pieces first.  Pieces are
 dealt evenly to tasks by a hash of document and position; a task streams its
 share through a window of bounded size, so memory is bounded at any input size
-and no document has to be in one place.  The last sequence of a task is cut
-into power-of-two lengths, which need no padding.
+and no document has to be in one place.  A sequence that another limit or the
+end of the task leaves short is cut into power-of-two lengths, which need no
+padding.
 """
 
 from __future__ import annotations
@@ -205,6 +206,11 @@ def pack(items: DataFrame, limits: Limits = Limits(), cut: bool = True, window:
             serial += 1
             return rows
 
+        def place_all(seq):
+            # stopped by segments, loss or the end of the task: power-of-two lengths need no padding
+            short = cut and sum(len(p[2]) // 4 for p in seq) < limits.tokens
+            return [row for s in (_powers(seq) if short else [seq]) for row in rows_of(s)]
+
         out: list = []
         for batch in batches:
             cols = [batch.column(c).to_pylist() for c in ("_id", "start", "n", "doc_tokens", "ids", "mask", "crc")]
@@ -218,15 +224,12 @@ def pack(items: DataFrame, limits: Limits = Limits(), cut: bool = True, window:
             for a in range(0, len(fresh), window):
                 win.add(fresh[a : a + window])
                 while len(win.items) >= window:
-                    out += rows_of(win.sequence())
+                    out += place_all(win.sequence())
                 if len(out) >= 4096:
                     yield _batch(pa, out, PIECE)
                     out = []
         while win.items:
-            seq = win.sequence()
-            short = not win.items and sum(len(p[2]) // 4 for p in seq) < limits.tokens
-            for s in _powers(seq) if short and cut else [seq]:
-                out += rows_of(s)
+            out += place_all(win.sequence())
         if out:
             yield _batch(pa, out, PIECE)
 

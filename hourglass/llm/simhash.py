@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hourglass.llm.common import prepare, store, text_or_empty
+from hourglass.llm.common import prepare, store, text_or_empty, whole_row
 
 SEED = 42
 
@@ -64,6 +64,9 @@ def with_fingerprint(docs: DataFrame, text_col: str = "text", shingle: int = 3,
     def fp(texts):
         import pandas as pd
 
+        from hourglass.llm import tokens
+
+        tokens.release()
         v = [fingerprint_bytes(t.encode("utf-8"), shingle) for t in texts]
         return pd.Series([x - (1 << 64) if x >> 63 else x for x in v], dtype="int64")
 
@@ -126,12 +129,12 @@ def links(fps: DataFrame, max_bits: int = 2, bucket_cap: int = 256) -> DataFrame
     ).distinct()
 
 
-def components(pairs: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(pairs: DataFrame) -> DataFrame:
     """``node, root``: smallest node of each connected component (nodes without
     a link are absent).  Alternating large-star / small-star contraction; every
     round is stored, so lineage stays short and executors may be lost."""
     edges = store(pairs.select(F.col("a").alias("u"), F.col("b").alias("v")), "cc")
-    for _ in range(max_rounds):
+    while True:
         # large star: neighbours larger than u go to u's smallest neighbour
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -152,10 +155,7 @@ def components(pairs: DataFrame, max_rounds: int = 60) -> DataFrame:
         )
         edges = new
         if bad.isEmpty():
-            break
-    else:
-        raise RuntimeError("components did not converge")
-    return edges.select(F.col("v").alias("node"), F.col("u").alias("root"))
+            return edges.select(F.col("v").alias("node"), F.col("u").alias("root"))
 
 
 def simhash_classes(
@@ -188,13 +188,14 @@ def simhash_classes(
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """``docs`` with one row per component: the one whose id is smallest.
     Rows of a component in which no row has an id are all kept; of rows that
-    repeat the smallest id one is kept."""
+    repeat the smallest id one is kept.  All columns are retained, whatever
+    their names."""
     classes = simhash_classes(docs, id_col, text_col, **kw)
     stay = (
         classes.filter(F.col("_id").eqNullSafe(F.col("component_id")))
         .groupBy(F.col("_id").alias("_kid")).agg(F.count(F.lit(1)).alias("_rows"))
     )
-    left = docs.join(stay, docs[id_col].cast("long").eqNullSafe(F.col("_kid")))
-    once = left.filter("_rows = 1 or _kid is null").select(*docs.columns)
-    again = left.filter("_rows > 1 and _kid is not null").dropDuplicates(["_kid"]).select(*docs.columns)
+    left = docs.select(whole_row(docs), F.col(id_col).cast("long").alias("_own")).join(stay, F.col("_own").eqNullSafe(F.col("_kid")))
+    once = left.filter("_rows = 1 or _kid is null").select("_row.*")
+    again = left.filter("_rows > 1 and _kid is not null").dropDuplicates(["_kid"]).select("_row.*")
     return once.unionByName(again)

@@ -330,6 +330,93 @@ def test_mixing_rows(spark, docs):
     assert mixing.sample_mixture(docs.limit(0)).count() == 0
 
 
+CLASHES = ("_rows _kid _ksha _sha_row _own _row _id _sha _keep _n kept _digest _run _fp component_id probability sampled _tokens _topic _source _lang "
+           "_draw tokens raked source2 _ecoc lang_pred score ambiguous _text c")
+
+
+def test_stages_keep_columns_of_any_name(spark, docs):
+    """Extra columns named like the operators' own come through unchanged."""
+    extra = docs.select("doc_id", "text", "lang", "source", *[F.lit(f"x {c}").alias(c) for c in CLASHES.split()])
+    model = langid.train(extra.filter(langid.learnable()))
+    for stage in (lambda d: langid.recognised(d, model), lambda d: exact_dedup.exact_dedup(d, keep="max"), simhash.simhash_dedup, mixing.sample_mixture):
+        got, plain = stage(extra), stage(docs)
+        assert got.columns == extra.columns
+        rows = got.collect()
+        assert rows and all(r[c] == f"x {c}" for r in rows for c in CLASHES.split())
+        assert sorted(str((r.doc_id, r.text, r.lang, r.source)) for r in rows) == sorted(str((r.doc_id, r.text, r.lang, r.source)) for r in plain.collect())
+
+
+def test_empty_tables(spark, docs):
+    import corpus_pipeline as cp
+
+    none = docs.limit(0)
+    assert suffix_dedup.remove_repeats(none).count() == 0 and simhash.simhash_classes(none).count() == 0
+    assert simhash.simhash_dedup(none).count() == 0 and langid.identify(none, langid.train(none)).count() == 0
+    now = none.select("doc_id", "text", "lang", "source")
+    for name, stage in cp.STAGES:
+        now = stage(spark, now, "")
+        assert now.count() == 0, name
+
+
+def test_short_texts_are_packed_without_padding(spark):
+    df = spark.createDataFrame([(i, "a b c" if i % 2 else "d e") for i in range(3000)], "doc_id long, text string")
+    got = packing.pack_documents(df, keep_ids=False).toPandas()
+    assert got.length.sum() == 1500 * 4 + 1500 * 3 and got.ids.isna().all()
+    size = got.groupby("sequence_id").length.sum()
+    assert all(n & (n - 1) == 0 for n in size) and got.groupby("sequence_id").size().max() <= 128
+
+
+def test_packing_without_ids_gives_the_same_checksums(spark, docs):
+    limits = packing.Limits(tokens=64)
+    got = packing.pack_documents(docs, limits=limits, keep_ids=False).collect()
+    assert all(r["ids"] is None for r in got)
+    have = {}
+    for r in got:
+        have.setdefault(r["doc_id"], []).append((r["start"], r["length"], r["ids_crc32"]))
+    for i, a in token_ids(0):
+        if i not in (None, 101):
+            parts = sorted(have[i])
+            assert [p[0] for p in parts] == [0, *np.cumsum([p[1] for p in parts])[:-1]] and sum(p[1] for p in parts) == len(a)
+            assert all(zlib.crc32(a[s : s + n].tobytes()) == c for s, n, c in parts)
+
+
+def test_language_id_against_plain_least_squares_and_decoding(spark, docs):
+    """Features by hand, weights by the normal equations, decoding by a loop."""
+    learn = docs.filter(langid.learnable())
+    model = langid.train(learn, dims_log2=8, rows_per_lang=10_000, max_rows=10_000)
+    rows = [r for r in learn.collect() if r.lang and r.text and any(c.isalpha() for c in r.text)]
+    x = np.stack([langid.ngram_features(r.text, 8) for r in rows]).astype(np.float64)
+    langs = sorted({r.lang for r in learn.collect() if r.lang and r.text is not None})
+    assert model.langs == langs
+    label = np.array([langs.index(r.lang) for r in rows])
+    n = np.bincount(label, minlength=len(langs))
+    w = len(label) / len(langs) / n[label]
+    ridge = 0.1 * 0.03 * len(label) / len(langs)
+    beta = np.linalg.solve(x.T @ (x * w[:, None]) + ridge * np.eye(x.shape[1]), x.T @ (w[:, None] * model.code[label]))
+    assert np.allclose(model.weights, beta, atol=2e-3)
+    for r in langid.identify(docs, model).collect():
+        if r.text is None or not any(c.isalpha() for c in r.text):
+            assert r.lang_pred == "und"
+            continue
+        f = np.clip(langid.ngram_features(r.text, 8) @ model.weights, -3, 3)
+        loss = [sum(t * np.exp(-f[b] * model.code[k][b]) for b, t in enumerate(model.trust)) for k in range(len(langs))]
+        two = sorted(loss)[:2]
+        assert two[1] - two[0] < 1e-4 or r.lang_pred == langs[int(np.argmin(loss))]
+        assert abs(two[1] - two[0] - 0.05) < 1e-4 or r.ambiguous == (two[1] - two[0] < 0.05)
+
+
+def test_many_languages_and_rare_labels(spark):
+    rng = random.Random(1)
+    alphabet = "абвгдежзиклм"
+    rows = [(i, " ".join(alphabet[i % 12] * rng.randint(1, 3) + rng.choice("xyz") for _ in range(20)), f"l{i % 12:02d}") for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    few = langid.train(df, max_langs=5)
+    assert few.langs == [f"l{k:02d}" for k in range(5)]
+    model = langid.train(df)
+    got = langid.identify(df, model).collect()
+    assert np.mean([r.lang_pred == r.lang for r in got]) > 0.98
+
+
 def test_nearest(spark):
     rng = np.random.default_rng(4)
     x = rng.standard_normal((300, 8))
