@@ -189,6 +189,7 @@ def align_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             for lo, hi in tokens.chunks(texts):
                 chunk += 1
                 yield from _chunk(pa, pc, table, chunk, batch.column("_id")[lo:hi], texts[lo:hi], keep_groups)
+                tokens.trim()
 
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
     return store(rows.mapInArrow(work, PARTS), "alignment")

@@ -13,6 +13,8 @@ library as a whole.  Other kinds of tokenizer get whole texts.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import json
 import re
 from array import array
@@ -60,6 +62,15 @@ def release() -> None:
     _KEPT.clear()
 
 
+def trim() -> None:
+    """Give freed memory back to the system where the C library can (workers
+    share their executor's memory limit with its JVM)."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        return
+
+
 def ragged(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
     """Positions ``begin[i] .. begin[i] + count[i] - 1`` of all i in order."""
     upto = np.cumsum(count)
@@ -91,7 +102,7 @@ class PieceTable:
     """Bounded table of what is known about distinct pieces.  When it is full
     the less used half is forgotten."""
 
-    def __init__(self, max_pieces: int = 600_000, max_bytes: int = 24_000_000):
+    def __init__(self, max_pieces: int = 450_000, max_bytes: int = 24_000_000):
         self.max_pieces, self.max_bytes = max_pieces, max_bytes
         self.table: dict[str, int] = {}
         self.hits = np.zeros(0, dtype=np.int64)
@@ -128,7 +139,13 @@ class PieceTable:
             at = [i for i, f in enumerate(found) if f is None]
             fresh = [names[i] for i in at]
             first = len(self.table)
-            self.table.update(zip(self.learn(fresh), range(first, first + len(fresh))))
+            collects = gc.isenabled()
+            gc.disable()  # many small lists, no cycles
+            try:
+                self.table.update(zip(self.learn(fresh), range(first, first + len(fresh))))
+            finally:
+                if collects:
+                    gc.enable()
             self.hits = np.concatenate([self.hits, np.zeros(len(fresh), dtype=np.int64)])
             self.bytes += sum(map(len, fresh))
             for i, row in zip(at, map(self.table.get, fresh)):
@@ -144,7 +161,7 @@ class PieceEncoder(PieceTable):
     """Ids of a tokenizers file.  ``plain``: the strings of added tokens are
     ordinary text; otherwise they are found like the library does."""
 
-    def __init__(self, path: str, plain: bool = False, max_pieces: int = 600_000, max_bytes: int = 24_000_000):
+    def __init__(self, path: str, plain: bool = False, max_pieces: int = 450_000, max_bytes: int = 24_000_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark owns the cores
@@ -152,8 +169,7 @@ class PieceEncoder(PieceTable):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        if plain:
-            self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = plain
         with open(path, encoding="utf-8") as f:
             conf = json.load(f)
         added = [] if plain else conf["added_tokens"]
@@ -349,3 +365,5 @@ def encode_with_end(texts, path: str, end_id: int):
         for n in (counts + 1).tolist():
             yield whole[at : at + n]
             at += n
+        del whole, ids
+        trim()
