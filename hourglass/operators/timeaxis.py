@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from hourglass.functions import exprs as X
 from hourglass.session import materialize, shuffle_partitions
 
+STRETCH = 1 << 16  # buckets of one stretch of an axis
 UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
 
 
@@ -61,53 +62,68 @@ def resample(
     suffix: str = "_mean",
     with_index: bool = False,
     fill_mean: bool = False,
+    stretch: int = STRETCH,
 ) -> DataFrame:
     """C3 + I5: mean per (series, time bucket) on a gap-free axis from the
     first to the last bucket of each series; empty buckets are present with
     NULL means and ``n = 0``.
 
-    The aggregate is partial/final (skew-proof, one exchange). The gaps are
-    filled without a join back: a window over the aggregated buckets of a
-    series (one row per non-empty bucket, so its size follows the series'
-    time span, not its row count) finds the next non-empty bucket, and each
-    bucket row explodes into itself plus the empty buckets up to that one.
+    The aggregate is partial/final (skew-proof, one exchange). The axis has two
+    levels: stretches of ``stretch`` buckets, and the buckets inside one. A
+    window over the non-empty stretches of a series (one small row each) finds
+    its ends and the next stretch; a window per (series, stretch) fills the gaps
+    between the buckets inside; stretches without any bucket are listed first,
+    dealt to tasks, and then filled. So no task holds more than a stretch, and
+    no row explodes into more than a stretch or the list of empty stretches.
     ``idx`` (with ``with_index``) is the dense bucket position inside the
     series (0 at the first bucket), which window operators use for halo
     bucketing without any extra shuffle. ``fill_mean`` (B16 on the hourly
-    frame) fills empty buckets with the series mean of the bucket means,
-    taken from the same window.
+    frame) fills empty buckets with the series mean of the bucket means.
     """
     series = list(series)
     secs = UNIT_SECONDS[unit]
+    means = [f"{c}{suffix}" for c in cols]
     agg = df.groupBy(*series, truncate(ts, unit).alias(out_ts)).agg(
-        *[F.avg(X.nan_to_null(c)).alias(f"{c}{suffix}") for c in cols], F.count(F.lit(1)).alias("n")
+        *[F.avg(X.nan_to_null(c)).alias(m) for c, m in zip(cols, means)], F.count(F.lit(1)).alias("n")
     )
-    w = Window.partitionBy(*series).orderBy(out_ts)
-    whole = Window.partitionBy(*series)
     # positions from wall-clock seconds: no session time zone (or DST) involved
-    agg = agg.withColumn("__ws", X.wall_seconds(out_ts))
-    t = agg.withColumns({
-        "__next": F.lead("__ws", 1).over(w),
-        "__pos0": ((F.col("__ws") - F.min("__ws").over(whole)) / secs).cast("long"),
-        **({f"__fill_{c}": F.avg(f"{c}{suffix}").over(whole) for c in cols} if fill_mean else {}),
-    })
-    # empty buckets up to the next non-empty one, as whole-step offsets
-    # (integer arithmetic on wall-clock time, independent of the session zone)
-    steps = F.coalesce(((F.col("__next") - F.col("__ws")) / secs).cast("long") - 1, F.lit(0).cast("long"))
-    t = t.select("*", F.explode(F.sequence(F.lit(0).cast("long"), steps)).alias("__k"))
-    t = t.withColumn("__b", F.when(F.col("__k") == 0, F.col(out_ts))
-                     .otherwise(X.ntz_from_wall_seconds(F.col("__ws") + F.col("__k") * secs)))
-    gap = F.col("__k") > 0
+    agg = agg.withColumn("__ws", X.wall_seconds(out_ts)).withColumn("__st", F.floor(F.col("__ws") / (secs * stretch)).cast("long"))
+    held = agg.groupBy(*series, "__st").agg(
+        F.min("__ws").alias("__first"), F.max("__ws").alias("__last"),
+        *[f(m).alias(f"__{k}_{m}") for m in (means if fill_mean else []) for k, f in (("sum", F.sum), ("some", F.count))])
+    whole = Window.partitionBy(*series)
+    held = held.select(
+        *[F.col(c).alias(f"__k_{c}") for c in series], F.col("__st").alias("__k"),
+        F.min("__first").over(whole).alias("__lo"), F.max("__last").over(whole).alias("__hi"),
+        F.lead("__st", 1).over(whole.orderBy("__st")).alias("__after"),
+        *[F.try_divide(F.sum(f"__sum_{m}").over(whole), F.sum(f"__some_{m}").over(whole)).alias(f"__fill_{m}") for m in (means if fill_mean else [])])
+    same = F.col("__st") == F.col("__k")
+    for c in series:
+        same = same & F.col(c).eqNullSafe(F.col(f"__k_{c}"))
+    inside = Window.partitionBy(*series, "__st").orderBy("__ws")
+    t = agg.join(held, same).withColumns({"__next": F.lead("__ws", 1).over(inside), "__prev": F.lag("__ws", 1).over(inside)})
+    # empty buckets before the first one of a stretch and after every one, as whole steps
+    begin, end = F.col("__st") * (secs * stretch), (F.col("__st") + 1) * (secs * stretch)
+    before = F.when(F.col("__prev").isNull(), F.col("__ws") - F.greatest(begin, F.col("__lo"))).otherwise(F.lit(0))
+    after = F.coalesce("__next", F.least(end, F.col("__hi") + secs)) - F.col("__ws")
+    steps = F.sequence(-(before / secs).cast("long"), (after / secs).cast("long") - 1)
+    t = t.select("*", F.explode(steps).alias("__step"))
+    gap = F.col("__step") != 0
+    fill = {m: F.col(f"__fill_{m}") if fill_mean else F.lit(None).cast("double") for m in means}
+    at = F.col("__ws") + F.col("__step") * secs
+    index = [((at - F.col("__lo")) / secs).cast("long").alias("idx")] if with_index else []
     out = t.select(
-        *series,
-        F.col("__b").cast("timestamp_ntz").alias(out_ts),
-        *[(F.coalesce(F.when(~gap, F.col(f"{c}{suffix}")), F.col(f"__fill_{c}")) if fill_mean
-           else F.when(gap, F.lit(None).cast("double")).otherwise(F.col(f"{c}{suffix}"))).alias(f"{c}{suffix}")
-          for c in cols],
-        F.when(gap, F.lit(0)).otherwise(F.col("n")).cast("long").alias("n"),
-        *([(F.col("__pos0") + F.col("__k")).cast("long").alias("idx")] if with_index else []),
-    )
-    return out
+        *series, F.when(gap, X.ntz_from_wall_seconds(at)).otherwise(F.col(out_ts)).cast("timestamp_ntz").alias(out_ts),
+        *[(F.coalesce(F.when(~gap, F.col(m)), fill[m]) if fill_mean else F.when(~gap, F.col(m))).alias(m) for m in means],
+        F.when(gap, F.lit(0)).otherwise(F.col("n")).cast("long").alias("n"), *index)
+    # stretches without a bucket: listed, dealt out, then filled
+    empty = held.where(F.col("__after") > F.col("__k") + 1).withColumn("__st", F.explode(F.sequence(F.col("__k") + 1, F.col("__after") - 1)))
+    # a fixed number of partitions: these rows are few and small only until they are filled
+    empty = empty.repartition(shuffle_partitions(df.sparkSession), *[f"__k_{c}" for c in series], "__st").withColumn(
+        "__step", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(stretch - 1).cast("long")))).withColumn("__ws", F.col("__st") * (secs * stretch))
+    return out.unionByName(empty.select(
+        *[F.col(f"__k_{c}").alias(c) for c in series], X.ntz_from_wall_seconds(at).cast("timestamp_ntz").alias(out_ts),
+        *[fill[m].alias(m) for m in means], F.lit(0).cast("long").alias("n"), *index))
 
 
 def temporal_parts(ts) -> dict[str, Column]:

@@ -92,3 +92,46 @@ def test_resample_positions_ignore_session_zone(spark):
     assert [r[-1] for r in got] == [0, 1, 2, 3, 4, 5]
     assert [r[1].hour for r in got] == [0, 1, 2, 3, 4, 5]
     assert [r[3] for r in got] == [1, 1, 1, 1, 0, 1]
+
+
+def test_ten_year_gap_in_seconds_is_cut_into_stretches(spark):
+    """Only counted: 315 million seconds, and no task gets more than its share of stretches."""
+    base = dt.datetime(2010, 1, 1)
+    df = spark.createDataFrame([("a", base, 1.0), ("a", base.replace(year=2020), 3.0), ("b", base, 2.0)], "s string, ts timestamp_ntz, v double")
+    out = timeaxis.resample(df, ["s"], "ts", ["v"], unit="second", with_index=True)
+    span = int((base.replace(year=2020) - base).total_seconds()) + 1
+    got = out.groupBy("s", F.spark_partition_id().alias("task")).agg(F.count("*").alias("n"), F.sum("n").alias("rows"), F.max("idx").alias("top")).collect()
+    mine = [r for r in got if r.s == "a"]
+    assert sum(r.n for r in mine) == span and sum(r.rows for r in mine) == 2 and max(r.top for r in mine) == span - 1
+    assert [(r.n, r.rows) for r in got if r.s == "b"] == [(1, 1)]
+    assert max(r.n for r in mine) < span / 4
+
+
+def test_stretches_do_not_change_the_axis(spark):
+    rng = random.Random(4)
+    base = dt.datetime(1969, 12, 30)
+    rows = [(k, base + dt.timedelta(minutes=rng.randint(0, 60 * 300) + (90_000 if rng.random() < 0.3 else 0)), rng.random())
+            for k in ("a", "b", None) for _ in range(40)] + [("c", base, None)]
+    df = spark.createDataFrame(rows, "s string, ts timestamp_ntz, v double")
+    key = lambda x: str(x)
+    for fill in (False, True):
+        want = sorted(map(tuple, timeaxis.resample(df, ["s"], "ts", ["v"], with_index=True, fill_mean=fill).collect()), key=key)
+        for stretch in (1, 2, 7, 100):
+            got = sorted(map(tuple, timeaxis.resample(df, ["s"], "ts", ["v"], with_index=True, fill_mean=fill, stretch=stretch).collect()), key=key)
+            assert [g[:2] + g[3:] for g in got] == [w[:2] + w[3:] for w in want]
+            assert all(g[2] == w[2] or abs(g[2] - w[2]) < 1e-12 for g, w in zip(got, want))
+    # against a plain axis
+    hours = {}
+    for k, t, v in rows:
+        hours.setdefault(k, {}).setdefault(t.replace(minute=0), []).append(v)
+    got = {(r.s, r.ts_hour): (r.v_mean, r.n, r.idx) for r in timeaxis.resample(df, ["s"], "ts", ["v"], with_index=True, stretch=7).collect()}
+    n = 0
+    for k, h in hours.items():
+        t = min(h)
+        while t <= max(h):
+            mean, count, idx = got[(k, t)]
+            vals = [v for v in h.get(t, []) if v is not None]
+            assert count == len(h.get(t, [])) and idx == (t - min(h)).total_seconds() // 3600
+            assert (mean is None) == (not vals) and (mean is None or abs(mean - sum(vals) / len(vals)) < 1e-12)
+            t, n = t + dt.timedelta(hours=1), n + 1
+    assert n == len(got)
