@@ -605,15 +605,16 @@ def vector_scan(t: DataFrame, series: Sequence[str], size: int, longest: int) ->
 
 def arma_residuals(
     df: DataFrame, coefs: DataFrame, series: Sequence[str], idx: str, value: str, before: str | None = None,
-    bucket_rows: int | None = windows.DEFAULT_BUCKET_ROWS,
+    lead: str | None = None, bucket_rows: int | None = windows.DEFAULT_BUCKET_ROWS,
 ) -> DataFrame:
     """``df`` with ``__d`` (array of the last p differences, latest first), the
     ARMA innovations ``__e`` (array of the last q, latest first) and the
     coefficients. e_t = dy_t - sum ar_k dy_{t-k} - sum ma_k e_{t-k}: a vector
     scan with the companion matrix of the MA part. Differences and innovations
-    before the first row count as 0, or come from ``before``: a column with
-    the innovations before row 0 (latest first), for rows that continue a
-    series."""
+    before the first row count as 0. For rows that continue a series, the first
+    ``lead`` (a column) rows of the series only supply differences, are
+    not returned, and ``before`` holds the innovations before the first returned
+    row (latest first)."""
     series = list(series)
     p = len([c for c in coefs.columns if c.startswith("ar_")])
     q = len([c for c in coefs.columns if c.startswith("ma_")])
@@ -623,6 +624,8 @@ def arma_residuals(
     d = [F.coalesce(y[k] - y[k + 1], F.lit(0.0)) for k in range(p + 1)]
     t = t.withColumns({f"__d{k}": d[k] for k in range(p + 1)}).drop(*[f"__y{k}" for k in range(1, p + 2)])
     t = _with_coefficients(t, coefs, series)
+    if lead is not None:
+        t = t.where(F.col(idx) >= F.col(lead)).withColumn(idx, F.col(idx) - F.col(lead))
     c0 = F.col("__d0") - sum((F.col(f"ar_{k}") * F.col(f"__d{k}") for k in range(1, p + 1)), F.lit(0.0))
     t = t.withColumn("__d", F.array(*[F.col(f"__d{k}") for k in range(p)]).cast("array<double>")).withColumn("__u", c0)
     t = t.drop(*[f"__d{k}" for k in range(p + 1)])
@@ -664,7 +667,7 @@ def arma_forecast(
     """M5: one-step forecast y_t + sum ar_k dy_{t-k+1} + sum ma_k e_{t-k+1} at
     every row, with the innovations of :func:`arma_residuals`. Adds ``forecast``
     (prediction for the next position); series without coefficients are left out."""
-    t = arma_residuals(df, coefs, series, idx, value, None, bucket_rows)
+    t = arma_residuals(df, coefs, series, idx, value, bucket_rows=bucket_rows)
     return t.select(*df.columns, arma_step(coefs, value).alias("forecast"))
 
 

@@ -27,13 +27,44 @@ def feature_names(col: str, lags: Sequence[int], windows: Sequence[int], spans:
             + [f"{col}_roll_std_{w}" for w in windows] + [f"{col}_ema_{s}" for s in spans])
 
 
-def _read_state(spark: SparkSession, folder: str, batch: int, schema: str) -> DataFrame:
+def read_state(spark: SparkSession, folder: str, batch: int, schema: str) -> DataFrame:
     """State left by the micro-batch before ``batch`` (none before the first)."""
     if batch == 0:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(f"{folder}/batch={batch - 1}")
 
 
+def with_lateness(state: DataFrame, rows: DataFrame, series: str, ts: str, tie: str) -> DataFrame:
+    """Checkpointed ``rows`` with their order of arrival (``__seq``) and ``late``:
+    placed before the last row of their series, or without a time. ``state`` has
+    series, ``last_ts`` and ``last_tie``."""
+    new = materialize(rows.withColumn("__seq", F.monotonically_increasing_id()))
+    before = state.select(F.col(series).alias("__series"), "last_ts", "last_tie")
+    late = F.col(ts).isNull() | F.coalesce(
+        (F.col(ts) < F.col("last_ts")) | ((F.col(ts) == F.col("last_ts")) & (F.col(tie) < F.col("last_tie"))), F.lit(False))
+    placed = new.join(before, F.col(series).eqNullSafe(F.col("__series")), "left").drop("__series")
+    return materialize(placed.withColumn("late", late).drop("last_ts", "last_tie"))
+
+
+def after_last_rows(state: DataFrame, ontime: DataFrame, series: str, ts: str, tie: str, col: str) -> DataFrame:
+    """The ``hist`` rows of every series that has new rows (``__new`` 0), then
+    the new ones (``__new`` 1), with their dense position ``__idx``."""
+    keys = ontime.select(F.col(series).alias("__series")).distinct()
+    held = state.join(keys, F.col(series).eqNullSafe(F.col("__series")), "left_semi").select(
+        series, F.posexplode("hist").alias("__seq", "__h")).select(
+        series, F.col("__h.ts").alias(ts), F.col("__h.tie").alias(tie), F.col("__h.value").alias(col),
+        F.col("__seq").cast("long").alias("__seq"), F.lit(0).alias("__new"))
+    new = ontime.select(series, ts, tie, col, "__seq").withColumn("__new", F.lit(1))
+    return timeaxis.row_index(new.unionByName(held), [series], ["__new", ts, tie, "__seq"], "__idx")
+
+
+def last_rows(tail: DataFrame, series: str, ts: str, tie: str, col: str) -> DataFrame:
+    """``hist`` of every series: its rows in ``tail``, in order."""
+    row = F.struct("__idx", F.col(ts).alias("ts"), F.col(tie).alias("tie"), F.col(col).alias("value"))
+    hist = tail.groupBy(series).agg(F.sort_array(F.collect_list(row)).alias("h"))
+    return hist.select(series, F.transform("h", lambda x: F.struct(x["ts"].alias("ts"), x["tie"].alias("tie"), x["value"].alias("value"))).alias("hist"))
+
+
 def features_after(
     state: DataFrame, rows: DataFrame, series: str, ts: str, tie: str, col: str, lags: Sequence[int],
     roll_windows: Sequence[int], spans: Sequence[int], bucket_rows: int = windows.DEFAULT_BUCKET_ROWS,
@@ -42,18 +73,9 @@ def features_after(
     reach = max([*lags, *(w - 1 for w in roll_windows), 1])
     names = feature_names(col, lags, roll_windows, spans)
     mine = F.col(series).eqNullSafe(F.col("__series"))
-    before = state.select(F.col(series).alias("__series"), "last_ts", "last_tie", "ema", "hist")
-    new = materialize(rows.withColumn("__seq", F.monotonically_increasing_id()))
-    placed = new.join(before.select("__series", "last_ts", "last_tie"), mine, "left").drop("__series")
-    late = F.col(ts).isNull() | F.coalesce(
-        (F.col(ts) < F.col("last_ts")) | ((F.col(ts) == F.col("last_ts")) & (F.col(tie) < F.col("last_tie"))), F.lit(False))
-    placed = materialize(placed.withColumn("late", late).drop("last_ts", "last_tie"))
-    ontime = placed.where(~F.col("late")).select(series, ts, tie, col, "__seq").withColumn("__new", F.lit(1))
-    held = state.join(ontime.select(F.col(series).alias("__series")).distinct(), mine, "left_semi").select(
-        series, F.posexplode("hist").alias("__seq", "__h")).select(
-        series, F.col("__h.ts").alias(ts), F.col("__h.tie").alias(tie), F.col("__h.value").alias(col),
-        F.col("__seq").cast("long").alias("__seq"), F.lit(0).alias("__new"))
-    t = timeaxis.row_index(ontime.unionByName(held), [series], ["__new", ts, tie, "__seq"], "__idx")
+    before = state.select(F.col(series).alias("__series"), "ema")
+    placed = with_lateness(state, rows, series, ts, tie)
+    t = after_last_rows(state, placed.where(~F.col("late")), series, ts, tie, col)
     t = windows.window_features(t, [series], "__idx", [col], lags=lags, roll_windows=roll_windows, bucket_rows=bucket_rows)
     t = materialize(t)
     # the EMA runs over the new rows that have a value, from their first one on
@@ -75,9 +97,7 @@ def features_after(
     out = full.withColumn("late", F.lit(False)).select(series, ts, tie, col, *names, "late").unionByName(
         placed.where("late").select(series, ts, tie, col, *[F.lit(None).cast("double").alias(n) for n in names], "late"))
     sizes = t.groupBy(F.col(series).alias("__series")).agg(F.max("__idx").alias("__top"))
-    tail = t.join(sizes, mine).where(F.col("__idx") > F.col("__top") - reach)
-    hist = tail.groupBy(series).agg(F.sort_array(F.collect_list(F.struct("__idx", F.col(ts).alias("ts"), F.col(tie).alias("tie"), F.col(col).alias("value")))).alias("h"))
-    hist = hist.select(series, F.transform("h", lambda x: F.struct(x["ts"].alias("ts"), x["tie"].alias("tie"), x["value"].alias("value"))).alias("hist"))
+    hist = last_rows(t.join(sizes, mine).where(F.col("__idx") > F.col("__top") - reach), series, ts, tie, col)
     last = full.where(F.col(emas[0]).isNotNull()).groupBy(F.col(series).alias("__series")).agg(
         F.max_by(F.array(*emas), "__idx").alias("fresh")) if emas else None
     after = hist
@@ -117,7 +137,7 @@ def feature_stream(
         # an empty batch still passes the state on
         rows = rows.select(series, F.col(ts).cast("timestamp_ntz").alias(ts),
                            (F.col(tie) if tie else F.lit(0)).cast("long").alias(place), F.col(col).cast("double").alias(col))
-        out, after = features_after(_read_state(rows.sparkSession, folder, n, schema), rows, series, ts, place, col, lags, roll_windows, spans,
+        out, after = features_after(read_state(rows.sparkSession, folder, n, schema), rows, series, ts, place, col, lags, roll_windows, spans,
                                     bucket_rows)
         if tie is None:
             out = out.drop(place)

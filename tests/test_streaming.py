@@ -192,3 +192,57 @@ def test_streams_keep_the_whole_input(spark, tmp_path):
     assert sorted(map(tuple, q_stream.stream_hourly(spark, str(tmp_path)).collect())) == sorted((a, b, round(c, 6), d) for a, b, c, d in want)
     got = {r.event_id: (r.k, r.raw) for r in q_stream.stream_ingest(spark, str(tmp_path)).collect()}
     assert got == {i: (None, "{bad json " + p) if e == "error" else (float(i), None) for i, _, e, _, p in rows}
+
+
+def test_arma_next_to_trees_in_the_prediction_log(spark):
+    """Both predictions of every message, checked by value; topic, partition and offset carried."""
+    import datetime as dt
+
+    import numpy as np
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    from hourglass.streaming.arma import score_stream
+
+    rng = np.random.default_rng(4)
+    base = dt.datetime(2024, 1, 1)
+    y = {"a": np.cumsum(rng.normal(size=12)) + 5, "b": np.cumsum(rng.normal(size=9)) + 50}
+    rows = [("t", i % 3, 100 * i + (k == "b"), k, base + dt.timedelta(hours=i), float(v), float(2 * v)) for k, x in y.items() for i, v in enumerate(x)]
+    rows.sort(key=lambda r: (r[4], r[3]))
+    rows[7] = (*rows[7][:6], None)  # a missing feature is filled, not lost
+    ddl = "topic string, partition int, offset long, s string, ts timestamp_ntz, CO double, NOx double"
+    coef = {"a": (0.5, -0.2, 0.3, 0.1), "b": (0.1, 0.2, -0.3, 0.2)}
+    coefs = spark.createDataFrame([(k, *c) for k, c in coef.items()], "s string, ar_1 double, ar_2 double, ma_1 double, ma_2 double")
+    train = spark.createDataFrame([(float(i), float(3 * i)) for i in range(20)], "NOx double, y double")
+    model = Pipeline(stages=[VectorAssembler(inputCols=["NOx"], outputCol="features"), LinearRegression(labelCol="y")]).fit(train)
+    tmp = tempfile.mkdtemp(dir="/tmp")
+    src = os.path.join(tmp, "in")
+    late = ("t", 0, 9999, "a", base, 1.0, 1.0)
+    for part in (rows[:5], rows[5:6], rows[6:], [late]):
+        spark.createDataFrame(part, ddl).coalesce(1).write.mode("append").parquet(src)
+        time.sleep(1.1)
+    stream = spark.readStream.schema(ddl).option("maxFilesPerTrigger", 1).parquet(src)
+    q = score_stream(stream, {"linear": model}, coefs, "s", "ts", "CO", os.path.join(tmp, "o"), os.path.join(tmp, "c"),
+                     {"CO": (2.0, 1.0)}, ["NOx"], ["s", "CO"])
+    jobs.run_available(q)
+    log = {(r.topic, r.partition, r.offset): r for r in spark.read.parquet(os.path.join(tmp, "o")).collect()}
+    assert len(log) == len(rows) + 1 and log[("t", 0, 9999)].predictions.arma is None
+    for k, x in y.items():
+        ar, ma = coef[k][:2], coef[k][2:]
+        dy = np.concatenate([[0.0, 0.0, 0.0], np.diff(x)])
+        e = [0.0, 0.0]
+        mine = [r for r in rows if r[3] == k]
+        for t, r in enumerate(mine):
+            d = dy[t + 2 :: -1][:3]
+            e.append(d[0] - ar[0] * d[1] - ar[1] * d[2] - ma[0] * e[-1] - ma[1] * e[-2])
+            got = log[r[:3]].predictions
+            want = x[t] + ar[0] * d[0] + ar[1] * d[1] + ma[0] * e[-1] + ma[1] * e[-2]
+            assert abs(got.arma - want) < 1e-9 and abs(got.linear - 3 * (r[6] if r[6] is not None else 0.0)) < 1e-6
+
+
+def test_decoded_messages_raise_alerts(spark):
+    """Decode and alert as they are: the field name of the messages, with its fallback."""
+    lines = spark.createDataFrame([('{"CO": 2.5}',), ('{"CO(GT)": "3.5"}',), ('{"CO": "9"}',), ("broken",), ('{"CO": null}',)], "value string")
+    got = jobs.threshold_alerts(M.decode(lines, "value"), threshold=3.0)
+    assert sorted(r.alert_value for r in got.collect()) == [3.5, 9.0]
