@@ -4,11 +4,12 @@ Every row gets a 64-bit digest of its text and belongs to one of ``runs``
 runs, chosen from its id.  A run holds, per distinct text, one entry with the
 representative id, the number of rows and the 256-bit digest that verifies the
 64-bit one; entries of a run are cut into slices by digest, so a
-slice of a run is a bounded unit of work.  Nothing is sorted: a run is built
-and merged by repartition and hash aggregate, which gives the same entries.  In merge round r the
+slice of a run is a bounded unit of work.  In merge round r the
 runs whose numbers differ only in the bits of that round meet: each sends its
-slices to the run that has those bits cleared, which merges them and keeps one
-verified entry per text.  After the last round run 0 holds one entry per text
+slices to the run that has those bits cleared.  There they are brought into one
+order of digest, verifying digest and id, and merged in that order: of entries
+that stand together the first, with the id to keep, stays and takes their sum of
+rows (a window over the sorted slice, at most one entry per merged run).  After the last round run 0 holds one entry per text
 of the whole table.  Copies are folded into one entry per run before anything
 is exchanged, so a text that a third of all rows share costs one entry per run.
 
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from hourglass.llm.common import store, text_or_empty, whole_row
 
@@ -41,13 +43,17 @@ def digest_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
-def merge_runs(runs: DataFrame, best, bits: int, radix_bits: int, slices: int) -> DataFrame:
-    """Merge rounds over (run, digest)-sorted entries until run 0 is left.
+def merge_runs(runs: DataFrame, first, bits: int, radix_bits: int, slices: int) -> DataFrame:
+    """Merge rounds over sorted (run, digest) entries until run 0 is left.
 
     A round joins ``2**radix_bits`` runs (binomial tree of that radix).  Rows
-    are dealt by (run, digest slice), so a round is spread over all slices and
-    the grouping needs no further exchange.
+    are dealt by (run, digest slice) and sorted, so a round is spread over all
+    slices and the merge, which follows the order ``first`` of equal texts,
+    needs no further exchange or sort.
     """
+    same = ["_run", "_slice", "_digest", "_sha"]
+    order = Window.partitionBy(*same).orderBy(first)
+    group = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     merged = runs
     for low in range(0, bits, radix_bits):
         clear = ~(((1 << radix_bits) - 1) << low)
@@ -55,9 +61,11 @@ def merge_runs(runs: DataFrame, best, bits: int, radix_bits: int, slices: int) -
             merged.withColumn("_run", F.col("_run").bitwiseAND(F.lit(clear)))
             .withColumn("_slice", F.pmod("_digest", F.lit(slices)).cast("int"))
             .repartition("_run", "_slice")
-            .groupBy("_run", "_slice", "_digest", "_sha")
-            .agg(best("_keep").alias("_keep"), F.sum("_n").alias("_n"))
-            .drop("_slice")
+            .sortWithinPartitions(*same, first)
+            .withColumn("_at", F.row_number().over(order))
+            .withColumn("_n", F.sum("_n").over(group))
+            .filter("_at = 1")
+            .drop("_slice", "_at")
         )
     return merged
 
@@ -87,7 +95,8 @@ def exact_classes(
         "digests",  # texts are read once; both directions of the tree use the digests
     )
     level0 = ids.groupBy("_digest", "_sha", "_run").agg(best("_id").alias("_keep"), F.sum("_rows").alias("_n"))
-    root = merge_runs(level0, best, bits, radix_bits, slices).drop("_run")
+    first = F.col("_keep").asc_nulls_last() if keep == "min" else F.col("_keep").desc_nulls_last()
+    root = merge_runs(level0, first, bits, radix_bits, slices).drop("_run")
     # down the tree: run entries against the root, then rows against their run
     answers = level0.select("_digest", "_sha", "_run").join(root, ["_digest", "_sha"])
     found = ids.join(answers, ["_digest", "_sha", "_run"])
