@@ -157,40 +157,43 @@ def clean_table(
     for the output.
     """
     series = list(series)
+    own = "__"  # prefix of the columns added on the way, of none of the caller's
+    while any(n.startswith(own) for n in df.columns):
+        own += "_"
     base = df
     if sentinel is not None:
         base = sentinel_to_null(base, cols, sentinel)
     base = numeric_coerce(base, cols)
     aggs = []
     for c in cols:
-        aggs += [F.avg(c).alias(f"__mean_{c}"), F.min(c).alias(f"__lo_{c}"), F.max(c).alias(f"__hi_{c}"),
-                 (F.count(F.lit(1)) - F.count(c)).alias(f"__nn_{c}")]
+        aggs += [F.avg(c).alias(f"{own}mean_{c}"), F.min(c).alias(f"{own}lo_{c}"), F.max(c).alias(f"{own}hi_{c}"),
+                 (F.count(F.lit(1)) - F.count(c)).alias(f"{own}nn_{c}")]
     if series:
         t = attach_stats(base, base.groupBy(*series).agg(*aggs), series)
     else:
         # one scalar subquery returning every statistic as a struct
-        one = base.agg(F.struct(*aggs).alias("__s")).scalar()
-        t = base.withColumns({f"__{k}_{c}": one[f"__{k}_{c}"] for c in cols for k in ("mean", "lo", "hi", "nn")})
+        one = base.agg(F.struct(*aggs).alias("s")).scalar()
+        t = base.withColumns({f"{own}{k}_{c}": one[f"{own}{k}_{c}"] for c in cols for k in ("mean", "lo", "hi", "nn")})
     # each step is its own projection over named columns, so no step inlines
     # (and multiplies) the expressions of the one before
     if impute:
         t = t.withColumns({
-            **{c: F.coalesce(F.col(c), F.col(f"__mean_{c}")) for c in cols},
-            **{f"__lo_{c}": F.when(F.col(f"__nn_{c}") > 0, F.least(f"__lo_{c}", f"__mean_{c}"))
-               .otherwise(F.col(f"__lo_{c}")) for c in cols},
-            **{f"__hi_{c}": F.when(F.col(f"__nn_{c}") > 0, F.greatest(f"__hi_{c}", f"__mean_{c}"))
-               .otherwise(F.col(f"__hi_{c}")) for c in cols},
+            **{c: F.coalesce(F.col(c), F.col(f"{own}mean_{c}")) for c in cols},
+            **{f"{own}lo_{c}": F.when(F.col(f"{own}nn_{c}") > 0, F.least(f"{own}lo_{c}", f"{own}mean_{c}"))
+               .otherwise(F.col(f"{own}lo_{c}")) for c in cols},
+            **{f"{own}hi_{c}": F.when(F.col(f"{own}nn_{c}") > 0, F.greatest(f"{own}hi_{c}", f"{own}mean_{c}"))
+               .otherwise(F.col(f"{own}hi_{c}")) for c in cols},
         })
     bounds = {c: b for c, b in (bounds or {}).items() if c in cols}
 
     def clip_step(d, with_bounds):
         upd = {c: X.clip(c, *b) for c, b in bounds.items()}
         if with_bounds:
-            upd.update({f"__{k}_{c}": X.clip(f"__{k}_{c}", *b) for c, b in bounds.items() for k in ("lo", "hi")})
+            upd.update({f"{own}{k}_{c}": X.clip(f"{own}{k}_{c}", *b) for c, b in bounds.items() for k in ("lo", "hi")})
         return d.withColumns(upd) if upd else d
 
     def scale_step(d):
-        return d.withColumns({c: _scaled_expr(F.col(c), F.col(f"__lo_{c}"), F.col(f"__hi_{c}")) for c in cols})
+        return d.withColumns({c: _scaled_expr(F.col(c), F.col(f"{own}lo_{c}"), F.col(f"{own}hi_{c}")) for c in cols})
 
     if scale and scale_first:
         t = clip_step(scale_step(t), with_bounds=False)
@@ -198,7 +201,7 @@ def clean_table(
         t = clip_step(t, with_bounds=True)
         if scale:
             t = scale_step(t)
-    return t.drop(*[n for n in t.columns if n.startswith("__")])
+    return t.drop(*[n for n in t.columns if n.startswith(own)])
 
 
 def _scaled_expr(v: Column, lo: Column, hi: Column) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourglass.functions.exprs import Z_975
-from hourglass.operators import stats
+from hourglass.operators import stats, timeaxis
 from hourglass.operators.windows import DEFAULT_BUCKET_ROWS, centered_moving_average, window_select
 from hourglass.session import materialize
 
@@ -215,9 +215,10 @@ def summary_table(corr: DataFrame, order: Sequence[str] | None, anoms: DataFrame
         F.lit("top_correlations").alias("section"), "rank",
         F.concat_ws(" vs ", "col_a", "col_b").alias("label"), F.col("r").alias("value"))
     counts = anomaly_counts(anoms, group)
-    w = Window.orderBy(F.col("n").desc(), F.col(group))
-    per = counts.where(F.col(group).isNotNull()).select(
-        F.lit("anomalies").alias("section"), F.row_number().over(w).cast("long").alias("rank"),
+    # as many groups as the data has: numbered without gathering them in one task
+    ranked = timeaxis.row_index(counts.where(F.col(group).isNotNull()).withColumn("__down", -F.col("n")), [], ["__down", group], "__rank")
+    per = ranked.select(
+        F.lit("anomalies").alias("section"), (F.col("__rank") + 1).alias("rank"),
         F.col(group).alias("label"), F.col("n").cast("double").alias("value"))
     tot = counts.where(F.col(group).isNull()).select(
         F.lit("anomalies").alias("section"), F.lit(0).cast("long").alias("rank"),

@@ -43,8 +43,3 @@ def hourly_imputed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lineitem4(spark: SparkSession, sf_dir: str, extra=()) -> DataFrame:
     return read_table(spark, sf_dir, "lineitem", [*extra, *LINEITEM4])
-
-
-# The event types of the driver tables, which the SQL writes out as columns;
-# the queries take every type in the data.
-EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import functions as F
 
 from hourglass.operators import series as TS
@@ -187,18 +185,12 @@ def anomaly_counts(spark, sf_dir):
     return TS.anomaly_counts(TS.anomaly_table(_scored(spark, sf_dir), S, "ts_hour", "value"), "series")
 
 
-def _wide_sql() -> str:
-    cols = ", ".join(f"max(CASE WHEN series = '{t}' THEN value END) AS \"{t}\"" for t in frames.EVENT_TYPES)
-    return f"wide AS (SELECT ts_hour, {cols} FROM himp GROUP BY ts_hour)"
-
-
-def _event_pairs_sql() -> str:
-    rows = []
-    for a, b in combinations(frames.EVENT_TYPES, 2):
-        n = f'count(*) FILTER (WHERE "{a}" IS NOT NULL AND "{b}" IS NOT NULL)'
-        r = f'CASE WHEN {n} >= 3 AND NOT isnan(corr("{a}", "{b}")) THEN round(corr("{a}", "{b}"), 6) END'
-        rows.append(f"SELECT '{a}' AS col_a, '{b}' AS col_b, {r} AS r FROM wide")
-    return "\nUNION ALL\n".join(rows)
+_PAIRS_CTE = """keys AS (SELECT DISTINCT series FROM himp WHERE series IS NOT NULL),
+both_ AS (SELECT a.series AS col_a, b.series AS col_b, count(*) AS n, corr(a.value, b.value) AS r
+          FROM himp a JOIN himp b ON a.ts_hour = b.ts_hour AND a.series < b.series
+          WHERE a.value IS NOT NULL AND b.value IS NOT NULL GROUP BY 1, 2),
+pairs AS (SELECT x.series AS col_a, y.series AS col_b, CASE WHEN n >= 3 AND NOT isnan(r) THEN round(r, 6) END AS r
+          FROM keys x JOIN keys y ON x.series < y.series LEFT JOIN both_ ON col_a = x.series AND col_b = y.series)"""
 
 
 def _event_pairs(spark, sf_dir):
@@ -207,8 +199,8 @@ def _event_pairs(spark, sf_dir):
 
 @query(
     "event_corr_matrix",
-    f"""WITH {HOURLY_CTE}, {_wide_sql()}
-{_event_pairs_sql()}""",
+    f"""WITH {HOURLY_CTE}, {_PAIRS_CTE}
+SELECT col_a, col_b, r FROM pairs""",
 )
 def event_corr_matrix(spark, sf_dir):
     """E9 on the hourly table: every pair of event types in the data, like one column per sensor."""
@@ -217,8 +209,7 @@ def event_corr_matrix(spark, sf_dir):
 
 @query(
     "summary_report",
-    f"""WITH {SCORE_CTE}, {_wide_sql()},
-pairs AS ({_event_pairs_sql()}),
+    f"""WITH {SCORE_CTE}, {_PAIRS_CTE},
 top AS (SELECT 'top_correlations' AS section,
                CAST(row_number() OVER (ORDER BY abs(r) DESC NULLS LAST, col_a DESC, col_b DESC) AS BIGINT) AS rank,
                col_a || ' vs ' || col_b AS label, r AS value FROM pairs),

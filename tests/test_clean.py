@@ -65,3 +65,20 @@ def test_field_alias_and_default(spark):
     assert got[0] == 12.0 and got[1] == 0.0 and got[2] == 0.0
     assert not any(isinstance(x, float) and math.isnan(x) for x in got)
     assert F is not None
+
+
+def test_clean_table_keeps_the_callers_own_columns(spark):
+    from hourglass.operators import clean
+
+    df = spark.createDataFrame([(1.0, "x", 5), (-200.0, "y", 6), (3.0, "z", 7)], "v double, __tag string, __mean_v int")
+    out = clean.clean_table(df, ["v"], sentinel=-200.0)
+    assert out.columns == ["v", "__tag", "__mean_v"]
+    assert sorted(map(tuple, out.collect())) == [(0.0, "x", 5), (0.5, "y", 6), (1.0, "z", 7)]
+
+
+def test_column_selection_by_type_and_presence(spark):
+    from hourglass.operators import clean
+
+    df = spark.createDataFrame([(1, 2.0, "a", True, None)], "i int, d double, s string, b boolean, l long")
+    assert clean.numeric_columns(df) == ["i", "d", "l"]
+    assert clean.existing(df, ["l", "gone", "d"]) == ["l", "d"]

@@ -246,3 +246,15 @@ def test_decoded_messages_raise_alerts(spark):
     lines = spark.createDataFrame([('{"CO": 2.5}',), ('{"CO(GT)": "3.5"}',), ('{"CO": "9"}',), ("broken",), ('{"CO": null}',)], "value string")
     got = jobs.threshold_alerts(M.decode(lines, "value"), threshold=3.0)
     assert sorted(r.alert_value for r in got.collect()) == [3.5, 9.0]
+
+
+def test_bounded_consumption_sets_the_limit_per_trigger(spark):
+    class Reader:
+        def __init__(self):
+            self.options = {}
+
+        def option(self, key, value):
+            self.options[key] = value
+            return self
+
+    assert jobs.bounded(Reader(), 250).options == {"maxOffsetsPerTrigger": "250"}
