@@ -119,43 +119,53 @@ def write_warc(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
             yield close()
 
     # payloads are exchanged once: dealt by (id, digest), joined and sorted where they are
-    key = F.coalesce("_id", F.lit(LONG_MAX))
+    # a missing id is a key of its own, apart from every real one
+    key, none = F.coalesce("_id", F.lit(0).cast("long")), F.col("_id").isNull()
     decided = resolve_revisits(pages, id_col, url_col, payload_col, min_bytes).select(
-        key.alias("_key"), "_sha", "_orig", "_orig_url")
+        key.alias("_key"), none.alias("_none"), "_sha", "_orig", "_orig_url")
     text = F.coalesce(F.col(payload_col), F.lit(""))
     rows = pages.select(F.col(id_col).cast("long").alias("_id"), F.col(url_col).alias("_url"), text.alias("_body"),
-                        F.sha1(text.cast("binary")).alias("_sha")).withColumn("_key", key)
+                        F.sha1(text.cast("binary")).alias("_sha")).withColumns({"_key": key, "_none": none})
     dealt = (
-        rows.repartition(partitions(spark), "_key", "_sha").join(decided, ["_key", "_sha"])
-        .sortWithinPartitions("_key", "_sha").select("_id", "_url", "_body", "_sha", "_orig", "_orig_url")
+        rows.repartition(partitions(spark), "_key", "_none", "_sha").join(decided, ["_key", "_none", "_sha"])
+        .sortWithinPartitions("_key", "_none", "_sha").select("_id", "_url", "_body", "_sha", "_orig", "_orig_url")
     )
     return store(dealt.mapInArrow(write, "path string, n_records long"), "warc-manifest")
 
 
+SLICE = 1 << 16  # bytes given to a decompressor at a time
+
+
 def parse_records(stream):
-    """Records ``(headers, block)`` of a gzip-member WARC stream (bytes chunks)."""
-    data = b""
+    """Records ``(headers, block)`` of a gzip-member WARC stream (bytes chunks).
+    A member is inflated once, wherever chunks end."""
+    z, parts, begun = zlib.decompressobj(31), [], False
     for chunk in stream:
-        data += chunk
-        while data:
-            z = zlib.decompressobj(31)
-            raw = z.decompress(data)
-            if not z.eof:
-                break  # the member goes on in the next chunk
-            data = z.unused_data
-            head, _, rest = raw.partition(b"\r\n\r\n")
-            lines = head.decode("utf-8").split("\r\n")
-            if not lines[0].startswith("WARC/"):
-                raise ValueError("not a WARC record")
-            fields = dict(x.split(": ", 1) if ": " in x else (x.rstrip(":"), "") for x in lines[1:])
-            size = int(fields["Content-Length"])
-            if len(rest) != size + 4:
-                raise ValueError("record length does not match Content-Length")
-            yield fields, rest[:size]
-    if data:
+        at = 0
+        while at < len(chunk):
+            piece = chunk[at : at + SLICE]
+            parts.append(z.decompress(piece))
+            at += len(piece) - len(z.unused_data)
+            begun = True
+            if z.eof:
+                yield _parsed(b"".join(parts))
+                z, parts, begun = zlib.decompressobj(31), [], False
+    if begun:
         raise ValueError("archive ends inside a record")
 
 
+def _parsed(raw: bytes):
+    head, _, rest = raw.partition(b"\r\n\r\n")
+    lines = head.decode("utf-8").split("\r\n")
+    if not lines[0].startswith("WARC/"):
+        raise ValueError("not a WARC record")
+    fields = dict(x.split(": ", 1) if ": " in x else (x.rstrip(":"), "") for x in lines[1:])
+    size = int(fields["Content-Length"])
+    if len(rest) != size + 4:
+        raise ValueError("record length does not match Content-Length")
+    return fields, rest[:size]
+
+
 def read_warc(manifest: DataFrame, with_payload: bool = False) -> DataFrame:
     """Records of the archives: ``page_id, url, payload_bytes, payload_digest,
     record_type, refers_to`` and, if asked, ``payload`` (null for revisits).

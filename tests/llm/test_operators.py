@@ -471,6 +471,29 @@ def test_warc(spark):
     assert warc.read_warc(warc.write_warc(df.limit(0))).count() == 0
 
 
+def test_warc_members_across_any_chunks():
+    import zlib as z
+
+    recs = [warc._record("response", f"u{i}", "x", "2024-01-01T00:00:00Z", hashlib.sha1(b"a" * i).hexdigest(), b"h\r\n\r\n" + bytes([65 + i % 20]) * (i * i * 50), [])
+            for i in range(60)]
+    data = b"".join(recs)
+    for size in (1, 7, 1000, 1 << 17, len(data)):
+        if size < 7 and len(data) > 200_000:
+            continue
+        got = list(warc.parse_records(data[a : a + size] for a in range(0, len(data), size)))
+        assert [b for _, b in got] == [z.decompress(r, 31).partition(b"\r\n\r\n")[2][:-4] for r in recs]
+    with pytest.raises(ValueError):
+        list(warc.parse_records([data[:-3]]))
+
+
+def test_warc_keeps_the_largest_id_apart_from_missing_ones(spark):
+    top = (1 << 63) - 1
+    df = spark.createDataFrame([(top, "u", "x" * 2000), (None, "v", "x" * 2000), (5, "w", "x" * 2000)], "page_id long, url string, html string")
+    got = warc.read_warc(warc.write_warc(df)).collect()
+    assert sorted((str(r["page_id"]), r["record_type"], r["refers_to"]) for r in got) == sorted(
+        [(str(top), "response", None), ("None", "revisit", top), ("5", "revisit", top)])
+
+
 def test_pipeline_matches_brute_force(spark, docs, tmp_path):
     import corpus_pipeline as cp
 
