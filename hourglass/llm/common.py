@@ -38,6 +38,16 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the folder of a stored table that a later one has replaced."""
+    from pyarrow import fs as pafs
+
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        store_fs, path = pafs.FileSystem.from_uri(folder)
+        if store_fs.get_file_info(path).type == pafs.FileType.Directory:
+            store_fs.delete_dir(path)
+
+
 def order_key(id_col: str = "doc_id"):
     """Id as a non-null long that sorts missing ids last."""
     return F.coalesce(F.col(id_col).cast("long"), F.lit(LONG_MAX))

@@ -421,17 +421,23 @@ def test_nearest(spark):
     rng = np.random.default_rng(4)
     x = rng.standard_normal((300, 8))
     rows = [(i, v.tolist()) for i, v in enumerate(x)]
-    rows += [(300, None), (301, [0.0] * 8), (302, [float("nan")] + [1.0] * 7), (303, [None] + [1.0] * 7), (304, [1.0]), (None, [1.0] * 8), (7, x[7].tolist())]
+    rows += [(300, None), (301, [0.0] * 8), (302, [float("nan")] + [1.0] * 7), (303, [None] + [1.0] * 7), (304, [9.0]), (None, [1.0] * 8), (7, x[7].tolist()),
+             (305, []), (9, (-x[9]).tolist())]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = nndescent.nearest(df, F.col("id") % 20 == 0, top=20, rounds=1).toPandas()
-    hit = 0
+    ids = np.array([*range(300), 304, 9])  # the short vector ends in zeros, the repeated id is a row of its own
+    x = np.concatenate([x, [[9.0] + [0.0] * 7], [-x[9]]])
+    hit = short = 0
     for i in range(0, 300, 20):
         s = x @ x[i]
-        s[i] = -np.inf
+        order = [k for k in np.lexsort((ids, -s)) if ids[k] != i][:20]
         mine = got[got.query_id == i].sort_values("rank")
-        assert len(mine) == 20 and np.allclose(mine.score, np.sort(s[mine.vec_id])[::-1])
-        hit += len(set(mine.vec_id) & set(np.argsort(-s)[:20]))
-    assert hit / (15 * 20) >= 0.9
+        assert len(mine) == 20 and (np.diff(mine.score) <= 0).all()
+        for v, q in zip(mine.vec_id, mine.score):
+            assert min(abs(s[ids == v] - q)) < 1e-9
+        hit += len({(ids[k], round(s[k], 6)) for k in order} & {(v, round(q, 6)) for v, q in zip(mine.vec_id, mine.score)})
+        short += 304 in set(mine.vec_id)
+    assert hit / (15 * 20) >= 0.9 and short
     few = nndescent.nearest(df.filter("vec_id < 5"), F.col("id") % 20 == 0, top=20, rounds=1).collect()
     assert sorted(r["vec_id"] for r in few) == [1, 2, 3, 4]
     assert nndescent.nearest(df.limit(0), F.col("id") % 20 == 0).count() == 0
