@@ -35,19 +35,14 @@ WORDS = r"[^\x20\x09-\x0D]+"
 def with_topic(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` plus ``_tokens`` (words of the whole text) and ``_topic``, a
     rule for corpora without a topic column: legal, contact, else by length."""
-    tokens, topic = token_count(text_col), topic_rule(text_col)
-    return docs.withColumns({"_tokens": tokens, "_topic": topic})
-
-
-def token_count(text_col: str):
-    return F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORDS)).cast("long")
-
-
-def topic_rule(text_col: str):
-    text, tokens = F.coalesce(F.col(text_col), F.lit("")), token_count(text_col)
-    return (F.when(text.rlike("[Ll]icen[sc]e|rights reserved|[Cc]opyright"), "legal")
-            .when(text.rlike("@|https?://"), "contact")
-            .when(tokens < 100, "note").when(tokens < 1000, "article").otherwise("book"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    counted = docs.withColumn("_tokens", F.regexp_count(text, F.lit(WORDS)).cast("long"))  # counted once, used by the rule
+    return counted.withColumn(
+        "_topic",
+        F.when(text.rlike("[Ll]icen[sc]e|rights reserved|[Cc]opyright"), "legal")
+        .when(text.rlike("@|https?://"), "contact")
+        .when(F.col("_tokens") < 100, "note").when(F.col("_tokens") < 1000, "article").otherwise("book"),
+    )
 
 
 def rake(cells: DataFrame, dims=DIMS, targets: dict | None = None, alpha: float = 0.85, rounds: int | None = None) -> DataFrame:
@@ -111,7 +106,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """Per input row ``_id, _source, _lang, _topic, _tokens, probability,
     sampled``.  Null sources, languages and topics are values of their own;
     null text has no tokens; rows repeating an id share its draw."""
-    rows = store(docs.select(F.col(id_col).cast("long").alias("_id"), *_keys(text_col, source_col, lang_col, topic_col)), "mix-rows")
+    rows = store(_keyed(docs, text_col, source_col, lang_col, topic_col, F.col(id_col).cast("long").alias("_id")), "mix-rows")
     cells = rake_rows(rows, targets, alpha, rounds)
     return _joined(rows, cells).withColumn("sampled", draw("_id", seed) < F.col("probability")).select(
         "_id", "_source", "_lang", "_topic", "_tokens", "probability", "sampled")
@@ -122,16 +117,20 @@ def sample_mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    alpha: float = 0.85, seed: str = "mix") -> DataFrame:
     """The sampled rows of ``docs`` with their columns, whatever their names.
     An empty table gives an empty one; rows repeating an id share its draw."""
-    keys = _keys(text_col, source_col, lang_col, topic_col)
-    cells = rake_rows(docs.select(*keys), targets, alpha)
-    rows = docs.select(whole_row(docs), *keys, draw(id_col, seed).alias("_draw"))
+    cells = rake_rows(_keyed(docs, text_col, source_col, lang_col, topic_col), targets, alpha)
+    rows = _keyed(docs, text_col, source_col, lang_col, topic_col, whole_row(docs), draw(id_col, seed).alias("_draw"))
     return _joined(rows, cells).filter(F.col("_draw") < F.col("probability")).select("_row.*")
 
 
-def _keys(text_col, source_col, lang_col, topic_col) -> list:
-    """Cell of a row and its tokens."""
-    topic = F.col(topic_col).cast("string") if topic_col else topic_rule(text_col)
-    return [F.col(source_col).alias("_source"), F.col(lang_col).alias("_lang"), topic.alias("_topic"), token_count(text_col).alias("_tokens")]
+def _keyed(docs, text_col, source_col, lang_col, topic_col, *more) -> DataFrame:
+    """``more`` columns, cell and tokens of every row; no other column of ``docs``."""
+    own = [F.col(text_col).alias("_text"), F.col(source_col).alias("_source"), F.col(lang_col).alias("_lang")]
+    if topic_col:
+        own.append(F.col(topic_col).cast("string").alias("_given"))
+    keyed = with_topic(docs.select(*more, *own), "_text")
+    if topic_col:
+        keyed = keyed.withColumn("_topic", F.col("_given")).drop("_given")
+    return keyed.drop("_text")
 
 
 def rake_rows(rows: DataFrame, targets: dict | None = None, alpha: float = 0.85, rounds: int | None = None) -> DataFrame:
