@@ -168,7 +168,7 @@ def exact_medians(
     box = v.groupBy(*series).agg(*[F.percentile_approx(f"__v{i}", ends, accuracy).alias(f"__q{i}") for i in range(len(names))],
                                  *[c.alias(f"__n{i}") for i, c in enumerate(some)])
     box = materialize(box)  # one row per series, read by both passes
-    t = _with(v, box, series)
+    t = with_series(v, box, series)
     cells = []
     for i in range(len(names)):
         x, lo, hi = F.col(f"__v{i}"), F.col(f"__q{i}")[0], F.col(f"__q{i}")[1]
@@ -178,7 +178,7 @@ def exact_medians(
     cell = t.select(*series, F.explode(F.filter(F.array(*cells), lambda c: c.isNotNull())).alias("__c"))
     counts = cell.groupBy(*series, F.col("__c.i").alias("__i"), F.col("__c.x").alias("__x")).agg(F.count(F.lit(1)).alias("__k"))
     upto = Window.partitionBy(*series, "__i").orderBy(F.col("__x").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    counts = _with(counts.withColumn("__z", F.sum("__k").over(upto)), box, series)  # positions [z - k, z)
+    counts = with_series(counts.withColumn("__z", F.sum("__k").over(upto)), box, series)  # positions [z - k, z)
     n = F.element_at(F.array(*[F.col(f"__n{i}") for i in range(len(names))]), F.col("__i") + 1)
     held = lambda m: ((F.col("__z") - F.col("__k") <= m) & (m < F.col("__z")) & F.col("__x").isNotNull()).cast("int")
     times = held(F.floor((n - 1) / 2)) + held(F.ceil((n - 1) / 2))
@@ -188,7 +188,7 @@ def exact_medians(
     ]).where(F.coalesce(*names).isNotNull())
 
 
-def _with(df: DataFrame, per_series: DataFrame, series: Sequence[str]) -> DataFrame:
+def with_series(df: DataFrame, per_series: DataFrame, series: Sequence[str]) -> DataFrame:
     """``df`` with the columns of a one-row-per-series table (null-safe keys)."""
     if not series:
         return df.withColumns({c: per_series.select(c).scalar() for c in per_series.columns})
@@ -212,7 +212,7 @@ def median_mads(df: DataFrame, series: Sequence[str], values: dict[str, str], re
     series = list(series)
     med = exact_medians(df, series, {f"median{k}": c for k, c in values.items()}, relative_error)
     med = materialize(med)  # one row per series
-    dev = _with(df.select(*series, *[F.col(c).alias(f"__x{i}") for i, c in enumerate(values.values())]), med, series)
+    dev = with_series(df.select(*series, *[F.col(c).alias(f"__x{i}") for i, c in enumerate(values.values())]), med, series)
     dev = dev.select(*series, *[F.abs(X.nan_to_null(F.col(f"__x{i}").cast("double")) - F.col(f"median{k}")).alias(f"__d{i}") for i, k in enumerate(values)])
     mad = exact_medians(dev, series, {f"mad{k}": f"__d{i}" for i, k in enumerate(values)}, relative_error)
     if not series:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hourglass.operators import series as TS
-from hourglass.operators import stats
+from hourglass.operators import stats, stl
 from hourglass.plans import frames
 from hourglass.plans.catalog import query, r6
 from hourglass.plans.sqlparts import HOURLY_CTE
@@ -125,6 +125,14 @@ def seasonal_decompose(spark, sf_dir):
     return r6(d.select("series", "ts_hour", "observed", "trend", "seasonal", "resid"))
 
 
+@query("stl_decompose")
+def stl_decompose(spark, sf_dir):
+    """Robust seasonal-trend decomposition of the hourly means (an iteration
+    without SQL; tested against a plain version)."""
+    d = stl.stl_decompose(_h(spark, sf_dir), S, "idx", "value", PERIOD, inner=2, outer=1, robust=True)
+    return r6(d.select("series", "ts_hour", "value", "trend", "seasonal", "resid", "weights"))
+
+
 @query(
     "anomaly_zscore",
     f"""WITH {SCORE_CTE}
