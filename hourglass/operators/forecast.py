@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourglass.operators import ema, timeaxis, windows
+from hourglass.operators import ema, stats, timeaxis, windows
 from hourglass.operators.clean import usable_features
 from hourglass.session import ensure_checkpoint_dir, materialize, ship_package
 
@@ -214,12 +214,13 @@ def _levels(ranges: Column) -> Column:
     return F.when(ranges <= 1, F.lit(0)).otherwise(F.length(F.bin(ranges - 1))).cast("long")
 
 
-def range_draws(rep: Column, n: Column, range_rows: int) -> Column:
-    """Array of how many of replicate ``rep``'s ``n`` draws fall into each range
-    of ``range_rows`` positions: a multinomial count by halving the ranges, each
+def range_draws(rep: Column, n: Column, range_rows: int, draws: Column | None = None) -> Column:
+    """Array of how many of replicate ``rep``'s ``draws`` (by default ``n``) from
+    ``n`` positions fall into each range of ``range_rows`` positions: a multinomial count by halving the ranges, each
     half's share a binomial split of its parent's draws."""
     zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
     n = n.cast("long")
+    draws = n if draws is None else draws.cast("long")
     depth = _levels(F.floor((n + range_rows - 1) / range_rows).cast("long"))
 
     def halve(counts, level):
@@ -233,18 +234,18 @@ def range_draws(rep: Column, n: Column, range_rows: int) -> Column:
 
         return F.flatten(F.transform(counts, children))
 
-    return F.when(depth == 0, F.array(n)).otherwise(F.aggregate(F.sequence(one, F.greatest(depth, one)), F.array(n), halve))
+    return F.when(depth == 0, F.array(draws)).otherwise(F.aggregate(F.sequence(one, F.greatest(depth, one)), F.array(draws), halve))
 
 
-def bootstrap_draws_sql(frame: str, n_boot: int, range_rows: int) -> str:
+def bootstrap_draws_sql(frame: str, n_boot: int, range_rows: int, draws: str = "n") -> str:
     """CTEs ``split`` and ``leaf(series, n, r, rng, m)``: :func:`range_draws` in
-    SQL, for a recursive WITH. ``frame`` holds (series, n)."""
+    SQL, for a recursive WITH. ``frame`` holds (series, n) and ``draws``."""
     word = _word_sql("s.r", "(1::BIGINT << s.lvl::INT) + s.idx", "s.step", "j")
     ones = (f"coalesce(list_sum(list_transform(range(0, (s.opened + {WORD_BITS - 1}) // {WORD_BITS}), "
             f"lambda j: bit_count({word} % (1::BIGINT << least(s.opened - j * {WORD_BITS}, {WORD_BITS})::INT)))), 0)::BIGINT")
     levels = f"CASE WHEN n <= {range_rows} THEN 0 ELSE length(bin((n + {range_rows} - 1) // {range_rows} - 1)) END"
     return f"""split(series, n, depth, r, lvl, idx, m, step, t, opened, got) AS (
-  SELECT series, n, CAST({levels} AS BIGINT), r, 0::BIGINT, 0::BIGINT, n, 0::BIGINT, -1::BIGINT, n, 0::BIGINT
+  SELECT series, n, CAST({levels} AS BIGINT), r, 0::BIGINT, 0::BIGINT, {draws}, 0::BIGINT, -1::BIGINT, {draws}, 0::BIGINT
   FROM {frame} CROSS JOIN range(0, {n_boot}) AS q(r)
   UNION ALL
   SELECT series, n, depth, r,
@@ -268,6 +269,19 @@ def range_pick_sql(rep: str, rng: str, k: str, size: str) -> str:
     return f"({_word_sql(rep, f'-1 - ({rng})', k)} % ({size}))"
 
 
+def _picked() -> Column:
+    """Struct ``s, c``: sum and count of the ``__m`` values that replicate
+    ``__r`` draws from the array ``__values`` of range ``__g``; NULLs are drawn
+    but not counted."""
+
+    def add(acc, k):
+        pick = F.get("__values", (_word(F.col("__r"), -1 - F.col("__g"), k) % F.size("__values")).cast("int"))
+        return _let(pick, lambda v: F.struct((acc["s"] + F.coalesce(v, F.lit(0.0))).alias("s"), (acc["c"] + v.isNotNull().cast("long")).alias("c")))
+
+    start = F.struct(F.lit(0.0).alias("s"), F.lit(0).cast("long").alias("c"))
+    return F.aggregate(F.sequence(F.lit(0).cast("long"), F.col("__m") - 1), start, add)
+
+
 def bootstrap_ci(
     diffs: DataFrame, series: Sequence[str], pos: str, value: str, n_boot: int = 1000, alpha: float = 0.05,
     range_rows: int = RANGE_ROWS,
@@ -292,14 +306,7 @@ def bootstrap_ci(
     reps = stats_.select(*series, "n", F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1))).alias("__r")).repartition("__r")
     shares = reps.select(*series, "n", "__r", F.posexplode(range_draws(F.col("__r"), F.col("n"), range_rows)).alias("__g", "__m")).filter("__m > 0")
     drawn = shares.withColumn("__g", F.col("__g").cast("long")).join(cells.select(*series, "__g", "__values"), [*series, "__g"])
-
-    def add(acc, k):
-        pick = F.get("__values", (_word(F.col("__r"), -1 - F.col("__g"), k) % F.size("__values")).cast("int"))
-        return _let(pick, lambda v: F.struct((acc["s"] + F.coalesce(v, F.lit(0.0))).alias("s"), (acc["c"] + v.isNotNull().cast("long")).alias("c")))
-
-    start = F.struct(F.lit(0.0).alias("s"), F.lit(0).cast("long").alias("c"))
-    part = F.aggregate(F.sequence(F.lit(0).cast("long"), F.col("__m") - 1), start, add)
-    means = drawn.select(*series, "__r", part.alias("__p")).groupBy(*series, "__r").agg(
+    means = drawn.select(*series, "__r", _picked().alias("__p")).groupBy(*series, "__r").agg(
         F.try_divide(F.sum("__p.s"), F.sum("__p.c")).alias("__m"))
     lo, hi = _percentiles("__m", alpha)
     ci = means.groupBy(*series).agg(lo.alias("ci_low"), hi.alias("ci_high"), F.count(F.lit(1)).cast("long").alias("n_boot"))
@@ -310,37 +317,52 @@ def bootstrap_ci(
 
 def block_bootstrap_ci(
     diffs: DataFrame, series: Sequence[str], pos: str, value: str, block: int = 24, n_boot: int = 1000,
-    alpha: float = 0.05, bucket_rows: int = windows.DEFAULT_BUCKET_ROWS,
+    alpha: float = 0.05, bucket_rows: int = windows.DEFAULT_BUCKET_ROWS, range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
-    """Moving-block bootstrap. ceil(n / block) blocks per replicate, start
-    ``hash(r, m) mod max(1, n - block + 1)``, the last block truncated so the
-    sample has n values. A block sum is a difference of two inclusive prefix
-    sums (a bucketed running scan), so the work is O(B * n / block) rows."""
+    """Moving-block bootstrap. ceil(n / block) blocks per replicate with
+    uniform starts among the max(1, n - block + 1) possible ones, the last block
+    truncated so the sample has n values. Every start's block sum comes from a
+    halo window; how many whole blocks of a replicate start in each range of
+    ``range_rows`` starts is a multinomial count (:func:`range_draws`), the starts
+    are drawn inside a range. So B rows per range are shuffled. NULL values
+    count as 0."""
     series = list(series)
-    diffs = materialize(diffs.select(*series, pos, value))  # n rows, read by several branches
+    diffs = materialize(diffs.select(*series, pos, value))  # n rows, read by two branches
     stats_ = diffs.groupBy(*series).agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("mean_diff"))
-    d = diffs.join(stats_.select(*series, "n"), series) if series else diffs.withColumn("n", stats_.select("n").scalar())
-    pref = windows.running_scan(diffs, series, pos, value, "sum", "__q", bucket_rows).select(
-        *series, F.col(pos).alias("__e"), "__q")
-    nb = F.ceil(F.col("n") / block)
-    blocks = d.where(F.col(pos) < nb).select(
-        *series, "n", F.col(pos).alias("__m"), F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1))).alias("__r"))
-    nstarts = F.greatest(F.lit(1), F.col("n") - block + 1)
-    length = F.when(F.col("__m") == nb - 1, F.col("n") - block * (nb - 1)).otherwise(F.lit(block))
-    blocks = blocks.withColumn("__s", hash_draw("__r", "__m", nstarts)).withColumn("__len", length)
-    end = pref.withColumnRenamed("__q", "__qe")
-    before = pref.withColumnRenamed("__q", "__qb").withColumnRenamed("__e", "__b")
-    sums = (blocks.withColumns({"__e": F.col("__s") + F.col("__len") - 1, "__b": F.col("__s") - 1})
-            .join(end, [*series, "__e"], "left").join(before, [*series, "__b"], "left"))
-    sums = sums.withColumn("__sum", F.col("__qe") - F.coalesce(F.col("__qb"), F.lit(0.0)))
-    reps = sums.groupBy(*series, "__r").agg((F.sum("__sum") / F.first("n")).alias("__m"))
+    nb = F.ceil(F.col("n") / block).cast("long")
+    sized = stats_.withColumns({"__starts": F.greatest(F.lit(1).cast("long"), F.col("n") - block + 1), "__blocks": nb,
+                                "__last": F.col("n") - block * (nb - 1)})
+    sized = materialize(sized)  # one row per series
+    ahead = windows.window_select(
+        diffs.withColumn("__v", F.coalesce(F.col(value).cast("double"), F.lit(0.0))), series, pos,
+        lambda w: {"__next": F.collect_list("__v").over(w.rowsBetween(0, block - 1))}, following=block - 1, bucket_rows=max(bucket_rows, block))
+    t = stats.with_series(ahead, sized.drop("mean_diff"), series).where(F.col(pos) < F.col("__starts"))
+    total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
+    item = F.struct(F.col(pos).alias("p"), total(F.col("__next")).alias("whole"), total(F.slice("__next", F.lit(1), F.col("__last").cast("int"))).alias("part"))
+    cells = t.groupBy(*series, F.floor(F.col(pos) / range_rows).cast("long").alias("__g")).agg(F.sort_array(F.collect_list(item)).alias("__rows"))
+    cells = materialize(cells.select(*series, "__g", F.transform("__rows", lambda x: x["whole"]).alias("__values"),
+                                     F.transform("__rows", lambda x: x["part"]).alias("__parts")))
+    reps = sized.select(*series, "n", "__starts", "__blocks", F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1))).alias("__r")).repartition("__r")
+    counts = range_draws(F.col("__r"), F.col("__starts"), range_rows, F.col("__blocks") - 1)
+    whole = reps.select(*series, "__r", F.posexplode(counts).alias("__g", "__m")).filter("__m > 0").withColumn("__g", F.col("__g").cast("long"))
+    at = _word(F.col("__r"), F.lit(0)) % F.col("__starts")
+    ends = reps.select(*series, "__r", F.floor(at / range_rows).cast("long").alias("__g"), (at % range_rows).cast("int").alias("__at"))
+    sums = _in_cells(whole, cells, series).select(*series, "__r", _picked()["s"].alias("__sum")).unionByName(
+        _in_cells(ends, cells, series).select(*series, "__r", F.get("__parts", F.col("__at")).alias("__sum")))
+    totals = sums.groupBy(*series, "__r").agg(F.sum("__sum").alias("__total"))
+    means = stats.with_series(totals, sized.select(*series, "n"), series).withColumn("__m", F.col("__total") / F.col("n"))
     lo, hi = _percentiles("__m", alpha)
-    ci = reps.groupBy(*series).agg(lo.alias("ci_low"), hi.alias("ci_high"), F.count(F.lit(1)).cast("long").alias("n_boot"))
+    ci = means.groupBy(*series).agg(lo.alias("ci_low"), hi.alias("ci_high"), F.count(F.lit(1)).cast("long").alias("n_boot"))
     return stats_.join(ci, series) if series else stats_.select(
         "n", F.lit(n_boot).cast("long").alias("n_boot"), "mean_diff",
         ci.select("ci_low").scalar().alias("ci_low"), ci.select("ci_high").scalar().alias("ci_high"))
 
 
+def _in_cells(rows: DataFrame, cells: DataFrame, series: Sequence[str]) -> DataFrame:
+    side = cells.withColumnsRenamed({c: f"__k_{c}" for c in (*series, "__g")})
+    return rows.join(side, _same(series) & (F.col("__g") == F.col("__k___g"))).drop(*[f"__k_{c}" for c in (*series, "__g")])
+
+
 DRAW_BITS = 50  # resolution of the uniform number behind a Poisson weight
 
 

@@ -136,22 +136,24 @@ def bootstrap_ci(spark, sf_dir):
 
 @query(
     "block_bootstrap_ci",
-    f"""WITH {_FF_CTE},
+    f"""WITH RECURSIVE {_FF_CTE.replace("ff AS (", "ff AS MATERIALIZED (")},
+st AS (SELECT series, greatest(1, n - {BLOCK} + 1) AS n, CAST(ceil(n / {BLOCK}.0) AS BIGINT) AS nb, n AS rows FROM cs),
+{FC.bootstrap_draws_sql("st", N_BOOT, RANGE, "nb - 1")},
 q AS (SELECT series, pos, sum(diff) OVER (PARTITION BY series ORDER BY pos ROWS UNBOUNDED PRECEDING) AS q FROM ff),
-bl AS (SELECT f.series, cs.n, f.pos AS m, r.r, CAST(ceil(cs.n / {BLOCK}.0) AS BIGINT) AS nb
-       FROM ff f JOIN cs USING (series) CROSS JOIN range(0, {N_BOOT}) AS r(r)
-       WHERE f.pos < CAST(ceil(cs.n / {BLOCK}.0) AS BIGINT)),
-bs AS (SELECT series, n, r, m, {FC.hash_draw_sql("r", "m", f"greatest(1, n - {BLOCK} + 1)")} AS s,
-              CASE WHEN m = nb - 1 THEN n - {BLOCK} * (nb - 1) ELSE {BLOCK} END AS len FROM bl),
-sm AS (SELECT bs.series, bs.r, bs.n, qe.q - coalesce(qb.q, 0.0) AS s
+dr AS (SELECT series, n, r, rng, unnest(range(0, m)) AS k FROM leaf),
+bs AS (SELECT dr.series, dr.r, rng * {RANGE} + {FC.range_pick_sql("dr.r", "dr.rng", "dr.k", f"least({RANGE}, dr.n - dr.rng * {RANGE})")} AS s,
+              {BLOCK}::BIGINT AS len FROM dr
+       UNION ALL
+       SELECT series, b.r, {FC._word_sql("b.r", "0")} % n, rows - {BLOCK} * (nb - 1) FROM st CROSS JOIN range(0, {N_BOOT}) AS b(r)),
+sm AS (SELECT bs.series, bs.r, qe.q - coalesce(qb.q, 0.0) AS s
        FROM bs JOIN q qe ON qe.series = bs.series AND qe.pos = bs.s + bs.len - 1
        LEFT JOIN q qb ON qb.series = bs.series AND qb.pos = bs.s - 1),
-rep AS (SELECT series, r, sum(s) / any_value(n) AS m FROM sm GROUP BY 1, 2)
+rep AS (SELECT sm.series, r, sum(s) / any_value(cs.n) AS m FROM sm JOIN cs USING (series) GROUP BY 1, 2)
 {_CI_SELECT}""",
 )
 def block_bootstrap_ci(spark, sf_dir):
     d = forecast_frame(spark, sf_dir).select("series", "pos", "diff")
-    out = FC.block_bootstrap_ci(d, S, "pos", "diff", BLOCK, N_BOOT, bucket_rows=50)
+    out = FC.block_bootstrap_ci(d, S, "pos", "diff", BLOCK, N_BOOT, bucket_rows=50, range_rows=RANGE)
     return r6(out.select("series", "n", "n_boot", "mean_diff", "ci_low", "ci_high"))
 
 
