@@ -81,10 +81,6 @@ def sci12(p) -> Column:
     return F.when(p.isNull(), F.lit(None).cast("string")).otherwise(F.format_string("%.12e", p))
 
 
-def round6(c) -> Column:
-    return F.round(col(c), 6)
-
-
 # Day-first layouts accepted for a combined "date time" text, tried in order.
 DAY_FIRST_FORMATS = (
     "d/M/yyyy H:mm:ss",
