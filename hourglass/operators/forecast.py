@@ -201,12 +201,14 @@ def _split(draws: Column, left: Column, both: Column, key: Sequence[Column]) ->
         one = acc["t"] * 2 >= both
         return _let(_ones([*key, s], acc["open"]), lambda ones: F.struct(
             (acc["t"] * 2 - F.when(one, both).otherwise(zero)).alias("t"),
-            F.when(one, ones).otherwise(acc["open"] - ones).alias("open"),
+            # nothing of the probability left: who is still undecided is above it
+            F.when(acc["t"] * 2 == both, zero).when(one, ones).otherwise(acc["open"] - ones).alias("open"),
             (acc["got"] + F.when(one, acc["open"] - ones).otherwise(zero)).alias("got")))
 
     start = F.struct(left.cast("long").alias("t"), draws.cast("long").alias("open"), zero.alias("got"))
     got = F.aggregate(F.sequence(zero, F.lit(SPLIT_BITS - 1).cast("long")), start, step, lambda acc: acc["got"])
-    return F.when(left <= 0, zero).when(left >= both, draws).otherwise(got)
+    even = draws - _ones([*key, zero], draws)  # one bit decides between equal halves
+    return F.when(left <= 0, zero).when(left >= both, draws).when(left * 2 == both, even).otherwise(got)
 
 
 def _levels(ranges: Column) -> Column:
@@ -253,7 +255,7 @@ def bootstrap_draws_sql(frame: str, n_boot: int, range_rows: int, draws: str = "
          CASE WHEN NOT done THEN m WHEN side = 0 THEN share ELSE m - share END,
          CASE WHEN done THEN 0 ELSE step + 1 END,
          CASE WHEN done THEN -1 WHEN 2 * t >= b THEN 2 * t - b ELSE 2 * t END,
-         CASE WHEN done THEN CASE WHEN side = 0 THEN share ELSE m - share END WHEN 2 * t >= b THEN h ELSE opened - h END,
+         CASE WHEN done THEN CASE WHEN side = 0 THEN share ELSE m - share END WHEN 2 * t = b THEN 0 WHEN 2 * t >= b THEN h ELSE opened - h END,
          CASE WHEN done THEN 0 WHEN 2 * t >= b THEN got + opened - h ELSE got END
   FROM (SELECT *, CASE WHEN a <= 0 THEN 0 WHEN a >= b THEN m ELSE got END AS share,
                step = {SPLIT_BITS} OR opened = 0 OR a <= 0 OR a >= b AS done
