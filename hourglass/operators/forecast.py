@@ -306,7 +306,7 @@ def bootstrap_ci(
     stats_ = cells.groupBy(*series).agg(F.sum("__all").alias("n"), F.try_divide(F.sum("__sum"), F.sum("__some")).alias("mean_diff"))
     # replicates are spread before their counts are worked out
     reps = stats_.select(*series, "n", F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1))).alias("__r")).repartition("__r")
-    shares = reps.select(*series, "n", "__r", F.posexplode(range_draws(F.col("__r"), F.col("n"), range_rows)).alias("__g", "__m")).filter("__m > 0")
+    shares = reps.select(*series, "n", "__r", F.posexplode_outer(range_draws(F.col("__r"), F.col("n"), range_rows)).alias("__g", "__m")).filter("__m > 0")
     drawn = shares.withColumn("__g", F.col("__g").cast("long")).join(cells.select(*series, "__g", "__values"), [*series, "__g"])
     means = drawn.select(*series, "__r", _picked().alias("__p")).groupBy(*series, "__r").agg(
         F.try_divide(F.sum("__p.s"), F.sum("__p.c")).alias("__m"))
@@ -346,7 +346,7 @@ def block_bootstrap_ci(
                                      F.transform("__rows", lambda x: x["part"]).alias("__parts")))
     reps = sized.select(*series, "n", "__starts", "__blocks", F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1))).alias("__r")).repartition("__r")
     counts = range_draws(F.col("__r"), F.col("__starts"), range_rows, F.col("__blocks") - 1)
-    whole = reps.select(*series, "__r", F.posexplode(counts).alias("__g", "__m")).filter("__m > 0").withColumn("__g", F.col("__g").cast("long"))
+    whole = reps.select(*series, "__r", F.posexplode_outer(counts).alias("__g", "__m")).filter("__m > 0").withColumn("__g", F.col("__g").cast("long"))
     at = _word(F.col("__r"), F.lit(0)) % F.col("__starts")
     ends = reps.select(*series, "__r", F.floor(at / range_rows).cast("long").alias("__g"), (at % range_rows).cast("int").alias("__at"))
     sums = _in_cells(whole, cells, series).select(*series, "__r", _picked()["s"].alias("__sum")).unionByName(
