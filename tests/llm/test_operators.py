@@ -462,6 +462,28 @@ def test_nearest_settles_and_unfolds_copies(spark):
     assert hit >= 0.9 * 20 * len(found)
 
 
+def test_search_holds_a_pool_and_ends(spark):
+    """A query's state is its pool, however many candidates it meets; members of
+    the pool are all expanded, so none of their neighbours beats the pool."""
+    rng = np.random.default_rng(12)
+    x = rng.standard_normal((2000, 24))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vec array<double>")
+    nodes, edges = nndescent.build_graph(df, rounds=2)
+    met = nndescent.search(df.filter("id % 20 = 0").select("id"), nodes, edges, pool=100, expand=30).toPandas()
+    to = edges.select("v", "u").toPandas().groupby("v").u.apply(list).to_dict()
+    assert sorted(set(met.q)) == list(range(0, 2000, 20))
+    raw = dict(nodes.select("id", "q").collect())
+    q8 = nndescent._matrix(np.array([np.frombuffer(raw[i], dtype=np.int8) for i in range(2000)]))
+    for q, g in met.groupby("q"):
+        assert len(g) == 100 and g.u.is_unique and q not in set(g.u)
+        sims = q8 @ q8[q]
+        np.testing.assert_allclose(g.sim, sims[g.u], atol=1e-5)
+        beyond = {u for v in g.u for u in to[v]} - set(g.u) - {q}
+        assert max(sims[list(beyond)], default=-9) <= g.sim.min() + 1e-5
+        assert len(set(np.argsort(-sims)[1:21]) & set(g.u)) >= 18
+
+
 def test_warc(spark):
     rows = [(1, "u1", "x" * 2000), (2, "u 2", "x" * 2000), (2, "u 2", "x" * 2000), (None, "u", "x" * 2000), (3, None, None),
             (4, "a", "é" * 499), (5, "b", "é" * 499), (6, "", "é" * 500), (7, "c", "é" * 500), (None, None, "z" * 1500)]
