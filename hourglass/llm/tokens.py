@@ -5,10 +5,13 @@ than white space.  The pre-tokenizers served here always cut there (or drop
 the white space), and no added token holds white space, so the ids of a text
 are the ids of its pieces in order.  Cutting, and finding the distinct pieces of a chunk
 of texts, is done in Arrow; a bounded table per worker holds the ids of
-distinct pieces.  A new piece is split by the pre-tokenizer's own pattern and
-its parts go to the library's merge model; pieces holding an added token, or a
-character that the pattern module and the library class differently, go to the
-library as a whole.  Other kinds of tokenizer get whole texts.
+distinct pieces.  New pieces of printable ASCII go to the library's merge model
+joined to long words, where no token of the vocabulary reaches over a cut of
+the pre-tokenizer; the lengths of the tokens tell where each piece ends.  Other new
+pieces are split by the pre-tokenizer's own pattern and their parts go to the
+merge model one by one; pieces holding an added token, or a character that the
+pattern module and the library class differently, go to the library as a whole.
+Other kinds of tokenizer get whole texts.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ import gc
 import json
 import re
 from array import array
-from itertools import chain
+from itertools import chain, compress
 from operator import attrgetter
 
 import numpy as np
@@ -26,6 +29,7 @@ import numpy as np
 TOKENIZER = "byte_bpe_50k.json"
 MARK = "\x01"
 CHUNK_BYTES = 4_000_000
+JOINED = 64  # new pieces in one word of the merge model
 # fixed value: the split pattern of byte-level BPE
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # a blank or line feed after any white space, or the mark itself (RE2 has no Unicode \s)
@@ -34,6 +38,9 @@ _IRREGULAR = (
 )
 _CUT = re.compile(r"(?<!\s)(?=[ \n])")
 _PLAIN = re.compile(r" ?\S+")
+# without the apostrophe, which byte-level patterns cut by what follows it
+_JOINABLE = re.compile(r"[ \n][!-&(-~]+")
+_BLANK, _FEED = chr(256 + ord(" ")), chr(256 + ord("\n"))  # their byte-level letters
 _KEPT: dict[tuple, "PieceTable"] = {}
 
 
@@ -186,6 +193,7 @@ class PieceEncoder(PieceTable):
         self.strange = {"\uffff"}  # stands for NUL while parts are mapped
         super().__init__(max_pieces, max_bytes)
         self.flat, self.begin, self.count = array("I"), array("q"), array("q")
+        self.width = _widths(conf, self.split) if self.blanks else None
         self._no_parts()
 
     def _no_parts(self) -> None:
@@ -235,6 +243,33 @@ class PieceEncoder(PieceTable):
             whole += [p for p, t in zip(pieces, texts) if not odd.isdisjoint(t)]
             both = [(p, t) for p, t in zip(pieces, texts) if odd.isdisjoint(t)]
             pieces, texts = [p for p, _ in both], [t for _, t in both]
+        joined: list[str] = []
+        if self.width is not None:
+            fits = list(map(bool, map(_JOINABLE.fullmatch, pieces)))
+            joined = list(compress(pieces, fits))
+            pieces = texts = [p for p, ok in zip(pieces, fits) if not ok]
+        pieces, ids, count = self._split(pieces, texts)
+        if joined:
+            more, n = self._joined(joined)
+            pieces, ids, count = joined + pieces, np.concatenate([more, ids]), np.concatenate([n, count])
+        if whole:
+            more, n = self._whole(whole)
+            ids, count = np.concatenate([ids, more]), np.concatenate([count, n])
+        return pieces + whole, ids, count
+
+    def _joined(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and counts of printable pieces, many to a word of the merge model."""
+        words = ["".join(pieces[a : a + JOINED]).replace(" ", _BLANK).replace("\n", _FEED) for a in range(0, len(pieces), JOINED)]
+        tokens = chain.from_iterable(map(self.tokenizer.model.tokenize, words))
+        ids = np.fromiter(map(attrgetter("id"), tokens), dtype=np.uint32)
+        upto = np.cumsum(self.width[ids])
+        at = np.searchsorted(upto, np.cumsum(np.array(list(map(len, pieces)), dtype=np.int64))) + 1
+        return ids, np.diff(at, prepend=0)
+
+    def _split(self, pieces: list[str], texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The pieces in another order, their ids and counts by the pattern's parts."""
+        if not pieces:
+            return [], np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64)
         if len(self.parts) > self.max_pieces // 2:
             self._no_parts()
         # many pieces are split in one call, kept apart by line feeds; those with white space within go alone
@@ -255,10 +290,7 @@ class PieceEncoder(PieceTable):
         upto = np.concatenate([[0], np.cumsum(count)])[np.concatenate([[0], np.cumsum(per)]).astype(np.int64)]
         count = np.diff(upto)
         order = [p for p, ok in zip(pieces, plain) if ok] + [p for p, ok in zip(pieces, plain) if not ok]
-        if whole:
-            more, n = self._whole(whole)
-            ids, count = np.concatenate([ids, more]), np.concatenate([count, n])
-        return order + whole, ids, count
+        return order, ids, count
 
     def _part_rows(self, parts: list[str]) -> np.ndarray:
         """Rows of pre-token parts; new ones go through the merge model."""
@@ -326,6 +358,27 @@ def _pattern(conf: dict):
     return None, None
 
 
+def _widths(conf: dict, split) -> np.ndarray | None:
+    """Bytes of every id of a byte-level vocabulary; None where printable pieces
+    may not be merged as one word: a token of ASCII bytes reaches over a cut of
+    the pattern, or the model treats words as such."""
+    model = conf["model"]
+    as_words = ("dropout", "ignore_merges", "continuing_subword_prefix", "end_of_word_suffix")
+    if model.get("type") != "BPE" or any(model.get(x) for x in as_words):
+        return None
+    raw = {chr(x): chr(b) for b, x in enumerate(_byte_letters().tolist()) if b < 128}
+    if any(x not in model["vocab"] for x in raw):  # unknown letters would be dropped
+        return None
+    width = np.zeros(max(model["vocab"].values()) + 1, dtype=np.int64)
+    for token, i in model["vocab"].items():
+        width[i] = len(token)
+        if all(x in raw for x in token) and "'" not in token:
+            text = "".join(raw[x] for x in token)
+            if split.findall(text) != [text]:
+                return None
+    return width
+
+
 def _byte_letters() -> np.ndarray:
     """Byte-level alphabet (code point of every byte): printable bytes stand for
     themselves, the others, in order, for the characters from 256 on."""

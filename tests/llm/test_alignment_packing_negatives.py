@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -254,3 +255,31 @@ def test_reading_stops_early_where_the_threshold_allows():
     full = (x @ a).astype(np.int64)
     assert list(ids) == np.lexsort((np.arange(4000), -full))[:10].tolist() and list(got) == full[ids].tolist()
     assert sum(seen) < 2000
+
+
+def test_printable_pieces_are_merged_together(tmp_path):
+    """Ids and counts of pieces merged as joined words are the library's, and a
+    vocabulary with a token over a cut is not joined."""
+    import json
+
+    from tokenizers import Tokenizer
+
+    path = tokens.tokenizer_path()
+    enc, lib = tokens.PieceEncoder(path), Tokenizer.from_file(path)
+    rng = np.random.default_rng(21)
+    letters = list("abcdeABCxyz0123.,;-!()")
+    pieces = [rng.choice([" ", "\n"]) + "".join(rng.choice(letters, rng.integers(1, 12))) for _ in range(500)]
+    ids, count = enc._joined(pieces)
+    want = [lib.encode(p, add_special_tokens=False).ids for p in pieces]
+    assert ids.tolist() == [i for w in want for i in w] and count.tolist() == [len(w) for w in want]
+    with open(path, encoding="utf-8") as f:
+        conf = json.load(f)
+    conf["model"]["vocab"]["a1"] = max(conf["model"]["vocab"].values()) + 1
+    conf["model"]["merges"].insert(0, ["a", "1"] if isinstance(conf["model"]["merges"][0], list) else "a 1")
+    crossing = str(tmp_path / "crossing.json")
+    with open(crossing, "w", encoding="utf-8") as f:
+        json.dump(conf, f)
+    enc, lib = tokens.PieceEncoder(crossing), Tokenizer.from_file(crossing)
+    assert enc.width is None
+    ids, count = enc.encode(pa.array(["a1 ba1 a1", " xa1"]))
+    assert ids.tolist() == [i for t in ("a1 ba1 a1", " xa1") for i in lib.encode(t, add_special_tokens=False).ids]
